@@ -321,6 +321,87 @@ def q_event_subset(spark, d):
          "passenger_count": big("passenger_count")})
 
 
+# ----------------------------------------------------------------- loads, layouts, pages
+
+def q_monthly_load_idempotent(spark, d):
+    """K8/K9: land every yellow month as CSV, backfill them into an empty
+    target, run the same backfill again (must insert nothing); per file the
+    rows kept and their distinct keys."""
+    from farebox.plans import loads as L
+    from farebox.session import scratch_path
+    root = scratch_path(spark, "monthly-load")
+    y = fx.raw_service(fx.trips(spark, d), "Yellow", keep_filename=True)
+    glob = L.write_monthly_files(y, f"{root}/landing", "yellow")
+    target = f"{root}/yellow_tripdata"
+    L.load_months(spark, "yellow", glob, target)
+    again = L.load_months(spark, "yellow", glob, target)
+    if again != 0:
+        raise AssertionError(f"reload inserted {again} rows")
+    t = spark.read.parquet(target)
+    return t.groupBy("filename").agg(F.count(F.lit(1)).alias("rows"),
+                                     F.count_distinct("unique_row_id").alias("distinct_keys"))
+
+
+MERGE_TARGET_BEFORE = "1997-01-01"
+MERGE_SOURCE = ("1996-07-01", "1997-07-01")
+
+
+def q_merge_insert_rows(spark, d):
+    """Stamped green rows of a half-year merged into a target that
+    holds everything before 1997: the rows the MERGE would insert."""
+    from farebox.plans import loads as L
+    g = fx.raw_service(fx.trips(spark, d), "Green", keep_filename=True)
+    stamped = g.withColumn("unique_row_id", X.row_key(X.row_key_fields("Green", 7)))
+    target = stamped.filter(F.col("lpep_pickup_datetime")
+                            < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
+    source = FL.in_period(stamped, "lpep_pickup_datetime", *MERGE_SOURCE)
+    return L.merge_insert(target, source).select("unique_row_id", "filename")
+
+
+def q_partitioned_day_range(spark, d):
+    """Write trips partitioned by pickup day, clustered by zone, and
+    scan a day range through partition pruning."""
+    from farebox.session import scratch_path
+    from farebox.sinks.files import write_partitioned
+    path = scratch_path(spark, "trips-by-day")
+    write_partitioned(fx.trips(spark, d).drop("l_suppkey", "l_partkey"), path,
+                      "pickup_datetime", ["PULocationID"])
+    r = FL.scan_between(spark, path, "pickup_date", *RANGE_DAYS, ts="pickup_datetime")
+    return r.groupBy("pickup_date").agg(F.count(F.lit(1)).alias("trips"),
+                                        money(F.sum("total_amount")).alias("total_amount"))
+
+
+PAGE_SIZE_ORDERS = 1000
+STOP_PAGE = 3
+
+
+def rides(spark, d) -> DataFrame:
+    """API rides derived from trips: page = 1 + orderkey div 1000."""
+    t = fx._trip_rows(spark, d)
+    pickup = F.timestamp_add("SECOND", F.col("l_orderkey") % 86400, F.col("o_orderdate"))
+    return t.select(
+        (F.lit(1) + F.floor(F.col("l_orderkey") / PAGE_SIZE_ORDERS)).cast("bigint")
+        .alias("page_no"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ride_id"),
+        pickup.alias("trip_pickup_date_time"),
+        F.col("l_shipdate").alias("trip_dropoff_date_time"),
+        F.col("l_extendedprice").alias("total_amt"))
+
+
+def q_paged_rides(spark, d):
+    """S9 + A10: rides landed as API pages with page 3 empty, loaded up to the
+    first empty page; ride count and average duration in minutes."""
+    from farebox.session import scratch_path
+    from farebox.sources.pages import land_pages, load_pages
+    landing = scratch_path(spark, "pages")
+    land_pages(rides(spark, d), landing, empty_pages=[STOP_PAGE])
+    loaded = load_pages(spark, landing)
+    return loaded.agg(
+        F.count(F.lit(1)).cast("bigint").alias("rides"),
+        ratio(F.avg(X.minute_boundaries("trip_pickup_date_time", "trip_dropoff_date_time")))
+        .alias("avg_minutes"))
+
+
 QUERIES = {
     "stg_green": q_stg_green,
     "stg_yellow": q_stg_yellow,
@@ -357,6 +438,10 @@ QUERIES = {
     "scalar_text": q_scalar_text,
     "scalar_datetime": q_scalar_datetime,
     "event_subset": q_event_subset,
+    "monthly_load_idempotent": q_monthly_load_idempotent,
+    "merge_insert_rows": q_merge_insert_rows,
+    "partitioned_day_range": q_partitioned_day_range,
+    "paged_rides": q_paged_rides,
 }
 
 

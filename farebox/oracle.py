@@ -344,6 +344,39 @@ FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS ts FROM
   CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance, tip_amount FROM green""",
 }
 
+_KEY7_Y = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in row_key_fields("Yellow", 7))
+_KEY7_G = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in row_key_fields("Green", 7))
+
+ORACLE.update({
+    "monthly_load_idempotent": _with(["yellow"]) + f""", stamped AS (
+  SELECT md5({_KEY7_Y}) AS unique_row_id, filename FROM yellow),
+kept AS (
+  SELECT * FROM (SELECT *, min(filename) OVER (PARTITION BY unique_row_id) AS first_file
+                 FROM stamped) WHERE filename = first_file)
+SELECT filename, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(DISTINCT unique_row_id) AS BIGINT) AS distinct_keys
+FROM kept GROUP BY 1""",
+    "merge_insert_rows": _with(["green"]) + f""", stamped AS (
+  SELECT md5({_KEY7_G}) AS unique_row_id, filename, lpep_pickup_datetime FROM green),
+target AS (SELECT * FROM stamped WHERE lpep_pickup_datetime < TIMESTAMP '{C.MERGE_TARGET_BEFORE}')
+SELECT s.unique_row_id, s.filename FROM stamped s
+WHERE CAST(s.lpep_pickup_datetime AS DATE) >= DATE '{C.MERGE_SOURCE[0]}'
+  AND CAST(s.lpep_pickup_datetime AS DATE) < DATE '{C.MERGE_SOURCE[1]}'
+  AND NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_row_id = s.unique_row_id)""",
+    "partitioned_day_range": _with(["trips"]) + f"""SELECT CAST(pickup_datetime AS DATE) AS pickup_date,
+  CAST(count(*) AS BIGINT) AS trips, CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount
+FROM trips
+WHERE CAST(pickup_datetime AS DATE) BETWEEN DATE '{C.RANGE_DAYS[0]}' AND DATE '{C.RANGE_DAYS[1]}'
+GROUP BY 1""",
+    "paged_rides": f"""SELECT CAST(count(*) AS BIGINT) AS rides,
+  round(avg(date_diff('minute', o.o_orderdate + to_seconds(l.l_orderkey % 86400), l.l_shipdate)), 4)
+    AS avg_minutes
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WHERE 1 + floor(l.l_orderkey / {C.PAGE_SIZE_ORDERS}) < {C.STOP_PAGE}""",
+})
+
 
 def oracle_sql() -> dict:
     return dict(ORACLE)
