@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox import fixtures as fx
 from farebox.functions import columns as X
@@ -402,6 +403,146 @@ def q_paged_rides(spark, d):
         .alias("avg_minutes"))
 
 
+# ----------------------------------------------------------------- streaming
+
+EVENT_MSG = T.StructType([T.StructField("test_data", T.LongType()),
+                          T.StructField("event_type", T.StringType()),
+                          T.StructField("event_timestamp", T.DoubleType())])
+
+
+def _event_messages(spark, d) -> DataFrame:
+    """events as the producer sends them: id, type, epoch ms as a float."""
+    ev = fx.events(spark, d)
+    return ev.select(F.col("event_id").alias("test_data"), "event_type",
+                     (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000.0))
+                     .alias("event_timestamp"))
+
+
+def _green_messages(spark, d, full: bool = False) -> DataFrame:
+    """green trips as JSON-ready rows with text timestamps (7 or 20 fields)."""
+    g = fx.green(spark, d)
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    g = g.withColumns({"lpep_pickup_datetime": F.date_format("lpep_pickup_datetime", fmt),
+                       "lpep_dropoff_datetime": F.date_format("lpep_dropoff_datetime", fmt)})
+    if full:
+        return g
+    return g.select("lpep_pickup_datetime", "lpep_dropoff_datetime",
+                    X.safe_int("PULocationID").alias("PULocationID"),
+                    X.safe_int("DOLocationID").alias("DOLocationID"),
+                    F.col("passenger_count").cast("string").alias("passenger_count"),
+                    "trip_distance", "tip_amount")
+
+
+def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factory):
+    """Publish ``messages`` as JSON lines, run ``build(decoded stream)`` into
+    the sink until everything available is processed, return the sink."""
+    from farebox.session import scratch_path
+    from farebox.streaming import jobs as S
+    root = scratch_path(spark, name)
+    S.publish_json(messages, {"path": f"{root}/topic"})
+    stream = S.read_json_stream(spark, {"path": f"{root}/topic"}, schema)
+    sink = sink_factory(f"{root}/sink")
+    S.run_available(build(stream), sink, f"{root}/checkpoint")
+    return sink
+
+
+def q_passthrough_events(spark, d):
+    """Events -> JSON messages -> stream -> append sink."""
+    from farebox.streaming import jobs as S
+    sink = _stream_through(spark, "passthrough-events", _event_messages(spark, d), EVENT_MSG,
+                           S.passthrough_events, lambda p: S.AppendSink(p))
+    return sink.read(spark)
+
+
+def q_tumbling_counts(spark, d):
+    """1-minute tumbling counts per event type, 1 s lateness."""
+    from farebox.streaming import jobs as S
+
+    def build(stream):
+        return S.tumbling_counts(S.decode_test_events(stream), "event_watermark",
+                                 "event_type", "1 minute", "1 second")
+    sink = _stream_through(spark, "tumbling", _event_messages(spark, d), EVENT_MSG, build,
+                           lambda p: S.AppendSink(p))
+    return sink.read(spark).withColumn("num_hits", big("num_hits"))
+
+
+GAP, DELAY = "5 minutes", "5 seconds"
+
+
+def _sessions(spark, d, name, sink_factory):
+    from farebox import schemas
+    from farebox.streaming import jobs as S
+
+    def build(stream):
+        return S.session_counts(S.decode_green_trips(stream), "lpep_dropoff_datetime",
+                                ["PULocationID", "DOLocationID"], GAP, DELAY)
+    return _stream_through(spark, name, _green_messages(spark, d), schemas.GREEN_EVENT, build,
+                           sink_factory)
+
+
+def q_session_counts(spark, d):
+    """5-minute session counts per (pickup, dropoff) zone pair on
+    dropoff time, 5 s lateness; every closed session."""
+    from farebox.streaming import jobs as S
+    sink = _sessions(spark, d, "sessions", lambda p: S.AppendSink(p))
+    return sink.read(spark).withColumns({"PULocationID": big("PULocationID"),
+                                         "DOLocationID": big("DOLocationID"),
+                                         "longest_streak": big("longest_streak")})
+
+
+def q_session_upsert_last(spark, d):
+    """Upsert sink keyed by zone pair, last session wins."""
+    from farebox.streaming import jobs as S
+    sink = _sessions(spark, d, "sessions-upsert",
+                     lambda p: S.UpsertSink(p, ["PULocationID", "DOLocationID"], keep="last",
+                                            order_col="session_end"))
+    return sink.read(spark).select(big("PULocationID").alias("PULocationID"),
+                                   big("DOLocationID").alias("DOLocationID"),
+                                   big("longest_streak").alias("longest_streak"))
+
+
+def q_longest_streak(spark, d):
+    """Upsert sink keeping the longest session per pair, then the
+    pair with the longest streak."""
+    from farebox.operators.topk import longest_streak
+    from farebox.streaming import jobs as S
+    sink = _sessions(spark, d, "sessions-max",
+                     lambda p: S.UpsertSink(p, ["PULocationID", "DOLocationID"], keep="max",
+                                            value_col="longest_streak"))
+    best = longest_streak(sink.read(spark))
+    return best.select(big("PULocationID").alias("PULocationID"),
+                       big("DOLocationID").alias("DOLocationID"),
+                       big("longest_streak").alias("longest_streak"))
+
+
+def q_passthrough_trips(spark, d):
+    """20-column green-trip messages passed through a stream."""
+    from farebox import schemas
+    from farebox.streaming import jobs as S
+    text_ts = T.StructType([T.StructField(f.name, T.StringType()) if "datetime" in f.name
+                            else f for f in schemas.GREEN_RAW])
+
+    def build(stream):
+        return S.passthrough_trips(S.decode_green_trips(stream))
+    sink = _stream_through(spark, "passthrough-trips", _green_messages(spark, d, full=True),
+                           text_ts, build, lambda p: S.AppendSink(p))
+    return sink.read(spark).withColumn("passenger_count", big("passenger_count")) \
+        .withColumn("payment_type", big("payment_type")).withColumn("trip_type", big("trip_type"))
+
+
+def q_json_round_trip(spark, d):
+    """Trips encoded as JSON messages and decoded again (batch)."""
+    from farebox.session import scratch_path
+    from farebox.streaming import jobs as S
+    path = scratch_path(spark, "json")
+    t = fx.trips(spark, d).drop("l_suppkey", "l_partkey")
+    S.publish_json(t, {"path": path})
+    back = S.decode_json(spark.read.text(path), t.schema)
+    return back.withColumns({"passenger_count": big("passenger_count"),
+                             "payment_type": big("payment_type"),
+                             "trip_type": big("trip_type")})
+
+
 QUERIES = {
     "stg_green": q_stg_green,
     "stg_yellow": q_stg_yellow,
@@ -442,6 +583,13 @@ QUERIES = {
     "merge_insert_rows": q_merge_insert_rows,
     "partitioned_day_range": q_partitioned_day_range,
     "paged_rides": q_paged_rides,
+    "passthrough_events": q_passthrough_events,
+    "tumbling_counts": q_tumbling_counts,
+    "session_counts": q_session_counts,
+    "session_upsert_last": q_session_upsert_last,
+    "longest_streak": q_longest_streak,
+    "passthrough_trips": q_passthrough_trips,
+    "json_round_trip": q_json_round_trip,
 }
 
 

@@ -377,6 +377,53 @@ JOIN supplier s ON l.l_suppkey = s.s_suppkey
 WHERE 1 + floor(l.l_orderkey / {C.PAGE_SIZE_ORDERS}) < {C.STOP_PAGE}""",
 })
 
+_EVENTS_MS = ("(SELECT event_id, event_type, make_timestamp(epoch_us(ts) // 1000 * 1000) AS t "
+              "FROM events)")
+
+_SESSIONS = _with(["green"]) + """, g AS (
+  SELECT CAST(TRY_CAST(PULocationID AS INTEGER) AS BIGINT) AS PULocationID,
+         CAST(TRY_CAST(DOLocationID AS INTEGER) AS BIGINT) AS DOLocationID,
+         lpep_dropoff_datetime AS t FROM green),
+marked AS (
+  SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY PULocationID, DOLocationID ORDER BY t)
+                      <= INTERVAL 5 MINUTE THEN 0 ELSE 1 END AS new_session FROM g),
+numbered AS (
+  SELECT *, sum(new_session) OVER (PARTITION BY PULocationID, DOLocationID ORDER BY t
+                                   ROWS UNBOUNDED PRECEDING) AS sid FROM marked),
+sessions AS (
+  SELECT PULocationID, DOLocationID, min(t) AS session_start,
+         max(t) + INTERVAL 5 MINUTE AS session_end, CAST(count(*) AS BIGINT) AS longest_streak
+  FROM numbered GROUP BY PULocationID, DOLocationID, sid),
+closed AS (
+  SELECT s.* FROM sessions s
+  WHERE s.session_end <= (SELECT max(t) FROM g) - INTERVAL 5 SECOND)
+"""
+
+ORACLE.update({
+    "passthrough_events": f"""SELECT event_id AS test_data, t AS event_timestamp FROM {_EVENTS_MS}""",
+    "tumbling_counts": f"""WITH e AS {_EVENTS_MS}
+SELECT date_trunc('minute', t) AS event_hour, event_type, CAST(count(*) AS BIGINT) AS num_hits
+FROM e GROUP BY 1, 2
+HAVING date_trunc('minute', t) + INTERVAL 1 MINUTE <= (SELECT max(t) FROM e) - INTERVAL 1 SECOND""",
+    "session_counts": _SESSIONS + "SELECT * FROM closed",
+    "session_upsert_last": _SESSIONS + """SELECT PULocationID, DOLocationID, longest_streak FROM (
+  SELECT *, row_number() OVER (PARTITION BY PULocationID, DOLocationID
+                               ORDER BY session_end DESC) AS rn FROM closed) WHERE rn = 1""",
+    "longest_streak": _SESSIONS + """SELECT PULocationID, DOLocationID, longest_streak FROM closed
+ORDER BY longest_streak DESC, PULocationID, DOLocationID LIMIT 1""",
+    "passthrough_trips": _with(["green"]) + """SELECT VendorID, lpep_pickup_datetime,
+  lpep_dropoff_datetime, store_and_fwd_flag, RatecodeID, PULocationID, DOLocationID,
+  CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance, fare_amount, extra, mta_tax,
+  tip_amount, tolls_amount, ehail_fee, improvement_surcharge, total_amount,
+  CAST(payment_type AS BIGINT) AS payment_type, CAST(trip_type AS BIGINT) AS trip_type,
+  congestion_surcharge FROM green""",
+    "json_round_trip": _with(["trips"]) + """SELECT service, VendorID, pickup_datetime,
+  dropoff_datetime, CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance, RatecodeID,
+  store_and_fwd_flag, PULocationID, DOLocationID, CAST(payment_type AS BIGINT) AS payment_type,
+  fare_amount, extra, mta_tax, tip_amount, tolls_amount, ehail_fee, improvement_surcharge,
+  total_amount, CAST(trip_type AS BIGINT) AS trip_type, congestion_surcharge, filename FROM trips""",
+})
+
 
 def oracle_sql() -> dict:
     return dict(ORACLE)
