@@ -13,13 +13,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.operators.joins import bounded_broadcast
+from farebox.sources.files import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events")
+# Tables that grow with the data; their scans are spread over the cluster.
+FACT_TABLES = ("lineitem", "orders", "customer", "events")
+
+
+_TABLES: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One given table; the DataFrame (file listing, footer schema) is made
+    once per session and path and reused, as a registered table would be."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        df = spark.read.parquet(path)
+        _TABLES[key] = spread(df) if name in FACT_TABLES else df
+    return _TABLES[key]
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,13 +13,23 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Size checks already made in this process: (plan hash, bound) -> fits.
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows of the (usually tiny) side.
+    The check reads at most ``max_rows + 1`` rows of the (usually tiny) side
+    and is remembered per logical plan, so a lookup used by many queries is
+    counted once.  Past the bound the join is left to the planner.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    fits = _CHECKED.get(key)
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = fits
+    return F.broadcast(df) if fits else df
 
 
 def known_zones(zones: DataFrame, exclude=("Unknown",), col: str = "borough") -> DataFrame:

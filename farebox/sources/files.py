@@ -22,6 +22,17 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str],
     return r.parquet(*paths)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster's default parallelism (a single-row-group Parquet file, a gzip
+    CSV), so later operators run in parallel.  A scan that already has enough
+    splits, as any large input does, is returned unchanged: no extra shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
              columns: Sequence[str] | None = None, header: bool = True,
              ignore_extra: bool = True, repartition: int | None = None,
