@@ -543,6 +543,51 @@ def q_json_round_trip(spark, d):
                              "trip_type": big("trip_type")})
 
 
+
+USER_EVENT = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
+                           T.StructField("event_timestamp", T.DoubleType())])
+USER_GAP, USER_DELAY = "30 minutes", "5 seconds"
+
+
+def q_event_sessions(spark, d):
+    """T1/T5/T10 on events: sessions per user with a 30-minute gap."""
+    from farebox.streaming import jobs as S
+    ev = fx.events(spark, d)
+    msgs = ev.select("user_id", "event_type",
+                     (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1000.0))
+                     .alias("event_timestamp"))
+
+    def build(stream):
+        return S.session_counts(S.decode_test_events(stream), "event_watermark", ["user_id"],
+                                USER_GAP, USER_DELAY, count_col="events")
+    sink = _stream_through(spark, "event-sessions", msgs, USER_EVENT, build,
+                           lambda p: S.AppendSink(p))
+    return sink.read(spark).withColumn("events", big("events"))
+
+
+def q_quarterly_revenue_calendar(spark, d):
+    """W3 calendar variant: growth against the same quarter one year earlier."""
+    q = M.fct_quarterly_revenue(_fact(spark, d), calendar=True)
+    return q.select("service_type", big("year").alias("year"), big("quarter").alias("quarter"),
+                    money("total_amount").alias("total_amount"),
+                    money("total_amount_prev_year").alias("total_amount_prev_year"),
+                    ratio("yoy_growth").alias("yoy_growth"))
+
+
+def q_zones_seed(spark, d):
+    """S10 + M4: the zone lookup landed as a seed CSV (capitalised header),
+    read back with the declared schema and turned into the dimension."""
+    from farebox.session import scratch_path
+    from farebox.sources.files import read_zones
+    path = scratch_path(spark, "zones-seed")
+    z = fx.zones(spark, d).select(F.col("locationid").alias("LocationID"),
+                                  F.col("borough").alias("Borough"),
+                                  F.col("zone").alias("Zone"), "service_zone")
+    z.write.option("header", True).csv(path)
+    return M.dim_zones(read_zones(spark, path)).withColumn("locationid", big("locationid"))
+
+
 QUERIES = {
     "stg_green": q_stg_green,
     "stg_yellow": q_stg_yellow,
@@ -590,6 +635,9 @@ QUERIES = {
     "longest_streak": q_longest_streak,
     "passthrough_trips": q_passthrough_trips,
     "json_round_trip": q_json_round_trip,
+    "event_sessions": q_event_sessions,
+    "quarterly_revenue_calendar": q_quarterly_revenue_calendar,
+    "zones_seed": q_zones_seed,
 }
 
 

@@ -46,7 +46,7 @@ def name_zone(df: DataFrame, zones: DataFrame, key: str, how: str = "left",
     """Attach a zone name to ``df`` by its location id column ``key``."""
     z = bounded_broadcast(zones.select(F.col("locationid").alias("__zid"),
                                        F.col(name_col).alias(alias)))
-    return (df.join(z, df[key].cast("int") == F.col("__zid"), how)
+    return (df.join(z, df[key].try_cast("int") == F.col("__zid"), how)
             .drop("__zid"))
 
 
@@ -69,8 +69,8 @@ def with_zone_names(trips: DataFrame, zones: DataFrame, how: str = "left",
                   F.col("borough").alias("dropoff_borough"),
                   F.col("zone").alias("dropoff_zone"))
     return (trips
-            .join(pu, trips[pickup_key].cast("int") == F.col("__pu_id"), how)
-            .join(do, F.col(dropoff_key).cast("int") == F.col("__do_id"), how)
+            .join(pu, trips[pickup_key].try_cast("int") == F.col("__pu_id"), how)
+            .join(do, F.col(dropoff_key).try_cast("int") == F.col("__do_id"), how)
             .drop("__pu_id", "__do_id"))
 
 

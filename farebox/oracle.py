@@ -424,6 +424,32 @@ ORDER BY longest_streak DESC, PULocationID, DOLocationID LIMIT 1""",
   total_amount, CAST(trip_type AS BIGINT) AS trip_type, congestion_surcharge, filename FROM trips""",
 })
 
+ORACLE.update({
+    "event_sessions": """WITH e AS (
+  SELECT user_id, make_timestamp(epoch_us(ts) // 1000 * 1000) AS t FROM events),
+marked AS (
+  SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) <= INTERVAL 30 MINUTE
+                 THEN 0 ELSE 1 END AS new_session FROM e),
+numbered AS (
+  SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING)
+           AS sid FROM marked),
+sessions AS (
+  SELECT user_id, min(t) AS session_start, max(t) + INTERVAL 30 MINUTE AS session_end,
+         CAST(count(*) AS BIGINT) AS events FROM numbered GROUP BY user_id, sid)
+SELECT * FROM sessions WHERE session_end <= (SELECT max(t) FROM e) - INTERVAL 5 SECOND""",
+    "quarterly_revenue_calendar": _with(["zones", "green", "yellow"], _QUARTERLY)
+    + """SELECT a.service_type, CAST(a.year AS BIGINT) AS year, CAST(a.quarter AS BIGINT) AS quarter,
+  CAST(round(a.total_amount, 2) AS DOUBLE) AS total_amount,
+  CAST(round(b.total_amount, 2) AS DOUBLE) AS total_amount_prev_year,
+  round((CASE WHEN b.total_amount = 0 THEN NULL
+              ELSE CAST(a.total_amount AS DOUBLE) / CAST(b.total_amount AS DOUBLE) END - 1) * 100, 4)
+    AS yoy_growth
+FROM q a LEFT JOIN q b
+  ON a.service_type = b.service_type AND a.quarter = b.quarter AND a.year = b.year + 1""",
+    "zones_seed": _with(["zones"], _DIM_ZONES)
+    + "SELECT CAST(locationid AS BIGINT) AS locationid, borough, zone, service_zone FROM dim_zones",
+})
+
 
 def oracle_sql() -> dict:
     return dict(ORACLE)
