@@ -94,12 +94,21 @@ def dim_zones(zones: DataFrame) -> DataFrame:
                         .alias("service_zone"))
 
 
+def with_service(df: DataFrame, name: str, col: str = "service_type") -> DataFrame:
+    """Constant service column."""
+    return df.withColumn(col, F.lit(name))
+
+
+def union_services(green: DataFrame, yellow: DataFrame) -> DataFrame:
+    """UNION ALL of staged green and yellow trips (same names and order)."""
+    return with_service(green, "Green").unionByName(with_service(yellow, "Yellow"))
+
+
 def fact_trips(green: DataFrame, yellow: DataFrame, zones: DataFrame,
                exclude_borough: Iterable[str] = ("Unknown",)) -> DataFrame:
     """M5: union of staged green and yellow trips, inner-joined to the known
     zones for pickup and dropoff (zones are a size-checked broadcast)."""
-    trips = (green.withColumn("service_type", F.lit("Green"))
-             .unionByName(yellow.withColumn("service_type", F.lit("Yellow"))))
+    trips = union_services(green, yellow)
     joined = with_zone_names(trips, dim_zones(zones), how="inner",
                              exclude_borough=list(exclude_borough))
     return joined.select(*FACT_COLUMNS)
