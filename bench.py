@@ -63,6 +63,35 @@ def throughput(spark, sf_dir):
     return out
 
 
+def scan_targets(spark, sf_dir):
+    """BASELINE targets: a partitioned day-range scan reads only the matching
+    files (vs. the whole unpartitioned table), K1 writes exactly N files."""
+    from pyspark.sql import functions as F
+
+    from farebox.operators.filters import scan_between
+    from farebox.sinks.files import write_parquet, write_partitioned
+    t = fx.trips(spark, sf_dir).drop("l_suppkey", "l_partkey")
+    part, flat = scratch_path(spark, "bench-part"), scratch_path(spark, "bench-flat")
+    write_partitioned(t, part, "pickup_datetime", ["VendorID"])
+    write_parquet(t, flat, 4)
+
+    def files_of(df):
+        f = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+        r = f.agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").alias("b")).first()
+        return int(r.n), int(r.b or 0)
+
+    lo, hi = "1997-06-01", "1997-06-15"  # a 15-day window
+    pruned = scan_between(spark, part, "pickup_date", lo, hi, ts="pickup_datetime")
+    n_read, b_read = files_of(pruned)
+    n_all, b_all = files_of(spark.read.parquet(part))
+    n_flat, b_flat = files_of(spark.read.parquet(flat))
+    return {"day_range_scan": {"files_read": n_read, "files_total": n_all,
+                               "bytes_read": b_read, "bytes_unpartitioned": b_flat,
+                               "bytes_ratio_unpartitioned_to_pruned":
+                                   round(b_flat / b_read, 1) if b_read else None},
+            "k1_files_written_for_n4": n_flat}
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -74,7 +103,7 @@ def main():
     results = {}
     for name in names:
         results[name] = round(time_query(spark, qs[name], sf_dir), 3)
-    extra = throughput(spark, sf_dir) if not only else {}
+    extra = {**throughput(spark, sf_dir), **scan_targets(spark, sf_dir)} if not only else {}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "sum_of_median_query_seconds",
                       "value": round(sum(results.values()), 3), "unit": "sec",

@@ -11,16 +11,15 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.functions.columns import (payment_description, safe_int,
+from farebox.functions.columns import (payment_description, pct_growth, safe_int,
                                        seconds_between, surrogate_key, text_in,
                                        to_num, to_ts)
 from farebox.operators import aggregates as agg
 from farebox.operators.filters import in_period
-from farebox.operators.joins import known_zones, with_zone_names
+from farebox.operators.joins import with_zone_names
 from farebox.operators.topk import top_n
 from farebox.operators.windows import (dedupe, group_percentiles_on_rows,
                                        lag_calendar, lag_rows, nth_in_group)
-from farebox.functions.columns import pct_growth
 
 FACT_COLUMNS = [
     "tripid", "vendorid", "service_type", "ratecodeid", "pickup_locationid",
@@ -210,7 +209,3 @@ def largest_tip_dropoff(trips: DataFrame, zones: DataFrame, pickup_zone: str | N
 def staged_fact(green_raw: DataFrame, yellow_raw: DataFrame, zones: DataFrame) -> DataFrame:
     """Raw green + yellow + zones -> fact_trips (M1, M2, M4, M5)."""
     return fact_trips(stg_green(green_raw), stg_yellow(yellow_raw), zones)
-
-
-def exclude_zones(zones: DataFrame, exclude=("Unknown",)) -> DataFrame:
-    return known_zones(zones, exclude)

@@ -183,3 +183,9 @@ def test_jdbc_round_trip_embedded_derby(spark, tmp):
     assert back.count() == 105 and back.rdd.getNumPartitions() == 4
     q = JD.read_jdbc(spark, url, query="SELECT COUNT(*) AS N FROM ZONES", props=props)
     assert q.first()[0] == 105
+
+
+def test_count_star_reads_no_columns(spark):
+    from farebox.operators.aggregates import row_count
+    plan = plan_text(row_count(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")))
+    assert "ReadSchema: struct<>" in plan
