@@ -152,7 +152,9 @@ class AppendSink:
 
     Batch ``b`` is written to ``<path>/batch_id=<b>`` with overwrite, so a
     batch replayed after a failure replaces its own output instead of adding
-    a second copy.  For JDBC pass ``jdbc`` options instead of a folder.
+    a second copy.  For JDBC pass ``jdbc`` options instead of a folder; a
+    JDBC append is at-least-once (a replayed batch is inserted again), as
+    with the reference's plain JDBC sink.
     """
 
     def __init__(self, path: str | None = None, jdbc: dict | None = None):
@@ -181,12 +183,15 @@ class UpsertSink:
     pairs), not ever-growing keys, which belong in an AppendSink.
     """
 
-    def __init__(self, path: str, keys: Sequence[str], keep: str = "last",
-                 order_col: str | None = None, value_col: str | None = None):
+    def __init__(self, path: str | None, keys: Sequence[str], keep: str = "last",
+                 order_col: str | None = None, value_col: str | None = None,
+                 jdbc: dict | None = None):
         if keep not in ("last", "max"):
             raise ValueError("keep is 'last' or 'max'")
-        self.path, self.keys, self.keep = path.rstrip("/"), list(keys), keep
-        self.order_col, self.value_col = order_col, value_col
+        if path is None and jdbc is None:
+            raise ValueError("give a folder or jdbc options")
+        self.path, self.keys, self.keep = (path or "").rstrip("/"), list(keys), keep
+        self.order_col, self.value_col, self.jdbc = order_col, value_col, jdbc
 
     def _log(self) -> str:
         return f"{self.path}/_versions"
@@ -199,6 +204,13 @@ class UpsertSink:
         return None if v is None else v[0]
 
     def read(self, spark: SparkSession) -> DataFrame | None:
+        if self.jdbc is not None:
+            try:
+                df = spark.read.format("jdbc").options(**self.jdbc).load()
+                df.schema  # noqa: B018  (resolves: fails here if the table is missing)
+                return df
+            except Exception:  # noqa: BLE001  missing table: nothing written yet
+                return None
         v = self._latest_version(spark)
         return None if v is None else spark.read.parquet(f"{self.path}/v={v}")
 
@@ -219,6 +231,14 @@ class UpsertSink:
         w = Window.partitionBy(*self.keys).orderBy(*rank)
         best = (new.withColumn("__rn", F.row_number().over(w))
                 .filter(F.col("__rn") == 1).drop("__rn", "__prio"))
+        if self.jdbc is not None:
+            # The merged table is checkpointed to the shared folder first, so the
+            # overwrite (truncate + insert) does not read the table it replaces.
+            from farebox.session import cut_lineage
+            merged = cut_lineage(best)
+            (merged.write.format("jdbc").options(**self.jdbc).option("truncate", "true")
+             .mode("overwrite").save())
+            return
         best.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
         spark.createDataFrame([(str(batch_id),)], "value string") \
             .write.mode("append").text(self._log())

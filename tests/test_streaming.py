@@ -121,3 +121,25 @@ def test_start_uses_checkpoint(spark, tmp):
     assert os.path.isdir(f"{tmp}/ckpt/offsets")
     assert spark.read.parquet(f"{tmp}/out").count() == 1
     assert spark.read.parquet(f"{tmp}/out").select(F.col("test_data")).first()[0] == 1
+
+
+def test_stream_sinks_to_embedded_derby(spark, tmp):
+    # Embedded, in-process Derby: no server and no port.
+    url = f"jdbc:derby:{tmp}/derby;create=true"
+    drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    topic = f"{tmp}/topic"
+    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
+                        green_msg(1, 2, "2019-10-01 10:03:00"),
+                        green_msg(5, 6, "2019-10-01 11:00:00"),
+                        green_msg(5, 6, "2019-10-01 12:00:00")], topic)
+    up = S.UpsertSink(None, ["PULocationID", "DOLocationID"], keep="max",
+                      value_col="longest_streak",
+                      jdbc={"url": url, "dbtable": "STREAKS", "driver": drv})
+    sessions(spark, topic, up, f"{tmp}/c1")
+    got = {(r.PULocationID, r.DOLocationID): r.longest_streak for r in up.read(spark).collect()}
+    assert got == {(1, 2): 2, (5, 6): 1}
+    app = S.AppendSink(jdbc={"url": url, "dbtable": "EVENTS_OUT", "driver": drv})
+    stream = S.read_json_stream(spark, {"path": topic}, schemas.GREEN_EVENT)
+    S.run_available(S.decode_green_trips(stream), app, f"{tmp}/c2")
+    back = spark.read.format("jdbc").options(url=url, dbtable="EVENTS_OUT", driver=drv).load()
+    assert back.count() == 4
