@@ -308,7 +308,7 @@ def q_scalar_datetime(spark, d):
         X.to_ts(text, "yyyy-MM-dd HH:mm:ss").alias("parsed_ts"),
         X.epoch_ms_to_ts(ms).cast("timestamp_ntz").alias("from_epoch_ms"),
         X.days_ago(30, F.to_date(ts)).alias("minus_30_days"),
-        F.date_trunc("month", ts).alias("month_start"))
+        X.truncate_ts("month", ts).alias("month_start"))
 
 
 def q_event_subset(spark, d):

@@ -95,12 +95,17 @@ def with_calendar(df: DataFrame, ts: str, prefix: str = "") -> DataFrame:
     })
 
 
+def truncate_ts(unit: str, c: ColLike) -> Column:
+    """``date_trunc(unit, ts)`` that stays a wall-clock TIMESTAMP_NTZ
+    (Spark's date_trunc returns a zoned TIMESTAMP)."""
+    return F.date_trunc(unit, _c(c)).cast("timestamp_ntz")
+
+
 def minute_boundaries(start: ColLike, end: ColLike) -> Column:
     """Minutes between two timestamps counted as crossed minute boundaries
     (00:00:59 -> 00:01:01 is 1), the DATE_DIFF('minute', ..) convention."""
-    s = F.date_trunc("minute", _c(start)).cast("timestamp")
-    e = F.date_trunc("minute", _c(end)).cast("timestamp")
-    return (F.unix_seconds(e) - F.unix_seconds(s)) / F.lit(60)
+    return F.timestamp_diff("MINUTE", F.date_trunc("minute", _c(start)),
+                            F.date_trunc("minute", _c(end)))
 
 
 def whole_units_between(unit: str, start: ColLike, end: ColLike) -> Column:

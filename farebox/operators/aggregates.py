@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.functions.columns import (distance_bucket, hours_between,
-                                       minute_boundaries)
+                                       minute_boundaries, truncate_ts)
 from farebox.operators.joins import name_zone
 
 
@@ -72,7 +72,7 @@ def top_revenue_zones(df: DataFrame, zones: DataFrame, day: str, min_amount: flo
 def monthly_zone_revenue(fact: DataFrame) -> DataFrame:
     """Revenue by pickup zone x month x service."""
     return (fact.groupBy(F.col("pickup_zone").alias("revenue_zone"),
-                         F.date_trunc("month", "pickup_datetime").alias("revenue_month"),
+                         truncate_ts("month", "pickup_datetime").alias("revenue_month"),
                          "service_type")
             .agg(F.sum("fare_amount").alias("revenue_monthly_fare"),
                  F.sum("extra").alias("revenue_monthly_extra"),
