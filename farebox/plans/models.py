@@ -209,3 +209,40 @@ def largest_tip_dropoff(trips: DataFrame, zones: DataFrame, pickup_zone: str | N
 def staged_fact(green_raw: DataFrame, yellow_raw: DataFrame, zones: DataFrame) -> DataFrame:
     """Raw green + yellow + zones -> fact_trips (M1, M2, M4, M5)."""
     return fact_trips(stg_green(green_raw), stg_yellow(yellow_raw), zones)
+
+
+def build_all(green_raw: DataFrame, yellow_raw: DataFrame, fhv_raw: DataFrame,
+              zones: DataFrame, as_: str = "table", prefix: str = "") -> dict[str, DataFrame]:
+    """Materialise every model in dependency order: staging as views, core and
+    marts as tables (``as_='view'`` keeps everything lazy).  Returns them by name.
+
+    A later model reads the table its parent was written to, so each model is
+    computed once and lineage is cut at every table.
+    """
+    from farebox.sinks.files import build
+
+    def make(name, df, kind):
+        return build(df, prefix + name, as_=kind if as_ == "table" else "view")
+
+    out = {}
+    out["dim_zones"] = make("dim_zones", dim_zones(zones), "table")
+    out["stg_green_tripdata"] = make("stg_green_tripdata", stg_green(green_raw), "view")
+    out["stg_yellow_tripdata"] = make("stg_yellow_tripdata", stg_yellow(yellow_raw), "view")
+    out["stg_fhv_tripdata"] = make("stg_fhv_tripdata", stg_fhv(fhv_raw), "view")
+    # Dimension already renamed: join the fact to the known zones directly.
+    fact = fact_trips(out["stg_green_tripdata"], out["stg_yellow_tripdata"], zones)
+    out["fact_trips"] = make("fact_trips", fact, "table")
+    out["dim_fhv_trips"] = make("dim_fhv_trips", dim_fhv_trips(out["stg_fhv_tripdata"], zones),
+                                "table")
+    f = out["fact_trips"]
+    out["dm_monthly_zone_revenue"] = make("dm_monthly_zone_revenue",
+                                          dm_monthly_zone_revenue(f), "table")
+    out["fct_taxi_trips_quarterly_revenue"] = make(
+        "fct_taxi_trips_quarterly_revenue", fct_quarterly_revenue(f), "table")
+    out["fct_taxi_trips_monthly_fare_p95"] = make(
+        "fct_taxi_trips_monthly_fare_p95", fct_monthly_fare_percentiles(f), "table")
+    out["fct_fhv_monthly_zone_traveltime_p90"] = make(
+        "fct_fhv_monthly_zone_traveltime_p90", fct_fhv_traveltime_p90(out["dim_fhv_trips"]),
+        "table")
+    return out
+

@@ -125,3 +125,27 @@ def test_hot_key_aggregate_is_partial(spark):
                                    .alias("k"), F.col("id").cast("double").alias("x"))
     plan = plan_text(df.groupBy("k").agg(F.percentile("x", 0.9)))
     assert "partial_percentile" in plan
+
+
+def test_cli_build_all_and_backfill(spark, tmp):
+    from farebox.__main__ import main
+    t = fx.trips(spark, SF_SMALL)
+    fx.raw_service(t, "Green").write.parquet(f"{tmp}/g")
+    fx.raw_service(t, "Yellow").write.parquet(f"{tmp}/y")
+    fx.fhv(spark, SF_SMALL).write.parquet(f"{tmp}/f")
+    fx.zones(spark, SF_SMALL).write.option("header", True).csv(f"{tmp}/zones")
+    assert main(["build", "--green", f"{tmp}/g", "--yellow", f"{tmp}/y", "--fhv", f"{tmp}/f",
+                 "--zones", f"{tmp}/zones", "--prefix", "cli_"]) == 0
+    direct = M.dm_monthly_zone_revenue(M.staged_fact(fx.green(spark, SF_SMALL),
+                                                      fx.yellow(spark, SF_SMALL),
+                                                      fx.zones(spark, SF_SMALL)))
+    built = spark.table("cli_dm_monthly_zone_revenue")
+    assert built.count() == direct.count() > 0
+    assert spark.table("cli_fct_fhv_monthly_zone_traveltime_p90").count() == \
+        spark.table("cli_dim_fhv_trips").count()
+    from farebox.plans import loads as L
+    y = fx.raw_service(t, "Yellow", keep_filename=True)
+    glob_ = L.write_monthly_files(y, f"{tmp}/landing", "yellow")
+    assert main(["backfill", "--service", "yellow", "--src", glob_, "--target",
+                 f"{tmp}/yt"]) == 0
+    assert spark.read.parquet(f"{tmp}/yt").count() > 0
