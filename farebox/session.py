@@ -28,6 +28,29 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: float, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Partition sizing for a given input volume and cluster.
+
+    Shuffle partitions are chosen so that one partition of the largest shuffle
+    (assumed no bigger than the input) is about ``target_partition_bytes``,
+    rounded up to whole waves of the cluster's task slots; AQE then coalesces
+    small ones and splits skewed ones.  Input splits use the same size.
+    Example: 100 TiB on 1000 executors x 8 cores -> 416 000 shuffle partitions
+    (52 waves of 8000 slots), 256 MiB splits.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(slots, int(input_bytes // target_partition_bytes) + 1)
+    parts = ((parts + slots - 1) // slots) * slots
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(4 * target_partition_bytes),
+    }
+
+
 def get_spark(master: str | None = None, app: str = "farebox",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:

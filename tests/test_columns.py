@@ -90,3 +90,11 @@ def test_epoch_ms_float(spark):
 def test_days_ago(spark):
     df = spark.createDataFrame([("2024-03-01",)], "d string")
     assert df.select(X.days_ago(30, F.col("d"))).first()[0] == dt.date(2024, 1, 31)
+
+
+def test_scale_conf_sizes_partitions():
+    from farebox.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 1000, 8)
+    assert int(c["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(c["spark.sql.shuffle.partitions"]) * 256 * 1024 ** 2 >= 100 * 1024 ** 4
+    assert scale_conf(10 * 1024 ** 2, 1, 8)["spark.sql.shuffle.partitions"] == "8"
