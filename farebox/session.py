@@ -70,7 +70,10 @@ def get_spark(master: str | None = None, app: str = "farebox",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001  remote session: treat as a cluster
+        return False
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,13 +83,20 @@ def shared_dir(spark: SparkSession) -> str:
     the context).  Only a local session without that setting gets a fresh
     private folder, which is then registered as its checkpoint dir.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None) or \
-            spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        have = sc.getCheckpointDir()
+        if have:
+            return have.rstrip("/")
+        d = sc.getConf().get("spark.checkpoint.dir", None) or d
+        if d:
+            sc.setCheckpointDir(d)  # so DataFrame.checkpoint() writes there too
+    except Exception:  # noqa: BLE001  remote session: only the SQL conf is visible
+        pass
     if d:
-        return d.rstrip("/")
+        return (sc.getCheckpointDir() if sc is not None and sc.getCheckpointDir() else d).rstrip("/")
     if not _is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared "

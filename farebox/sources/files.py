@@ -27,10 +27,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     cluster's default parallelism (a single-row-group Parquet file, a gzip
     CSV), so later operators run in parallel.  A scan that already has enough
     splits, as any large input does, is returned unchanged: no extra shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  no RDD view (remote session): leave as is
         return df
-    return df.repartition(want)
+    return df if have >= want else df.repartition(want)
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
