@@ -442,10 +442,18 @@ def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factor
     S.publish_json(messages, {"path": f"{root}/topic"})
     stream = S.read_json_stream(spark, {"path": f"{root}/topic"}, schema)
     sink = sink_factory(f"{root}/sink")
-    S.run_available(build(stream), sink, f"{root}/checkpoint")
+    S.run_available(build(stream), sink, f"{root}/checkpoint",
+                    state_partitions=_parallelism(spark))
     return sink
 
 
+def _parallelism(spark) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def q_passthrough_events(spark, d):
     """Events -> JSON messages -> stream -> append sink."""
     from farebox.streaming import jobs as S

@@ -246,12 +246,23 @@ class UpsertSink:
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str,
           trigger: dict | None = None, output_mode: str = "append",
-          name: str | None = None, path: str | None = None) -> StreamingQuery:
+          name: str | None = None, path: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
     """Start a query with a checkpoint; default trigger every 10 seconds.
 
     ``sink`` is a ``foreachBatch`` function or a format name (with ``path``).
     Use ``trigger={"availableNow": True}`` to drain what is there and stop.
+    ``state_partitions`` sizes the state store of windowed aggregates (it is
+    fixed in the checkpoint at the first start and kept on restarts).
     """
+    spark = df.sparkSession
+    if state_partitions:
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return start(df, sink, checkpoint, trigger, output_mode, name, path)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
     if name:
@@ -266,10 +277,11 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoin
 
 
 def run_available(df: DataFrame, sink, checkpoint: str, output_mode: str = "append",
-                  timeout_s: int = 600) -> None:
+                  timeout_s: int = 600, state_partitions: int | None = None) -> None:
     """Drain everything currently available (incl. the closing no-data batch
     that emits windows the final watermark has passed), then stop."""
-    q = start(df, sink, checkpoint, trigger={"availableNow": True}, output_mode=output_mode)
+    q = start(df, sink, checkpoint, trigger={"availableNow": True}, output_mode=output_mode,
+              state_partitions=state_partitions)
     try:
         finished = q.awaitTermination(timeout_s)
         if not finished:
