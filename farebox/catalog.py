@@ -325,22 +325,27 @@ def q_event_subset(spark, d):
 # ----------------------------------------------------------------- loads, layouts, pages
 
 def q_monthly_load_idempotent(spark, d):
-    """K8/K9: land every yellow month as CSV, backfill them into an empty
-    target, run the same backfill again (must insert nothing); per file the
-    rows kept and their distinct keys."""
+    """K8/K9: land every green and yellow month as CSV, backfill each service
+    into an empty target, run the same backfill again (must insert nothing);
+    per file the rows kept and their distinct keys."""
     from farebox.plans import loads as L
     from farebox.session import scratch_path
     root = scratch_path(spark, "monthly-load")
-    y = fx.raw_service(fx.trips(spark, d), "Yellow", keep_filename=True)
-    glob = L.write_monthly_files(y, f"{root}/landing", "yellow")
-    target = f"{root}/yellow_tripdata"
-    L.load_months(spark, "yellow", glob, target)
-    again = L.load_months(spark, "yellow", glob, target)
-    if again != 0:
-        raise AssertionError(f"reload inserted {again} rows")
-    t = spark.read.parquet(target)
-    return t.groupBy("filename").agg(F.count(F.lit(1)).alias("rows"),
-                                     F.count_distinct("unique_row_id").alias("distinct_keys"))
+    t = fx.trips(spark, d)
+    out = None
+    for service in ("green", "yellow"):
+        raw = fx.raw_service(t, service.capitalize(), keep_filename=True)
+        glob = L.write_monthly_files(raw, f"{root}/landing-{service}", service)
+        target = f"{root}/{service}_tripdata"
+        L.load_months(spark, service, glob, target)
+        again = L.load_months(spark, service, glob, target)
+        if again != 0:
+            raise AssertionError(f"reload of {service} inserted {again} rows")
+        counts = spark.read.parquet(target).groupBy("filename").agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_distinct("unique_row_id").alias("distinct_keys"))
+        out = counts if out is None else out.unionByName(counts)
+    return out
 
 
 MERGE_TARGET_BEFORE = "1997-01-01"

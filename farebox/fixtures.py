@@ -35,6 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+_VIEWS: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    """Build a fixture view once per session and arguments (DataFrames are
+    immutable plans, so sharing one is safe and saves re-planning)."""
+    def wrapper(spark, sf_dir, *args, **kw):
+        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
+        if key not in _VIEWS:
+            _VIEWS[key] = fn(spark, sf_dir, *args, **kw)
+        return _VIEWS[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
+@_memo
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """locationid, borough, zone, service_zone (25 rows per nation table)."""
     n = table(spark, sf_dir, "nation")
@@ -64,6 +80,7 @@ def _trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(bounded_broadcast(s), li.l_suppkey == s.s_suppkey))
 
 
+@_memo
 def trips(spark: SparkSession, sf_dir: str, dropoff: str = "quantity") -> DataFrame:
     """Generic trip rows (service, pickup/dropoff, zones as text ids, money).
 

@@ -348,10 +348,13 @@ _KEY7_Y = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in row_key_fie
 _KEY7_G = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in row_key_fields("Green", 7))
 
 ORACLE.update({
-    "monthly_load_idempotent": _with(["yellow"]) + f""", stamped AS (
+    "monthly_load_idempotent": _with(["green", "yellow"]) + f""", stamped AS (
+  SELECT md5({_KEY7_G}) AS unique_row_id, filename FROM green
+  UNION ALL
   SELECT md5({_KEY7_Y}) AS unique_row_id, filename FROM yellow),
 kept AS (
-  SELECT * FROM (SELECT *, min(filename) OVER (PARTITION BY unique_row_id) AS first_file
+  SELECT * FROM (SELECT *, min(filename) OVER (
+                   PARTITION BY substr(filename, 1, 5), unique_row_id) AS first_file
                  FROM stamped) WHERE filename = first_file)
 SELECT filename, CAST(count(*) AS BIGINT) AS rows,
        CAST(count(DISTINCT unique_row_id) AS BIGINT) AS distinct_keys
