@@ -24,7 +24,7 @@ DAY = "1996-03-15"
 DAY_MIN_AMOUNT = 20000.0
 PERIOD = ("1996-01-01", "1999-01-01")
 TIP_PERIOD = ("1996-10-01", "1996-11-01")
-TIP_ZONE = "FRANCE"
+TIP_ZONE = "NATION_13"
 RANGE_DAYS = ("1997-06-01", "1997-06-15")
 BEST_YEAR = 1997
 RECENT_TODAY = "2001-08-01"

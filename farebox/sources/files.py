@@ -35,11 +35,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df if have >= want else df.repartition(want)
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None,
              columns: Sequence[str] | None = None, header: bool = True,
              ignore_extra: bool = True, repartition: int | None = None,
              timestamp_format: str | None = None) -> DataFrame:
-    """CSV with a declared schema.
+    """CSV with a declared schema, or ``schema=None`` for the
+    header names with every column a string (no inference pass).
 
     * header row skipped; schema applied by position (header names ignored);
     * ``ignore_extra``: PERMISSIVE mode, extra trailing fields are dropped and
@@ -48,9 +49,11 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
       ``repartition`` to spread the rows after the read;
     * ``columns`` keeps an explicit column list (the COPY column list).
     """
-    r = (spark.read.schema(schema).option("header", header)
+    r = (spark.read.option("header", header)
          .option("mode", "PERMISSIVE" if ignore_extra else "FAILFAST")
-         .option("enforceSchema", True))
+         .option("inferSchema", False))
+    if schema is not None:
+        r = r.schema(schema).option("enforceSchema", True)
     if timestamp_format:
         r = r.option("timestampNTZFormat", timestamp_format)
     paths = [path] if isinstance(path, str) else list(path)

@@ -45,6 +45,13 @@ def test_read_csv_extra_and_short_rows(spark, tmp):
     assert cols == ["VendorID", "fare_amount"]
 
 
+def test_read_csv_all_strings_without_schema(spark, tmp):
+    p = write_csv(f"{tmp}/y.csv", [yellow_line("1", "2021-01-01 00:00:00", "10.0")])
+    df = S.read_csv(spark, p, None)
+    assert df.columns[:2] == ["VendorID", "tpep_pickup_datetime"]
+    assert {f.dataType.simpleString() for f in df.schema} == {"string"}
+
+
 def test_read_gzip_csv(spark, tmp):
     p = write_csv(f"{tmp}/y.csv.gz", [yellow_line("1", "2021-01-01 00:00:00", "10.0")], gz=True)
     df = S.read_csv(spark, p, schemas.YELLOW_RAW, repartition=4)
