@@ -44,11 +44,36 @@ def stamp(df: DataFrame, key_cols: Sequence[str], filename: str | None = None,
     return keyed.select(key, "filename", *[c for c in df.columns])
 
 
-def merge_insert(target: DataFrame, source: DataFrame, key: str = "unique_row_id") -> DataFrame:
+# Target partition column: the pickup month of a trip ('unknown' without one).
+PART_COL = "pickup_month"
+NO_MONTH = "unknown"
+
+
+def with_pickup_month(df: DataFrame, pickup: str) -> DataFrame:
+    """Partition value of a trip.  The row key covers the pickup time, so
+    rows with equal keys always share this value."""
+    return df.withColumn(PART_COL, F.coalesce(F.date_format(F.col(pickup), "yyyy-MM"),
+                                              F.lit(NO_MONTH)))
+
+
+def merge_insert(target: DataFrame, source: DataFrame, key: str = "unique_row_id",
+                 part_col: str | None = None) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target``
     (``MERGE .. WHEN NOT MATCHED THEN INSERT``).  Equal keys inside the source
-    are all inserted, as MERGE does."""
-    return source.join(target.select(key), key, "left_anti")
+    are all inserted, as MERGE does.
+
+    With ``part_col`` (a partition column of the target that equal keys
+    share) only the target partitions present in the source are read: the
+    source's distinct values are broadcast (size-checked) into a semi join,
+    which the planner turns into dynamic partition pruning of the target
+    scan.  A monthly load then reads a month or two of history, not all of it.
+    """
+    if part_col is None:
+        return source.join(target.select(key), key, "left_anti")
+    from farebox.operators.joins import bounded_broadcast
+    parts = bounded_broadcast(source.select(part_col).distinct(), 1_000_000)
+    touched = target.join(parts, part_col, "left_semi").select(part_col, key)
+    return source.join(touched, [part_col, key], "left_anti")
 
 
 def earliest_file_rows(stamped: DataFrame, key: str = "unique_row_id",
@@ -76,16 +101,22 @@ def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
     """Insert ``rows`` whose key is absent from the target; returns how many.
 
     The anti join reads the target files listed when the job is planned; the
-    appended files only become visible when the job commits.  The inserted
+    appended files only become visible when the job commits.  Rows carrying
+    the ``pickup_month`` column are written partitioned by it, and the anti
+    join then reads only the target months the batch touches.  The inserted
     count is the difference of two row counts, which Parquet answers from
     file footers.
     """
     target = _read_target(spark, target_path)
+    part = PART_COL if PART_COL in rows.columns else None
     before = 0
     if target is not None:
         before = target.count()
-        rows = merge_insert(target, rows, key)
-    rows.write.mode("append").parquet(target_path)
+        rows = merge_insert(target, rows, key, part_col=part)
+    w = rows.write.mode("append")
+    if part:
+        w = w.partitionBy(part)
+    w.parquet(target_path)
     return spark.read.parquet(target_path).count() - before
 
 
@@ -99,6 +130,10 @@ def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _pickup_col(service: str) -> str:
+    return ("lpep" if service.lower() == "green" else "tpep") + "_pickup_datetime"
+
+
 def _schema_for(service: str):
     return {"green": schemas.GREEN_RAW, "yellow": schemas.YELLOW_RAW}[service.lower()]
 
@@ -109,6 +144,7 @@ def load_month(spark: SparkSession, service: str, year: int, month: int, src: st
     Returns the number of inserted rows (0 on a rerun)."""
     raw = read_csv(spark, src, _schema_for(service))
     stamped = stamp(raw, row_key_fields(service, width), file_name(service, year, month))
+    stamped = with_pickup_month(stamped, _pickup_col(service))
     return append_new(spark, stage_rows(stamped, target_path), target_path)
 
 
@@ -121,7 +157,8 @@ def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
     then one anti join against the target and one append.
     """
     raw = read_csv(spark, paths, _schema_for(service))
-    staged = stage_rows(stamp(raw, row_key_fields(service, width)), target_path)
+    stamped = with_pickup_month(stamp(raw, row_key_fields(service, width)), _pickup_col(service))
+    staged = stage_rows(stamped, target_path)
     return append_new(spark, earliest_file_rows(staged), target_path)
 
 

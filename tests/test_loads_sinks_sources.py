@@ -196,3 +196,17 @@ def test_count_star_reads_no_columns(spark):
     from farebox.operators.aggregates import row_count
     plan = plan_text(row_count(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")))
     assert "ReadSchema: struct<>" in plan
+
+
+def test_merge_reads_only_touched_months(spark, tmp):
+    _yellow_month_files(tmp)
+    target = f"{tmp}/t"
+    L.load_months(spark, "yellow", f"{tmp}/landing/*.csv", target)
+    months = sorted(n for n in os.listdir(target) if n.startswith("pickup_month="))
+    assert months == ["pickup_month=2021-01", "pickup_month=2021-02"]
+    src = spark.read.parquet(target + "_staging") \
+        .filter(F.col("filename") == "yellow_tripdata_2021-02.csv")
+    m = L.merge_insert(spark.read.parquet(target), src, part_col="pickup_month")
+    plan = plan_text(m)
+    assert "dynamicpruningexpression(pickup_month" in plan
+    assert m.count() == 0  # both February rows' keys are already loaded
