@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-# Size checks already made in this process: (plan hash, bound) -> fits.
+# Size checks already made in this process: (plan, input files, bound) -> fits.
 _CHECKED: dict[tuple[int, int], bool] = {}
 
 
@@ -24,7 +24,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     and is remembered per logical plan, so a lookup used by many queries is
     counted once.  Past the bound the join is left to the planner.
     """
-    key = (df.semanticHash(), max_rows)
+    # The plan hash alone would not notice new data under the same path (a
+    # staging table rewritten by every load), so the input files are part of
+    # the key: new files, new check.
+    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     fits = _CHECKED.get(key)
     if fits is None:
         fits = df.limit(max_rows + 1).count() <= max_rows
