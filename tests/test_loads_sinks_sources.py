@@ -210,3 +210,15 @@ def test_merge_reads_only_touched_months(spark, tmp):
     plan = plan_text(m)
     assert "dynamicpruningexpression(pickup_month" in plan
     assert m.count() == 0  # both February rows' keys are already loaded
+
+
+def test_cli_ingest_to_embedded_derby(spark, tmp):
+    from farebox.__main__ import main
+    spark.range(50).selectExpr("id", "cast(id * 1.5 as double) AS fare").write.parquet(f"{tmp}/p")
+    url = f"jdbc:derby:{tmp}/derby2;create=true"
+    drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    assert main(["ingest", "--src", f"{tmp}/p", "--url", url, "--table", "TRIPS",
+                 "--driver", drv, "--batchsize", "7"]) == 0
+    assert main(["ingest", "--src", f"{tmp}/p", "--url", url, "--table", "TRIPS",
+                 "--driver", drv, "--mode", "append"]) == 0
+    assert JD.read_jdbc(spark, url, "TRIPS", props={"driver": drv}).count() == 100

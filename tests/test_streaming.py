@@ -143,3 +143,22 @@ def test_stream_sinks_to_embedded_derby(spark, tmp):
     S.run_available(S.decode_green_trips(stream), app, f"{tmp}/c2")
     back = spark.read.format("jdbc").options(url=url, dbtable="EVENTS_OUT", driver=drv).load()
     assert back.count() == 4
+
+
+def test_session_late_row_is_dropped(spark, tmp):
+    topic = f"{tmp}/topic"
+    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
+                        green_msg(1, 2, "2019-10-01 10:02:00"),
+                        green_msg(9, 9, "2019-10-01 12:00:00")], topic, "a.json")
+    sink = S.AppendSink(f"{tmp}/s")
+    sessions(spark, topic, sink, f"{tmp}/c")
+    before = sorted(tuple(r)[:3] + (r.longest_streak,) for r in sink.read(spark).collect())
+    # 10:03 belongs to the closed session [10:00, 10:07): the watermark
+    # (11:59:55) has passed it, so it is dropped, not merged or re-emitted.
+    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:03:00"),
+                        green_msg(9, 9, "2019-10-01 13:00:00")], topic, "b.json")
+    sessions(spark, topic, sink, f"{tmp}/c")
+    after = sorted(tuple(r)[:3] + (r.longest_streak,) for r in sink.read(spark).collect())
+    assert [x for x in before if x[0] == 1] == [x for x in after if x[0] == 1]
+    assert [x[-1] for x in after if x[0] == 1] == [2]
+    assert sorted(x[-1] for x in after if x[0] == 9) == [1]  # 12:00 closed, 13:00 still open
