@@ -15,15 +15,25 @@ def _order_cols(cols) -> list[Column]:
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order_by: Sequence | None = None) -> DataFrame:
-    """Keep one row per key (``row_number() = 1``).
+    """Keep one row per key, the first under a total order.
 
     The reference leaves the pick unordered; here the order is total (the
-    given columns, then every other column ascending, NULLs first), so the
-    result is deterministic.  Spark plans ``row_number() = 1`` with a partial
-    WindowGroupLimit before the shuffle, so a hot key is cut to one row per
-    map task before it is exchanged.
+    given columns, then every other column, ascending, NULLs first), so the
+    result is deterministic.
+
+    With ascending column names (the default) this is ``min(struct(...))``
+    per key: a partial aggregate that sorts on the key only and cuts a hot key
+    to one row per map task before the shuffle.  An order with Column
+    expressions (e.g. descending) uses ``row_number() = 1``, which Spark also
+    pre-limits per task (partial WindowGroupLimit).
     """
     order = list(order_by or [])
+    if all(isinstance(c, str) for c in order):
+        rest = [c for c in df.columns if c not in keys and c not in order]
+        first = (df.groupBy(*keys)
+                 .agg(F.min(F.struct(*order, *rest)).alias("__first")))
+        return first.select(*[F.col(c) if c in keys else F.col(f"__first.{c}")
+                              for c in df.columns])
     named = {c for c in order if isinstance(c, str)}
     rest = [c for c in df.columns if c not in keys and c not in named]
     w = Window.partitionBy(*keys).orderBy(*_order_cols(order + rest))

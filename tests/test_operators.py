@@ -30,9 +30,10 @@ def test_dedupe_total_order_nulls_first(spark):
     assert got == [(1, "a", 5.0), (2, "a", 3.0)]
 
 
-def test_dedupe_plans_partial_group_limit(spark):
+def test_dedupe_is_partial_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    assert "WindowGroupLimit" in plan_text(W.dedupe(df, ["k"]))
+    assert "partial_min" in plan_text(W.dedupe(df, ["k"]))
+    assert "WindowGroupLimit" in plan_text(W.dedupe(df, ["k"], [F.col("v").desc()]))
 
 
 def test_lag_rows_shifts_on_missing_quarter(spark):
