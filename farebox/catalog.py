@@ -383,7 +383,7 @@ STOP_PAGE = 3
 
 def rides(spark, d) -> DataFrame:
     """API rides derived from trips: page = 1 + orderkey div 1000."""
-    t = fx._trip_rows(spark, d)
+    t = fx.trip_rows(spark, d)
     pickup = F.timestamp_add("SECOND", F.col("l_orderkey") % 86400, F.col("o_orderdate"))
     return t.select(
         (F.lit(1) + F.floor(F.col("l_orderkey") / PAGE_SIZE_ORDERS)).cast("bigint")

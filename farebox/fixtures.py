@@ -64,7 +64,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise("Yellow Zone").alias("service_zone")))
 
 
-def _trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem rows with the order, customer and supplier fields they need.
 
     Orders is joined with customer first (both smaller than lineitem), so the
@@ -87,7 +87,7 @@ def trips(spark: SparkSession, sf_dir: str, dropoff: str = "quantity") -> DataFr
     ``dropoff='shipdate'`` gives the variant whose dropoff is ``l_shipdate``
     (about half the trips end before they start; such rows are kept).
     """
-    t = _trip_rows(spark, sf_dir)
+    t = trip_rows(spark, sf_dir)
     pickup = F.timestamp_add("SECOND", F.col("l_orderkey") % 86400, F.col("o_orderdate"))
     if dropoff == "shipdate":
         drop = F.col("l_shipdate")
