@@ -222,3 +222,15 @@ def test_cli_ingest_to_embedded_derby(spark, tmp):
     assert main(["ingest", "--src", f"{tmp}/p", "--url", url, "--table", "TRIPS",
                  "--driver", drv, "--mode", "append"]) == 0
     assert JD.read_jdbc(spark, url, "TRIPS", props={"driver": drv}).count() == 100
+
+
+def test_external_catalog_table_and_partitioned_target(spark, tmp):
+    spark.range(6).selectExpr("id", "cast(id % 2 as string) AS part").write.parquet(f"{tmp}/ext")
+    t = S.external_table(spark, "ext_catalog", f"{tmp}/ext", persistent=True)
+    assert t.count() == 6 and spark.table("ext_catalog").count() == 6
+    K.ensure_table(spark, "green_target", schemas.GREEN_RAW, partition_by=["VendorID"],
+                   path=f"{tmp}/green_target")
+    K.ensure_table(spark, "green_target", schemas.GREEN_RAW, partition_by=["VendorID"],
+                   path=f"{tmp}/green_target")
+    cols = spark.table("green_target").columns
+    assert cols[-1] == "VendorID" and len(cols) == len(schemas.GREEN_RAW)
