@@ -163,8 +163,8 @@ def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
 
 
 def write_monthly_files(trips: DataFrame, root: str, service: str) -> str:
-    """Split raw trips into one CSV per monthly file name, as the months land
-    from the data provider (test helper for K8/K9).  Returns a glob."""
+    """Split raw trips into one gzip CSV per monthly file name, as the months
+    land from the data provider (test helper for K8/K9).  Returns a glob."""
     (trips.repartition("filename").write.mode("overwrite").option("header", True)
-     .partitionBy("filename").csv(root))
-    return f"{root.rstrip('/')}/filename={service.lower()}_tripdata_*/*.csv"
+     .option("compression", "gzip").partitionBy("filename").csv(root))
+    return f"{root.rstrip('/')}/filename={service.lower()}_tripdata_*/*.csv*"

@@ -125,10 +125,13 @@ def passthrough_trips(df: DataFrame, cols: Sequence[str] = GREEN_TRIP_COLUMNS) -
 
 # ------------------------------------------------------------------ sinks
 
-def publish_json(df: DataFrame, target: dict, key: str | None = None) -> None:
+def publish_json(df: DataFrame, target: dict, key: str | None = None,
+                 compression: str = "gzip") -> None:
     """Every row as one JSON message (``to_json(struct(*))``).
 
-    ``target`` is ``{"kafka": {...}, "topic": name}`` or ``{"path": folder}``.
+    ``target`` is ``{"kafka": {...}, "topic": name}`` or ``{"path": folder}``;
+    message files are written compressed (``compression``), which the text
+    and stream readers decode by extension.
     """
     cols = [c for c in df.columns]
     msg = df.select(*([F.col(key).cast("string").alias("key")] if key else []),
@@ -137,7 +140,8 @@ def publish_json(df: DataFrame, target: dict, key: str | None = None) -> None:
         (msg.write.format("kafka").options(**target["kafka"])
          .option("topic", target["topic"]).save())
     else:
-        msg.select("value").write.mode("append").text(target["path"])
+        (msg.select("value").write.mode("append").option("compression", compression)
+         .text(target["path"]))
 
 
 def _ntz(df: DataFrame) -> DataFrame:
