@@ -254,18 +254,31 @@ def q_filename_like(spark, d):
 
 # ----------------------------------------------------------------- quality
 
+# The accepted payment type codes of the staging tests.
+PAYMENT_TYPE_VALUES = [1, 2, 3, 4, 5, 6]
+
+
 def q_quality_report(spark, d):
+    """D1-D5 + J5: the declared tests of the staging models and the revenue
+    mart, with their severities, as one report."""
     t = fx.trips(spark, d)
-    stg = M.stg_green(fx.raw_service(t, "Green"))
     zones = fx.zones(spark, d)
-    checks = [
-        Q.check_unique(stg, "tripid", "warn"),
-        Q.check_not_null(stg, "tripid"),
-        Q.check_relationship(stg, "pickup_locationid", zones, "locationid"),
-        Q.check_relationship(stg, "dropoff_locationid", zones, "locationid"),
-        Q.check_accepted(stg, "payment_type", [1, 2, 3, 4, 5, 6], "warn"),
-        Q.check_not_null(fx.fhv(spark, d), "dispatching_base_num", "warn"),
-    ]
+    green = M.stg_green(fx.raw_service(t, "Green"))
+    yellow = M.stg_yellow(fx.raw_service(t, "Yellow"))
+    checks = []
+    for model, stg, dropoff_severity in (("stg_green_tripdata", green, "error"),
+                                         ("stg_yellow_tripdata", yellow, "warn")):
+        checks += [
+            Q.check_unique(stg, "tripid", "warn", model),
+            Q.check_not_null(stg, "tripid", "warn", model),
+            Q.check_relationship(stg, "pickup_locationid", zones, "locationid", "warn", model),
+            Q.check_relationship(stg, "dropoff_locationid", zones, "locationid",
+                                 dropoff_severity, model),
+            Q.check_accepted(stg, "payment_type", PAYMENT_TYPE_VALUES, "warn", model),
+        ]
+    mart = M.dm_monthly_zone_revenue(M.fact_trips(green, yellow, zones))
+    checks.append(Q.check_not_null(mart, "revenue_monthly_total_amount", "error",
+                                   "dm_monthly_zone_revenue"))
     return Q.run_checks(checks)
 
 

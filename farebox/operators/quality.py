@@ -24,28 +24,33 @@ class Check:
     severity: str = "error"
 
 
-def check_unique(df: DataFrame, col: str, severity: str = "error") -> Check:
+def _name(model: str, test: str) -> str:
+    return f"{model}.{test}" if model else test
+
+
+def check_unique(df: DataFrame, col: str, severity: str = "error", model: str = "") -> Check:
     """Values of ``col`` that occur more than once (one failing row per value)."""
     dup = (df.filter(F.col(col).isNotNull()).groupBy(col)
            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-    return Check(f"unique_{col}", dup, severity)
+    return Check(_name(model, f"unique_{col}"), dup, severity)
 
 
-def check_not_null(df: DataFrame, col: str, severity: str = "error") -> Check:
+def check_not_null(df: DataFrame, col: str, severity: str = "error", model: str = "") -> Check:
     """D2."""
-    return Check(f"not_null_{col}", df.filter(F.col(col).isNull()), severity)
+    return Check(_name(model, f"not_null_{col}"), df.filter(F.col(col).isNull()), severity)
 
 
 def check_relationship(df: DataFrame, col: str, dim: DataFrame, key: str,
-                       severity: str = "error") -> Check:
+                       severity: str = "error", model: str = "") -> Check:
     """D3: non-null ``col`` values without a match in ``dim[key]`` (anti join)."""
-    return Check(f"relationships_{col}", orphans(df, col, dim, key), severity)
+    return Check(_name(model, f"relationships_{col}"), orphans(df, col, dim, key), severity)
 
 
-def check_accepted(df: DataFrame, col: str, values: Iterable, severity: str = "error") -> Check:
+def check_accepted(df: DataFrame, col: str, values: Iterable, severity: str = "error",
+                   model: str = "") -> Check:
     """Non-null values outside the accepted list."""
     vals = list(values)
-    return Check(f"accepted_values_{col}",
+    return Check(_name(model, f"accepted_values_{col}"),
                  df.filter(F.col(col).isNotNull() & ~F.col(col).isin(vals)), severity)
 
 

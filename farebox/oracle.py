@@ -179,6 +179,38 @@ def _row_key_sql(width: int) -> str:
     return _with(["yellow"]) + f"SELECT md5({text}) AS unique_row_id, filename FROM yellow"
 
 
+def _checks_sql(model: str, table: str, dropoff_severity: str) -> list[str]:
+    def row(test, severity, where):
+        return (f"SELECT '{model}.{test}' AS \"check\", CAST(count(*) AS BIGINT) AS failures, "
+                f"'{severity}' AS severity, CASE WHEN count(*) = 0 THEN 'pass' "
+                f"ELSE '{severity}' END AS status FROM {where}")
+    zone_ids = "(SELECT locationid FROM zones WHERE locationid IS NOT NULL)"
+    return [
+        row("unique_tripid", "warn", f"(SELECT tripid FROM {table} WHERE tripid IS NOT NULL "
+                                     "GROUP BY 1 HAVING count(*) > 1)"),
+        row("not_null_tripid", "warn", f"{table} WHERE tripid IS NULL"),
+        row("relationships_pickup_locationid", "warn",
+            f"{table} WHERE pickup_locationid IS NOT NULL AND pickup_locationid NOT IN {zone_ids}"),
+        row("relationships_dropoff_locationid", dropoff_severity,
+            f"{table} WHERE dropoff_locationid IS NOT NULL AND dropoff_locationid NOT IN {zone_ids}"),
+        row("accepted_values_payment_type", "warn",
+            f"{table} WHERE payment_type IS NOT NULL AND payment_type NOT IN "
+            f"({', '.join(str(v) for v in C.PAYMENT_TYPE_VALUES)})"),
+    ]
+
+
+def _quality_sql() -> str:
+    rows = (_checks_sql("stg_green_tripdata", "stg_green", "error")
+            + _checks_sql("stg_yellow_tripdata", "stg_yellow", "warn"))
+    mart = ("SELECT 'dm_monthly_zone_revenue.not_null_revenue_monthly_total_amount' AS \"check\", "
+            "CAST(count(*) AS BIGINT) AS failures, 'error' AS severity, "
+            "CASE WHEN count(*) = 0 THEN 'pass' ELSE 'error' END AS status FROM ("
+            "SELECT sum(total_amount) AS revenue_monthly_total_amount FROM fact_trips "
+            "GROUP BY pickup_zone, date_trunc('month', pickup_datetime), service_type) "
+            "WHERE revenue_monthly_total_amount IS NULL")
+    return _with(["zones", "green", "yellow"], _FACT) + "\nUNION ALL\n".join(rows + [mart])
+
+
 ORACLE = {
     "stg_green": _with(["green"], _STG_G) + f"SELECT {_TRIP_SELECT} FROM stg_green",
     "stg_yellow": _with(["yellow"], _STG_Y) + f"SELECT {_TRIP_SELECT} FROM stg_yellow",
@@ -292,31 +324,7 @@ ORDER BY p.trips_count ASC, p.PULocationID ASC LIMIT 1""",
     "row_key_5": _row_key_sql(5),
     "filename_like": _with(["trips"]) + f"""SELECT CAST(count(*) AS BIGINT) AS row_count
   FROM trips WHERE filename LIKE '{C.LIKE_PATTERN}'""",
-    "quality_report": _with(["zones", "green", "fhv"], _STG_G) + """
-SELECT 'unique_tripid' AS "check", CAST(count(*) AS BIGINT) AS failures, 'warn' AS severity,
-       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END AS status
-FROM (SELECT tripid FROM stg_green WHERE tripid IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
-UNION ALL
-SELECT 'not_null_tripid', count(*), 'error', CASE WHEN count(*) = 0 THEN 'pass' ELSE 'error' END
-FROM stg_green WHERE tripid IS NULL
-UNION ALL
-SELECT 'relationships_pickup_locationid', count(*), 'error',
-       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'error' END
-FROM stg_green WHERE pickup_locationid IS NOT NULL
-  AND pickup_locationid NOT IN (SELECT locationid FROM zones WHERE locationid IS NOT NULL)
-UNION ALL
-SELECT 'relationships_dropoff_locationid', count(*), 'error',
-       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'error' END
-FROM stg_green WHERE dropoff_locationid IS NOT NULL
-  AND dropoff_locationid NOT IN (SELECT locationid FROM zones WHERE locationid IS NOT NULL)
-UNION ALL
-SELECT 'accepted_values_payment_type', count(*), 'warn',
-       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END
-FROM stg_green WHERE payment_type IS NOT NULL AND payment_type NOT IN (1, 2, 3, 4, 5, 6)
-UNION ALL
-SELECT 'not_null_dispatching_base_num', count(*), 'warn',
-       CASE WHEN count(*) = 0 THEN 'pass' ELSE 'warn' END
-FROM fhv WHERE dispatching_base_num IS NULL""",
+    "quality_report": _quality_sql(),
     "reconcile_counts": _with(["trips"]) + """SELECT s.source_rows, l.loaded_rows,
   CASE WHEN s.source_rows = l.loaded_rows THEN 'match' ELSE 'mismatch' END AS status
 FROM (SELECT CAST(count(*) AS BIGINT) AS source_rows FROM lineitem) s,
