@@ -162,3 +162,19 @@ def test_session_late_row_is_dropped(spark, tmp):
     assert [x for x in before if x[0] == 1] == [x for x in after if x[0] == 1]
     assert [x[-1] for x in after if x[0] == 1] == [2]
     assert sorted(x[-1] for x in after if x[0] == 9) == [1]  # 12:00 closed, 13:00 still open
+
+
+def test_processing_time_trigger(spark, tmp):
+    topic = f"{tmp}/topic"
+    S.write_json_lines([{"test_data": i, "event_timestamp": ms(i)} for i in range(5)], topic)
+    stream = S.read_json_stream(spark, {"path": topic}, schemas.TEST_EVENT)
+    sink = S.AppendSink(f"{tmp}/out")
+    q = S.start(S.passthrough_events(stream), sink, f"{tmp}/ckpt",
+                trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        S.write_json_lines([{"test_data": 9, "event_timestamp": ms(9)}], topic, "more.json")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.test_data for r in sink.read(spark).collect()) == [0, 1, 2, 3, 4, 9]
