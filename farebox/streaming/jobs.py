@@ -14,7 +14,7 @@ import os
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -185,17 +185,54 @@ class UpsertSink:
     ``_versions``.  A replayed batch rewrites the same version.  The rewrite
     is a shuffle on the key; it suits sinks whose key space is bounded (zone
     pairs), not ever-growing keys, which belong in an AppendSink.
+
+    ``buckets=N`` is the layout for large key spaces: the table lives in N
+    hash buckets of the key (``_bucket=<b>`` folders), each batch reads and
+    rewrites only the buckets its keys fall in (a broadcast bucket list prunes
+    the read; dynamic partition overwrite replaces just those folders).  The
+    merged rows are checkpointed first, so the job never reads what it
+    replaces, and a replayed batch merges into its own result again, which
+    changes nothing.
     """
 
     def __init__(self, path: str | None, keys: Sequence[str], keep: str = "last",
                  order_col: str | None = None, value_col: str | None = None,
-                 jdbc: dict | None = None):
+                 jdbc: dict | None = None, buckets: int | None = None):
         if keep not in ("last", "max"):
             raise ValueError("keep is 'last' or 'max'")
         if path is None and jdbc is None:
             raise ValueError("give a folder or jdbc options")
+        if buckets and jdbc is not None:
+            raise ValueError("buckets apply to a folder table")
         self.path, self.keys, self.keep = (path or "").rstrip("/"), list(keys), keep
         self.order_col, self.value_col, self.jdbc = order_col, value_col, jdbc
+        self.buckets = buckets
+
+    def _best(self, rows: DataFrame) -> DataFrame:
+        """One row per key among ``rows`` (which carry ``__prio``: 1 = batch)."""
+        if self.keep == "max":
+            rank = [F.col(self.value_col).desc_nulls_last(), F.col("__prio").desc()]
+        else:
+            rank = [F.col("__prio").desc()]
+            if self.order_col:
+                rank.append(F.col(self.order_col).desc_nulls_last())
+        w = Window.partitionBy(*self.keys).orderBy(*rank)
+        return (rows.withColumn("__rn", F.row_number().over(w))
+                .filter(F.col("__rn") == 1).drop("__rn", "__prio"))
+
+    def _merge_buckets(self, batch: DataFrame) -> None:
+        from farebox.operators.joins import bounded_broadcast
+        from farebox.session import cut_lineage
+        spark = batch.sparkSession
+        new = _ntz(batch).withColumn("_bucket", self._bucket()).withColumn("__prio", F.lit(1))
+        current = self._read_bucketed(spark)
+        if current is not None:
+            touched = bounded_broadcast(new.select("_bucket").distinct(), self.buckets)
+            old = current.join(touched, "_bucket", "left_semi").withColumn("__prio", F.lit(0))
+            new = new.unionByName(old)
+        merged = cut_lineage(self._best(new))
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_bucket").parquet(f"{self.path}/table"))
 
     def _log(self) -> str:
         return f"{self.path}/_versions"
@@ -207,7 +244,19 @@ class UpsertSink:
             return None
         return None if v is None else v[0]
 
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
+
+    def _read_bucketed(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.parquet(f"{self.path}/table")
+        except AnalysisException:
+            return None
+
     def read(self, spark: SparkSession) -> DataFrame | None:
+        if self.buckets:
+            t = self._read_bucketed(spark)
+            return None if t is None else t.drop("_bucket")
         if self.jdbc is not None:
             try:
                 df = spark.read.format("jdbc").options(**self.jdbc).load()
@@ -220,21 +269,15 @@ class UpsertSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if self.buckets:
+            return self._merge_buckets(batch)
         current = self.read(spark)
         new = _ntz(batch).withColumn("__prio", F.lit(1))
         if current is not None:
             new = new.unionByName(current.withColumn("__prio", F.lit(0)))
-        if self.keep == "max":
-            rank = [F.col(self.value_col).desc_nulls_last(), F.col("__prio").desc()]
-        else:
-            rank = [F.col("__prio").desc()]
-            if self.order_col:
-                rank.append(F.col(self.order_col).desc_nulls_last())
         # row_number() = 1 per key; planned with a partial group limit before
         # the shuffle, so a key repeated many times in a batch stays cheap.
-        w = Window.partitionBy(*self.keys).orderBy(*rank)
-        best = (new.withColumn("__rn", F.row_number().over(w))
-                .filter(F.col("__rn") == 1).drop("__rn", "__prio"))
+        best = self._best(new)
         if self.jdbc is not None:
             # The merged table is checkpointed to the shared folder first, so the
             # overwrite (truncate + insert) does not read the table it replaces.

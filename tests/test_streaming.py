@@ -178,3 +178,20 @@ def test_processing_time_trigger(spark, tmp):
     finally:
         q.stop()
     assert sorted(r.test_data for r in sink.read(spark).collect()) == [0, 1, 2, 3, 4, 9]
+
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp):
+    sink = S.UpsertSink(f"{tmp}/u", ["k"], keep="last", buckets=8)
+    b0 = spark.createDataFrame([(k, 0) for k in range(40)], "k int, v int")
+    sink(b0, 0)
+    folders = lambda: sorted(n for n in os.listdir(f"{tmp}/u/table") if n.startswith("_bucket="))
+    stamp = {n: sorted(os.listdir(f"{tmp}/u/table/{n}")) for n in folders()}
+    b1 = spark.createDataFrame([(3, 1), (41, 1)], "k int, v int")
+    sink(b1, 1)
+    sink(b1, 1)  # replay
+    got = {r.k: r.v for r in sink.read(spark).collect()}
+    assert len(got) == 41 and got[3] == 1 and got[41] == 1 and got[4] == 0
+    after = {n: sorted(os.listdir(f"{tmp}/u/table/{n}")) for n in folders()}
+    changed = [n for n in after if after[n] != stamp.get(n)]
+    assert 1 <= len(changed) <= 2  # only the buckets of keys 3 and 41
