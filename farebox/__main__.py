@@ -86,7 +86,8 @@ def cmd_stream(spark, a):
 
 
 def main(argv=None):
-    ap = argparse.ArgumentParser(prog="farebox")
+    ap = argparse.ArgumentParser(prog="farebox", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
 
