@@ -234,3 +234,13 @@ def test_external_catalog_table_and_partitioned_target(spark, tmp):
                    path=f"{tmp}/green_target")
     cols = spark.table("green_target").columns
     assert cols[-1] == "VendorID" and len(cols) == len(schemas.GREEN_RAW)
+
+
+def test_day_filters_push_timestamp_ranges_to_scan(spark):
+    from farebox.operators import filters as FL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    for df in (FL.on_day(li, "l_shipdate", "1996-03-15"),
+               FL.in_period(li, "l_shipdate", "1996-01-01", "1996-02-01"),
+               FL.between_days(li, "l_shipdate", "1996-01-01", "1996-01-15")):
+        plan = plan_text(df.select("l_orderkey"))
+        assert "GreaterThanOrEqual(l_shipdate," in plan and "LessThan(l_shipdate," in plan
