@@ -163,8 +163,12 @@ def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
 
 
 def write_monthly_files(trips: DataFrame, root: str, service: str) -> str:
-    """Split raw trips into one gzip CSV per monthly file name, as the months
-    land from the data provider (test helper for K8/K9).  Returns a glob."""
-    (trips.repartition("filename").write.mode("overwrite").option("header", True)
+    """Split raw trips into gzip CSVs per monthly file name, as the months land
+    from the data provider (test helper for K8/K9).  Returns a glob.
+
+    The ``rebalance`` hint lets AQE write about one file per month while
+    splitting a month that is much larger than the rest over several tasks.
+    """
+    (trips.hint("rebalance", "filename").write.mode("overwrite").option("header", True)
      .option("compression", "gzip").partitionBy("filename").csv(root))
     return f"{root.rstrip('/')}/filename={service.lower()}_tripdata_*/*.csv*"
