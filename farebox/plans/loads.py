@@ -113,10 +113,13 @@ def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
     if target is not None:
         before = target.count()
         rows = merge_insert(target, rows, key, part_col=part)
-    w = rows.write.mode("append")
     if part:
-        w = w.partitionBy(part)
-    w.parquet(target_path)
+        # Group the rows by month before the partitioned write (AQE splits a
+        # big month into advisory-size files, stragglers share one file each)
+        # instead of every task writing a small file for every month.
+        rows.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(target_path)
+    else:
+        rows.write.mode("append").parquet(target_path)
     return spark.read.parquet(target_path).count() - before
 
 
