@@ -169,7 +169,9 @@ class AppendSink:
         if self.jdbc is not None:
             out.write.format("jdbc").options(**self.jdbc).mode("append").save()
             return
-        out.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        # Rebalance: a stateful stream emits one partition per state partition;
+        # AQE merges them into a few advisory-size files per batch.
+        out.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop("batch_id")
@@ -231,7 +233,8 @@ class UpsertSink:
             old = current.join(touched, "_bucket", "left_semi").withColumn("__prio", F.lit(0))
             new = new.unionByName(old)
         merged = cut_lineage(self._best(new))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (merged.hint("rebalance", "_bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy("_bucket").parquet(f"{self.path}/table"))
 
     def _log(self) -> str:
@@ -286,7 +289,7 @@ class UpsertSink:
             (merged.write.format("jdbc").options(**self.jdbc).option("truncate", "true")
              .mode("overwrite").save())
             return
-        best.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        best.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
         spark.createDataFrame([(str(batch_id),)], "value string") \
             .write.mode("append").text(self._log())
 
