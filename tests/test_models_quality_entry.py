@@ -149,3 +149,13 @@ def test_cli_build_all_and_backfill(spark, tmp):
     assert main(["backfill", "--service", "yellow", "--src", glob_, "--target",
                  f"{tmp}/yt"]) == 0
     assert spark.read.parquet(f"{tmp}/yt").count() > 0
+
+
+def test_fixture_views_load_at_every_scale(spark):
+    for sf in ("0.001", "0.01", "0.1"):
+        d = f"/root/testdata/sf{sf}"
+        n_li = fx.table(spark, d, "lineitem").count()
+        assert fx.trips(spark, d).count() == n_li  # every lineitem becomes one trip
+        assert fx.zones(spark, d).count() == fx.table(spark, d, "nation").count()
+        assert fx.fhv(spark, d).count() == n_li
+        assert fx.green(spark, d).count() + fx.yellow(spark, d).count() == n_li
