@@ -76,22 +76,27 @@ def _fact(spark, d) -> DataFrame:
 
 
 def q_stg_green(spark, d):
+    """M1 (W1 P3-P7 X14 X20): staged green trips."""
     return _norm_trip_cols(M.stg_green(fx.green(spark, d)))
 
 
 def q_stg_yellow(spark, d):
+    """M2: staged yellow trips."""
     return _norm_trip_cols(M.stg_yellow(fx.yellow(spark, d)))
 
 
 def q_stg_fhv(spark, d):
+    """M3 (F1 P4 P5 X20): staged for-hire trips."""
     return _norm_trip_cols(M.stg_fhv(fx.fhv(spark, d)))
 
 
 def q_dim_zones(spark, d):
+    """M4 (P11 X12): zone dimension."""
     return M.dim_zones(fx.zones(spark, d)).withColumn("locationid", big("locationid"))
 
 
 def q_fact_trips(spark, d):
+    """M5 (U1 P6 J3 F8): fact table of green and yellow trips."""
     return _norm_trip_cols(_fact(spark, d))
 
 
@@ -100,11 +105,13 @@ def _dim_fhv(spark, d):
 
 
 def q_dim_fhv_trips(spark, d):
+    """M6 (P10 J3 F8): for-hire trips with zones."""
     return _norm_trip_cols(_dim_fhv(spark, d)).withColumns(
         {"pickup_year": big("pickup_year"), "pickup_month": big("pickup_month")})
 
 
 def q_monthly_zone_revenue(spark, d):
+    """M7 (A8 A14 X3): monthly revenue per zone and service."""
     r = M.dm_monthly_zone_revenue(_fact(spark, d))
     return r.select(
         "revenue_zone", "revenue_month", "service_type",
@@ -119,6 +126,7 @@ def _quarterly(spark, d):
 
 
 def q_quarterly_revenue_yoy(spark, d):
+    """M8 (A9 W3 X18 X19): quarterly revenue, row-based YoY."""
     q = _quarterly(spark, d)
     return q.select("service_type", big("year").alias("year"), big("quarter").alias("quarter"),
                     money("total_amount").alias("total_amount"),
@@ -127,6 +135,7 @@ def q_quarterly_revenue_yoy(spark, d):
 
 
 def q_best_worst_quarter(spark, d):
+    """Quarter of max and min growth per service in one year."""
     r = A.best_worst_quarter(_quarterly(spark, d), BEST_YEAR)
     return r.select("service_type", big("year").alias("year"),
                     big("max_growth_quarter").alias("max_growth_quarter"),
@@ -134,6 +143,7 @@ def q_best_worst_quarter(spark, d):
 
 
 def q_monthly_fare_percentiles(spark, d):
+    """M9 (A16 F5 F6 X2): fare p97/p95/p90 per month."""
     r = M.fct_monthly_fare_percentiles(_fact(spark, d))
     return r.select("service_type", big("pickup_year").alias("pickup_year"),
                     big("pickup_month").alias("pickup_month"),
@@ -145,6 +155,7 @@ def _p90(spark, d):
 
 
 def q_fhv_traveltime_p90(spark, d):
+    """M10 (W4 X5): p90 trip duration on every FHV trip."""
     r = _p90(spark, d)
     return r.select("tripid", "pickup_datetime", "dropoff_datetime",
                     big("pickup_year").alias("pickup_year"),
@@ -155,6 +166,7 @@ def q_fhv_traveltime_p90(spark, d):
 
 
 def q_second_longest_dropoff(spark, d):
+    """M11 (W2 F10 A13): dropoff zone with the 2nd largest p90."""
     r = M.second_longest_dropoff(_p90(spark, d), None, None, None, n=2)
     return r.select(big("pickup_year").alias("pickup_year"),
                     big("pickup_month").alias("pickup_month"), "pickup_zone",
@@ -164,46 +176,56 @@ def q_second_longest_dropoff(spark, d):
 # ----------------------------------------------------------------- homework queries
 
 def q_trips_by_distance(spark, d):
+    """A3 (P8 F3): trips per distance bucket in a period."""
     t = FL.in_period(fx.trips(spark, d), "pickup_datetime", *PERIOD, end_ts="dropoff_datetime")
     return A.trips_by_distance(t).withColumn("trips", big("trips"))
 
 
 def q_longest_trip_by_day(spark, d):
+    """A6 + O2: pickup day with the longest trip."""
     r = A.longest_trip_by_day(fx.trips(spark, d))
     return top_n(r, ["max_trip_distance"], 1, tie=["pickup_day"])
 
 
 def q_top_revenue_zones(spark, d):
+    """A7 (J1 F2 F5): zones above a revenue threshold on one day."""
     r = A.top_revenue_zones(fx.trips(spark, d), fx.zones(spark, d), DAY, DAY_MIN_AMOUNT)
     return r.withColumn("total_amount", money("total_amount"))
 
 
 def q_largest_tip_dropoff(spark, d):
+    """M12 (J2 F3 O2): dropoff zone of the largest tip."""
     return M.largest_tip_dropoff(fx.trips(spark, d), fx.zones(spark, d), TIP_ZONE, *TIP_PERIOD)
 
 
 def q_least_frequent_zone(spark, d):
+    """A15 + O1: least frequent pickup zone."""
     r = A.least_frequent_zone(fx.trips(spark, d), fx.zones(spark, d))
     return r.select("PULocationID", big("trips_count").alias("trips_count"), "Zone")
 
 
 def q_count_one_day(spark, d):
+    """A1 + F2: trips on one day."""
     return A.row_count(FL.on_day(fx.trips(spark, d), "pickup_datetime", DAY))
 
 
 def q_zero_fare_count(spark, d):
+    """A2 + F5: trips with a zero fare."""
     return A.count_where(fx.trips(spark, d), F.col("fare_amount") == 0)
 
 
 def q_row_count(spark, d):
+    """A1: row count (footer-only scan)."""
     return A.row_count(fx.table(spark, d, "lineitem"))
 
 
 def q_distinct_pickups(spark, d):
+    """A4: distinct pickup zones."""
     return A.distinct_count(fx.trips(spark, d), "PULocationID", "distinct_pickups")
 
 
 def q_distinct_vendors_range(spark, d):
+    """A4 + F4: distinct vendors in an inclusive day range."""
     t = FL.between_days(fx.trips(spark, d), "pickup_datetime", *RANGE_DAYS)
     return A.distinct_count(t, "VendorID", "distinct_vendors")
 
@@ -213,22 +235,26 @@ PROFILE_COLS = ["pickup_datetime", "dropoff_datetime", "passenger_count", "trip_
 
 
 def q_profile_ranges(spark, d):
+    """A5 (X22): min / max profile of nine columns."""
     return A.profile(fx.trips(spark, d), PROFILE_COLS)
 
 
 def q_avg_minutes(spark, d):
+    """A10 (X4): average duration in minute boundaries."""
     r = A.avg_minutes(fx.trips(spark, d, dropoff="shipdate"), "pickup_datetime",
                       "dropoff_datetime")
     return r.withColumn("avg_minutes", ratio("avg_minutes"))
 
 
 def q_longest_hours(spark, d):
+    """A11 (X6): longest duration in whole hours."""
     r = A.longest_hours(fx.trips(spark, d, dropoff="shipdate"), "pickup_datetime",
                         "dropoff_datetime")
     return r.withColumn("longest_trip_hours", big("longest_trip_hours"))
 
 
 def q_recent_trips(spark, d):
+    """F9 (X9): trips in the last N days before a fixed today."""
     r = FL.recent_trips(fx.trips(spark, d), "pickup_datetime", days=RECENT_DAYS,
                         today=RECENT_TODAY)
     return r.groupBy("service").agg(F.count(F.lit(1)).alias("trips"))
@@ -241,14 +267,17 @@ def _row_key_query(spark, d, width):
 
 
 def q_row_key_7(spark, d):
+    """K6 (X13-X16): 7-field row key."""
     return _row_key_query(spark, d, 7)
 
 
 def q_row_key_5(spark, d):
+    """K6: 5-field row key."""
     return _row_key_query(spark, d, 5)
 
 
 def q_filename_like(spark, d):
+    """rows of files matching a LIKE pattern."""
     return A.row_count(FL.from_files(fx.trips(spark, d), LIKE_PATTERN))
 
 
@@ -283,11 +312,13 @@ def q_quality_report(spark, d):
 
 
 def q_reconcile_counts(spark, d):
+    """Source and loaded row counts."""
     t = fx.trips(spark, d)
     return Q.reconcile(fx.table(spark, d, "lineitem"), t)
 
 
 def q_customer_rollup(spark, d):
+    """K12 + A17: precomputed sum per customer."""
     o = fx.table(spark, d, "orders")
     r = A.rollup(o, ["o_custkey"], {"total_price": F.sum("o_totalprice"),
                                     "orders": F.count(F.lit(1))})
@@ -296,6 +327,7 @@ def q_customer_rollup(spark, d):
 
 
 def q_scalar_text(spark, d):
+    """Text functions and safe casts."""
     c = fx.table(spark, d, "customer")
     return c.select(
         "c_custkey",
@@ -308,6 +340,7 @@ def q_scalar_text(spark, d):
 
 
 def q_scalar_datetime(spark, d):
+    """Date parts, parsing, epoch ms, intervals."""
     o = fx.table(spark, d, "orders")
     ts = F.timestamp_add("SECOND", F.col("o_orderkey") % 86400, F.col("o_orderdate"))
     text = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
@@ -325,6 +358,7 @@ def q_scalar_datetime(spark, d):
 
 
 def q_event_subset(spark, d):
+    """P1 + P2: the listed event columns that exist."""
     from farebox.streaming.jobs import select_existing
     g = fx.green(spark, d)
     cols = ["lpep_pickup_datetime", "lpep_dropoff_datetime", "PULocationID", "DOLocationID",
