@@ -29,8 +29,11 @@ def load_pages(spark: SparkSession, landing: str,
 
 def land_pages(records: DataFrame, landing: str, page_col: str = "page_no",
                record_cols: list[str] | None = None, empty_pages: list[int] = ()) -> None:
-    """Write records as one JSON document per page (test helper).  Each page is
-    an aggregate bounded by the page size; ``empty_pages`` become empty arrays."""
+    """Write records as one JSON document per page (test helper that lands what
+    the paginated API returns).  Each page is gathered with ``collect_list``,
+    which is bounded because an API page holds at most a fixed number of
+    records (the caller's page column must respect that); ``empty_pages``
+    become empty arrays."""
     cols = record_cols or [c for c in records.columns if c != page_col]
     spark = records.sparkSession
     empty = F.array().cast(T.ArrayType(records.select(F.struct(*cols).alias("s"))
