@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farebox.llm import bpe
+from farebox.llm import bpe, secrets, simhash, toxicity
 
 #: Vocabulary files are given by path and never copied into the repository.
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,8 +32,34 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: fingerprints and the components of their links."""
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: toxicity scores, learned outside the held-out rows."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    out = toxicity.toxicity(docs, labels.filter(~toxicity.held_out()))
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: base spans by kind and all spans."""
+    out = secrets.scan(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", *[secrets.counted(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"))
+
+
+QUERIES = [op1_bpe_round_trip, op4_simhash_near_dedup, op6_toxicity, op9_secret_scan]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe_round_trip": op1_bpe_round_trip}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:

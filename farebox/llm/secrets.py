@@ -1,0 +1,183 @@
+"""Operator 9: secret scans with character Markov models, in native expressions.
+
+Three base patterns (assignments, access ids, hex runs) give spans that always
+stand.  Beside them, every run of 20 or more token characters is compared under
+two character bigram models, one of random strings and one of ordinary
+identifiers: where the log-likelihood ratio per character exceeds
+``MIN_RATIO`` and no base span overlaps, the run is a further span of kind
+``random``.
+
+Both models are trained from labelled samples.  Random strings (label 1) are
+base64, base36-like and hex renderings of hashes; identifiers (label 0) are the words of
+``SAMPLE_DOCS`` documents, those with the smallest hash of their id.  Both bounds
+are parameters.  A model has 128 x 128 transitions whatever the corpus, so the
+ratios travel as one array from a scalar subquery.  No Python runs on executors.
+
+Defined cases: a null text is empty and has no spans; equal rows give equal rows;
+an empty table gives an empty result (the models then know random strings only
+and are not used); spans are in code points, end exclusive, ordered by start and
+then by kind as listed in ``KINDS``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from farebox.llm.common import text_or_empty
+
+# Base patterns and the least length of what counts, by contract.
+ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]{24,}"
+MIN_ASSIGN, MIN_ACCESS = 6, 20
+
+#: Kinds of span, in the order in which ties of a start are listed.
+KINDS = ["assign", "access", "hex", "random"]
+
+#: Runs that the models compare.
+RUN = r"[A-Za-z0-9+/_=-]{20,}"
+
+#: Bounds of the labelled samples: random strings, and documents for identifiers.
+SAMPLE_STRINGS, SAMPLE_DOCS = 20_000, 2_000
+
+#: Least log-likelihood ratio a character (nats) of a random span.
+MIN_RATIO = 0.75
+
+_SPANS = "array<struct<start:int,end:int,match:string,value:string>>"
+
+
+def occurrences(text: Column, pattern: str, group: int = 0) -> Column:
+    """Leftmost non-overlapping matches as (start, end, match, value of a group).
+
+    A split at the pattern gives what stands between the matches, so the running
+    sum of lengths gives their places.
+    """
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
+    parts = F.arrays_zip(between.alias("gap"), whole.alias("match"), value.alias("value"))
+
+    def add(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["match"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["value"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    empty = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPANS})").alias("out"))
+    return F.aggregate(parts, empty, add, lambda acc: acc["out"])
+
+
+def _found(text: Column, kind: str, pattern: str, when: str, group: int = 0, least: int = 0) -> Column:
+    """Spans of one kind; the extraction runs only where ``when`` matches."""
+    got = F.filter(occurrences(text, pattern, group), lambda x: F.length(x["value"]) >= least)
+    rank = KINDS.index(kind)
+    got = F.transform(got, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), x["match"].alias("match")))
+    none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,match:string>>)")
+    return F.when(F.regexp_like(text, F.lit(when)), got).otherwise(none)
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    return {
+        "assign": _found(text, "assign", ASSIGN, ASSIGN, 2, MIN_ASSIGN),
+        "access": _found(text, "access", ACCESS, ACCESS, 0, MIN_ACCESS),
+        "hex": _found(text, "hex", HEX, HEX),
+    }
+
+
+def labelled_samples(spark: SparkSession, docs: DataFrame, strings: int = SAMPLE_STRINGS,
+                     sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """Training strings (sample, label): 1 random, 0 ordinary."""
+    digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
+    shape = F.col("id") % 3
+    random = spark.range(strings).select(
+        F.when(shape == 0, F.substring(F.base64(F.unhex(digest)), 1, 40))
+        .when(shape == 1, F.substring(F.upper(F.base64(F.unhex(digest))), 1, 40))
+        .otherwise(F.substring(digest, 1, 40)).alias("sample"), F.lit(1).alias("label"))
+    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).distinct()
+    ordinary = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select(
+        F.explode(F.regexp_extract_all(text_or_empty(), F.lit("[A-Za-z_-]{4,}"), F.lit(0))).alias("sample"),
+        F.lit(0).alias("label"))
+    return random.unionByName(ordinary)
+
+
+def train(samples: DataFrame) -> DataFrame:
+    """Log-likelihood ratio of each of the 128 x 128 transitions: (idx, ratio).
+
+    Transition probabilities are smoothed by half a count over the 64 characters
+    of the alphabet.
+    """
+    at = F.explode(F.sequence(F.lit(1), F.length("sample") - 1)).alias("at")
+    pairs = (samples.filter(F.length("sample") > 1).select("sample", "label", at)
+             .select("label", F.ascii(F.expr("substring(sample, at, 1)")).alias("a"),
+                     F.ascii(F.expr("substring(sample, at + 1, 1)")).alias("b")))
+    counts = pairs.groupBy("label", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    seen = counts.groupBy("a", "b").agg(*[
+        F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)])
+    grid = (samples.sparkSession.range(128 * 128)
+            .select(F.col("id").alias("idx"), F.expr("int(id div 128)").alias("a"), F.expr("int(id % 128)").alias("b")))
+    first = Window.partitionBy("a")
+    n = [F.coalesce(f"n{k}", F.lit(0)) for k in (0, 1)]
+    share = [F.log((n[k] + 0.5) / (F.sum(n[k]).over(first) + 32.0)) for k in (0, 1)]
+    return grid.join(seen, ["a", "b"], "left").select("idx", (share[1] - share[0]).alias("ratio"))
+
+
+def ratios(model: DataFrame) -> Column:
+    """The model as one array, by a scalar subquery (16,384 numbers at any scale)."""
+    return model.agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "ratio"))), lambda x: x["ratio"])
+                     .alias("ratios")).scalar()
+
+
+def ratio_of(token: Column, model: Column) -> Column:
+    """Mean log-likelihood ratio of a string's transitions."""
+    def step(acc: Column, i: Column) -> Column:
+        a, b = (F.ascii(F.substring(token, i + k, F.lit(1))) for k in (0, 1))
+        return acc + F.get(model, a * 128 + b)
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0), step) / (F.length(token) - 1)
+
+
+def scan(docs: DataFrame, min_ratio: float = MIN_RATIO, text: str = "text") -> DataFrame:
+    """``docs`` with ``base`` and ``spans``: arrays of (start, rank, end, match),
+    base spans and all spans, each ordered by start and kind."""
+    spark = docs.sparkSession
+    model = ratios(train(labelled_samples(spark, docs.select("doc_id", F.col(text).alias("text")))))
+    whole = docs.withColumn("_whole", text_or_empty(text))
+    found = base_spans(F.col("_whole"))
+    out = whole.withColumn("base", F.array_sort(F.concat(*found.values())))
+    runs = _found(F.col("_whole"), "random", RUN, RUN)
+    out = out.withColumn("_runs", F.filter(runs, lambda r: ~F.exists(
+        F.col("base"), lambda s: (s["start"] < r["end"]) & (r["start"] < s["end"]))))
+    out = out.withColumn("_model", F.when(F.size("_runs") > 0, model))
+    added = F.filter("_runs", lambda r: ratio_of(r["match"], F.col("_model")) >= min_ratio)
+    out = out.withColumn("spans", F.when(F.size("_runs") > 0, F.array_sort(F.concat("base", added))).otherwise(F.col("base")))
+    return out.drop("_whole", "_runs", "_model")
+
+
+def listed(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(kinds, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def counted(spans: Column, kind: str) -> Column:
+    rank = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each span, overlapping ones as one, replaced by ``mark``."""
+    whole = text_or_empty(text)
+
+    def cut(acc: Column, s: Column) -> Column:
+        gap = F.substring(whole, acc["at"] + 1, s["start"] - acc["at"])
+        more = F.concat(acc["out"], F.array(gap, F.lit(mark)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
+
+    empty = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+    done = F.aggregate(spans, empty, cut, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(whole, acc["at"] + 1, F.length(whole))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
