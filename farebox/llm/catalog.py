@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, secrets, simhash, toxicity
+from farebox.llm import bpe, mixing, secrets, simhash, tokenstore, toxicity
+from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,6 +33,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: every copy of the mix with its block and place."""
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 4: fingerprints and the components of their links."""
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -46,6 +52,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: write all documents' ids to a store and read it back."""
+    out = scratch_path(spark, "token-store")
+    tokenstore.write(_table(spark, sf_dir, "documents"), vocabulary_path(), out)
+    return tokenstore.read(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9: base spans by kind and all spans."""
     out = secrets.scan(_table(spark, sf_dir, "documents"))
@@ -55,7 +68,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = [op1_bpe_round_trip, op4_simhash_near_dedup, op6_toxicity, op9_secret_scan]
+QUERIES = [op1_bpe_round_trip, op3_source_mix, op4_simhash_near_dedup, op6_toxicity, op7_token_store,
+           op9_secret_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

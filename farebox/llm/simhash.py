@@ -129,3 +129,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` without the documents whose component holds a smaller doc_id.  Rows
+    without an id can't be told apart and stay."""
+    dropped = near_duplicates(docs, shingle, radius).filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox.llm.common import fold, slices, staged, text_or_empty
 
@@ -133,26 +134,28 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     return weights, float(model.intercept)
 
 
-def score(docs: DataFrame, weights: np.ndarray, intercept: float) -> DataFrame:
-    """(doc_id, score) of every whole text."""
+def score(docs: DataFrame, weights: np.ndarray, intercept: float, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (doc_id by default) and the ``score`` of every whole text."""
+    keep = keep or ["doc_id"]
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, w = Grams(), model.value
         for b in slices(batches):
-            z = np.array([w[grams.of(t)].sum(dtype=np.float64) for t in b.column(1).to_pylist()]) + intercept
+            z = np.array([w[grams.of(t)].sum(dtype=np.float64) for t in b.column(len(keep)).to_pylist()]) + intercept
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(p, pa.float64())],
-                                             names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, pa.float64())], names=[*keep, "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    kept = docs.select(*[f"`{c}`" for c in keep])
+    schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
+    whole = docs.select(*[f"`{c}`" for c in keep], F.col("text").alias("_scored"))
+    return whole.mapInArrow(run, schema)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, train_on: DataFrame | None = None) -> DataFrame:
-    """(doc_id, score): trained on the labelled rows of ``train_on`` (by default
-    ``docs``), scoring ``docs``."""
-    weights, intercept = train(labelled(docs if train_on is None else train_on, labels))
-    return score(docs, weights, intercept)
+def toxicity(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` and ``score``: trained on the labelled rows, scoring all."""
+    weights, intercept = train(labelled(docs, labels))
+    return score(docs, weights, intercept, keep)
 
 
 def held_out():
