@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, mixing, secrets, simhash, tokenstore, toxicity
+from farebox.llm import bpe, forest, mixing, secret_scan, simhash, tokenstore, toxicity
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -33,6 +33,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: the 20 nearest of every row whose vec_id is divisible by 20."""
+    return forest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 3: every copy of the mix with its block and place."""
     return mixing.mixed(_table(spark, sf_dir, "documents"))
@@ -61,14 +66,14 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9: base spans by kind and all spans."""
-    out = secrets.scan(_table(spark, sf_dir, "documents"))
+    out = secret_scan.scan(_table(spark, sf_dir, "documents"))
     return out.select(
-        "doc_id", *[secrets.counted(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
-        F.sha2(secrets.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"))
+        "doc_id", *[secret_scan.counted(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secret_scan.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = [op1_bpe_round_trip, op3_source_mix, op4_simhash_near_dedup, op6_toxicity, op7_token_store,
+QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup, op6_toxicity, op7_token_store,
            op9_secret_scan]
 
 
