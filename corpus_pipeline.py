@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, mixing, secrets, simhash, toxicity
+from farebox.llm import bpe, mixing, secret_scan, simhash, toxicity
 from farebox.llm.catalog import vocabulary_path
 from farebox.llm.common import staged
 
@@ -30,8 +30,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: secrets are replaced by a mark; n_chars follows the text."""
-    found = secrets.scan(docs.select(*COLUMNS))
-    text = secrets.redacted(F.col("text"), F.col("spans"))
+    found = secret_scan.scan(docs.select(*COLUMNS))
+    text = secret_scan.redacted(F.col("text"), F.col("spans"))
     size = F.when(F.size("spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select("doc_id", text.alias("text"), "lang", "source", size.alias("n_chars"))
 
