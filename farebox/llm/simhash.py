@@ -12,10 +12,10 @@ shuffles on the variant, and whatever collides is deduplicated and verified by
 the distance of the whole fingerprints.  Equal fingerprints are one vertex from
 the start, so groups of exact copies of any size cost one row.
 
-A variant is shared by more than one pair only inside a dense group.  Two
-fingerprints that share a variant and the left-out block are at distance 2 or
-less, so they are all linked through the smallest of them; only one fingerprint
-for each block value goes on to be compared, which bounds the comparisons.
+A variant is shared by more than two fingerprints only inside a dense group.  Those
+that also share the left-out block are at distance 2 or less and are linked through the
+smallest of them.  Members that these links have not connected meet once more by flips inside
+the block (see ``across``), so a dense group is never expanded into its pairs.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like
 any other; repeated rows give equal rows; an empty table gives an empty result;
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.llm.common import slices, staged
@@ -95,31 +95,89 @@ def _near(a: str, b: str, radius: int) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): enough links between distinct fingerprints at distance 1 to
-    ``radius`` to connect whatever such links connect."""
+def links(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
+    """Links between distinct fingerprints at distance 1 to ``radius``, and the
+    members of dense variants: (a, b) and (key, block, fp).
+
+    The links are those of variants shared by two fingerprints, and in dense ones
+    those to the smallest that shares the left-out block, which is at distance 2 or less.
+    """
     if radius != RADIUS:
         raise ValueError("blocks and variants are laid out for a radius of 3")
-    met = (variants(fps).groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n"))
-           .filter("a != b"))
-    met = staged(met, "simhash-met")
-    two = met.filter("n = 2").select("a", "b")
-    # dense: through the smallest of those that share the left-out block, then between blocks' smallest
-    dense = (variants(fps).join(met.filter("n > 2").select("key"), "key")
-             .select("key", "fp", F.col("fp").bitwiseAND(F.col("block")).alias("inside")))
-    first = dense.groupBy("key", "inside").agg(F.min("fp").alias("a"))
-    star = dense.join(first, ["key", "inside"]).select("a", F.col("fp").alias("b"))
-    across = (first.select("key", "a").join(first.select("key", F.col("a").alias("b")), "key")
-              .filter("a < b").select("a", "b"))
-    return (two.unionByName(star).unionByName(across).filter(F.col("a") != F.col("b"))
-            .filter(_near("a", "b", radius)).distinct())
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = variants(fps).repartition(n, "key")  # one shuffle serves both the counts and the members
+    counts = met.groupBy("key", "block").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n"))
+    two = counts.filter((F.col("n") == 2) & _near("a", "b", radius)).select(
+        F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("block"), "a", "b")
+    many = counts.filter("n > 2").select("key", "block").hint("shuffle_hash")
+    dense = met.join(many, ["key", "block"], "left_semi").select(
+        "key", "block", F.col("fp").alias("a"), F.lit(None).cast("long").alias("b"))
+    both = staged(two.unionByName(dense), "simhash-met")
+    dense = both.filter("b is null").select("key", "block", F.col("a").alias("fp"), _inside("a"))
+    least = F.min("fp").over(Window.partitionBy("key", "inside"))  # at most 49 members each
+    star = dense.select("fp", least.alias("a")).filter("a != fp").select("a", F.col("fp").alias("b"))
+    return both.filter("b is not null").select("a", "b").unionByName(star).distinct(), dense
+
+
+def _inside(fp: str) -> Column:
+    return F.col(fp).bitwiseAND(F.col("block")).alias("inside")
+
+
+def across(dense: DataFrame, joined: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(a, b): links between members of a dense variant that ``joined`` (id,
+    component) has not connected yet.
+
+    Of a pair's differing bits, either exactly one lies in some block, or all three
+    lie in one block.  So a member meets those whose block value differs by one bit;
+    and members that are equal outside the block meet by one flip on one side and two
+    flips on the other.
+    """
+    known = joined.withColumnRenamed("id", "fp")
+    named = dense.join(known, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    open_ = (named.groupBy("key", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .filter("lo != hi").select("key", "block"))
+    left = staged(named.join(open_, ["key", "block"], "left_semi"), "simhash-open")
+    base = left.filter((F.col("fp").bitwiseXOR(F.col("key"))).bitwiseAND(F.bitwise_not("block")) == 0)
+    width = BITS // BLOCKS
+
+    def flips(n: int) -> Column:
+        out = []
+        for k in range(BLOCKS):
+            bits = [1 << (k * width + p) for p in range(width)]
+            masks = bits if n == 1 else [x | y for i, x in enumerate(bits) for y in bits[:i]]
+            block = _signed(((1 << width) - 1) << (k * width))
+            out.append(F.when(F.col("block") == block, F.array(*[F.lit(_signed(m)) for m in masks])))
+        return F.explode(F.coalesce(*out)).alias("mask")
+
+    def flipped(rows: DataFrame, n: int) -> DataFrame:
+        return rows.select("key", F.col("fp").alias("b"), F.col("component").alias("other"), "inside", flips(n)).select(
+            "key", "b", "other", F.col("inside").bitwiseXOR(F.col("mask")).alias("inside"))
+
+    one = left.join(flipped(left, 1), ["key", "inside"])
+    three = flipped(base, 1).select("key", "inside", F.col("b").alias("fp"), F.col("other").alias("component")).join(
+        flipped(base, 2), ["key", "inside"])
+    pairs = [x.filter("component != other").select(F.col("fp").alias("a"), "b") for x in (one, three)]
+    return pairs[0].unionByName(pairs[1]).filter(_near("a", "b", radius)).distinct()
+
+
+def connected(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(id, component) of the fingerprints that link with others."""
+    near, dense = links(fps, radius)
+    near = staged(near, "simhash-links")
+    joined = components(near)
+    more = staged(across(dense, joined, radius), "simhash-across")
+    if more.isEmpty():
+        return joined
+    # links between components: the same again over both kinds
+    return components(near.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable."""
     prints = staged(fingerprints(docs, shingle), "simhash-prints")
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    joined = components(links(first.select("fp"), radius))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")).repartition(n, "fp"), "simhash-first")
+    joined = connected(first.select("fp"), radius)
     vertex = (first.join(joined.withColumnRenamed("id", "fp"), "fp", "left")
               .select("fp", "first", F.coalesce("component", "fp").alias("component")))
     smallest = vertex.groupBy("component").agg(F.min("first").alias("component_id"))
