@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, forest, mixing, secret_scan, simhash, tokenstore, toxicity
+from farebox.llm import bpe, forest, hnsw, mixing, secret_scan, simhash, tokenstore, toxicity
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -49,6 +49,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: links of every vector within its label, and the components."""
+    return hnsw.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6: toxicity scores, learned outside the held-out rows."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -73,8 +78,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
-QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup, op6_toxicity, op7_token_store,
-           op9_secret_scan]
+QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup,
+           op5_embedding_near_dedup, op6_toxicity, op7_token_store, op9_secret_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
