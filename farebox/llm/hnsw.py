@@ -238,7 +238,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
 
     rows = ["vertex", "embedding", "n"]
     left = dealt.select("label", *rows, key("shards", 1).alias("shard"), every("blocks").alias("block"))
-    right = dealt.select("label", *rows, key("blocks", 2).alias("block"), every("shards").alias("shard"))
+    right = dealt.select(F.col("label").alias("label"), *[F.col(c).alias(c) for c in rows], key("blocks", 2).alias("block"), every("shards").alias("shard"))
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         vertex, n_links, root = [], [], []
