@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, forest, hnsw, mixing, secret_scan, simhash, tokenstore, toxicity
+from farebox.llm import bpe, forest, hnsw, mixing, phrases, secret_scan, simhash, tokenstore, toxicity
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -69,6 +69,12 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.read(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: remove passages that start in an earlier document too."""
+    out = phrases.deduplicated(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 9: base spans by kind and all spans."""
     out = secret_scan.scan(_table(spark, sf_dir, "documents"))
@@ -79,7 +85,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup,
-           op5_embedding_near_dedup, op6_toxicity, op7_token_store, op9_secret_scan]
+           op5_embedding_near_dedup, op6_toxicity, op7_token_store, op8_phrase_dedup,
+           op9_secret_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
