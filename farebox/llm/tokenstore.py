@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farebox.llm.bpe import Codec
@@ -35,7 +35,7 @@ from farebox.llm.common import slices, staged, text_or_empty
 LIMIT, BLOCK, SEGMENT = 18, 512, 1 << 18
 END_ID = 0
 
-_IDS = "part int, segment long, doc_ids array<long>, lengths array<int>, ids binary"
+_IDS = "part int, segment long, before long, doc_ids array<long>, lengths array<int>, ids binary"
 _CODED = "part int, segment long, start long, doc_ids array<long>, lengths array<int>, payload binary, checkpoints array<long>"
 
 
@@ -121,30 +121,36 @@ class Table:
         return out.ravel()[:n]
 
 
-def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """Segments of ids, in ascending doc_id order over (part, segment)."""
+def id_type(path: str) -> str:
+    """Integers that hold every id of a vocabulary."""
+    return "<u2" if len(Codec(path).bytes_of) <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> DataFrame:
+    """Segments of ids, in ascending doc_id order over (part, segment); ``before``
+    counts the ids of the part before the segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         codec, part, segment = Codec(path), TaskContext.get().partitionId(), 0
         names: list = []
         arrays: list[np.ndarray] = []
-        size, end = 0, np.array([end_id], np.uint32)
+        size, before, end = 0, 0, np.array([end_id], np.uint32)
 
         def row() -> pa.RecordBatch:
             lengths = [len(a) for a in arrays]
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([segment], pa.int64()), pa.array([names], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int32())),
-                 pa.array([np.concatenate(arrays).astype("<u4").tobytes()], pa.binary())],
-                names=["part", "segment", "doc_ids", "lengths", "ids"])
+                [pa.array([part], pa.int32()), pa.array([segment], pa.int64()), pa.array([before], pa.int64()),
+                 pa.array([names], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())),
+                 pa.array([np.concatenate(arrays).astype(kind).tobytes()], pa.binary())],
+                names=["part", "segment", "before", "doc_ids", "lengths", "ids"])
 
         for b in slices(batches, 100):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = np.concatenate([codec.encode(text), end])
                 if arrays and size + len(ids) > SEGMENT:
                     yield row()
-                    names, arrays, size, segment = [], [], 0, segment + 1
+                    names, arrays, size, before, segment = [], [], 0, before + size, segment + 1
                 names.append(doc)
                 arrays.append(ids)
                 size += len(ids)
@@ -157,13 +163,13 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     return ordered.mapInArrow(run, _IDS)
 
 
-def id_counts(segments: DataFrame) -> DataFrame:
+def id_counts(segments: DataFrame, kind: str) -> DataFrame:
     """(id, n) over all segments; a task sums its own ids first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in slices(batches, 1):
             for ids in b.column(0).to_pylist():
-                got = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(total))
+                got = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
                 got[:len(total)] += total
                 total = got
         seen = np.flatnonzero(total)
@@ -175,8 +181,9 @@ def id_counts(segments: DataFrame) -> DataFrame:
 def write(docs: DataFrame, path: str, out: str) -> None:
     """Encode ``docs`` with the vocabulary at ``path`` and write the store ``out``."""
     spark = docs.sparkSession
-    segments = staged(encoded(docs, path), "store-ids")
-    counts = id_counts(segments).toArrow()  # bounded by the vocabulary
+    kind = id_type(path)
+    segments = staged(encoded(docs, path, kind), "store-ids")
+    counts = id_counts(segments, kind).toArrow()  # bounded by the vocabulary
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     order = np.argsort(ids)
     ids, lengths = ids[order], code_lengths(n[order])
@@ -184,34 +191,30 @@ def write(docs: DataFrame, path: str, out: str) -> None:
     spark.createDataFrame(book).coalesce(1).write.mode("overwrite").parquet(f"{out}/codebook")
 
     size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    sizes = segments.select("part", "segment", size.alias("size"))
-    before = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    parts = sizes.groupBy("part").agg(F.sum("size").alias("size")).orderBy("part").collect()  # one number a part
-    bases, base = [], 0
+    parts = segments.groupBy("part").agg(F.sum(size).alias("size")).orderBy("part").collect()  # one number a part
+    bases, base = {}, 0
     for r in parts:
-        bases.append((r["part"], base))
+        bases[r["part"]] = base
         base += r["size"]
-    bases = spark.createDataFrame(bases, "part int, base long")
-    starts = (sizes.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-              .join(F.broadcast(bases), "part").select("part", "segment", (F.col("base") + F.col("before")).alias("start")))
 
     top = int(ids[-1]) + 1 if len(ids) else 1
     code_of, length_of = np.zeros(top, np.uint64), np.zeros(top, np.int64)
     code_of[ids], length_of[ids] = canonical(ids, lengths), lengths
-    shared = spark.sparkContext.broadcast((code_of, length_of))
+    shared = spark.sparkContext.broadcast((code_of, length_of, bases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code_of, length_of = shared.value
+        code_of, length_of, bases = shared.value
         for b in slices(batches, 1):
-            x = np.frombuffer(b.column("ids")[0].as_py(), "<u4")
+            x = np.frombuffer(b.column("ids")[0].as_py(), kind)
             payload, marks = pack(code_of[x], length_of[x])
+            start = bases[b.column("part")[0].as_py()] + b.column("before")[0].as_py()
             yield pa.RecordBatch.from_arrays(
-                [*b.select(["part", "segment", "start", "doc_ids", "lengths"]).columns, pa.array([payload], pa.binary()),
+                [*b.select(["part", "segment"]).columns, pa.array([start], pa.int64()),
+                 *b.select(["doc_ids", "lengths"]).columns, pa.array([payload], pa.binary()),
                  pa.array([marks.tolist()], pa.list_(pa.int64()))],
                 names=["part", "segment", "start", "doc_ids", "lengths", "payload", "checkpoints"])
 
-    rows = segments.join(starts, ["part", "segment"]).select("part", "segment", "start", "doc_ids", "lengths", "ids")
-    rows.mapInArrow(run, _CODED).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{out}/segments")
+    segments.mapInArrow(run, _CODED).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{out}/segments")
     shared.unpersist()
 
 
