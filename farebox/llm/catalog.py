@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, forest, hnsw, mixing, phrases, secret_scan, simhash, tokenstore, toxicity
+from farebox.llm import bpe, ctw, forest, hnsw, mixing, phrases, secret_scan, simhash, tokenstore, toxicity
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -84,9 +84,15 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10: unigram base and context-tree score of every whole text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", ctw.held_out().alias("held_out"))
+    return ctw.score(docs).withColumn("bits_per_byte", ctw.bits_per_byte())
+
+
 QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup,
            op5_embedding_near_dedup, op6_toxicity, op7_token_store, op8_phrase_dedup,
-           op9_secret_scan]
+           op9_secret_scan, op10_context_tree]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
