@@ -105,12 +105,14 @@ def links(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
     if radius != RADIUS:
         raise ValueError("blocks and variants are laid out for a radius of 3")
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = variants(fps).repartition(n, "key")  # one shuffle serves both the counts and the members
+    # one shuffle serves the counts and the members: all that read it use the same columns and filters
+    met = variants(fps).filter("key is not null and block is not null and fp is not null").repartition(n, "key")
     counts = met.groupBy("key", "block").agg(F.min("fp").alias("a"), F.max("fp").alias("b"), F.count(F.lit(1)).alias("n"))
     two = counts.filter((F.col("n") == 2) & _near("a", "b", radius)).select(
         F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("block"), "a", "b")
-    many = counts.filter("n > 2").select("key", "block").hint("shuffle_hash")
-    dense = met.join(many, ["key", "block"], "left_semi").select(
+    many = counts.filter("n > 2").select(F.col("key").alias("k"), F.col("block").alias("l"), "a").hint("shuffle_hash")
+    member = (F.col("key") == F.col("k")) & (F.col("block") == F.col("l")) & (F.col("fp") >= F.col("a"))
+    dense = met.join(many, member, "left_semi").select(
         "key", "block", F.col("fp").alias("a"), F.lit(None).cast("long").alias("b"))
     both = staged(two.unionByName(dense), "simhash-met")
     dense = both.filter("b is null").select("key", "block", F.col("a").alias("fp"), _inside("a"))
