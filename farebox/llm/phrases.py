@@ -210,9 +210,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     sent = anchors(known)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = sent.repartition(n, "anchor")  # one shuffle serves the counts and what comes back
-    shared = sent.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    back = sent.join(shared.select("anchor").hint("shuffle_hash"), "anchor", "left_semi")
+    # one shuffle serves the counts and what comes back: both read the same columns with the same filters
+    sent = sent.filter("anchor is not null and doc_id is not null").repartition(n, "anchor")
+    shared = (sent.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+              .select(F.col("anchor").alias("a"), "lo").hint("shuffle_hash"))
+    back = sent.join(shared, (F.col("anchor") == F.col("a")) & (F.col("doc_id") >= F.col("lo")), "left_semi")
     of_doc = staged(back.groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "phrases-shared")
     rows = staged(recurring_segments(known.withColumn("variant", _variant()).join(of_doc, "doc_id")), "phrases-segments")
     distinct = staged(rows.groupBy("anchor", "s1", "s2").agg(
