@@ -44,6 +44,9 @@ SAMPLE_STRINGS, SAMPLE_DOCS = 20_000, 2_000
 #: Least log-likelihood ratio a character (nats) of a random span.
 MIN_RATIO = 0.75
 
+#: Weight, in counts, of the second character's own share.
+SMOOTHING = 8.0
+
 _SPANS = "array<struct<start:int,end:int,match:string,value:string>>"
 
 
@@ -105,8 +108,8 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, strings: int = SAMPLE
 def train(samples: DataFrame) -> DataFrame:
     """Log-likelihood ratio of each of the 128 x 128 transitions: (idx, ratio).
 
-    Transition probabilities are smoothed by half a count over the 64 characters
-    of the alphabet.
+    Transitions are smoothed towards the share of the second character alone, and
+    that by half a count for each of 64 characters.
     """
     at = F.explode(F.sequence(F.lit(1), F.length("sample") - 1)).alias("at")
     pairs = (samples.filter(F.length("sample") > 1).select("sample", "label", at)
@@ -117,10 +120,14 @@ def train(samples: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("label") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)])
     grid = (samples.sparkSession.range(128 * 128)
             .select(F.col("id").alias("idx"), F.expr("int(id div 128)").alias("a"), F.expr("int(id % 128)").alias("b")))
-    first = Window.partitionBy("a")
-    n = [F.coalesce(f"n{k}", F.lit(0)) for k in (0, 1)]
-    share = [F.log((n[k] + 0.5) / (F.sum(n[k]).over(first) + 32.0)) for k in (0, 1)]
-    return grid.join(seen, ["a", "b"], "left").select("idx", (share[1] - share[0]).alias("ratio"))
+    first, second, all_ = (Window.partitionBy(*by) for by in (["a"], ["b"], [F.lit(0)]))
+
+    def share(k: int) -> Column:
+        n = F.coalesce(f"n{k}", F.lit(0))
+        alone = (F.sum(n).over(second) + 0.5) / (F.sum(n).over(all_) + 32.0)
+        return F.log((n + SMOOTHING * alone) / (F.sum(n).over(first) + SMOOTHING))
+
+    return grid.join(seen, ["a", "b"], "left").select("idx", (share(1) - share(0)).alias("ratio"))
 
 
 def ratios(model: DataFrame) -> Column:
