@@ -163,9 +163,9 @@ def copies(docs: DataFrame, mix: DataFrame, seed: int = SEED) -> DataFrame:
         "_n", "full", "cut_key", "cut_tie")
 
 
-def blocks(copied: DataFrame, total_tokens: float, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+def blocks(copied: DataFrame, total_tokens: float, block_tokens: int | None = None, seed: int = SEED) -> DataFrame:
     """Deal copies to output blocks and order them: block, place (from 1)."""
-    n = max(1, round(total_tokens / block_tokens))
+    n = max(1, round(total_tokens / (block_tokens or BLOCK_TOKENS)))
     dealt = F.xxhash64(F.lit(seed + 1), "epoch", "doc_id", "tie")
     w = Window.partitionBy("block").orderBy("deal", "doc_id", "epoch")
     return (copied.withColumn("deal", dealt).withColumn("block", F.pmod("deal", F.lit(n)).cast("long"))

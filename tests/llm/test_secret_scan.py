@@ -1,0 +1,71 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from farebox.llm import secret_scan as ss
+from farebox.llm.catalog import op9_secret_scan
+from tests.llm.helpers import frame, rows, save
+
+RANDOM = "q7Zx9KpL2mVt8RwY4nBc6HdJ"
+TEXTS = [
+    "password: hunter22 and PassWord = 'abcdef' then token=abc;", "secret=token:abcdefgh", "api_key=\"0123456789abcdef01234567\"",
+    "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + "x AKIAAKIA" + "9" * 20, "deadbeef" * 3 + " " + "a" * 23 + "é" + "0f" * 12,
+    "token = " + "deadbeef" * 4 + " tail", "ünï " * 5 + "passwd:\x20\x20'zzzzzz'", f"see {RANDOM} here", "thisisaverylongordinaryidentifier",
+    "token token:x token:=abcdef", None, "", "api-key=abcdefg apikey=abcdefg", "secret\n=abcdefgh", "K=AKIA" + "C" * 16,
+]
+
+
+def plain(text):
+    t = text or ""
+    assign = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    out = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(t) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return sorted(out)
+
+
+def data():
+    return [*rows(), *[(300 + i, t, "en", "s", 0) for i, t in enumerate(TEXTS)]]
+
+
+def test_op9_against_plain_python(spark, tmp_path):
+    got = op9_secret_scan(spark, save(spark, tmp_path, documents=frame(spark, data()))).collect()
+    want = []
+    for doc, text, *_ in data():
+        spans = plain(text)
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, e, k in spans)
+        want.append((str(doc), *[sum(x[3] == k for x in spans) for k in ("assign", "access", "hex")],
+                     hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((str(r[0]), *r[1:5]) for r in got) == sorted(want)
+    spans = {r["doc_id"]: r["spans"] for r in got}
+    for doc, text, *_ in data():  # base spans stay among all spans
+        assert {f"{k}:{s}:{e}" for s, _, e, k in plain(text)} <= {*(spans[doc] or "").split(",")} or doc is None
+    assert spans[307] == f"random:4:{4 + len(RANDOM)}" and spans[308] == ""
+
+
+def test_no_python_in_the_plan(spark):
+    plan = ss.scan(frame(spark))._jdf.queryExecution().toString()
+    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_redaction(spark):
+    out = ss.scan(frame(spark, data())).select("doc_id", ss.redacted(F.col("text"), F.col("spans")).alias("t"))
+    got = {r[0]: r[1] for r in out.collect()}
+    assert got[300] == "[SECRET] and [SECRET]' then token=abc;" and got[305] == "[SECRET] tail"
+    assert got[310] is None and got[311] == "" and got[308] == TEXTS[8] and got[307] == "see [SECRET] here"
+
+
+def test_models_tell_random_from_ordinary(spark):
+    """Held-out accuracy on strings that trained nothing."""
+    samples = ss.labelled_samples(spark, frame(spark), strings=3000)
+    model = ss.ratios(ss.train(samples))
+    random = [hashlib.sha256(f"held {i}".encode()).hexdigest()[:30] for i in range(100)]
+    words = [("the_other_shouldering_about" + w)[:30] for w in ("when", "which", "their", "said", "each", "there")]
+    df = spark.createDataFrame([(x, 1) for x in random] + [(x, 0) for x in words], "s string, y int")
+    got = df.withColumn("m", model).select("y", (ss.ratio_of(F.col("s"), F.col("m")) >= ss.MIN_RATIO).cast("int").alias("p")).collect()
+    assert sum(r["y"] == r["p"] for r in got) / len(got) > 0.95
+
+
+def test_empty_table(spark, tmp_path):
+    assert op9_secret_scan(spark, save(spark, tmp_path, documents=frame(spark, []))).count() == 0
