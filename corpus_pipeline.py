@@ -31,9 +31,11 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: secrets are replaced by a mark; n_chars follows the text."""
     found = secret_scan.scan(docs.select(*COLUMNS))
-    text = secret_scan.redacted(F.col("text"), F.col("spans"))
-    size = F.when(F.size("spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.select("doc_id", text.alias("text"), "lang", "source", size.alias("n_chars"))
+    kind = docs.schema["n_chars"].dataType
+    out = found.select("doc_id", secret_scan.redacted(F.col("text"), F.col("spans")).alias("text"), "lang", "source",
+                       "n_chars", (F.size("spans") > 0).alias("changed"))
+    size = F.when(F.col("changed"), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", size).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
