@@ -18,6 +18,7 @@ from farebox.operators import filters as FL
 from farebox.operators import quality as Q
 from farebox.operators.topk import top_n
 from farebox.plans import models as M
+from farebox.sinks.files import stage
 
 # Query parameters (fixed so the oracle SQL can use the same values).
 DAY = "1996-03-15"
@@ -261,9 +262,13 @@ def q_recent_trips(spark, d):
 
 
 def _row_key_query(spark, d, width):
-    y = fx.raw_service(fx.trips(spark, d), "Yellow", keep_filename=True)
-    key = X.row_key(X.row_key_fields("Yellow", width))
-    return y.select(key.alias("unique_row_id"), "filename")
+    t, out = fx.trips(spark, d), None
+    for service in ("Green", "Yellow"):
+        raw = fx.raw_service(t, service, keep_filename=True)
+        key = X.row_key(X.row_key_fields(service, width))
+        part = raw.select(key.alias("unique_row_id"), "filename")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_row_key_7(spark, d):
@@ -292,8 +297,9 @@ def q_quality_report(spark, d):
     mart, with their severities, as one report."""
     t = fx.trips(spark, d)
     zones = fx.zones(spark, d)
-    green = M.stg_green(fx.raw_service(t, "Green"))
-    yellow = M.stg_yellow(fx.raw_service(t, "Yellow"))
+    # each staged model is built once; the checks read the result
+    green = stage(M.stg_green(fx.raw_service(t, "Green")), "stg_green")
+    yellow = stage(M.stg_yellow(fx.raw_service(t, "Yellow")), "stg_yellow")
     checks = []
     for model, stg, dropoff_severity in (("stg_green_tripdata", green, "error"),
                                          ("stg_yellow_tripdata", yellow, "warn")):
@@ -396,19 +402,20 @@ def q_monthly_load_idempotent(spark, d):
 
 
 MERGE_TARGET_BEFORE = "1997-01-01"
-MERGE_SOURCE = ("1996-07-01", "1997-07-01")
 
 
 def q_merge_insert_rows(spark, d):
-    """Stamped green rows of a half-year merged into a target that
-    holds everything before 1997: the rows the MERGE would insert."""
+    """All stamped rows of both services merged into targets that hold
+    everything before 1997: the rows the MERGE would insert."""
     from farebox.plans import loads as L
-    g = fx.raw_service(fx.trips(spark, d), "Green", keep_filename=True)
-    stamped = g.withColumn("unique_row_id", X.row_key(X.row_key_fields("Green", 7)))
-    target = stamped.filter(F.col("lpep_pickup_datetime")
-                            < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
-    source = FL.in_period(stamped, "lpep_pickup_datetime", *MERGE_SOURCE)
-    return L.merge_insert(target, source).select("unique_row_id", "filename")
+    t, out = fx.trips(spark, d), None
+    for service, pickup in (("Green", "lpep_pickup_datetime"), ("Yellow", "tpep_pickup_datetime")):
+        raw = fx.raw_service(t, service, keep_filename=True)
+        stamped = raw.withColumn("unique_row_id", X.row_key(X.row_key_fields(service, 7)))
+        target = stamped.filter(F.col(pickup) < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
+        part = L.merge_insert(target, stamped).select("unique_row_id", "filename")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_partitioned_day_range(spark, d):
@@ -425,7 +432,6 @@ def q_partitioned_day_range(spark, d):
 
 
 PAGE_SIZE_ORDERS = 1000
-STOP_PAGE = 3
 
 
 def rides(spark, d) -> DataFrame:
@@ -442,12 +448,13 @@ def rides(spark, d) -> DataFrame:
 
 
 def q_paged_rides(spark, d):
-    """S9 + A10: rides landed as API pages with page 3 empty, loaded up to the
+    """S9 + A10: rides landed as API pages, the last page empty, loaded up to the
     first empty page; ride count and average duration in minutes."""
     from farebox.session import scratch_path
     from farebox.sources.pages import land_pages, load_pages
     landing = scratch_path(spark, "pages")
-    land_pages(rides(spark, d), landing, empty_pages=[STOP_PAGE])
+    r = rides(spark, d)
+    land_pages(r, landing, empty_pages=[r.agg(F.max("page_no")).first()[0]])
     loaded = load_pages(spark, landing)
     return loaded.agg(
         F.count(F.lit(1)).cast("bigint").alias("rides"),
@@ -455,6 +462,127 @@ def q_paged_rides(spark, d):
         .alias("avg_minutes"))
 
 
+# ----------------------------------------------------------------- files and tables
+
+def _orders(spark, d):
+    return fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+
+
+ORDER_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                             T.StructField("o_totalprice", T.DoubleType()),
+                             T.StructField("o_orderdate", T.TimestampNTZType())])
+
+
+def _landed_orders(spark, d, name, extra=False):
+    """Orders as a CSV with header, optionally with one more field a row."""
+    from farebox.session import scratch_path
+    path = scratch_path(spark, name)
+    o = _orders(spark, d).withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    (o.withColumn("extra", F.lit("x")) if extra else o).write.option("header", True).csv(path)
+    return path
+
+
+def q_write_n_files(spark, d):
+    """K1 + S1: orders written in four files and read back: files and rows."""
+    from farebox.session import scratch_path
+    from farebox.sinks.files import write_parquet
+    from farebox.sources.files import read_parquet
+    path = scratch_path(spark, "n-files")
+    write_parquet(_orders(spark, d), path, 4)
+    back = read_parquet(spark, path, ORDER_SCHEMA).withColumn("f", F.col("_metadata.file_path"))
+    return back.agg(F.count_distinct("f").alias("files"), F.count(F.lit(1)).alias("rows"),
+                    money(F.sum("o_totalprice")).alias("total_price"))
+
+
+def q_create_if_missing(spark, d):
+    """K3: create a table twice (the second time nothing happens) and fill it."""
+    from farebox.session import scratch_path
+    from farebox.sinks.files import ensure_table
+    name = "farebox_orders_once"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = scratch_path(spark, "orders-once")
+    ensure_table(spark, name, ORDER_SCHEMA, path=path)
+    _orders(spark, d).write.insertInto(name)
+    ensure_table(spark, name, ORDER_SCHEMA, path=path)
+    out = spark.read.schema(ORDER_SCHEMA).parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return out.select("o_orderkey", "o_custkey", money("o_totalprice").alias("o_totalprice"), "o_orderdate")
+
+
+def q_replace_table(spark, d):
+    """K4 + K10 + K12: a rollup built as a table over an older one, then a view on it."""
+    from farebox.sinks.files import build, refresh_rollup, replace_table
+    name = "farebox_customer_rollup"
+    o = _orders(spark, d)
+    replace_table(o.select("o_custkey").limit(1), name)
+    refresh_rollup(o, ["o_custkey"], {"total_price": F.sum("o_totalprice"), "orders": F.count(F.lit(1))}, name)
+    view = build(spark.table(name), "farebox_customer_view")
+    return view.select("o_custkey", money("total_price").alias("total_price"), big("orders").alias("orders"))
+
+
+def q_csv_all_text(spark, d):
+    """A CSV whose columns stay text."""
+    from farebox.sources.files import read_csv
+    return read_csv(spark, _landed_orders(spark, d, "orders-text"), None).select("o_orderkey", "o_custkey", "o_orderdate")
+
+
+def q_external_table(spark, d):
+    """A table over a glob of files that stay where they are."""
+    from farebox.session import scratch_path
+    from farebox.sources.files import external_table
+    path = scratch_path(spark, "orders-external")
+    _orders(spark, d).repartition(3).write.parquet(path)
+    t = external_table(spark, "farebox_orders_external", f"{path}/*.parquet")
+    return t.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+
+
+def q_csv_extra_fields(spark, d):
+    """S5 + S6: typed CSV with one field too many a row, and a column list."""
+    from farebox.sources.files import read_csv
+    path = _landed_orders(spark, d, "orders-extra", extra=True)
+    r = read_csv(spark, path, ORDER_SCHEMA, columns=["o_orderkey", "o_totalprice", "o_orderdate"])
+    return r.select("o_orderkey", money("o_totalprice").alias("o_totalprice"), "o_orderdate")
+
+
+def q_load_month(spark, d):
+    """K8: one month of each service loaded twice (the second time nothing is
+    inserted): rows and distinct keys by file."""
+    from farebox.plans import loads as L
+    from farebox.session import scratch_path
+    root, t, out = scratch_path(spark, "load-month"), fx.trips(spark, d), None
+    for service in ("green", "yellow"):
+        raw = fx.raw_service(t, service.capitalize(), keep_filename=True)
+        name = L.file_name(service, *LOAD_MONTH)
+        L.write_monthly_files(raw.filter(F.col("filename") == name), f"{root}/{service}", service)
+        src, target = f"{root}/{service}/filename={name}/*.csv*", f"{root}/{service}_tripdata"
+        n = L.load_month(spark, service, *LOAD_MONTH, src, target)
+        again = L.load_month(spark, service, *LOAD_MONTH, src, target)
+        part = spark.read.parquet(target).groupBy("filename").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("unique_row_id").alias("distinct_keys"))
+        part = part.withColumns({"inserted": F.lit(n).cast("bigint"), "inserted_again": F.lit(again).cast("bigint")})
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+LOAD_MONTH = (1996, 3)
+
+
+def q_quarter_label(spark, d):
+    """P10: trips by calendar columns and the year/quarter label."""
+    t = X.with_calendar(fx.trips(spark, d), "pickup_datetime")
+    label = next(c for c in t.columns if "quarter" in c and t.schema[c].dataType == T.StringType())
+    return t.groupBy(F.col(label).alias("year_quarter")).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def q_ordered_limit(spark, d):
+    """O3 + O4 + O1: customers by balance descending and name ascending, the first
+    hundred, and of those the lowest by name."""
+    from farebox.operators.topk import bottom_n, ordered
+    c = fx.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    first = ordered(c, F.desc("c_nationkey"), F.asc("c_name"), F.asc("c_custkey")).limit(100)
+    return bottom_n(first, ["c_name"], 40, tie=["c_custkey"]).select("c_custkey", "c_name", big("c_nationkey").alias("c_nationkey"))
+
+
 # ----------------------------------------------------------------- streaming
 
 EVENT_MSG = T.StructType([T.StructField("test_data", T.LongType()),
@@ -698,6 +826,15 @@ QUERIES = {
     "event_sessions": q_event_sessions,
     "quarterly_revenue_calendar": q_quarterly_revenue_calendar,
     "zones_seed": q_zones_seed,
+    "write_n_files": q_write_n_files,
+    "create_if_missing": q_create_if_missing,
+    "replace_table": q_replace_table,
+    "csv_all_text": q_csv_all_text,
+    "external_table": q_external_table,
+    "csv_extra_fields": q_csv_extra_fields,
+    "load_month": q_load_month,
+    "quarter_label": q_quarter_label,
+    "ordered_limit": q_ordered_limit,
 }
 
 

@@ -1,6 +1,6 @@
 """Equi joins: lookups to the zone dimension, anti and orphan joins.
 
-A side is broadcast only after its row count is checked against a bound;
+A side is broadcast only while its estimated size is within a bound in bytes;
 past the bound the join is left to the planner (sort-merge, AQE skew split).
 """
 
@@ -9,30 +9,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup above this many rows is joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
+# A lookup whose estimated size exceeds this is joined as the planner decides.
+BROADCAST_MAX_BYTES = 64 * 1024 ** 2
 
 
-# Size checks already made in this process: (plan, input files, bound) -> fits.
-_CHECKED: dict[tuple[int, int], bool] = {}
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if the planner's size estimate is within ``max_bytes``.
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    The check reads at most ``max_rows + 1`` rows of the (usually tiny) side
-    and is remembered per logical plan, so a lookup used by many queries is
-    counted once.  Past the bound the join is left to the planner.
+    The estimate comes from the current file sizes each time, so a side that has
+    grown loses the hint; no job is run for it.  Beyond the bound, or where the size is
+    unknown (JDBC, aggregates), the join is left to the planner, which measures the
+    side at run time.
     """
-    # The plan hash alone would not notice new data under the same path (a
-    # staging table rewritten by every load), so the input files are part of
-    # the key: new files, new check.
-    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
-    fits = _CHECKED.get(key)
-    if fits is None:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        _CHECKED[key] = fits
-    return F.broadcast(df) if fits else df
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  remote session: no access to the plan
+        return df
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def known_zones(zones: DataFrame, exclude=("Unknown",), col: str = "borough") -> DataFrame:

@@ -59,11 +59,10 @@ def lag_rows(df: DataFrame, col: str, offset: int, partition: Sequence[str],
 
 def lag_calendar(df: DataFrame, col: str, keys: Sequence[str], year: str,
                  alias: str) -> DataFrame:
-    """W3 variant: value of the same period one year earlier (self join on
-    year - 1), NULL when that period is missing."""
-    prev = df.select(*[F.col(k) for k in keys if k != year],
-                     (F.col(year) + 1).alias(year), F.col(col).alias(alias))
-    return df.join(prev, list(keys), "left")
+    """W3 variant: value of the same period one year earlier, NULL when that period
+    is missing: a window over the period's years, framed to exactly the year before."""
+    w = Window.partitionBy(*[k for k in keys if k != year]).orderBy(year).rangeBetween(-1, -1)
+    return df.withColumn(alias, F.max(col).over(w))
 
 
 def group_percentiles_on_rows(df: DataFrame, value: str, group: Sequence[str],

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from farebox import catalog as C
 from farebox.fixtures import _GREEN_ORDER, _YELLOW_ORDER, fixture_ctes
-from farebox.functions.columns import (DISTANCE_BUCKETS, DISTANCE_OVER, PAYMENT_OTHER,
-                                       PAYMENT_TYPES, SURROGATE_NULL, row_key_fields)
 
 
 def _with(fixtures, *ctes: str) -> str:
@@ -25,14 +23,21 @@ def _ratio(x, alias=None):
     return f"round(CAST({x} AS DOUBLE), 4) AS {alias or x}"
 
 
-_PAY_CASE = ("CASE TRY_CAST(payment_type AS INTEGER) "
-             + " ".join(f"WHEN {k} THEN '{v}'" for k, v in PAYMENT_TYPES.items())
-             + f" ELSE '{PAYMENT_OTHER}' END")
+# Fixed values, written out here so that a wrong constant in the package can't match itself.
+_PAY_CASE = """CASE TRY_CAST(payment_type AS INTEGER) WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash'
+  WHEN 3 THEN 'No charge' WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' WHEN 6 THEN 'Voided trip'
+  ELSE 'EMPTY' END"""
+
+
+def row_key_fields(service: str, width: int) -> list[str]:
+    p = "lpep" if service == "Green" else "tpep"
+    fields = ["VendorID", f"{p}_pickup_datetime", f"{p}_dropoff_datetime", "PULocationID", "DOLocationID"]
+    return fields + (["fare_amount", "trip_distance"] if width == 7 else [])
 
 
 def _skey(a, b):
-    return (f"md5(coalesce(CAST({a} AS VARCHAR), '{SURROGATE_NULL}') || '-' || "
-            f"coalesce(CAST({b} AS VARCHAR), '{SURROGATE_NULL}'))")
+    return (f"md5(coalesce(CAST({a} AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' || "
+            f"coalesce(CAST({b} AS VARCHAR), '_dbt_utils_surrogate_key_null_'))")
 
 
 def _stg_sql(service: str) -> tuple[str, str]:
@@ -163,9 +168,9 @@ quarterly AS (
              END - 1) * 100 AS yoy_growth
   FROM qy)"""
 
-_BUCKET_CASE = ("CASE " + " ".join(
-    f"WHEN trip_distance <= {hi} THEN '{lab}'" for lab, hi in DISTANCE_BUCKETS)
-    + f" WHEN trip_distance > {DISTANCE_BUCKETS[-1][1]} THEN '{DISTANCE_OVER}' END")
+_BUCKET_CASE = """CASE WHEN trip_distance <= 1 THEN '< 1' WHEN trip_distance <= 3 THEN '1-3'
+  WHEN trip_distance <= 7 THEN '3-7' WHEN trip_distance <= 10 THEN '7-10'
+  WHEN trip_distance > 10 THEN '10+' END"""
 
 _MZR_SUMS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
              "improvement_surcharge", "total_amount"]
@@ -174,9 +179,11 @@ _PROFILE = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in C.PROF
 
 
 def _row_key_sql(width: int) -> str:
-    fields = row_key_fields("Yellow", width)
-    text = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields)
-    return _with(["yellow"]) + f"SELECT md5({text}) AS unique_row_id, filename FROM yellow"
+    parts = []
+    for service, table in (("Green", "green"), ("Yellow", "yellow")):
+        text = " || ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in row_key_fields(service, width))
+        parts.append(f"SELECT md5({text}) AS unique_row_id, filename FROM {table}")
+    return _with(["green", "yellow"]) + " UNION ALL ".join(parts)
 
 
 def _checks_sql(model: str, table: str, dropoff_severity: str) -> list[str]:
@@ -367,13 +374,13 @@ kept AS (
 SELECT filename, CAST(count(*) AS BIGINT) AS rows,
        CAST(count(DISTINCT unique_row_id) AS BIGINT) AS distinct_keys
 FROM kept GROUP BY 1""",
-    "merge_insert_rows": _with(["green"]) + f""", stamped AS (
-  SELECT md5({_KEY7_G}) AS unique_row_id, filename, lpep_pickup_datetime FROM green),
-target AS (SELECT * FROM stamped WHERE lpep_pickup_datetime < TIMESTAMP '{C.MERGE_TARGET_BEFORE}')
+    "merge_insert_rows": _with(["green", "yellow"]) + f""", stamped AS (
+  SELECT 'g' AS service, md5({_KEY7_G}) AS unique_row_id, filename, lpep_pickup_datetime AS pickup FROM green
+  UNION ALL
+  SELECT 'y' AS service, md5({_KEY7_Y}) AS unique_row_id, filename, tpep_pickup_datetime AS pickup FROM yellow),
+target AS (SELECT * FROM stamped WHERE pickup < TIMESTAMP '{C.MERGE_TARGET_BEFORE}')
 SELECT s.unique_row_id, s.filename FROM stamped s
-WHERE CAST(s.lpep_pickup_datetime AS DATE) >= DATE '{C.MERGE_SOURCE[0]}'
-  AND CAST(s.lpep_pickup_datetime AS DATE) < DATE '{C.MERGE_SOURCE[1]}'
-  AND NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_row_id = s.unique_row_id)""",
+WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.unique_row_id = s.unique_row_id AND t.service = s.service)""",
     "partitioned_day_range": _with(["trips"]) + f"""SELECT CAST(pickup_datetime AS DATE) AS pickup_date,
   CAST(count(*) AS BIGINT) AS trips, CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount
 FROM trips
@@ -385,7 +392,34 @@ GROUP BY 1""",
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE 1 + floor(l.l_orderkey / {C.PAGE_SIZE_ORDERS}) < {C.STOP_PAGE}""",
+WHERE floor(l.l_orderkey / {C.PAGE_SIZE_ORDERS}) < (
+  SELECT max(floor(l.l_orderkey / {C.PAGE_SIZE_ORDERS}))
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey)""",
+    "write_n_files": """SELECT CAST(4 AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS rows,
+  CAST(round(sum(o_totalprice), 2) AS DOUBLE) AS total_price FROM orders""",
+    "create_if_missing": """SELECT o_orderkey, o_custkey, CAST(round(o_totalprice, 2) AS DOUBLE) AS o_totalprice,
+  o_orderdate FROM orders""",
+    "replace_table": """SELECT o_custkey, CAST(round(sum(o_totalprice), 2) AS DOUBLE) AS total_price,
+  CAST(count(*) AS BIGINT) AS orders FROM orders GROUP BY 1""",
+    "csv_all_text": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
+    "external_table": "SELECT o_custkey, CAST(count(*) AS BIGINT) AS orders FROM orders GROUP BY 1",
+    "csv_extra_fields": """SELECT o_orderkey, CAST(round(o_totalprice, 2) AS DOUBLE) AS o_totalprice, o_orderdate
+FROM orders""",
+    "load_month": _with(["green", "yellow"]) + f""", stamped AS (
+  SELECT md5({_KEY7_G}) AS unique_row_id, filename FROM green
+  UNION ALL
+  SELECT md5({_KEY7_Y}) AS unique_row_id, filename FROM yellow)
+SELECT filename, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT unique_row_id) AS BIGINT) AS distinct_keys,
+  CAST(count(*) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS inserted_again
+FROM stamped WHERE filename IN ('green_tripdata_1996-03.csv', 'yellow_tripdata_1996-03.csv') GROUP BY 1""",
+    "quarter_label": _with(["trips"]) + """SELECT CAST(extract(year FROM pickup_datetime) AS VARCHAR) || '/Q'
+  || CAST(extract(quarter FROM pickup_datetime) AS VARCHAR) AS year_quarter, CAST(count(*) AS BIGINT) AS trips
+FROM trips GROUP BY 1""",
+    "ordered_limit": """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM (
+  SELECT * FROM customer ORDER BY c_nationkey DESC, c_name ASC, c_custkey ASC LIMIT 100)
+ORDER BY c_name, c_custkey LIMIT 40""",
 })
 
 _EVENTS_MS = ("(SELECT event_id, event_type, make_timestamp(epoch_us(ts) // 1000 * 1000) AS t "

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -35,10 +35,10 @@ def source_file_name() -> "F.Column":
     return F.when(found != "", found).otherwise(F.col("_metadata.file_name"))
 
 
-def stamp(df: DataFrame, key_cols: Sequence[str], filename: str | None = None,
+def stamp(df: DataFrame, key_cols: Sequence[str], filename: "str | F.Column | None" = None,
           binary: bool = False, sep: str = "", key: str = "unique_row_id") -> DataFrame:
     """K6: add the row key (md5 of the listed columns) and the file name."""
-    fname = F.lit(filename) if filename is not None else source_file_name()
+    fname = source_file_name() if filename is None else F.lit(filename) if isinstance(filename, str) else filename
     keyed = df.withColumns({key: row_key(key_cols, binary=binary, sep=sep),
                             "filename": fname})
     return keyed.select(key, "filename", *[c for c in df.columns])
@@ -57,21 +57,22 @@ def with_pickup_month(df: DataFrame, pickup: str) -> DataFrame:
 
 
 def merge_insert(target: DataFrame, source: DataFrame, key: str = "unique_row_id",
-                 part_col: str | None = None) -> DataFrame:
+                 part_col: str | None = None, parts: DataFrame | None = None) -> DataFrame:
     """Rows of ``source`` whose key is not in ``target``
     (``MERGE .. WHEN NOT MATCHED THEN INSERT``).  Equal keys inside the source
     are all inserted, as MERGE does.
 
     With ``part_col`` (a partition column of the target that equal keys
     share) only the target partitions present in the source are read: the
-    source's distinct values are broadcast (size-checked) into a semi join,
-    which the planner turns into dynamic partition pruning of the target
-    scan.  A monthly load then reads a month or two of history, not all of it.
+    distinct values of ``parts`` (a superset of the source's will do, such as the
+    staged file's) go into a semi join, which the planner turns into dynamic
+    partition pruning of the target scan.  A monthly load then reads a month or
+    two of history, not all of it.
     """
     if part_col is None:
         return source.join(target.select(key), key, "left_anti")
-    from farebox.operators.joins import bounded_broadcast
-    parts = bounded_broadcast(source.select(part_col).distinct(), 1_000_000)
+    # months are few by construction: some twelve for each year of history
+    parts = F.broadcast((source if parts is None else parts).select(part_col).distinct())
     touched = target.join(parts, part_col, "left_semi").select(part_col, key)
     return source.join(touched, [part_col, key], "left_anti")
 
@@ -97,30 +98,29 @@ def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
-               key: str = "unique_row_id") -> int:
+               key: str = "unique_row_id", staged: DataFrame | None = None) -> int:
     """Insert ``rows`` whose key is absent from the target; returns how many.
 
     The anti join reads the target files listed when the job is planned; the
     appended files only become visible when the job commits.  Rows carrying
     the ``pickup_month`` column are written partitioned by it, and the anti
-    join then reads only the target months the batch touches.  The inserted
-    count is the difference of two row counts, which Parquet answers from
-    file footers.
+    join then reads only the target months that ``staged`` (by default the rows
+    themselves) holds.  The inserted rows are counted as they are written.
     """
     target = _read_target(spark, target_path)
     part = PART_COL if PART_COL in rows.columns else None
-    before = 0
     if target is not None:
-        before = target.count()
-        rows = merge_insert(target, rows, key, part_col=part)
+        rows = merge_insert(target, rows, key, part_col=part, parts=staged)
+    inserted = Observation()
     if part:
         # Group the rows by month before the partitioned write (AQE splits a
         # big month into advisory-size files, stragglers share one file each)
         # instead of every task writing a small file for every month.
-        rows.hint("rebalance", part).write.mode("append").partitionBy(part).parquet(target_path)
+        rows = rows.hint("rebalance", part).observe(inserted, F.count(F.lit(1)).alias("rows"))
+        rows.write.mode("append").partitionBy(part).parquet(target_path)
     else:
-        rows.write.mode("append").parquet(target_path)
-    return spark.read.parquet(target_path).count() - before
+        rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target_path)
+    return int(inserted.get["rows"])
 
 
 def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
@@ -141,28 +141,44 @@ def _schema_for(service: str):
     return {"green": schemas.GREEN_RAW, "yellow": schemas.YELLOW_RAW}[service.lower()]
 
 
+_PATH = "__source_path"
+
+
+def _stamped(spark: SparkSession, service: str, paths: str | Sequence[str], width: int, binary: bool,
+             filename: str | None = None) -> DataFrame:
+    """Monthly CSVs spread over the cluster (a .gz is one split, however large),
+    then parsed, stamped with key and file name and given their month."""
+    raw = read_csv(spark, paths, _schema_for(service), repartition=_slots(spark), file_col=_PATH)
+    name = F.lit(filename) if filename else F.coalesce(
+        F.nullif(F.regexp_extract(_PATH, _FILE_PATTERN, 1), F.lit("")), F.element_at(F.split(_PATH, "/"), -1))
+    stamped = stamp(raw, row_key_fields(service, width), name, binary=binary).drop(_PATH)
+    return with_pickup_month(stamped, _pickup_col(service))
+
+
+def _slots(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def load_month(spark: SparkSession, service: str, year: int, month: int, src: str,
-               target_path: str, width: int = 7) -> int:
+               target_path: str, width: int = 7, binary: bool = False) -> int:
     """K8: read one monthly CSV, stamp it, merge it into the target.
+    ``binary`` keeps the row key as bytes (the warehouse form).
     Returns the number of inserted rows (0 on a rerun)."""
-    raw = read_csv(spark, src, _schema_for(service))
-    stamped = stamp(raw, row_key_fields(service, width), file_name(service, year, month))
-    stamped = with_pickup_month(stamped, _pickup_col(service))
-    return append_new(spark, stage_rows(stamped, target_path), target_path)
+    stamped = _stamped(spark, service, src, width, binary, file_name(service, year, month))
+    staged = stage_rows(stamped, target_path)
+    return append_new(spark, staged, target_path, staged=staged)
 
 
 def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
-                target_path: str, width: int = 7) -> int:
+                target_path: str, width: int = 7, binary: bool = False) -> int:
     """K9: backfill many monthly files in one job.
 
     Equivalent to merging the files one by one in file-name (= month) order:
     per key the rows of the earliest file are kept (in-file duplicates too),
     then one anti join against the target and one append.
     """
-    raw = read_csv(spark, paths, _schema_for(service))
-    stamped = with_pickup_month(stamp(raw, row_key_fields(service, width)), _pickup_col(service))
-    staged = stage_rows(stamped, target_path)
-    return append_new(spark, earliest_file_rows(staged), target_path)
+    staged = stage_rows(_stamped(spark, service, paths, width, binary), target_path)
+    return append_new(spark, earliest_file_rows(staged), target_path, staged=staged)
 
 
 def write_monthly_files(trips: DataFrame, root: str, service: str) -> str:

@@ -35,33 +35,60 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df if have >= want else df.repartition(want)
 
 
+def parsed(df: DataFrame, schema: T.StructType, timestamp_format: str | None = None) -> DataFrame:
+    """Text columns cast to the types of ``schema``; a non-empty text that does not
+    parse fails the read and is named, instead of becoming NULL."""
+    out = []
+    for f in schema.fields:
+        text = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            out.append(text)
+            continue
+        if timestamp_format and isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            value = F.try_to_timestamp(text, F.lit(timestamp_format)).cast(f.dataType)
+        else:
+            value = F.trim(text).try_cast(f.dataType)
+        message = F.concat(F.lit(f"column {f.name}: not a {f.dataType.simpleString()}: "), text)
+        out.append(F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(f.dataType))
+                   .otherwise(value).alias(f.name, metadata=f.metadata))
+    extra = [c for c in df.columns if c not in schema.names]
+    return df.select(*out, *[F.col(f"`{c}`") for c in extra])
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None,
              columns: Sequence[str] | None = None, header: bool = True,
              ignore_extra: bool = True, repartition: int | None = None,
-             timestamp_format: str | None = None) -> DataFrame:
+             timestamp_format: str | None = None, file_col: str | None = None) -> DataFrame:
     """CSV with a declared schema, or ``schema=None`` for the
     header names with every column a string (no inference pass).
 
     * header row skipped; schema applied by position (header names ignored);
-    * ``ignore_extra``: PERMISSIVE mode, extra trailing fields are dropped and
-      short rows null-filled (``FAILFAST`` otherwise);
+    * ``ignore_extra``: extra trailing fields are dropped and short rows
+      null-filled (``FAILFAST`` otherwise); in either case a value that does not
+      parse as its declared type fails the read (``parsed``);
     * ``.gz`` input is decoded natively but not splittable, so pass
-      ``repartition`` to spread the rows after the read;
-    * ``columns`` keeps an explicit column list (the COPY column list).
+      ``repartition`` to spread the rows after the read: types are parsed, and
+      whatever follows runs, after that;
+    * ``columns`` keeps an explicit column list (the COPY column list);
+    * ``file_col`` adds the path of each row's file.
     """
     r = (spark.read.option("header", header)
          .option("mode", "PERMISSIVE" if ignore_extra else "FAILFAST")
          .option("inferSchema", False))
     if schema is not None:
-        r = r.schema(schema).option("enforceSchema", True)
-    if timestamp_format:
-        r = r.option("timestampNTZFormat", timestamp_format)
+        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        r = r.schema(text).option("enforceSchema", True)
     paths = [path] if isinstance(path, str) else list(path)
     df = r.csv(paths)
+    if file_col:
+        df = df.select("*", F.col("_metadata.file_path").alias(file_col))
     if columns is not None:
-        df = df.select(*columns)
+        df = df.select(*columns, *([file_col] if file_col else []))
     if repartition:
         df = df.repartition(repartition)
+    if schema is not None:
+        kept = T.StructType([f for f in schema.fields if columns is None or f.name in columns])
+        df = parsed(df, kept, timestamp_format)
     return df
 
 

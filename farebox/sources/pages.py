@@ -18,9 +18,27 @@ from farebox import schemas
 NO_STOP = 2**62
 
 
+BAD = "_malformed"
+
+
+def checked_pages(spark: SparkSession, landing: str, schema: T.StructType) -> DataFrame:
+    """Landed pages; one that does not parse, or lacks its number or its array of
+    records, fails the load with its file and text rather than being skipped or
+    taken for the empty page."""
+    raw = (spark.read.schema(T.StructType([*schema.fields, T.StructField(BAD, T.StringType())]))
+           .option("columnNameOfCorruptRecord", BAD).json(landing))
+    bad = F.col(BAD).isNotNull() | F.col("page_no").isNull() | F.col("records").isNull()
+    message = F.concat(F.lit("malformed page "), F.coalesce(F.col("page_no").cast("string"), F.lit("?")),
+                       F.lit(" in "), F.col("_metadata.file_path"), F.lit(": "),
+                       F.coalesce(F.substring(BAD, 1, 200), F.lit("no page number or no records")))
+    checked = F.when(bad, F.raise_error(message).cast("bigint")).otherwise(F.col("page_no"))
+    return raw.select(checked.cast(schema["page_no"].dataType).alias("page_no"),
+                      *[f.name for f in schema.fields if f.name != "page_no"])
+
+
 def load_pages(spark: SparkSession, landing: str,
                schema: T.StructType = schemas.PAGE, base_page: int = 1) -> DataFrame:
-    pages = spark.read.schema(schema).json(landing)
+    pages = checked_pages(spark, landing, schema)
     empty = pages.filter(F.coalesce(F.size("records"), F.lit(0)) <= 0)
     stop = F.coalesce(empty.select(F.min("page_no")).scalar(), F.lit(NO_STOP))
     kept = pages.filter((F.col("page_no") >= base_page) & (F.col("page_no") < stop))

@@ -9,9 +9,7 @@ passes its end, and rows later than that are dropped (T10).
 
 from __future__ import annotations
 
-import json
-import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -218,18 +216,19 @@ class UpsertSink:
             rank = [F.col("__prio").desc()]
             if self.order_col:
                 rank.append(F.col(self.order_col).desc_nulls_last())
+        # ties are settled by all other columns, so a replay picks the same row
+        rank += [F.col(c).desc_nulls_last() for c in sorted(rows.columns) if c not in (*self.keys, "__prio")]
         w = Window.partitionBy(*self.keys).orderBy(*rank)
         return (rows.withColumn("__rn", F.row_number().over(w))
                 .filter(F.col("__rn") == 1).drop("__rn", "__prio"))
 
     def _merge_buckets(self, batch: DataFrame) -> None:
-        from farebox.operators.joins import bounded_broadcast
         from farebox.session import cut_lineage
         spark = batch.sparkSession
         new = _ntz(batch).withColumn("_bucket", self._bucket()).withColumn("__prio", F.lit(1))
         current = self._read_bucketed(spark)
         if current is not None:
-            touched = bounded_broadcast(new.select("_bucket").distinct(), self.buckets)
+            touched = F.broadcast(new.select("_bucket").distinct())  # at most ``buckets`` rows
             old = current.join(touched, "_bucket", "left_semi").withColumn("__prio", F.lit(0))
             new = new.unionByName(old)
         merged = cut_lineage(self._best(new))
@@ -240,12 +239,20 @@ class UpsertSink:
     def _log(self) -> str:
         return f"{self.path}/_versions"
 
-    def _latest_version(self, spark: SparkSession) -> int | None:
+    def _versions(self, spark: SparkSession) -> list[int]:
+        """The committed versions still kept, ascending."""
         try:
-            v = spark.read.text(self._log()).select(F.max(F.col("value").cast("int"))).first()
+            rows = spark.read.text(self._log()).select(F.col("value").cast("int").alias("v")).distinct()
         except AnalysisException:
-            return None
-        return None if v is None else v[0]
+            return []
+        return sorted(r["v"] for r in rows.orderBy(F.desc("v")).limit(2 * self.KEEP_VERSIONS).collect())
+
+    KEEP_VERSIONS = 3
+
+    def _drop_old(self, spark: SparkSession, versions: list[int]) -> None:
+        for v in versions[:-self.KEEP_VERSIONS]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}")
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
@@ -265,33 +272,102 @@ class UpsertSink:
                 df = spark.read.format("jdbc").options(**self.jdbc).load()
                 df.schema  # noqa: B018  (resolves: fails here if the table is missing)
                 return df
-            except Exception:  # noqa: BLE001  missing table: nothing written yet
+            except Exception as e:  # noqa: BLE001  the driver's error; only "no such table" is expected
+                if not _no_such_table(e):
+                    raise
                 return None
-        v = self._latest_version(spark)
-        return None if v is None else spark.read.parquet(f"{self.path}/v={v}")
+        v = self._versions(spark)
+        return spark.read.parquet(f"{self.path}/v={v[-1]}") if v else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        """Merge one micro-batch; its rows are computed once."""
+        batch = batch.persist()
+        try:
+            if self.buckets:
+                self._merge_buckets(batch)
+            elif self.jdbc is not None:
+                self._merge_jdbc(batch)
+            else:
+                self._merge_version(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _merge_version(self, batch: DataFrame, batch_id: int) -> None:
+        """Write version ``batch_id`` from the highest committed one below it: a
+        replay never reads the version it rewrites."""
         spark = batch.sparkSession
-        if self.buckets:
-            return self._merge_buckets(batch)
-        current = self.read(spark)
+        versions = self._versions(spark)
+        below = [v for v in versions if v < batch_id]
         new = _ntz(batch).withColumn("__prio", F.lit(1))
-        if current is not None:
+        if below:
+            current = spark.read.parquet(f"{self.path}/v={below[-1]}")
             new = new.unionByName(current.withColumn("__prio", F.lit(0)))
         # row_number() = 1 per key; planned with a partial group limit before
         # the shuffle, so a key repeated many times in a batch stays cheap.
-        best = self._best(new)
-        if self.jdbc is not None:
-            # The merged table is checkpointed to the shared folder first, so the
-            # overwrite (truncate + insert) does not read the table it replaces.
-            from farebox.session import cut_lineage
-            merged = cut_lineage(best)
-            (merged.write.format("jdbc").options(**self.jdbc).option("truncate", "true")
-             .mode("overwrite").save())
-            return
-        best.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-        spark.createDataFrame([(str(batch_id),)], "value string") \
-            .write.mode("append").text(self._log())
+        self._best(new).hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        if batch_id not in versions:
+            spark.createDataFrame([(str(batch_id),)], "value string").write.mode("append").text(self._log())
+            self._drop_old(spark, sorted([*versions, batch_id]))
+
+    def _merge_jdbc(self, batch: DataFrame) -> None:
+        """Write the batch's best rows to a staging table and upsert them by key in
+        the database, in one transaction: target rows are never truncated, a failure
+        leaves the target as it was, and a replay merges the same rows again."""
+        spark = batch.sparkSession
+        best = self._best(_ntz(batch).withColumn("__prio", F.lit(1)))
+        target = self.jdbc["dbtable"]
+        stage = f"{target}_stage"
+        best.write.format("jdbc").options(**{**self.jdbc, "dbtable": stage}).mode("overwrite").save()
+        if self.read(spark) is None:
+            best.limit(0).write.format("jdbc").options(**self.jdbc).mode("append").save()
+        cols = ", ".join(f'"{c}"' for c in best.columns)
+        same = " AND ".join(f'(t."{k}" = s."{k}" OR (t."{k}" IS NULL AND s."{k}" IS NULL))' for k in self.keys)
+        beats = ""
+        if self.keep == "max":
+            v = f'"{self.value_col}"'
+            beats = f" AND (t.{v} IS NULL OR s.{v} >= t.{v})"
+        _in_one_transaction(spark, self.jdbc, [
+            f"DELETE FROM {target} AS t WHERE EXISTS (SELECT 1 FROM {stage} AS s WHERE {same}{beats})",
+            f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {stage} AS s "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {target} AS t WHERE {same})",
+        ])
+
+
+# SQL states of "table does not exist" (standard, Derby, Postgres).
+_NO_TABLE_STATES = ("42S02", "42X05", "42P01")
+
+
+def _no_such_table(error: Exception) -> bool:
+    java = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
+    while java is not None:
+        state = java.getSQLState() if hasattr(java, "getSQLState") and "SQL" in java.getClass().getName() else None
+        if state in _NO_TABLE_STATES:
+            return True
+        java = java.getCause()
+    text = str(error)
+    return "does not exist" in text and any(w in text for w in ("Table/View", "relation", "Table "))
+
+
+def _in_one_transaction(spark: SparkSession, jdbc: dict, statements: Sequence[str]) -> None:
+    """Run SQL statements in the database: all of them or none."""
+    jvm = spark._jvm
+    if jdbc.get("driver"):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(jdbc["driver"])
+    props = jvm.java.util.Properties()
+    for k in ("user", "password"):
+        if k in jdbc:
+            props.setProperty(k, jdbc[k])
+    connection = jvm.java.sql.DriverManager.getConnection(jdbc["url"], props)
+    try:
+        connection.setAutoCommit(False)
+        for sql in statements:
+            connection.createStatement().executeUpdate(sql)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
 
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str,
@@ -327,27 +403,18 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoin
 
 
 def run_available(df: DataFrame, sink, checkpoint: str, output_mode: str = "append",
-                  timeout_s: int = 600, state_partitions: int | None = None) -> None:
+                  timeout_s: int | None = None, state_partitions: int | None = None) -> None:
     """Drain everything currently available (incl. the closing no-data batch
-    that emits windows the final watermark has passed), then stop."""
+    that emits windows the final watermark has passed), then stop.  There is no time
+    limit unless ``timeout_s`` gives one."""
     q = start(df, sink, checkpoint, trigger={"availableNow": True}, output_mode=output_mode,
               state_partitions=state_partitions)
     try:
         finished = q.awaitTermination(timeout_s)
-        if not finished:
+        if timeout_s is not None and not finished:
             raise TimeoutError(f"stream did not finish within {timeout_s}s")
         if q.exception() is not None:
             raise q.exception()
     finally:
         if q.isActive:
             q.stop()
-
-
-def write_json_lines(rows: Iterable[dict], folder: str, name: str = "part-0.json") -> str:
-    """Land hand-made messages as a JSON-line file (tests: late rows etc.)."""
-    os.makedirs(folder, exist_ok=True)
-    p = os.path.join(folder, name)
-    with open(p, "w") as fh:
-        for r in rows:
-            fh.write(json.dumps(r) + "\n")
-    return p

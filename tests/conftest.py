@@ -1,5 +1,6 @@
 import contextlib
 import io
+import json
 import os
 import sys
 import tempfile
@@ -36,3 +37,13 @@ def plan_text(df, mode="formatted"):
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
+
+
+def write_json_lines(rows, folder, name="part-0.json"):
+    """Land hand-made messages as a JSON-line file (tests: late rows etc.)."""
+    os.makedirs(folder, exist_ok=True)
+    p = os.path.join(folder, name)
+    with open(p, "w") as fh:
+        for r in rows:
+            fh.write(json.dumps(r) + "\n")
+    return p

@@ -95,13 +95,14 @@ def test_with_zone_names_left_and_inner(spark):
     assert inner.count() == 1
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(100000).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan_text(big.join(J.bounded_broadcast(small, 100), "k"))
+def test_bounded_broadcast_follows_the_size_of_the_files(spark, tmp_path):
+    small, big, path = spark.range(10), spark.range(100000).withColumnRenamed("id", "k"), str(tmp_path / "side")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" not in plan_text(big.join(J.bounded_broadcast(big, 100), "k"))
+        for rows, fits in ((small, True), (spark.range(200_000), False)):  # grown under the same name
+            rows.withColumnRenamed("id", "k").coalesce(1).write.mode("overwrite").parquet(path)
+            side = J.bounded_broadcast(spark.read.parquet(path), 50_000)
+            assert ("BroadcastHashJoin" in plan_text(big.join(side, "k"))) == fits
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from farebox import schemas
 from farebox.streaming import jobs as S
+from tests.conftest import write_json_lines
 
 EPOCH = dt.datetime(2024, 1, 1)
 
@@ -25,7 +26,7 @@ def run_tumbling(spark, topic, sink_path, ckpt):
 
 def test_tumbling_window_drops_late_rows_and_restarts(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([{"test_data": 1, "event_timestamp": ms(0, 10)},
+    write_json_lines([{"test_data": 1, "event_timestamp": ms(0, 10)},
                         {"test_data": 1, "event_timestamp": ms(0, 50)},
                         {"test_data": 2, "event_timestamp": ms(1, 5)},
                         {"test_data": 1, "event_timestamp": ms(3, 0)}], topic, "a.json")
@@ -35,7 +36,7 @@ def test_tumbling_window_drops_late_rows_and_restarts(spark, tmp):
     assert got == [(0, 1, 2), (1, 2, 1)]
     # Second batch after restart from the checkpoint: a late row for minute 0
     # (dropped) and rows that push the watermark past minute 3.
-    S.write_json_lines([{"test_data": 1, "event_timestamp": ms(0, 20)},
+    write_json_lines([{"test_data": 1, "event_timestamp": ms(0, 20)},
                         {"test_data": 1, "event_timestamp": ms(3, 30)},
                         {"test_data": 1, "event_timestamp": ms(5, 0)}], topic, "b.json")
     sink = run_tumbling(spark, topic, f"{tmp}/sink", f"{tmp}/ckpt")
@@ -59,7 +60,7 @@ def sessions(spark, topic, sink, ckpt):
 
 def test_session_windows_and_upsert_sinks(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([
+    write_json_lines([
         green_msg(1, 2, "2019-10-01 10:00:00"), green_msg(1, 2, "2019-10-01 10:04:00"),
         green_msg(1, 2, "2019-10-01 10:09:00"),            # exactly 5 min later: same session
         green_msg(1, 2, "2019-10-01 11:00:00"),             # new session
@@ -91,7 +92,7 @@ def test_upsert_sink_replays_batch_idempotently(spark, tmp):
 
 def test_passthrough_and_json_round_trip(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([{"test_data": 7, "event_timestamp": 1704067207179.575}], topic)
+    write_json_lines([{"test_data": 7, "event_timestamp": 1704067207179.575}], topic)
     stream = S.read_json_stream(spark, {"path": topic}, schemas.TEST_EVENT)
     sink = S.AppendSink(f"{tmp}/pass")
     S.run_available(S.passthrough_events(stream), sink, f"{tmp}/ckpt")
@@ -113,7 +114,7 @@ def test_decoder_text_int_is_null_and_select_existing(spark):
 
 def test_start_uses_checkpoint(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([{"test_data": 1, "event_timestamp": ms(0)}], topic)
+    write_json_lines([{"test_data": 1, "event_timestamp": ms(0)}], topic)
     stream = S.read_json_stream(spark, {"path": topic}, schemas.TEST_EVENT)
     q = S.start(S.passthrough_events(stream), "parquet", f"{tmp}/ckpt",
                 trigger={"availableNow": True}, path=f"{tmp}/out")
@@ -128,7 +129,7 @@ def test_stream_sinks_to_embedded_derby(spark, tmp):
     url = f"jdbc:derby:{tmp}/derby;create=true"
     drv = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     topic = f"{tmp}/topic"
-    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
+    write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
                         green_msg(1, 2, "2019-10-01 10:03:00"),
                         green_msg(5, 6, "2019-10-01 11:00:00"),
                         green_msg(5, 6, "2019-10-01 12:00:00")], topic)
@@ -147,7 +148,7 @@ def test_stream_sinks_to_embedded_derby(spark, tmp):
 
 def test_session_late_row_is_dropped(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
+    write_json_lines([green_msg(1, 2, "2019-10-01 10:00:00"),
                         green_msg(1, 2, "2019-10-01 10:02:00"),
                         green_msg(9, 9, "2019-10-01 12:00:00")], topic, "a.json")
     sink = S.AppendSink(f"{tmp}/s")
@@ -155,7 +156,7 @@ def test_session_late_row_is_dropped(spark, tmp):
     before = sorted(tuple(r)[:3] + (r.longest_streak,) for r in sink.read(spark).collect())
     # 10:03 belongs to the closed session [10:00, 10:07): the watermark
     # (11:59:55) has passed it, so it is dropped, not merged or re-emitted.
-    S.write_json_lines([green_msg(1, 2, "2019-10-01 10:03:00"),
+    write_json_lines([green_msg(1, 2, "2019-10-01 10:03:00"),
                         green_msg(9, 9, "2019-10-01 13:00:00")], topic, "b.json")
     sessions(spark, topic, sink, f"{tmp}/c")
     after = sorted(tuple(r)[:3] + (r.longest_streak,) for r in sink.read(spark).collect())
@@ -166,14 +167,14 @@ def test_session_late_row_is_dropped(spark, tmp):
 
 def test_processing_time_trigger(spark, tmp):
     topic = f"{tmp}/topic"
-    S.write_json_lines([{"test_data": i, "event_timestamp": ms(i)} for i in range(5)], topic)
+    write_json_lines([{"test_data": i, "event_timestamp": ms(i)} for i in range(5)], topic)
     stream = S.read_json_stream(spark, {"path": topic}, schemas.TEST_EVENT)
     sink = S.AppendSink(f"{tmp}/out")
     q = S.start(S.passthrough_events(stream), sink, f"{tmp}/ckpt",
                 trigger={"processingTime": "1 second"})
     try:
         q.processAllAvailable()
-        S.write_json_lines([{"test_data": 9, "event_timestamp": ms(9)}], topic, "more.json")
+        write_json_lines([{"test_data": 9, "event_timestamp": ms(9)}], topic, "more.json")
         q.processAllAvailable()
     finally:
         q.stop()
