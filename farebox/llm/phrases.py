@@ -5,17 +5,18 @@ starts in a document with a smaller id.
 
 1. Every window has an anchor: the five words inside it with the least hash.  Equal
    windows have equal anchors, so a window can only recur where its anchor does.  A
-   document sends its distinct anchors, a fifth of its words, and those that two
-   documents share come back to it.
-2. A segment is a run of windows with the same anchor.  Documents send the segments of
-   recurring anchors, by a 128-bit id; equal segments are one row with their first and last
-   document, so a passage that a third of all documents hold is one row as well.
+   segment is a run of windows with the same anchor.  A document sends the anchors and ids of
+   its distinct segments, a fifth of its words; what holds an anchor that two documents share
+   comes back to it, with the segments it is the first document of.
+2. Documents give the places of those segments, and the first document of a segment its
+   text: a passage that a third of all documents hold is told once.
 3. Shards of distinct segments, dealt by anchor, confirm the recurring phrases: a
    segment that is alone with its anchor is one phrase, of others each window that two
    documents share.  Each shard compiles them into Aho-Corasick automata (of at most
    about ``PHRASES`` segments) and streams its segments through them, which locates every
    occurrence, with the first document that holds it.
-4. The occurrences go back to the documents by segment id, as spans of words.
+4. The occurrences go back to the documents by anchor and segment id (128 bits together),
+   as spans of words.
 
 Words are compared as they are; the automata compare text, hashes only bring together
 what may be equal.
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,48 +84,58 @@ def _variant() -> Column:
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """(anchor, doc_id): the distinct anchors of each document."""
+    """(anchor, sid, doc_id): the distinct segments of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Words()
         for b in slices(batches, 500):
-            got = [np.unique(segments((t or "").encode().split(), memo)[0]) for t in b.column(1).to_pylist()]
-            ids = np.repeat(b.column(0).to_numpy(), [len(x) for x in got])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got)), pa.array(ids)], names=["anchor", "doc_id"])
+            anchor, sid, n = [], [], []
+            for t in b.column(1).to_pylist():
+                words = (t or "").encode().split()
+                a, first, end = segments(words, memo)
+                each = {*zip(a.tolist(), _ids(words, first, end))}
+                n.append(len(each))
+                anchor += [x for x, _ in each]
+                sid += [y for _, y in each]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor, pa.int64()), pa.array(sid, pa.int64()), pa.array(np.repeat(b.column(0).to_numpy(), n))],
+                names=["anchor", "sid", "doc_id"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, sid long, doc_id long")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
+def _ids(words: list[bytes], first: np.ndarray, end: np.ndarray) -> list[int]:
+    """Signed 64-bit id of each segment's text."""
+    from xxhash import xxh3_64_intdigest
+
+    h = [xxh3_64_intdigest(b" ".join(words[i:j])) for i, j in zip(first.tolist(), end.tolist())]
+    return np.array(h, np.uint64).view(np.int64).tolist()
 
 
 def recurring_segments(docs: DataFrame) -> DataFrame:
-    """(anchor, s1, s2, doc_id, place, text) from (doc_id, text, variant, shared): the
-    segments of shared anchors.  A task gives the text of a segment once."""
+    """(anchor, sid, doc_id, place, text, last) from (doc_id, text, variant, shared,
+    firsts): the segments of shared anchors; text and the last document only where
+    the document is the first that holds the segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        memo, told = Words(), set()
+        memo = Words()
         for b in slices(batches, 200):
             out: list[tuple] = []
-            for doc, text, variant, shared in zip(*(c.to_pylist() for c in b.columns)):
+            for doc, text, variant, shared, firsts in zip(*(c.to_pylist() for c in b.columns)):
                 words = (text or "").encode().split()
                 a, first, end = segments(words, memo)
                 hit = np.isin(a, np.array(shared, np.int64))
-                for anchor, i, j in zip(a[hit].tolist(), first[hit].tolist(), end[hit].tolist()):
-                    raw = b" ".join(words[i:j])
-                    sid = xxh3_128_digest(raw)
-                    new = sid not in told
-                    if new:
-                        if len(told) > MEMO:
-                            told.clear()
-                        told.add(sid)
-                    out.append((anchor, int.from_bytes(sid[:8], "big", signed=True),
-                                int.from_bytes(sid[8:], "big", signed=True), doc, variant << 40 | i,
-                                raw.decode() if new else None))
+                a, first, end = a[hit], first[hit], end[hit]
+                told = {x["sid"]: x["last"] for x in firsts}
+                for anchor, sid, i, j in zip(a.tolist(), _ids(words, first, end), first.tolist(), end.tolist()):
+                    last = told.pop(sid, None)
+                    out.append((anchor, sid, doc, variant << 40 | i,
+                                None if last is None else b" ".join(words[i:j]).decode(), last))
             cols = list(zip(*out)) or [[]] * 6
-            kinds = [pa.int64()] * 5 + [pa.string()]
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["anchor", "s1", "s2", "doc_id", "place", "text"])
+                                             names=["anchor", "sid", "doc_id", "place", "text", "last"])
 
-    return docs.select("doc_id", "text", "variant", "shared").mapInArrow(
-        run, "anchor long, s1 long, s2 long, doc_id long, place long, text string")
+    return docs.select("doc_id", "text", "variant", "shared", "firsts").mapInArrow(
+        run, "anchor long, sid long, doc_id long, place long, text string, last long")
 
 
 def _windows(words: list[str]) -> list[str]:
@@ -158,12 +170,11 @@ def _located(group: list[tuple[str, int, int]], phrases: dict[str, int]) -> list
 
 
 def located(distinct: DataFrame, shards: int) -> DataFrame:
-    """(s1, s2, spans) of the distinct segments that hold a recurring phrase."""
+    """(anchor, sid, spans) of the distinct segments that hold a recurring phrase."""
     def run(t: pa.Table) -> pa.Table:
         by_anchor = defaultdict(list)
-        for anchor, s1, s2, text, first, last in zip(*(t.column(c).to_pylist() for c in (
-                "anchor", "s1", "s2", "text", "first", "last"))):
-            by_anchor[anchor].append((s1, s2, text, first, last))
+        for anchor, *segment in zip(*(t.column(c).to_pylist() for c in ("anchor", "sid", "text", "first", "last"))):
+            by_anchor[anchor].append(segment)
         keys, found = [], []
         group: list[tuple[str, int, int]] = []
         phrases: dict[str, int] = {}
@@ -176,53 +187,55 @@ def located(distinct: DataFrame, shards: int) -> DataFrame:
             group.clear()
             phrases.clear()
 
-        for same in by_anchor.values():
+        for anchor, same in by_anchor.items():
             if len(same) == 1:
-                _, _, text, first, last = same[0]
+                _, text, first, last = same[0]
                 if first < last:
                     phrases[text] = first
             else:
                 range_of: dict[str, tuple[int, int]] = {}
-                for _, _, text, first, last in same:
+                for _, text, first, last in same:
                     for w in _windows(text.split(" ")):
                         lo, hi = range_of.get(w, (first, last))
                         range_of[w] = (min(lo, first), max(hi, last))
                 phrases.update((w, lo) for w, (lo, hi) in range_of.items() if lo < hi)
-            for s1, s2, text, first, last in same:
-                keys.append((s1, s2))
+            for sid, text, first, last in same:
+                keys.append((anchor, sid))
                 group.append((text, first, last))
             if len(group) >= PHRASES:
                 done()
         done()
         rows = [(k, s) for k, s in zip(keys, found) if s]
         return pa.table({
-            "s1": pa.array([k[0] for k, _ in rows], pa.int64()), "s2": pa.array([k[1] for k, _ in rows], pa.int64()),
+            "anchor": pa.array([k[0] for k, _ in rows], pa.int64()), "sid": pa.array([k[1] for k, _ in rows], pa.int64()),
             "spans": pa.array([[{"s": a, "e": e, "first": f} for a, e, f in s] for _, s in rows],
                               pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("first", pa.int64())])))})
 
     return (distinct.withColumn("shard", F.pmod("anchor", F.lit(shards))).groupBy("shard")
-            .applyInArrow(run, f"s1 long, s2 long, spans array<{_SPAN}>"))
+            .applyInArrow(run, f"anchor long, sid long, spans array<{_SPAN}>"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, variant, spans): the word spans of each document that windows also
     starting in a smaller doc_id cover."""
     known = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    sent = anchors(known)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one shuffle serves the counts and what comes back: both read the same columns with the same filters
-    sent = sent.filter("anchor is not null and doc_id is not null").repartition(n, "anchor")
-    shared = (sent.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-              .select(F.col("anchor").alias("a"), "lo").hint("shuffle_hash"))
-    back = sent.join(shared, (F.col("anchor") == F.col("a")) & (F.col("doc_id") >= F.col("lo")), "left_semi")
-    of_doc = staged(back.groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "phrases-shared")
+    # kept by anchor while three steps read it; what a lost executor held is computed again
+    sent = anchors(known).repartition(n, "anchor").persist(StorageLevel.MEMORY_AND_DISK)
+    shared = sent.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+    each = (sent.groupBy("anchor", "sid").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+            .join(shared.select("anchor").hint("shuffle_hash"), "anchor"))
+    back = sent.join(each.hint("shuffle_hash"), ["anchor", "sid"])
+    told = F.when(F.col("doc_id") == F.col("first"), F.struct("sid", "last"))
+    of_doc = staged(back.groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"), F.collect_list(told).alias("firsts")),
+                    "phrases-shared")
+    sent.unpersist()
     rows = staged(recurring_segments(known.withColumn("variant", _variant()).join(of_doc, "doc_id")), "phrases-segments")
-    distinct = staged(rows.groupBy("anchor", "s1", "s2").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max("text").alias("text")), "phrases-distinct")
+    distinct = rows.filter("text is not null").select("anchor", "sid", "text", F.col("doc_id").alias("first"), "last")
     shards = max(1, -(-distinct.count() // SHARD_SEGMENTS))
     found = located(distinct, shards)
     start = F.col("place").bitwiseAND(F.lit((1 << 40) - 1)).cast("int")
-    return (rows.select("s1", "s2", "doc_id", "place").join(found, ["s1", "s2"])
+    return (rows.select("anchor", "sid", "doc_id", "place").join(found, ["anchor", "sid"])
             .select("doc_id", F.shiftright("place", 40).alias("variant"), start.alias("at"),
                     F.explode(F.filter("spans", lambda s: s["first"] < F.col("doc_id"))).alias("x"))
             .groupBy("doc_id", "variant")
