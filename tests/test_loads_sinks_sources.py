@@ -3,6 +3,8 @@ import glob
 import gzip
 import os
 
+import pytest
+
 from conftest import SF_SMALL, plan_text
 from pyspark.sql import functions as F
 
@@ -244,3 +246,33 @@ def test_day_filters_push_timestamp_ranges_to_scan(spark):
                FL.between_days(li, "l_shipdate", "1996-01-01", "1996-01-15")):
         plan = plan_text(df.select("l_orderkey"))
         assert "GreaterThanOrEqual(l_shipdate," in plan and "LessThan(l_shipdate," in plan
+
+
+def _pages(tmp, *pages):
+    os.makedirs(f"{tmp}/landed", exist_ok=True)
+    for i, p in enumerate(pages):
+        with open(f"{tmp}/landed/{i}.json", "w") as f:
+            f.write(p + "\n")
+    return f"{tmp}/landed"
+
+
+@pytest.mark.parametrize("bad", ['{"page_no": 2, "records": "oops"}', '{"page_no": 2, "records": [{"trip_pi', '{"page_no": 2}',
+                                 '{"records": []}'])
+def test_malformed_page_fails_the_load(spark, tmp, bad):
+    ride = '{"page_no": %d, "records": [{"trip_pickup_date_time": "2009-06-14T23:23:00"}]}'
+    folder = _pages(tmp, ride % 1, bad, ride % 3)
+    with pytest.raises(Exception, match="malformed page"):
+        load_pages(spark, folder).collect()
+    assert load_pages(spark, _pages(tmp + "/fine", ride % 1, ride % 2, '{"page_no": 3, "records": []}', ride % 4)).count() == 2
+
+
+def test_value_that_does_not_parse_fails_the_read(spark, tmp):
+    for name, text, column in (("z", "LocationID,Borough,Zone,service_zone\n1,A,B,C,extra\nxx,A,B,C\n", "locationid"),):
+        with open(f"{tmp}/{name}.csv", "w") as f:
+            f.write(text)
+        with pytest.raises(Exception, match=f"column {column}"):
+            S.read_zones(spark, f"{tmp}/{name}.csv").collect()
+    with open(f"{tmp}/ok.csv", "w") as f:
+        f.write("LocationID,Borough,Zone,service_zone\n1,A,B,C,extra\n2,A\n")
+    assert [tuple(r) for r in S.read_zones(spark, f"{tmp}/ok.csv").orderBy("locationid").collect()] == [
+        (1, "A", "B", "C"), (2, "A", None, None)]

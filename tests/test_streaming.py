@@ -1,11 +1,13 @@
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from farebox import schemas
 from farebox.streaming import jobs as S
-from tests.conftest import write_json_lines
+from conftest import write_json_lines
 
 EPOCH = dt.datetime(2024, 1, 1)
 
@@ -196,3 +198,41 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp):
     after = {n: sorted(os.listdir(f"{tmp}/u/table/{n}")) for n in folders()}
     changed = [n for n in after if after[n] != stamp.get(n)]
     assert 1 <= len(changed) <= 2  # only the buckets of keys 3 and 41
+
+
+def test_upsert_version_replay_and_old_versions(spark, tmp_path):
+    sink = S.UpsertSink(str(tmp_path / "t"), ["k"], keep="last")
+    for b in range(6):
+        sink(spark.createDataFrame([(b % 2, b), (9, b)], "k int, v int"), b)
+    sink(spark.createDataFrame([(5 % 2, 5), (9, 5)], "k int, v int"), 5)  # replayed: reads version 4, not itself
+    assert sorted(map(tuple, sink.read(spark).collect())) == [(0, 4), (1, 5), (9, 5)]
+    assert sorted(p for p in os.listdir(tmp_path / "t") if p.startswith("v=")) == ["v=3", "v=4", "v=5"]
+
+
+def test_upsert_computes_a_batch_once_and_settles_ties(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    sink = S.UpsertSink(str(tmp_path / "b"), ["k"], keep="max", value_col="v", buckets=4)
+    for b in range(2):
+        rows = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (2, b, "c")], "k int, v int, x string").coalesce(1)
+        before = seen.value
+        sink(rows.mapInArrow(count, rows.schema), b)
+        assert seen.value - before == 3
+    assert sorted(map(tuple, sink.read(spark).collect())) == [(1, 5, "b"), (2, 1, "c")]
+
+
+def test_jdbc_upsert_keeps_the_target_and_raises_other_errors(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    sink = S.UpsertSink(None, ["k"], keep="max", value_col="v", jdbc={
+        "url": url, "dbtable": "streaks", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    for b, rows in enumerate([[(1, 5), (2, 1)], [(1, 3), (3, 7)], [(2, 4)], [(2, 4)]]):
+        sink(spark.createDataFrame(rows, "k int, v int"), b)
+    assert sorted(map(tuple, sink.read(spark).collect())) == [(1, 5), (2, 4), (3, 7)]
+    broken = S.UpsertSink(None, ["k"], jdbc={"url": "jdbc:nothing:here", "dbtable": "t"})
+    with pytest.raises(Exception):
+        broken.read(spark)
