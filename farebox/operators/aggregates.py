@@ -127,17 +127,13 @@ def least_frequent_zone(df: DataFrame, zones: DataFrame, key: str = "PULocationI
 
 def group_percentiles(df: DataFrame, value: str, group: Sequence,
                       percentages: dict[str, float]) -> DataFrame:
-    """Exact (continuous) percentiles, one row per group, one pass.
-
-    Replaces "percentile window on every row, then distinct": same values,
-    no per-row blow-up, partial aggregation before the shuffle.
-    """
-    names = list(percentages)
-    arr = F.percentile(F.col(value).cast("double"),
-                       F.array(*[F.lit(percentages[n]) for n in names]))
-    agg = df.groupBy(*group).agg(arr.alias("__p"))
-    keys = [c for c in agg.columns if c != "__p"]
-    return agg.select(*keys, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)])
+    """Exact (continuous) percentiles, one row per group; no task holds a
+    group's values (see ``percentiles``)."""
+    from farebox.operators.percentiles import group_percentile_values
+    named = {g: F.col(g) for g in group if isinstance(g, str)}
+    if len(named) < len(group):
+        raise ValueError("name computed group columns first")
+    return group_percentile_values(df, value, list(named), percentages)
 
 
 def rollup(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:

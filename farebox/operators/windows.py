@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farebox.operators.percentiles import group_percentile_values, written
+
 
 
 def _order_cols(cols) -> list[Column]:
@@ -69,18 +71,15 @@ def group_percentiles_on_rows(df: DataFrame, value: str, group: Sequence[str],
                               percentages: dict[str, float]) -> DataFrame:
     """``percentile_cont(value, p) OVER (PARTITION BY group)`` on every row.
 
-    Computed as a grouped aggregate (partial aggregation map-side, so a hot
-    group never sits whole in one task) joined back on the group key with a
-    NULL-safe equality, as PARTITION BY groups NULLs together.  The per-group
-    side carries no broadcast hint: its size is only known after its shuffle
-    stage, where AQE turns the join into a broadcast if it is small, and
-    otherwise keeps the sort-merge join and splits skewed partitions.
+    The rows are written once; the percentiles of their groups are found without
+    holding a group's values anywhere (``percentiles``) and joined back on the
+    group key with a NULL-safe equality, as PARTITION BY groups NULLs together.  The
+    per-group side carries no broadcast hint: AQE turns the join into a broadcast if it is
+    small, and otherwise keeps the sort-merge join and splits skewed partitions.
     """
-    names = list(percentages)
-    arr = F.percentile(F.col(value), F.array(*[F.lit(percentages[n]) for n in names]))
+    df = written(df, "percentile-rows")
+    per_group = group_percentile_values(df, value, group, percentages)
     keys = [f"__g{i}" for i in range(len(group))]
-    per_group = (df.groupBy(*[F.col(g).alias(k) for g, k in zip(group, keys)])
-                 .agg(arr.alias("__p"))
-                 .select(*keys, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)]))
+    per_group = per_group.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], *percentages)
     cond = [df[g].eqNullSafe(per_group[k]) for g, k in zip(group, keys)]
     return df.join(per_group, cond, "left").drop(*keys)

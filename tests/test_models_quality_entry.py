@@ -2,6 +2,7 @@ import datetime as dt
 
 import duckdb
 from conftest import SF_SMALL, plan_text
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -49,12 +50,10 @@ def test_fact_trips_joins_known_zones_by_broadcast(spark):
     assert set(fact.columns) == set(M.FACT_COLUMNS)
 
 
-def test_fare_percentiles_use_aggregate_not_window(spark):
+def test_fare_percentiles_hold_no_group_buffer(spark):
     fact = M.staged_fact(fx.green(spark, SF_SMALL), fx.yellow(spark, SF_SMALL),
                          fx.zones(spark, SF_SMALL))
-    plan = plan_text(M.fct_monthly_fare_percentiles(fact))
-    assert "percentile(" in plan
-    assert "Window [" not in plan.split("(1)")[0]
+    assert "percentile(" not in plan_text(M.fct_monthly_fare_percentiles(fact))
 
 
 def test_dim_zones_renames_boro(spark):
@@ -119,12 +118,20 @@ def test_sample_queries_match_oracle_on_smoke_data(spark):
             digest(ocols, cur.fetchall())[0], name
 
 
-def test_hot_key_aggregate_is_partial(spark):
-    # A third of the rows on one key: the aggregate still combines map-side.
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
-                                   .alias("k"), F.col("id").cast("double").alias("x"))
-    plan = plan_text(df.groupBy("k").agg(F.percentile("x", 0.9)))
-    assert "partial_percentile" in plan
+def test_percentiles_of_a_hot_group_of_distinct_values(spark):
+    """A third of the rows in one group, all values distinct: exact, and its values
+    are dealt over several partitions."""
+    from farebox.operators.percentiles import group_percentile_values
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1).alias("k"),
+                                   (F.col("id") * 1.37 % 1000).alias("x"))
+    p = {"p10": 0.1, "p90": 0.9, "p97": 0.97}
+    want = {r["k"]: r["v"] for r in df.groupBy("k").agg(F.percentile("x", F.array(*map(F.lit, p.values()))).alias("v")).collect()}
+    got = group_percentile_values(df, "x", ["k"], p).collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert [r["p10"], r["p90"], r["p97"]] == pytest.approx(want[r["k"]], rel=1e-12)
+    hot = df.filter("k = 0").repartitionByRange(4, "k", "x").select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert hot.filter("count > 0").count() == 4
 
 
 def test_cli_build_all_and_backfill(spark, tmp):
