@@ -49,7 +49,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back: cuts lineage
     and survives lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
