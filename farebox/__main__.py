@@ -40,13 +40,15 @@ def cmd_ingest(spark, a):
 
 def cmd_load_month(spark, a):
     from farebox.plans.loads import load_month
-    n = load_month(spark, a.service, a.year, a.month, a.src, a.target, width=a.key_fields)
+    n = load_month(spark, a.service, a.year, a.month, a.src, a.target, width=a.key_fields,
+                   binary=a.binary_key)
     print(f"inserted {n} rows")
 
 
 def cmd_backfill(spark, a):
     from farebox.plans.loads import load_months
-    n = load_months(spark, a.service, a.src, a.target, width=a.key_fields)
+    n = load_months(spark, a.service, a.src, a.target, width=a.key_fields,
+                   binary=a.binary_key)
     print(f"inserted {n} rows")
 
 
@@ -64,21 +66,31 @@ def cmd_stream(spark, a):
     from farebox.streaming import jobs as S
     source = ({"kafka": {"kafka.bootstrap.servers": a.kafka}, "topic": a.topic}
               if a.kafka else {"path": a.source})
+    jdbc = None
+    if a.url:
+        jdbc = {"url": a.url, "dbtable": a.table} | {
+            k: v for k, v in (("user", a.user), ("password", a.password), ("driver", a.driver)) if v}
+    if (a.sink is None) == (jdbc is None) or (a.url and not a.table):
+        raise SystemExit("give either --sink or --url with --table")
     if a.job == "tumbling":
         raw = S.read_json_stream(spark, source, schemas.TEST_EVENT, a.starting)
         df = S.tumbling_counts(S.decode_test_events(raw), "event_watermark", "test_data",
                                "1 minute", "1 second")
-        sink = S.AppendSink(a.sink)
+        sink = S.AppendSink(a.sink, jdbc)
     elif a.job == "sessions":
         raw = S.read_json_stream(spark, source, schemas.GREEN_EVENT, a.starting)
         df = S.session_counts(S.decode_green_trips(raw), "lpep_dropoff_datetime",
                               ["PULocationID", "DOLocationID"], "5 minutes", "5 seconds")
         sink = S.UpsertSink(a.sink, ["PULocationID", "DOLocationID"], keep=a.keep,
-                            order_col="session_end", value_col="longest_streak")
+                            order_col="session_end", value_col="longest_streak", jdbc=jdbc)
+    elif a.job == "trips":
+        raw = S.read_json_stream(spark, source, schemas.text_times(schemas.GREEN_RAW), a.starting)
+        df = S.passthrough_trips(S.decode_green_trips(raw))
+        sink = S.AppendSink(a.sink, jdbc)
     else:
         raw = S.read_json_stream(spark, source, schemas.TEST_EVENT, a.starting)
         df = S.passthrough_events(raw)
-        sink = S.AppendSink(a.sink)
+        sink = S.AppendSink(a.sink, jdbc)
     if a.available_now:
         S.run_available(df, sink, a.checkpoint)
     else:
@@ -108,6 +120,7 @@ def main(argv=None):
         p.add_argument("--src", required=True)
         p.add_argument("--target", required=True)
         p.add_argument("--key-fields", type=int, default=7, choices=[5, 7])
+        p.add_argument("--binary-key", action="store_true")
         if name == "load-month":
             p.add_argument("--year", type=int, required=True)
             p.add_argument("--month", type=int, required=True)
@@ -121,12 +134,14 @@ def main(argv=None):
     p.set_defaults(fn=cmd_build)
 
     p = sub.add_parser("stream")
-    p.add_argument("job", choices=["tumbling", "sessions", "passthrough"])
+    p.add_argument("job", choices=["tumbling", "sessions", "passthrough", "trips"])
     p.add_argument("--source")
     p.add_argument("--kafka")
     p.add_argument("--topic")
     p.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
-    p.add_argument("--sink", required=True)
+    p.add_argument("--sink")
+    for option in ("--url", "--table", "--user", "--password", "--driver"):
+        p.add_argument(option)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--keep", default="last", choices=["last", "max"])
     p.add_argument("--available-now", action="store_true")

@@ -613,17 +613,36 @@ def _green_messages(spark, d, full: bool = False) -> DataFrame:
                     "trip_distance", "tip_amount")
 
 
-def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factory):
+def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factory,
+                    time_col: str | None = None, slices: int = 3, late: bool = False):
     """Publish ``messages`` as JSON lines, run ``build(decoded stream)`` into
-    the sink until everything available is processed, return the sink."""
+    the sink until everything available is processed, return the sink.
+
+    With ``time_col`` they are published in ``slices`` of event time and the stream is
+    drained, stopped and restarted from its checkpoint after each, so that the sink
+    merges into what it already holds; ``late`` publishes the first slice once more at
+    the end, when all of it is behind the watermark."""
     from farebox.session import scratch_path
     from farebox.streaming import jobs as S
     root = scratch_path(spark, name)
-    S.publish_json(messages, {"path": f"{root}/topic"})
-    stream = S.read_json_stream(spark, {"path": f"{root}/topic"}, schema)
     sink = sink_factory(f"{root}/sink")
-    S.run_available(build(stream), sink, f"{root}/checkpoint",
-                    state_partitions=_parallelism(spark))
+    parts = [messages]
+    if time_col:
+        at = F.col(time_col) if messages.schema[time_col].dataType == T.DoubleType() else \
+            F.unix_seconds(F.to_timestamp(time_col, "yyyy-MM-dd HH:mm:ss")).cast("double")
+        timed = messages.withColumn("__at", at)
+        bounds = timed.approxQuantile("__at", [k / slices for k in range(1, slices)], 0.01)
+        slot = F.lit(0)
+        for bound in bounds:
+            slot = slot + F.when(F.col("__at") > bound, 1).otherwise(0)
+        timed = timed.withColumn("__slot", slot)
+        order = [*range(slices), *([0] if late else [])]
+        parts = [timed.filter(F.col("__slot") == k).drop("__at", "__slot") for k in order]
+    for part in parts:
+        S.publish_json(part, {"path": f"{root}/topic"})
+        stream = S.read_json_stream(spark, {"path": f"{root}/topic"}, schema)
+        S.run_available(build(stream), sink, f"{root}/checkpoint",
+                        state_partitions=_parallelism(spark))
     return sink
 
 
@@ -654,10 +673,23 @@ def q_tumbling_counts(spark, d):
     return sink.read(spark).withColumn("num_hits", big("num_hits"))
 
 
+def q_tumbling_late_rows(spark, d):
+    """The same counts from three slices with a restart after each; the
+    first slice comes again at the end and is dropped as late."""
+    from farebox.streaming import jobs as S
+
+    def build(stream):
+        return S.tumbling_counts(S.decode_test_events(stream), "event_watermark",
+                                 "event_type", "1 minute", "1 second")
+    sink = _stream_through(spark, "tumbling-late", _event_messages(spark, d), EVENT_MSG, build,
+                           lambda p: S.AppendSink(p), time_col="event_timestamp", late=True)
+    return sink.read(spark).withColumn("num_hits", big("num_hits"))
+
+
 GAP, DELAY = "5 minutes", "5 seconds"
 
 
-def _sessions(spark, d, name, sink_factory):
+def _sessions(spark, d, name, sink_factory, time_col=None):
     from farebox import schemas
     from farebox.streaming import jobs as S
 
@@ -665,7 +697,7 @@ def _sessions(spark, d, name, sink_factory):
         return S.session_counts(S.decode_green_trips(stream), "lpep_dropoff_datetime",
                                 ["PULocationID", "DOLocationID"], GAP, DELAY)
     return _stream_through(spark, name, _green_messages(spark, d), schemas.GREEN_EVENT, build,
-                           sink_factory)
+                           sink_factory, time_col)
 
 
 def q_session_counts(spark, d):
@@ -683,7 +715,7 @@ def q_session_upsert_last(spark, d):
     from farebox.streaming import jobs as S
     sink = _sessions(spark, d, "sessions-upsert",
                      lambda p: S.UpsertSink(p, ["PULocationID", "DOLocationID"], keep="last",
-                                            order_col="session_end"))
+                                            order_col="session_end"), "lpep_dropoff_datetime")
     return sink.read(spark).select(big("PULocationID").alias("PULocationID"),
                                    big("DOLocationID").alias("DOLocationID"),
                                    big("longest_streak").alias("longest_streak"))
@@ -696,7 +728,7 @@ def q_longest_streak(spark, d):
     from farebox.streaming import jobs as S
     sink = _sessions(spark, d, "sessions-max",
                      lambda p: S.UpsertSink(p, ["PULocationID", "DOLocationID"], keep="max",
-                                            value_col="longest_streak"))
+                                            value_col="longest_streak"), "lpep_dropoff_datetime")
     best = longest_streak(sink.read(spark))
     return best.select(big("PULocationID").alias("PULocationID"),
                        big("DOLocationID").alias("DOLocationID"),
@@ -818,6 +850,7 @@ QUERIES = {
     "paged_rides": q_paged_rides,
     "passthrough_events": q_passthrough_events,
     "tumbling_counts": q_tumbling_counts,
+    "tumbling_late_rows": q_tumbling_late_rows,
     "session_counts": q_session_counts,
     "session_upsert_last": q_session_upsert_last,
     "longest_streak": q_longest_streak,

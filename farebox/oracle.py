@@ -496,5 +496,9 @@ FROM q a LEFT JOIN q b
 })
 
 
+# late rows change nothing
+ORACLE["tumbling_late_rows"] = ORACLE["tumbling_counts"]
+
+
 def oracle_sql() -> dict:
     return dict(ORACLE)

@@ -125,3 +125,8 @@ GREEN_AGGREGATED = T.StructType([_f("PULocationID", I), _f("DOLocationID", I),
 
 def ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def text_times(schema: T.StructType) -> T.StructType:
+    """The schema of messages that carry their timestamps as text."""
+    return T.StructType([T.StructField(f.name, T.StringType()) if "datetime" in f.name else f for f in schema])
