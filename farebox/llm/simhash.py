@@ -111,9 +111,10 @@ def links(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
     two = counts.filter((F.col("n") == 2) & _near("a", "b", radius)).select(
         F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("block"), "a", "b")
     many = counts.filter("n > 2").select(F.col("key").alias("k"), F.col("block").alias("l"), "a").hint("shuffle_hash")
-    member = (F.col("key") == F.col("k")) & (F.col("block") == F.col("l")) & (F.col("fp") >= F.col("a"))
-    dense = met.join(many, member, "left_semi").select(
-        "key", "block", F.col("fp").alias("a"), F.lit(None).cast("long").alias("b"))
+    # an inner join on the shuffle's own key: one that asks for more would shuffle again
+    same = (F.col("block").bitwiseXOR(F.col("l")) == 0) & (F.col("fp") >= F.col("a"))
+    dense = met.join(many, (F.col("key") == F.col("k")) & same)
+    dense = dense.select("key", "block", F.col("fp").alias("a"), F.lit(None).cast("long").alias("b"))
     both = staged(two.unionByName(dense), "simhash-met")
     dense = both.filter("b is null").select("key", "block", F.col("a").alias("fp"), _inside("a"))
     least = F.min("fp").over(Window.partitionBy("key", "inside"))  # at most 49 members each
