@@ -223,11 +223,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # kept by anchor while three steps read it; what a lost executor held is computed again
     sent = anchors(known).repartition(n, "anchor").persist(StorageLevel.MEMORY_AND_DISK)
     shared = sent.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
-    each = (sent.groupBy("anchor", "sid").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-            .join(shared.select("anchor").hint("shuffle_hash"), "anchor"))
-    back = sent.join(each.hint("shuffle_hash"), ["anchor", "sid"])
-    told = F.when(F.col("doc_id") == F.col("first"), F.struct("sid", "last"))
-    of_doc = staged(back.groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"), F.collect_list(told).alias("firsts")),
+    shared = shared.select(F.col("anchor").alias("recurs")).hint("shuffle_hash")
+    back = sent.join(shared, F.col("anchor") == F.col("recurs")).drop("recurs")
+    each = back.groupBy("anchor", "sid").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last"))
+    told = (back.select("doc_id", "anchor", F.lit(None).cast("struct<sid:long,last:long>").alias("first"))
+            .unionByName(each.select("doc_id", F.lit(None).cast("long").alias("anchor"), F.struct("sid", "last").alias("first"))))
+    of_doc = staged(told.groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"), F.collect_list("first").alias("firsts")),
                     "phrases-shared")
     sent.unpersist()
     rows = staged(recurring_segments(known.withColumn("variant", _variant()).join(of_doc, "doc_id")), "phrases-segments")
