@@ -139,8 +139,10 @@ def across(dense: DataFrame, joined: DataFrame, radius: int = RADIUS) -> DataFra
     named = dense.join(known, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     open_ = (named.groupBy("key", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo != hi").select("key", "block"))
-    left = staged(named.join(open_, ["key", "block"], "left_semi"), "simhash-open")
-    base = left.filter((F.col("fp").bitwiseXOR(F.col("key"))).bitwiseAND(F.bitwise_not("block")) == 0)
+    members = staged(named.join(open_, ["key", "block"], "left_semi"), "simhash-open")
+    # those with the same variant and block value are linked already: one of them will do
+    left = members.groupBy("key", "block", "inside", "component").agg(F.min("fp").alias("fp"))
+    base = members.filter((F.col("fp").bitwiseXOR(F.col("key"))).bitwiseAND(F.bitwise_not("block")) == 0)
     width = BITS // BLOCKS
 
     def flips(n: int) -> Column:
