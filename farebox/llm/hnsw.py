@@ -11,8 +11,11 @@ neighbours that are closer to it than to each other, and the reverse links are
 pruned by the same rule.  Searches run for a whole block at once, as array
 operations over all their beams.  A query whose beam is filled by links is asked
 again with a beam four times as wide, so dense groups are found whole.  Then an audit compares
-the answers of ``AUDIT`` queries of the block with brute force over the shard; as
-long as a link is missed, the beam is doubled.  Where a beam would hold a quarter of the
+answers with brute force over the shard: queries of the block are drawn until ``AUDIT``
+of them have a few links (one to ``FEW``) to other vertices of the shard, or until every
+query of the block is audited; queries without a link or of dense groups are audited
+but don't count, so rare links (most of all those between shards) are seen.  As long as
+a link is missed, the beam is doubled.  Where a beam would hold a quarter of the
 shard or more, the whole shard is compared instead, so the widening ends.
 
 Whatever is found is verified by cosine in double precision.  The tasks return, for
@@ -38,7 +41,7 @@ from farebox.llm.vectors import matrix, one_per_id
 
 LEAST_COSINE = 0.93
 SHARD, QUERY_BLOCK = 8_192, 8_192
-M, M0, BUILD_BEAM, BATCH, BEAM, AUDIT = 12, 24, 48, 256, 48, 128
+M, M0, BUILD_BEAM, BATCH, BEAM, AUDIT, FEW = 12, 24, 48, 256, 48, 256, 8
 SEED = 41
 
 _FOUND = "vertex long, n_links long, root long"
@@ -180,16 +183,33 @@ class Graph:
         return self.beam(0, q, entry, min(width, len(self.x)))
 
 
+def audited(x: np.ndarray, q: np.ndarray, own: np.ndarray, least: float) -> dict[int, int]:
+    """Queries drawn at random, and for each how many nodes brute force links with it:
+    drawn until ``AUDIT`` have one to ``FEW`` links besides their own node, or all are."""
+    drawn = np.random.default_rng(SEED).permutation(len(q))
+    out: dict[int, int] = {}
+    few = 0
+    for at in range(0, len(drawn), 128):
+        part = drawn[at:at + 128]
+        n = (x @ q[part].T >= least).sum(0)
+        out.update(zip(part.tolist(), n.tolist()))
+        others = n - (own[part] >= 0)
+        few += int(((others >= 1) & (others <= FEW)).sum())
+        if few >= AUDIT:
+            break
+    return out
+
+
 def links_in_shard(graph: Graph, x: np.ndarray, q: np.ndarray, own: np.ndarray, least: float) -> list[np.ndarray]:
     """For each query the nodes with cosine >= ``least`` (its own among them, if it is
     a node), beams widened until the audit finds no missed link.  ``x`` and ``q`` are
     unit vectors in double precision, ``own`` the queries' nodes or -1."""
-    audit = np.random.default_rng(SEED).permutation(len(q))[:AUDIT]
-    truth = [np.flatnonzero(x @ q[i] >= least) for i in audit]
+    truth = audited(x, q, own, least)
     width = BEAM
+    found: list[np.ndarray] = [None] * len(q)  # type: ignore[list-item]
+    ask = np.arange(len(q))
     while True:
-        found: list[np.ndarray] = [None] * len(q)  # type: ignore[list-item]
-        todo, wide = np.arange(len(q)), width
+        todo, wide = ask, width
         while len(todo):
             again = []
             if 4 * wide >= len(x):
@@ -206,9 +226,11 @@ def links_in_shard(graph: Graph, x: np.ndarray, q: np.ndarray, own: np.ndarray,
                         f = f[s >= least - 0.001]
                         found[i] = np.sort(f[x[f] @ q[i] >= least]) if len(f) else f
             todo, wide = np.array(again, np.int64), 4 * wide
-        missed = sum(len(t) - len(found[i]) for i, t in zip(audit, truth))
-        if not missed or 4 * width >= len(x):
+        missing = [i for i, n in truth.items() if len(found[i]) < n]
+        if not missing or 4 * width >= len(x):
             return found
+        # audited queries whose links are all there need not be asked again
+        ask = np.array(sorted({*range(len(q))} - truth.keys() | {*missing}), np.int64)
         width *= 2
 
 

@@ -105,6 +105,42 @@ def test_op5_against_brute_force(spark, tmp_path, monkeypatch, shard):
     assert len(got) == len({r[0] for r in got})
 
 
+def islands(n, size, pairs, seed=1, d=64):
+    """Groups of near copies, and single vectors of which each has one partner, last."""
+    rng = np.random.default_rng(seed)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=1)[:, None]
+
+    x = unit(rng.standard_normal((n // size + 1, d)))[np.arange(n) // size] + 0.05 * unit(rng.standard_normal((n, d)))
+    single = unit(rng.standard_normal((pairs, d)))
+    return unit(np.concatenate([x, single])), unit(single + 0.3 * unit(rng.standard_normal((pairs, d))))
+
+
+def test_audit_sees_rare_links():
+    x, partners = islands(3960, 60, 40)
+    x = x[np.random.default_rng(2).permutation(len(x))]
+    q = np.random.default_rng(3).standard_normal((4000, 64))
+    q /= np.linalg.norm(q, axis=1)[:, None]
+    q[:40] = partners
+    truth = [np.flatnonzero(x @ v >= 0.93) for v in q]
+    assert 0 < sum(map(len, truth)) <= 60
+    found = hnsw.links_in_shard(hnsw.Graph(x.astype(np.float32)), x, q, np.full(len(q), -1), 0.93)
+    assert [f.tolist() for f in found] == [t.tolist() for t in truth]
+
+
+def test_op5_rare_links_between_full_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD", 1500)
+    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 1500)
+    x, partners = islands(4200, 60, 150)
+    x = np.concatenate([x, partners])
+    df = spark.createDataFrame([(i, v, 0, "s") for i, v in enumerate(x.tolist())], SCHEMA)
+    x = x.astype(np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    got = {r[0]: r[1] for r in op5_embedding_near_dedup(spark, save(spark, tmp_path, embeddings=df)).collect()}
+    assert got == dict(enumerate(((x @ x.T >= 0.93).sum(1) - 1).tolist()))
+
+
 def test_graph_finds_near_neighbours():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((1500, 32)).astype(np.float32)
