@@ -10,12 +10,13 @@ log10 probability of the text, ``bits_per_byte`` its code length.
 
 How it runs: texts are dealt to chunks (the tasks that read them).  A chunk counts its
 distinct grams (context and byte) and words.  Grams are gathered by their last two
-context bytes, so that the subtrees below these are whole in one group, and the two
-upper levels are plain aggregations of at most 65,536 rows.  Each group then computes
-the probability of every gram that any chunk needs and sends it back to those chunks
-alone, as it is done with the counts of words for the unigram base.  So what a task
-holds is bounded by its own chunk, never by the corpus, and nothing is broadcast but
-the two upper levels.
+context bytes, summed over the chunks to one row for each distinct gram, so that the
+subtrees below these are whole in one group, and the two upper levels are plain
+aggregations of at most 65,536 rows.  Each group then computes the probability of every
+gram that any chunk needs, and a join by gram takes it to those chunks alone, as it is
+done with the counts of words for the unigram base.  So a task holds its own chunk or
+the distinct grams below two bytes, however many chunks there are, and nothing is
+broadcast but the two upper levels.
 
 Words travel as 64-bit hashes.  Defined cases: a null text is empty and consists of
 the end only; without training texts every decision has probability 1/2 and the base
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,6 +189,19 @@ def upper_levels(by_gram: DataFrame) -> dict[int, tuple[np.ndarray, ...]]:
     return out
 
 
+def predicted(summed: DataFrame, upper: Broadcast) -> DataFrame:
+    """(key, value): log10 probability of each distinct gram, from (suffix, key, n)
+    with one row a gram; ``upper`` has the nodes of depth 0 and 1."""
+    def run(t: pa.Table) -> pa.Table:
+        key, n = t.column("key").to_numpy(), t.column("n").to_numpy()
+        seen = n > 0
+        nodes = upper.value | weighted(key[seen], n[seen], 2)
+        value = np.concatenate([log10_of(key[i:i + 20_000], nodes) for i in range(0, len(key), 20_000)])
+        return pa.table({"key": key, "value": value})
+
+    return summed.groupBy("suffix").applyInArrow(run, "key long, value double")
+
+
 class Lookup:
     """Open-addressing table of 64-bit keys; finds whole arrays at once."""
 
@@ -231,22 +246,15 @@ def score(docs: DataFrame) -> DataFrame:
     chunks = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), "held_out",
                                 F.spark_partition_id().alias("chunk")), "ctw-chunks")
     counted = staged(counts(chunks), "ctw-counts")
-    found = counted.filter("kind = 0").select("chunk", "key", "n", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)).alias("suffix"))
-    trained = found.filter("n > 0").groupBy("suffix", "key").agg(F.sum("n").alias("n"))
+    found = counted.filter("kind = 0").select("chunk", "kind", "key", "n")
+    # a row for each distinct gram, whatever the number of chunks; n is 0 where only held-out texts have it
+    summed = staged(found.groupBy("key").agg(F.sum("n").alias("n")).withColumn(
+        "suffix", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))), "ctw-grams")
+    trained = summed.filter("n > 0")
     upper = docs.sparkSession.sparkContext.broadcast(upper_levels(trained))
 
-    def predict(t: pa.Table) -> pa.Table:
-        key, n = t.column("key").to_numpy(), t.column("n").to_numpy()
-        each, inverse = np.unique(key, return_inverse=True)
-        total = np.bincount(inverse, weights=n, minlength=len(each)).astype(np.int64)
-        seen = total > 0
-        nodes = upper.value | weighted(each[seen], total[seen], 2)
-        value = np.concatenate([log10_of(each[i:i + 20_000], nodes) for i in range(0, len(each), 20_000)])[inverse]
-        return pa.table({"chunk": t.column("chunk"), "kind": pa.array(np.zeros(len(key), np.int32)),
-                         "key": t.column("key"), "value": value})
-
-    slice_kind = "chunk int, kind int, key long, value double"
-    of_grams = found.groupBy("suffix").applyInArrow(predict, slice_kind)
+    of_grams = found.select("chunk", "kind", "key").join(
+        predicted(summed, upper).hint("shuffle_hash"), "key").select("chunk", "kind", "key", "value")
     words = counted.filter("kind = 1")
     by_word = words.groupBy("key").agg(F.sum("n").alias("c"))
     totals = by_word.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()

@@ -84,6 +84,29 @@ def test_op10_against_plain_python(spark, tmp_path, monkeypatch):
         assert r["bits_per_byte"] == pytest.approx(-r["score"] / math.log10(2) / (len(texts[k]) + 1))
 
 
+def test_groups_hold_each_gram_once_whatever_the_chunks(spark, monkeypatch):
+    met = []
+    predicted = ctw.predicted
+
+    def seen(summed, upper):
+        met.extend(summed.select("key", "n").collect())
+        return predicted(summed, upper)
+
+    monkeypatch.setattr(ctw, "predicted", seen)
+    texts = {i: "the same line in every chunk" + " and only here" * (i == 7) for i in range(40)}
+    df = spark.createDataFrame([(i, t, i == 7) for i, t in texts.items()], "doc_id long, text string, held_out boolean")
+    out = {}
+    for chunks in (8, 1):
+        met.clear()
+        out[chunks] = {r["doc_id"]: r["score"] for r in ctw.score(df.repartition(chunks)).collect()}
+        want = collections.Counter(g for i, t in texts.items() if i != 7 for g in ctw.grams(t.encode()).tolist())
+        want.update(dict.fromkeys(ctw.grams(texts[7].encode()).tolist(), 0))
+        assert len(met) == len(want) and {r["key"]: r["n"] for r in met} == want
+    model = Plain([t.encode() for i, t in texts.items() if i != 7])
+    for i, t in texts.items():
+        assert out[8][i] == pytest.approx(model.score(t.encode()), rel=1e-7) and out[1][i] == pytest.approx(out[8][i])
+
+
 def test_probabilities_of_all_bytes_sum_to_one():
     raw = b"abracadabra abracadabra"
     grams, n = np.unique(ctw.grams(raw), return_counts=True)
