@@ -29,7 +29,7 @@ remove nor lose words; an empty table gives an empty result; other columns are n
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from farebox.llm.common import slices, staged, text_or_empty
 
 WINDOW, ANCHOR = 13, 5
-PHRASES, SHARD_SEGMENTS = 4_000, 16_000
+PHRASES, SHARD_SEGMENTS, AUTOMATON = 4_000, 16_000, 40_000
 
 #: Word hashes a task remembers before it starts afresh.
 MEMO = 400_000
@@ -142,48 +142,58 @@ def _windows(words: list[str]) -> list[str]:
     return [" ".join(words[i:i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
 
 
-def _located(group: list[tuple[str, int, int]], phrases: dict[str, int]) -> list[list[tuple[int, int, int]]]:
-    """For each segment the spans of words (start, end, first document) that the
-    automaton of ``phrases`` (phrase -> first document) locates in it."""
+def _located(group: list[str], phrases: dict[str, int], most: int) -> list[list[tuple[int, int, int]]]:
+    """For each segment the spans of words (start, end, first document) that automata
+    of at most ``most`` of the ``phrases`` (phrase -> first document) locate in it."""
     import ahocorasick
 
-    automaton = ahocorasick.Automaton()
-    for p, first in phrases.items():
-        automaton.add_word(f" {p} ", (p.count(" ") + 1, first))
-    automaton.make_automaton()
-    out = []
-    for text, _, _ in group:
-        spans: list[tuple[int, int, int]] = []
-        ends = {}
-        at = 0
-        for n, word in enumerate(text.split(" "), 1):
-            at += len(word) + 1
-            ends[at] = n  # place of the space after word n, in the padded text
-        for end, (size, first) in automaton.iter(f" {text} "):
-            e = ends[end]
-            if spans and spans[-1][2] == first and e - size <= spans[-1][1]:
-                spans[-1] = (min(spans[-1][0], e - size), e, first)
-            else:
-                spans.append((e - size, e, first))
-        out.append(spans)
+    out: list[list[tuple[int, int, int]]] = [[] for _ in group]
+    todo = list(phrases.items())
+    for k in range(0, len(todo), most):
+        automaton = ahocorasick.Automaton()
+        for p, first in todo[k:k + most]:
+            automaton.add_word(f" {p} ", (p.count(" ") + 1, first))
+        automaton.make_automaton()
+        for text, spans in zip(group, out):
+            ends = {}
+            at = 0
+            for n, word in enumerate(text.split(" "), 1):
+                at += len(word) + 1
+                ends[at] = n  # place of the space after word n, in the padded text
+            for end, (size, first) in automaton.iter(f" {text} "):
+                e = ends[end]
+                if spans and spans[-1][2] == first and spans[-1][0] <= e - size <= spans[-1][1] <= e:
+                    spans[-1] = (spans[-1][0], e, first)
+                else:
+                    spans.append((e - size, e, first))
     return out
 
 
+_FOUND = f"anchor long, sid long, spans array<{_SPAN}>"
+
+
+def _found(keys: list[tuple[int, int]], found: list[list[tuple[int, int, int]]]) -> pa.Table:
+    rows = [(k, s) for k, s in zip(keys, found) if s]
+    return pa.table({
+        "anchor": pa.array([k[0] for k, _ in rows], pa.int64()), "sid": pa.array([k[1] for k, _ in rows], pa.int64()),
+        "spans": pa.array([[{"s": a, "e": e, "first": f} for a, e, f in s] for _, s in rows],
+                          pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("first", pa.int64())])))})
+
+
 def located(distinct: DataFrame, shards: int) -> DataFrame:
     """(anchor, sid, spans) of the distinct segments that hold a recurring phrase."""
+    phrases_at_once, most = PHRASES, AUTOMATON
+
     def run(t: pa.Table) -> pa.Table:
         by_anchor = defaultdict(list)
         for anchor, *segment in zip(*(t.column(c).to_pylist() for c in ("anchor", "sid", "text", "first", "last"))):
             by_anchor[anchor].append(segment)
         keys, found = [], []
-        group: list[tuple[str, int, int]] = []
+        group: list[str] = []
         phrases: dict[str, int] = {}
 
         def done() -> None:
-            if phrases:
-                found.extend(_located(group, phrases))
-            else:
-                found.extend([] for _ in group)
+            found.extend(_located(group, phrases, most))
             group.clear()
             phrases.clear()
 
@@ -193,26 +203,67 @@ def located(distinct: DataFrame, shards: int) -> DataFrame:
                 if first < last:
                     phrases[text] = first
             else:
-                range_of: dict[str, tuple[int, int]] = {}
-                for _, text, first, last in same:
-                    for w in _windows(text.split(" ")):
-                        lo, hi = range_of.get(w, (first, last))
-                        range_of[w] = (min(lo, first), max(hi, last))
-                phrases.update((w, lo) for w, (lo, hi) in range_of.items() if lo < hi)
-            for sid, text, first, last in same:
+                phrases.update((w, lo) for w, (lo, hi) in _ranges(x[1:] for x in same).items() if lo < hi)
+            for sid, text, _, _ in same:
                 keys.append((anchor, sid))
-                group.append((text, first, last))
-            if len(group) >= PHRASES:
+                group.append(text)
+            if len(group) >= phrases_at_once:
                 done()
         done()
-        rows = [(k, s) for k, s in zip(keys, found) if s]
-        return pa.table({
-            "anchor": pa.array([k[0] for k, _ in rows], pa.int64()), "sid": pa.array([k[1] for k, _ in rows], pa.int64()),
-            "spans": pa.array([[{"s": a, "e": e, "first": f} for a, e, f in s] for _, s in rows],
-                              pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("first", pa.int64())])))})
-
-    return (distinct.withColumn("shard", F.pmod("anchor", F.lit(shards))).groupBy("shard")
-            .applyInArrow(run, f"anchor long, sid long, spans array<{_SPAN}>"))
+        return _found(keys, found)
+
+    sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > phrases_at_once)
+    hot = staged(sizes, "phrases-hot")
+    if hot.isEmpty():
+        cold = distinct
+    else:
+        cold = distinct.join(hot, "anchor", "left_anti")
+    out = (cold.withColumn("shard", F.pmod("anchor", F.lit(shards))).groupBy("shard").applyInArrow(run, _FOUND))
+    return out if cold is distinct else out.unionByName(located_of_hot(distinct, hot))
+
+
+def _ranges(segments: Iterable[tuple[str, int, int]]) -> dict[str, tuple[int, int]]:
+    """The first and last document of each window of (text, first, last)."""
+    range_of: dict[str, tuple[int, int]] = {}
+    for text, first, last in segments:
+        for w in _windows(text.split(" ")):
+            lo, hi = range_of.get(w, (first, last))
+            range_of[w] = (min(lo, first), max(hi, last))
+    return range_of
+
+
+def located_of_hot(distinct: DataFrame, hot: DataFrame) -> DataFrame:
+    """The same for the segments of ``hot`` anchors (anchor, size), each dealt to as many
+    shards as it needs; what a task holds is bounded whatever the anchor's size."""
+    most = AUTOMATON
+    salts = F.ceil(F.col("size") / PHRASES).cast("int")
+    rows = staged(distinct.join(hot, "anchor").withColumn("salt", F.pmod(F.xxhash64("sid"), salts).cast("int"))
+                  .drop("size"), "phrases-hot-segments")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 2_000):
+            dealt = defaultdict(list)
+            for anchor, salt, *segment in zip(*(c.to_pylist() for c in b.columns)):
+                dealt[anchor, salt].append(segment)
+            out = [(*key, w, lo, hi) for key, same in dealt.items() for w, (lo, hi) in _ranges(same).items()]
+            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)],
+                                             names=["anchor", "salt", "phrase", "lo", "hi"])
+
+    # once by shard, so a window that every segment holds is a row a shard, then over the shards
+    of_shard = (rows.select("anchor", "salt", "text", "first", "last")
+                .mapInArrow(windows, "anchor long, salt int, phrase string, lo long, hi long")
+                .groupBy("anchor", "salt", "phrase").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    confirmed = (of_shard.groupBy("anchor", "phrase")
+                 .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("salt").alias("salts"))
+                 .filter("lo < hi").select("anchor", F.explode("salts").alias("salt"), "phrase", "lo"))
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        phrases = dict(zip(b.column("phrase").to_pylist(), b.column("lo").to_pylist()))
+        keys = list(zip(a.column("anchor").to_pylist(), a.column("sid").to_pylist()))
+        return _found(keys, _located(a.column("text").to_pylist(), phrases, most))
+
+    return (rows.groupBy("anchor", "salt").cogroup(confirmed.groupBy("anchor", "salt")).applyInArrow(run, _FOUND))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import GroupedData
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from farebox.llm import phrases
 from farebox.llm.catalog import op8_phrase_dedup
@@ -53,5 +55,39 @@ def test_op8_against_brute_force(spark, tmp_path, monkeypatch, sizes):
     assert sorted((str(r[0]), *r[1:]) for r in got) == plain(data)
 
 
+def test_op8_line_amid_differing_words(spark, tmp_path, monkeypatch):
+    """A line that most documents hold, each amid words of its own: no group grows with them."""
+    monkeypatch.setattr(phrases, "PHRASES", 20)
+    monkeypatch.setattr(phrases, "SHARD_SEGMENTS", 40)
+    monkeypatch.setattr(phrases, "AUTOMATON", 7)
+    alone, both = GroupedData.applyInArrow, PandasCogroupedOps.applyInArrow
+
+    def few(t, most):
+        if t.num_rows > most:
+            raise ValueError(f"a group of {t.num_rows} rows")
+
+    def of_one(self, func, schema):
+        def run(t):
+            few(t, 150)
+            return func(t)
+        return alone(self, run, schema)
+
+    def of_two(self, func, schema):
+        def run(a, b):
+            few(a, 150)
+            few(b, 9 * 150)
+            return func(a, b)
+        return both(self, run, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", of_one)
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", of_two)
+    rng = random.Random(5)
+    line = " ".join(f"line{k}" for k in range(30))
+    data = [(i, f"{sentence(rng, 12)} {line} {sentence(rng, 12)}", "en", "src0", 0) for i in range(400)]
+    data += [(400 + i, data[i][1][20:], "en", "src0", 0) for i in range(0, 400, 9)]
+    got = op8_phrase_dedup(spark, save(spark, tmp_path, documents=frame(spark, data))).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == plain(data)
+
+
 def test_empty_table(spark, tmp_path):
     assert op8_phrase_dedup(spark, save(spark, tmp_path, documents=frame(spark, []))).count() == 0
