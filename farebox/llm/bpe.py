@@ -8,8 +8,10 @@ character other than an apostrophe.  There the splitting pattern of the tokenize
 (no look-behind; look-ahead only after white space; contractions only from an
 apostrophe on) finds the same pieces in the parts as in the whole.
 
-Fragments are joined up to some 4 KB, so a text of any length is encoded in bounded
-steps and a run without spaces can't make the merges quadratic.  The merges of plain
+Fragments are joined: a cut is taken at the first certain one after every ``SPAN``
+bytes, so shorter texts go whole.  Steps are as long as the text allows, not bounded: a
+text without a certain cut, such as one without ASCII or a run of one letter, is a
+single step of any length.  The merges of plain
 fragments are done by tiktoken with the ranks of the same file, which gives the ids of
 the tokenizers library in a fifth of its time (tested against it); all others by the
 tokenizers library itself.

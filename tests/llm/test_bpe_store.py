@@ -36,6 +36,14 @@ def test_fragments_encode_like_the_whole(library, monkeypatch, span):
         assert codec.decode(ids) == library.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def test_texts_without_a_certain_cut_are_one_step(library):
+    codec = bpe.Codec(vocabulary_path())
+    for text in ("日本語" * 2000, "a" * 9000, "some words, " * 300):
+        assert codec.fragments(text.encode()) == [text.encode()]
+        assert codec.encode(text).tolist() == ids_of(library, text)
+    assert len(codec.fragments(b"some words; (and more) " * 3000)) > 1
+
+
 def test_cuts_hold_no_pair_of_any_token(library):
     codec = bpe.Codec(vocabulary_path())
     for token in codec.bytes_of:
