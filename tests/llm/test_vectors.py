@@ -67,6 +67,30 @@ def test_forest_over_many_shards_and_blocks(spark, monkeypatch):
     assert len(exact) == 150 and recall >= 0.9 and len(found & exact) >= 0.9 * len(exact)
 
 
+def test_forest_descends_and_ascends():
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.standard_normal((100, 16)), 30, axis=0) + 0.3 * rng.standard_normal((3000, 16))
+    q = x[::60] + 0.05 * rng.standard_normal((50, 16))
+    tree = forest.Forest(x, float(np.linalg.norm(x, axis=1).max()))
+    least = 1000  # of 3000 rows in 48 trees
+    lo, hi = tree.ranges(q, least)
+    codes = tree._codes(np.column_stack([q, np.zeros(len(q))]))
+    for i in range(len(q)):
+        for free in range(forest.BITS + 1):
+            below = tree.codes >> np.uint64(free) == codes[i] >> np.uint64(free)
+            if below.sum() >= least or free == forest.BITS:
+                break
+        assert ((hi[i] - lo[i]) == below.sum(0)).all()
+        assert all(below[lo[i, t]:hi[i, t], t].all() for t in range(forest.TREES))
+    ids = np.arange(len(x))
+    found = tree.nearest(ids, q, np.full(len(q), -1), 10, least)
+    by_query = [found[k:k + 10] for k in range(0, len(found), 10)]
+    assert len(found) == 10 * len(q)
+    best = np.argsort(-(q @ x.T), axis=1)[:, :10]
+    hits = [len({f[1] for f in by_query[i]} & set(best[i].tolist())) for i in range(len(q))]
+    assert np.mean(hits) >= 9
+
+
 def test_fewer_rows_than_k_and_none(spark, tmp_path):
     df = spark.createDataFrame([(0, [1.0, 0.0], 1, "s"), (1, [0.0, 2.0], 1, "s"), (2, [1.0, 1.0], 1, "s")], SCHEMA)
     got = op2_prefix_forest(spark, save(spark, tmp_path, embeddings=df)).orderBy("rank").collect()
