@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import bpe, ctw, forest, hnsw, mixing, phrases, secret_scan, simhash, tokenstore, toxicity
+from farebox.llm import (bpe, ctw, forest, hnsw, lexical, mixing, oracle, phrases, runs, secret_scan, simhash, tokenstore,
+                         toxicity)
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -90,9 +91,27 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(docs).withColumn("bits_per_byte", ctw.bits_per_byte())
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: periodic runs of every whole text and the text without its repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = runs.collapsed_runs(docs.withColumn("text", runs.planted(F.col("doc_id"), F.col("text"))))
+    best = runs.strongest(F.col("runs"))
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "collapsed", "runs", best.alias("best")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: the 50 best documents of every benchmark item."""
+    out = lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 50)
+    return out.select("item_id", "rank", "doc_id", "score")
+
+
 QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup,
            op5_embedding_near_dedup, op6_toxicity, op7_token_store, op8_phrase_dedup,
-           op9_secret_scan, op10_context_tree]
+           op9_secret_scan, op10_context_tree, op12_periodic_runs, op13_pair_maxscore]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -100,4 +119,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
