@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm import (bpe, ctw, forest, hnsw, lexical, mixing, oracle, phrases, runs, secret_scan, simhash, tokenstore,
-                         toxicity)
+from farebox.llm import (bpe, ctw, forest, hnsw, html_text, lexical, mixing, oracle, phrases, runs, secret_scan, simhash,
+                         tokenstore, toxicity)
 from farebox.session import scratch_path
 
 #: Vocabulary files are given by path and never copied into the repository.
@@ -91,6 +91,13 @@ def op10_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(docs).withColumn("bits_per_byte", ctw.bits_per_byte())
 
 
+def op11_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: the main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    out = html_text.extract(pages, html_text.train(pages))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 12: periodic runs of every whole text and the text without its repeats."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -111,7 +118,8 @@ def op13_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [op1_bpe_round_trip, op2_prefix_forest, op3_source_mix, op4_simhash_near_dedup,
            op5_embedding_near_dedup, op6_toxicity, op7_token_store, op8_phrase_dedup,
-           op9_secret_scan, op10_context_tree, op12_periodic_runs, op13_pair_maxscore]
+           op9_secret_scan, op10_context_tree, op11_min_cut_text, op12_periodic_runs,
+           op13_pair_maxscore]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

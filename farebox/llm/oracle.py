@@ -48,6 +48,20 @@ SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, f.start, f.length, f.per
 FROM texts t LEFT JOIN best USING (doc_id) LEFT JOIN first f USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+#: The given pages hold their article in one element, its blocks between h1 and p tags.
+OP11 = r"""
+WITH parts AS (SELECT page_id, url, generate_subscripts(b, 1) AS i, unnest(b) AS x FROM (
+    SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:h1|p)>') AS b FROM pages)),
+bare AS (SELECT page_id, url, i, regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g') AS x FROM parts),
+clean AS (SELECT page_id, url, i, trim(regexp_replace(
+    replace(replace(replace(replace(regexp_replace(x, '&quot;?', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&#39;', chr(39)), '&#x27;', chr(39)),
+    '\s+', ' ', 'g')) AS x FROM bare),
+decoded AS (SELECT page_id, url, i, regexp_replace(x, '&amp;?', '&', 'g') AS x FROM clean)
+SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (x <> ''), '') AS text,
+       coalesce(length(string_agg(x, chr(10) ORDER BY i) FILTER (x <> '')), 0)::BIGINT AS n_chars
+FROM decoded GROUP BY page_id, url
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op12_periodic_runs": OP12, "op13_pair_maxscore": OP13}
+    return {"op11_min_cut_text": OP11, "op12_periodic_runs": OP12, "op13_pair_maxscore": OP13}
