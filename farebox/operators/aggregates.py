@@ -2,8 +2,8 @@
 
 Every grouped aggregate here is algebraic or has a mergeable buffer, so Spark
 runs a partial aggregate before the shuffle and a hot key costs one row per
-map task, not a third of the table in one task.  Exact percentiles use
-``percentile``, whose buffer is a value -> count map merged across tasks.
+map task, not a third of the table in one task.  Exact percentiles select the
+digits of the wanted ranks (``operators.percentiles``) and buffer no values.
 """
 
 from __future__ import annotations

@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.operators.percentiles import group_percentile_values, written
-
+from farebox.operators.percentiles import group_percentile_values
 
 
 def _order_cols(cols) -> list[Column]:
@@ -71,13 +70,12 @@ def group_percentiles_on_rows(df: DataFrame, value: str, group: Sequence[str],
                               percentages: dict[str, float]) -> DataFrame:
     """``percentile_cont(value, p) OVER (PARTITION BY group)`` on every row.
 
-    The rows are written once; the percentiles of their groups are found without
-    holding a group's values anywhere (``percentiles``) and joined back on the
-    group key with a NULL-safe equality, as PARTITION BY groups NULLs together.  The
+    The percentiles of the groups are found without holding a group's values
+    anywhere (``percentiles``), from a scan of the group and value columns alone, and
+    joined back on the group key with a NULL-safe equality, as PARTITION BY groups NULLs together.  The
     per-group side carries no broadcast hint: AQE turns the join into a broadcast if it is
     small, and otherwise keeps the sort-merge join and splits skewed partitions.
     """
-    df = written(df, "percentile-rows")
     per_group = group_percentile_values(df, value, group, percentages)
     keys = [f"__g{i}" for i in range(len(group))]
     per_group = per_group.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], *percentages)
