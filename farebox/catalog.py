@@ -7,6 +7,8 @@ and averages/percentiles to 4, as double; counts and ids as bigint.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,13 +222,31 @@ def q_row_count(spark, d):
     return A.row_count(fx.table(spark, d, "lineitem"))
 
 
+_DISTINCT: dict[tuple[str, str], object] = {}
+
+
+def _distinct_table(spark, d):
+    """The bitmaps of vendors and pickup zones by day, made once and asked many times."""
+    from farebox.sinks.rollups import scratch_distinct
+    key = (fx.session_key(spark), d.rstrip("/"))
+    if key not in _DISTINCT:
+        _DISTINCT[key] = scratch_distinct(fx.trips(spark, d), F.col("pickup_datetime"),
+                                          {"vendor": F.col("VendorID"), "pickup": F.col("PULocationID")})
+    return _DISTINCT[key]
+
+
 def q_distinct_pickups(spark, d):
-    """A4: distinct pickup zones."""
-    return A.distinct_count(fx.trips(spark, d), "PULocationID", "distinct_pickups")
+    """A4: distinct pickup zones, from the bitmaps of all days."""
+    return _distinct_table(spark, d).count(spark, "pickup", alias="distinct_pickups")
 
 
 def q_distinct_vendors_range(spark, d):
-    """A4 + F4: distinct vendors in an inclusive day range."""
+    """A4 + F4: distinct vendors in an inclusive day range, from the days' bitmaps."""
+    return _distinct_table(spark, d).count(spark, "vendor", *RANGE_DAYS, alias="distinct_vendors")
+
+
+def q_distinct_vendors_scan(spark, d):
+    """A4 + F4: the same count from the rows."""
     t = FL.between_days(fx.trips(spark, d), "pickup_datetime", *RANGE_DAYS)
     return A.distinct_count(t, "VendorID", "distinct_vendors")
 
@@ -332,6 +352,34 @@ def q_customer_rollup(spark, d):
                     big("orders").alias("orders"))
 
 
+def q_rollup_incremental(spark, d):
+    """A rollup over yearly files of trips that is refreshed as they arrive: the files
+    before 1998 first, then the others, then nothing new; states of all files are merged."""
+    from farebox.session import scratch_path
+    from farebox.sinks.rollups import Rollup
+    root = scratch_path(spark, "rollup-incremental")
+    t = fx.trips(spark, d).select("PULocationID", "pickup_datetime", "total_amount", "trip_distance")
+    t.withColumn("year", F.year("pickup_datetime")).write.partitionBy("year").parquet(f"{root}/landing")
+    amount = F.col("total_amount").cast("decimal(18,2)")
+    rollup = Rollup(
+        f"{root}/state", lambda s, paths: s.read.schema("PULocationID string, pickup_datetime timestamp_ntz, "
+                                                        "total_amount double, trip_distance double").parquet(*paths),
+        {"zone": F.col("PULocationID"), "month": F.date_format("pickup_datetime", "yyyy-MM")},
+        {"trips": ("count", F.lit(1)), "total_amount": ("sum", amount), "shortest": ("min", F.col("trip_distance")),
+         "longest": ("max", F.col("trip_distance")), "avg_distance": ("avg", F.col("trip_distance"))})
+    early = [f"{root}/landing/year={y}" for y in range(1995, 1998)]
+    every = f"{root}/landing"
+    rollup.refresh(spark, early)
+    rollup.refresh(spark, every)
+    again = rollup.refresh(spark, every)
+    if again.files:
+        raise AssertionError(f"nothing was new, yet {again.files} files were read")
+    r = rollup.read(spark, every)
+    return r.select("zone", "month", big("trips").alias("trips"), money("total_amount").alias("total_amount"),
+                    F.col("shortest").cast("double").alias("shortest"), F.col("longest").cast("double").alias("longest"),
+                    ratio("avg_distance").alias("avg_distance"))
+
+
 def q_scalar_text(spark, d):
     """Text functions and safe casts."""
     c = fx.table(spark, d, "customer")
@@ -498,8 +546,7 @@ def q_create_if_missing(spark, d):
     """K3: create a table twice (the second time nothing happens) and fill it."""
     from farebox.session import scratch_path
     from farebox.sinks.files import ensure_table
-    name = "farebox_orders_once"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"farebox_orders_{uuid.uuid4().hex[:12]}"
     path = scratch_path(spark, "orders-once")
     ensure_table(spark, name, ORDER_SCHEMA, path=path)
     _orders(spark, d).write.insertInto(name)
@@ -512,11 +559,11 @@ def q_create_if_missing(spark, d):
 def q_replace_table(spark, d):
     """K4 + K10 + K12: a rollup built as a table over an older one, then a view on it."""
     from farebox.sinks.files import build, refresh_rollup, replace_table
-    name = "farebox_customer_rollup"
+    name = f"farebox_rollup_{uuid.uuid4().hex[:12]}"
     o = _orders(spark, d)
     replace_table(o.select("o_custkey").limit(1), name)
     refresh_rollup(o, ["o_custkey"], {"total_price": F.sum("o_totalprice"), "orders": F.count(F.lit(1))}, name)
-    view = build(spark.table(name), "farebox_customer_view")
+    view = build(spark.table(name), f"{name}_view")
     return view.select("o_custkey", money("total_price").alias("total_price"), big("orders").alias("orders"))
 
 
@@ -567,11 +614,62 @@ def q_load_month(spark, d):
 LOAD_MONTH = (1996, 3)
 
 
+def q_load_reconciliation(spark, d):
+    """D6 + K8: one month of each service loaded twice; what each load read, staged,
+    inserted and rejected, counted while it ran."""
+    from farebox.plans import loads as L
+    from farebox.session import scratch_path
+    root, t, out = scratch_path(spark, "load-reconciliation"), fx.trips(spark, d), []
+    for service in ("green", "yellow"):
+        raw = fx.raw_service(t, service.capitalize(), keep_filename=True)
+        name = L.file_name(service, *LOAD_MONTH)
+        L.write_monthly_files(raw.filter(F.col("filename") == name), f"{root}/{service}", service)
+        for run in (1, 2):
+            r = L.load_month_report(spark, service, *LOAD_MONTH, f"{root}/{service}/filename={name}/*.csv*", f"{root}/{service}_tripdata")
+            out.append((service, run, r.source, r.staged, r.inserted, r.rejected, r.status))
+    return spark.createDataFrame(out, "service string, run int, source_rows bigint, staged_rows bigint, inserted_rows bigint, "
+                                      "rejected_rows bigint, status string")
+
+
+LOAD_BUCKETS = 8
+
+
+def q_bucketed_load(spark, d):
+    """K7 + K9: every green month backfilled twice into a target bucketed by the row key
+    (the second time nothing is inserted): rows and distinct keys by file."""
+    from farebox.plans import loads as L
+    from farebox.session import scratch_path
+    root = scratch_path(spark, "bucketed-load")
+    glob = L.write_monthly_files(fx.raw_service(fx.trips(spark, d), "Green", keep_filename=True), f"{root}/landing", "green")
+    table = f"green_tripdata_{uuid.uuid4().hex[:12]}"
+    for run in (1, 2):
+        r = L.load_months_bucketed(spark, "green", glob, table, f"{root}/target", LOAD_BUCKETS)
+        if run == 2 and r.inserted:
+            raise AssertionError(f"reload inserted {r.inserted} rows")
+    out = spark.table(table).groupBy("filename").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("unique_row_id").alias("distinct_keys"))
+    return out
+
+
+def q_clustered_scan(spark, d):
+    """K11 + F11: trips clustered by pickup and dropoff zone in turns; a scan of one dropoff
+    zone, the second key, by pickup zone."""
+    from farebox.session import scratch_path
+    from farebox.sinks.files import write_clustered
+    path = scratch_path(spark, "trips-clustered")
+    t = fx.trips(spark, d).select("PULocationID", "DOLocationID", "total_amount")
+    write_clustered(t, path, ["PULocationID", "DOLocationID"], files=16)
+    r = spark.read.schema(t.schema).parquet(path).filter(F.col("DOLocationID") == CLUSTER_ZONE)
+    return r.groupBy("PULocationID").agg(F.count(F.lit(1)).alias("trips"), money(F.sum("total_amount")).alias("total_amount"))
+
+
+CLUSTER_ZONE = "7"
+
+
 def q_quarter_label(spark, d):
     """P10: trips by calendar columns and the year/quarter label."""
     t = X.with_calendar(fx.trips(spark, d), "pickup_datetime")
-    label = next(c for c in t.columns if "quarter" in c and t.schema[c].dataType == T.StringType())
-    return t.groupBy(F.col(label).alias("year_quarter")).agg(F.count(F.lit(1)).alias("trips"))
+    return t.groupBy(F.col("year_quarter").alias("year_quarter")).agg(F.count(F.lit(1)).alias("trips"))
 
 
 def q_ordered_limit(spark, d):
@@ -614,14 +712,14 @@ def _green_messages(spark, d, full: bool = False) -> DataFrame:
 
 
 def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factory,
-                    time_col: str | None = None, slices: int = 3, late: bool = False):
+                    time_col: str | None = None, slices: int = 3, late: bool = False, large_state: bool = False):
     """Publish ``messages`` as JSON lines, run ``build(decoded stream)`` into
     the sink until everything available is processed, return the sink.
 
     With ``time_col`` they are published in ``slices`` of event time and the stream is
     drained, stopped and restarted from its checkpoint after each, so that the sink
     merges into what it already holds; ``late`` publishes the first slice once more at
-    the end, when all of it is behind the watermark."""
+    the end, when all of it is behind the watermark.  ``large_state`` keeps state in RocksDB."""
     from farebox.session import scratch_path
     from farebox.streaming import jobs as S
     root = scratch_path(spark, name)
@@ -631,18 +729,20 @@ def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factor
         at = F.col(time_col) if messages.schema[time_col].dataType == T.DoubleType() else \
             F.unix_seconds(F.to_timestamp(time_col, "yyyy-MM-dd HH:mm:ss")).cast("double")
         timed = messages.withColumn("__at", at)
-        bounds = timed.approxQuantile("__at", [k / slices for k in range(1, slices)], 0.01)
+        lo, hi = timed.agg(F.min("__at"), F.max("__at")).first()
+        bounds = [] if lo is None else [lo + (hi - lo) * k / slices for k in range(1, slices)]
         slot = F.lit(0)
         for bound in bounds:
             slot = slot + F.when(F.col("__at") > bound, 1).otherwise(0)
         timed = timed.withColumn("__slot", slot)
         order = [*range(slices), *([0] if late else [])]
         parts = [timed.filter(F.col("__slot") == k).drop("__at", "__slot") for k in order]
+    own = S.stream_session(spark, _parallelism(spark), large_state)
     for part in parts:
         S.publish_json(part, {"path": f"{root}/topic"})
-        stream = S.read_json_stream(spark, {"path": f"{root}/topic"}, schema)
-        S.run_available(build(stream), sink, f"{root}/checkpoint",
-                        state_partitions=_parallelism(spark))
+        stream = S.read_json_stream(own, {"path": f"{root}/topic"}, schema)
+        S.run_available(build(stream), sink, f"{root}/checkpoint", batches_path=f"{root}/batches")
+    sink.batches_path = f"{root}/batches"
     return sink
 
 
@@ -675,15 +775,17 @@ def q_tumbling_counts(spark, d):
 
 def q_tumbling_late_rows(spark, d):
     """The same counts from three slices with a restart after each; the
-    first slice comes again at the end and is dropped as late."""
+    first slice comes again at the end and is dropped as late (``late_groups``: its windows
+    by key, counted from the query's progress).  State is kept in RocksDB."""
     from farebox.streaming import jobs as S
 
     def build(stream):
         return S.tumbling_counts(S.decode_test_events(stream), "event_watermark",
                                  "event_type", "1 minute", "1 second")
     sink = _stream_through(spark, "tumbling-late", _event_messages(spark, d), EVENT_MSG, build,
-                           lambda p: S.AppendSink(p), time_col="event_timestamp", late=True)
-    return sink.read(spark).withColumn("num_hits", big("num_hits"))
+                           lambda p: S.AppendSink(p), time_col="event_timestamp", late=True, large_state=True)
+    dropped = S.late_rows(spark, sink.batches_path).agg(F.sum("late_rows")).first()[0]
+    return sink.read(spark).withColumns({"num_hits": big("num_hits"), "late_groups": F.lit(dropped).cast("bigint")})
 
 
 GAP, DELAY = "5 minutes", "5 seconds"
@@ -697,7 +799,7 @@ def _sessions(spark, d, name, sink_factory, time_col=None):
         return S.session_counts(S.decode_green_trips(stream), "lpep_dropoff_datetime",
                                 ["PULocationID", "DOLocationID"], GAP, DELAY)
     return _stream_through(spark, name, _green_messages(spark, d), schemas.GREEN_EVENT, build,
-                           sink_factory, time_col)
+                           sink_factory, time_col, large_state=time_col is not None)
 
 
 def q_session_counts(spark, d):
@@ -868,6 +970,11 @@ QUERIES = {
     "load_month": q_load_month,
     "quarter_label": q_quarter_label,
     "ordered_limit": q_ordered_limit,
+    "rollup_incremental": q_rollup_incremental,
+    "distinct_vendors_scan": q_distinct_vendors_scan,
+    "load_reconciliation": q_load_reconciliation,
+    "bucketed_load": q_bucketed_load,
+    "clustered_scan": q_clustered_scan,
 }
 
 

@@ -21,14 +21,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 FACT_TABLES = ("lineitem", "orders", "customer", "events")
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """A name of the application that no later session of this process gets again."""
+    return spark.sparkContext.applicationId
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table; the DataFrame (file listing, footer schema) is made
     once per session and path and reused, as a registered table would be."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         df = spark.read.parquet(path)
         _TABLES[key] = spread(df) if name in FACT_TABLES else df
@@ -42,7 +47,7 @@ def _memo(fn):
     """Build a fixture view once per session and arguments (DataFrames are
     immutable plans, so sharing one is safe and saves re-planning)."""
     def wrapper(spark, sf_dir, *args, **kw):
-        key = (fn.__name__, id(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
+        key = (fn.__name__, session_key(spark), sf_dir.rstrip("/"), args, tuple(sorted(kw.items())))
         if key not in _VIEWS:
             _VIEWS[key] = fn(spark, sf_dir, *args, **kw)
         return _VIEWS[key]

@@ -496,8 +496,36 @@ FROM q a LEFT JOIN q b
 })
 
 
-# late rows change nothing
-ORACLE["tumbling_late_rows"] = ORACLE["tumbling_counts"]
+# late rows change nothing; the first third of the time range comes twice and its windows drop
+ORACLE["tumbling_late_rows"] = f"""WITH e AS {_EVENTS_MS},
+ms AS (SELECT epoch_us(t) / 1000.0 AS ms, date_trunc('minute', t) AS w, event_type FROM e),
+late AS (SELECT count(DISTINCT (w, event_type)) AS n FROM ms
+         WHERE ms <= (SELECT min(ms) + (max(ms) - min(ms)) * 1 / 3 FROM ms))
+SELECT date_trunc('minute', t) AS event_hour, event_type, CAST(count(*) AS BIGINT) AS num_hits,
+  CAST((SELECT n FROM late) AS BIGINT) AS late_groups
+FROM e GROUP BY 1, 2
+HAVING date_trunc('minute', t) + INTERVAL 1 MINUTE <= (SELECT max(t) FROM e) - INTERVAL 1 SECOND"""
+
+ORACLE.update({
+    "rollup_incremental": _with(["trips"]) + """SELECT PULocationID AS zone, strftime(pickup_datetime, '%Y-%m') AS month,
+  CAST(count(*) AS BIGINT) AS trips, CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+  CAST(min(trip_distance) AS DOUBLE) AS shortest, CAST(max(trip_distance) AS DOUBLE) AS longest,
+  round(avg(trip_distance), 4) AS avg_distance FROM trips GROUP BY 1, 2""",
+    "distinct_vendors_scan": ORACLE["distinct_vendors_range"],
+    "load_reconciliation": _with(["green", "yellow"]) + """, files AS (
+  SELECT 'green' AS service, count(*) AS n FROM green WHERE filename = 'green_tripdata_1996-03.csv'
+  UNION ALL SELECT 'yellow', count(*) FROM yellow WHERE filename = 'yellow_tripdata_1996-03.csv')
+SELECT service, CAST(run AS INTEGER) AS run, CAST(n AS BIGINT) AS source_rows, CAST(n AS BIGINT) AS staged_rows,
+  CAST(CASE run WHEN 1 THEN n ELSE 0 END AS BIGINT) AS inserted_rows,
+  CAST(CASE run WHEN 1 THEN 0 ELSE n END AS BIGINT) AS rejected_rows, 'match' AS status
+FROM files, (VALUES (1), (2)) runs(run)""",
+    "bucketed_load": _with(["green"]) + f""", stamped AS (SELECT md5({_KEY7_G}) AS unique_row_id, filename FROM green),
+first AS (SELECT unique_row_id, min(filename) AS filename FROM stamped GROUP BY 1)
+SELECT filename, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT unique_row_id) AS BIGINT) AS distinct_keys
+FROM stamped SEMI JOIN first USING (unique_row_id, filename) GROUP BY 1""",
+    "clustered_scan": _with(["trips"]) + """SELECT PULocationID, CAST(count(*) AS BIGINT) AS trips,
+  CAST(round(sum(total_amount), 2) AS DOUBLE) AS total_amount FROM trips WHERE DOLocationID = '7' GROUP BY 1""",
+})
 
 
 def oracle_sql() -> dict:

@@ -10,6 +10,7 @@ not atomic against concurrent writers.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
@@ -133,6 +134,58 @@ def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def ensure_bucketed(spark: SparkSession, table: str, path: str, like: DataFrame, buckets: int,
+                    key: str = "unique_row_id") -> None:
+    """K3: a target table partitioned by month and, within it, bucketed by the row key."""
+    if not spark.catalog.tableExists(table):
+        (like.limit(0).write.format("parquet").option("path", path).partitionBy(PART_COL).bucketBy(buckets, key)
+         .saveAsTable(table))
+
+
+def merge_insert_bucketed(target: DataFrame, source: DataFrame, key: str = "unique_row_id",
+                          parts: DataFrame | None = None) -> DataFrame:
+    """K7 into a bucketed target: only the source is shuffled, to the target's buckets.
+
+    Equal keys share a month (the key covers the pickup time), so the key alone decides and
+    the target's buckets are its partitioning; its months are pruned as in ``merge_insert``."""
+    months = F.broadcast((source if parts is None else parts).select(PART_COL).distinct())
+    touched = target.join(months, PART_COL, "left_semi").select(key)
+    return source.join(touched, key, "left_anti").select(*source.columns)
+
+
+def append_new_bucketed(spark: SparkSession, rows: DataFrame, table: str, path: str, buckets: int,
+                        key: str = "unique_row_id", staged: DataFrame | None = None) -> int:
+    """Insert ``rows`` whose key is absent from the bucketed ``table`` (made if missing);
+    returns how many.  Rows are dealt by bucket before the write, so that a task writes one
+    bucket of the months it holds."""
+    ensure_bucketed(spark, table, path, rows, buckets, key)
+    new = merge_insert_bucketed(spark.table(table), rows, key, staged)
+    inserted = Observation()
+    (new.select(*spark.table(table).columns).repartition(buckets, key).observe(inserted, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").format("parquet").option("path", path).partitionBy(PART_COL).bucketBy(buckets, key)
+     .saveAsTable(table))
+    return int(inserted.get["rows"])
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """D6 of a load, counted while it ran: rows read from the files, rows of the staging
+    table, rows inserted, and staged rows the target held already or an earlier file of the
+    same load brought."""
+
+    source: int
+    staged: int
+    inserted: int
+
+    @property
+    def rejected(self) -> int:
+        return self.staged - self.inserted
+
+    @property
+    def status(self) -> str:
+        return "match" if self.source == self.staged else "mismatch"
+
+
 def _pickup_col(service: str) -> str:
     return ("lpep" if service.lower() == "green" else "tpep") + "_pickup_datetime"
 
@@ -145,10 +198,12 @@ _PATH = "__source_path"
 
 
 def _stamped(spark: SparkSession, service: str, paths: str | Sequence[str], width: int, binary: bool,
-             filename: str | None = None) -> DataFrame:
+             filename: str | None = None, seen: Observation | None = None) -> DataFrame:
     """Monthly CSVs spread over the cluster (a .gz is one split, however large),
     then parsed, stamped with key and file name and given their month."""
     raw = read_csv(spark, paths, _schema_for(service), repartition=_slots(spark), file_col=_PATH)
+    if seen is not None:
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     name = F.lit(filename) if filename else F.coalesce(
         F.nullif(F.regexp_extract(_PATH, _FILE_PATTERN, 1), F.lit("")), F.element_at(F.split(_PATH, "/"), -1))
     stamped = stamp(raw, row_key_fields(service, width), name, binary=binary).drop(_PATH)
@@ -159,26 +214,55 @@ def _slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _load(spark: SparkSession, service: str, paths: str | Sequence[str], target_path: str, width: int, binary: bool,
+          filename: str | None, earliest: bool, table: str | None = None, buckets: int = 0) -> LoadReport:
+    """Read, stage, merge; the counts are observed in the jobs that do so."""
+    source, staged_rows = Observation(), Observation()
+    stamped = _stamped(spark, service, paths, width, binary, filename, source)
+    staged = stage_rows(stamped.observe(staged_rows, F.count(F.lit(1)).alias("rows")), target_path)
+    rows = earliest_file_rows(staged) if earliest else staged
+    if table is None:
+        inserted = append_new(spark, rows, target_path, staged=staged)
+    else:
+        inserted = append_new_bucketed(spark, rows, table, target_path, buckets, staged=staged)
+    return LoadReport(int(source.get["rows"]), int(staged_rows.get["rows"]), inserted)
+
+
+def load_month_report(spark: SparkSession, service: str, year: int, month: int, src: str,
+                      target_path: str, width: int = 7, binary: bool = False) -> LoadReport:
+    """K8: read one monthly CSV, stamp it, merge it into the target.
+    ``binary`` keeps the row key as bytes (the warehouse form)."""
+    return _load(spark, service, src, target_path, width, binary, file_name(service, year, month), False)
+
+
 def load_month(spark: SparkSession, service: str, year: int, month: int, src: str,
                target_path: str, width: int = 7, binary: bool = False) -> int:
-    """K8: read one monthly CSV, stamp it, merge it into the target.
-    ``binary`` keeps the row key as bytes (the warehouse form).
-    Returns the number of inserted rows (0 on a rerun)."""
-    stamped = _stamped(spark, service, src, width, binary, file_name(service, year, month))
-    staged = stage_rows(stamped, target_path)
-    return append_new(spark, staged, target_path, staged=staged)
+    """K8 as ``load_month_report``; the number of inserted rows (0 on a rerun)."""
+    return load_month_report(spark, service, year, month, src, target_path, width, binary).inserted
 
 
-def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
-                target_path: str, width: int = 7, binary: bool = False) -> int:
+def load_months_report(spark: SparkSession, service: str, paths: str | Sequence[str],
+                       target_path: str, width: int = 7, binary: bool = False) -> LoadReport:
     """K9: backfill many monthly files in one job.
 
     Equivalent to merging the files one by one in file-name (= month) order:
     per key the rows of the earliest file are kept (in-file duplicates too),
     then one anti join against the target and one append.
     """
-    staged = stage_rows(_stamped(spark, service, paths, width, binary), target_path)
-    return append_new(spark, earliest_file_rows(staged), target_path, staged=staged)
+    return _load(spark, service, paths, target_path, width, binary, None, True)
+
+
+def load_months_bucketed(spark: SparkSession, service: str, paths: str | Sequence[str], table: str, target_path: str,
+                         buckets: int, width: int = 7, binary: bool = False) -> LoadReport:
+    """K9 into the catalog table ``table`` at ``target_path``, bucketed by the row key, so that
+    a load shuffles its staged rows and never the target's keys."""
+    return _load(spark, service, paths, target_path, width, binary, None, True, table, buckets)
+
+
+def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
+                target_path: str, width: int = 7, binary: bool = False) -> int:
+    """K9 as ``load_months_report``; the number of inserted rows."""
+    return load_months_report(spark, service, paths, target_path, width, binary).inserted
 
 
 def write_monthly_files(trips: DataFrame, root: str, service: str) -> str:

@@ -9,7 +9,10 @@ passes its end, and rows later than that are dropped (T10).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import time
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -316,7 +319,7 @@ class UpsertSink:
         spark = batch.sparkSession
         best = self._best(_ntz(batch).withColumn("__prio", F.lit(1)))
         target = self.jdbc["dbtable"]
-        stage = f"{target}_stage"
+        stage = f"{target}_{uuid.uuid4().hex[:12]}"  # its own for each batch of each stream
         best.write.format("jdbc").options(**{**self.jdbc, "dbtable": stage}).mode("overwrite").save()
         if self.read(spark) is None:
             best.limit(0).write.format("jdbc").options(**self.jdbc).mode("append").save()
@@ -331,6 +334,7 @@ class UpsertSink:
             f"INSERT INTO {target} ({cols}) SELECT {cols} FROM {stage} AS s "
             f"WHERE NOT EXISTS (SELECT 1 FROM {target} AS t WHERE {same})",
         ])
+        _in_one_transaction(spark, self.jdbc, [f"DROP TABLE {stage}"])
 
 
 # SQL states of "table does not exist" (standard, Derby, Postgres).
@@ -370,25 +374,39 @@ def _in_one_transaction(spark: SparkSession, jdbc: dict, statements: Sequence[st
         connection.close()
 
 
+# Fixed value: the class of Spark's state store that keeps state on disk.
+_DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None, large_state: bool = False) -> SparkSession:
+    """A session of the same application for building streams, with the given session's
+    settings and its own on top; the given session's stay as they are.
+
+    ``state_partitions`` sizes the state of windowed aggregates (fixed in the checkpoint at
+    the first start and kept on restarts).  ``large_state`` keeps state in RocksDB, off the
+    JVM heap, and writes only its changes to each checkpoint.
+    """
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if own.conf.isModifiable(k):
+            own.conf.set(k, v)
+    if state_partitions:
+        own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    if large_state:
+        own.conf.set("spark.sql.streaming.stateStore.providerClass", _DISK_STATE)
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return own
+
+
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoint: str,
           trigger: dict | None = None, output_mode: str = "append",
-          name: str | None = None, path: str | None = None,
-          state_partitions: int | None = None) -> StreamingQuery:
+          name: str | None = None, path: str | None = None) -> StreamingQuery:
     """Start a query with a checkpoint; default trigger every 10 seconds.
 
     ``sink`` is a ``foreachBatch`` function or a format name (with ``path``).
-    Use ``trigger={"availableNow": True}`` to drain what is there and stop.
-    ``state_partitions`` sizes the state store of windowed aggregates (it is
-    fixed in the checkpoint at the first start and kept on restarts).
+    Use ``trigger={"availableNow": True}`` to drain what is there and stop.  State is
+    configured on the session that ``df`` was built in (``stream_session``).
     """
-    spark = df.sparkSession
-    if state_partitions:
-        old = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-        try:
-            return start(df, sink, checkpoint, trigger, output_mode, name, path)
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", old)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
     if name:
@@ -402,19 +420,55 @@ def start(df: DataFrame, sink: Callable[[DataFrame, int], None] | str, checkpoin
     return w.start()
 
 
+@dataclass(frozen=True)
+class Batch:
+    """What a micro-batch read, and the rows its windows dropped as late (after partial
+    aggregation: one for each window and key of the batch)."""
+
+    batch_id: int
+    input_rows: int
+    late_rows: int
+
+
+def progress(query: StreamingQuery) -> dict[int, Batch]:
+    """The latest batches of a query, by id."""
+    return {p.batchId: Batch(p.batchId, p.numInputRows, sum(o.numRowsDroppedByWatermark for o in p.stateOperators))
+            for p in query.recentProgress}
+
+
+BATCHES_DDL = "query string, batch_id bigint, input_rows bigint, late_rows bigint"
+
+
 def run_available(df: DataFrame, sink, checkpoint: str, output_mode: str = "append",
-                  timeout_s: int | None = None, state_partitions: int | None = None) -> None:
+                  timeout_s: int | None = None, batches_path: str | None = None) -> list[Batch]:
     """Drain everything currently available (incl. the closing no-data batch
     that emits windows the final watermark has passed), then stop.  There is no time
-    limit unless ``timeout_s`` gives one."""
-    q = start(df, sink, checkpoint, trigger={"availableNow": True}, output_mode=output_mode,
-              state_partitions=state_partitions)
+    limit unless ``timeout_s`` gives one.  Returns the batches, and appends them to the
+    table at ``batches_path``, so that what the watermark dropped is on record."""
+    q = start(df, sink, checkpoint, trigger={"availableNow": True}, output_mode=output_mode)
+    seen: dict[int, Batch] = {}
+    until = None if timeout_s is None else time.monotonic() + timeout_s
     try:
-        finished = q.awaitTermination(timeout_s)
-        if timeout_s is not None and not finished:
-            raise TimeoutError(f"stream did not finish within {timeout_s}s")
+        # the query remembers its latest batches only, so they are read while it runs
+        while not q.awaitTermination(2):
+            seen.update(progress(q))
+            if until is not None and time.monotonic() > until:
+                raise TimeoutError(f"stream did not finish within {timeout_s}s")
+        seen.update(progress(q))
         if q.exception() is not None:
             raise q.exception()
     finally:
         if q.isActive:
             q.stop()
+    out = [seen[k] for k in sorted(seen)]
+    if batches_path:
+        rows = [(str(q.id), b.batch_id, b.input_rows, b.late_rows) for b in out]
+        df.sparkSession.createDataFrame(rows, BATCHES_DDL).write.mode("append").parquet(batches_path)
+    return out
+
+
+def late_rows(spark: SparkSession, batches_path: str) -> DataFrame:
+    """(query, late_rows): dropped rows of each query on record; a batch that was reported
+    twice counts once."""
+    once = spark.read.schema(BATCHES_DDL).parquet(batches_path).groupBy("query", "batch_id").agg(F.max("late_rows").alias("n"))
+    return once.groupBy("query").agg(F.sum("n").alias("late_rows"))

@@ -4,6 +4,7 @@ import os
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox import schemas
 from farebox.streaming import jobs as S
@@ -236,3 +237,31 @@ def test_jdbc_upsert_keeps_the_target_and_raises_other_errors(spark, tmp_path):
     broken = S.UpsertSink(None, ["k"], jdbc={"url": "jdbc:nothing:here", "dbtable": "t"})
     with pytest.raises(Exception):
         broken.read(spark)
+
+
+def _minute_counts(stream):
+    return S.tumbling_counts(S.decode_test_events(stream), "event_watermark", "test_data", "1 minute", "1 second")
+
+
+def test_large_state_restarts_from_its_changelog_and_leaves_the_session_alone(spark, tmp):
+    import glob
+    schema = T.StructType([T.StructField("test_data", T.LongType()), T.StructField("event_timestamp", T.DoubleType())])
+    before = dict(spark.conf.getAll)
+    own = S.stream_session(spark, state_partitions=2, large_state=True)
+    sink = S.AppendSink(f"{tmp}/sink")
+    minute = 60_000.0
+    late = None
+    for n, rows in enumerate(([(1, 0.0), (1, 1000.0), (2, 10_000.0)], [(1, 30_000.0), (2, 5 * minute)], [(1, 9 * minute), (7, 1.0), (7, 2.0)],
+                              [(8, 5.0), (1, 20 * minute)])):
+        write_json_lines([{"test_data": a, "event_timestamp": t} for a, t in rows], f"{tmp}/topic", f"p{n}.json")
+        stream = S.read_json_stream(own, {"path": f"{tmp}/topic"}, schema)
+        batches = S.run_available(_minute_counts(stream), sink, f"{tmp}/ckpt", batches_path=f"{tmp}/batches")
+        late = S.late_rows(spark, f"{tmp}/batches").agg({"late_rows": "sum"}).first()[0]
+        assert sum(b.input_rows for b in batches) == len(rows)
+    assert glob.glob(f"{tmp}/ckpt/state/0/0/*.changelog")
+    got = {(str(r.event_hour)[14:16], r.test_data): r.num_hits for r in sink.read(spark).collect()}
+    # state of the first run was there after each restart: three hits of key 1 in minute 0
+    assert got[("00", 1)] == 3 and got[("00", 2)] == 1 and ("00", 7) not in got and ("00", 8) not in got
+    # 7 (two rows of one window) and 8 came behind the watermark: one dropped row for each window and key
+    assert late == 2
+    assert dict(spark.conf.getAll) == before
