@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farebox.llm.bpe import Codec
+from farebox.llm.bpe import codec
 from farebox.llm.common import slices, staged, text_or_empty
 
 LIMIT, BLOCK, SEGMENT = 18, 512, 1 << 18
@@ -123,7 +123,7 @@ class Table:
 
 def id_type(path: str) -> str:
     """Integers that hold every id of a vocabulary."""
-    return "<u2" if len(Codec(path).bytes_of) <= 1 << 16 else "<u4"
+    return "<u2" if len(codec(path).bytes_of) <= 1 << 16 else "<u4"
 
 
 def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> DataFrame:
@@ -132,7 +132,7 @@ def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        codec, part, segment = Codec(path), TaskContext.get().partitionId(), 0
+        own, part, segment = codec(path), TaskContext.get().partitionId(), 0
         names: list = []
         arrays: list[np.ndarray] = []
         size, before, end = 0, 0, np.array([end_id], np.uint32)
@@ -147,7 +147,7 @@ def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> Data
 
         for b in slices(batches, 100):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ids = np.concatenate([codec.encode(text), end])
+                ids = np.concatenate([own.encode(text), end])
                 if arrays and size + len(ids) > SEGMENT:
                     yield row()
                     names, arrays, size, before, segment = [], [], 0, before + size, segment + 1

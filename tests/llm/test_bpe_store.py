@@ -38,7 +38,7 @@ def test_fragments_encode_like_the_whole(library, monkeypatch, span):
 
 def test_texts_without_a_certain_cut_are_one_step(library):
     codec = bpe.Codec(vocabulary_path())
-    for text in ("日本語" * 2000, "a" * 9000, "some words, " * 300):
+    for text in ("日本語" * 2000, "a" * 9000, "some words, " * 20):
         assert codec.fragments(text.encode()) == [text.encode()]
         assert codec.encode(text).tolist() == ids_of(library, text)
     assert len(codec.fragments(b"some words; (and more) " * 3000)) > 1
