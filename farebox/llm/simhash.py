@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farebox.llm.common import slices, staged
+from farebox.llm.common import text_or_empty, slices, staged
 from farebox.llm.components import components
 
 RADIUS, SHINGLE, BLOCKS, BITS = 3, 3, 4, 64
@@ -62,14 +62,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every text as a signed 64-bit integer."""
+    """(doc_id, mark, fp): the fingerprint of every text as a signed 64-bit integer; the
+    mark is a hash of the text, which tells texts of one id apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fp.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(2), pa.array(fp.view(np.int64))],
+                                             names=["doc_id", "mark", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", _mark()).mapInArrow(run, "doc_id long, mark long, fp long")
+
+
+def _mark() -> Column:
+    return F.xxhash64(text_or_empty()).alias("mark")
 
 
 def _signed(x: int) -> int:
@@ -177,17 +182,24 @@ def connected(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return components(near.unionByName(more))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, mark, fp, best): ``best`` is the component's first text, as a struct of its
+    doc_id, mark and fp: smallest id, then mark; a text without an id comes last."""
     prints = staged(fingerprints(docs, shingle), "simhash-prints")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first")).repartition(n, "fp"), "simhash-first")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "fp")
+    first = staged(prints.groupBy("fp").agg(F.min(order).alias("first")).repartition(n, "fp"), "simhash-first")
     joined = connected(first.select("fp"), radius)
     vertex = (first.join(joined.withColumnRenamed("id", "fp"), "fp", "left")
               .select("fp", "first", F.coalesce("component", "fp").alias("component")))
-    smallest = vertex.groupBy("component").agg(F.min("first").alias("component_id"))
-    of = vertex.join(smallest, "component").select("fp", "component_id")
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    smallest = vertex.groupBy("component").agg(F.min("first").alias("best"))
+    of = vertex.join(smallest, "component").select("fp", "best")
+    return prints.join(of, "fp").select("doc_id", "mark", "fp", "best")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable."""
+    return grouped(docs, shingle, radius).select("doc_id", "fp", F.col("best.doc_id").alias("component_id"))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -195,7 +207,14 @@ def hex_digits(fp: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` without the documents whose component holds a smaller doc_id.  Rows
-    without an id can't be told apart and stay."""
-    dropped = near_duplicates(docs, shingle, radius).filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one text of each component: the first by doc_id.
+
+    An id that occurs with several texts is decided text by text, so that a text without a
+    near copy stays whatever else its id holds.  Rows that repeat the id and the text of the
+    one that stays can't be told from it and stay; so do rows without an id."""
+    out = grouped(docs, shingle, radius)
+    same = (F.col("doc_id") == F.col("best.doc_id")) & (F.col("mark") == F.col("best.mark"))
+    dropped = out.filter(F.col("doc_id").isNotNull() & ~F.coalesce(same, F.lit(False))).select("doc_id", "mark").distinct()
+    dropped = dropped.select(F.col("doc_id").alias("_dropped"), F.col("mark").alias("_dropped_mark"))
+    gone = (docs["doc_id"] == dropped["_dropped"]) & (F.xxhash64(text_or_empty(docs["text"])) == dropped["_dropped_mark"])
+    return docs.join(dropped, gone, "left_anti").select(*docs.columns)

@@ -101,3 +101,14 @@ def test_one_of_each_group_stays(spark):
             (None, text, "en", "s", 0)]
     kept = sh.deduplicated(frame(spark, data))
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "None"]
+
+
+def test_a_unique_text_stays_whatever_its_id_holds(spark):
+    text, other = "a b c d e f g h", "some quite other words that nobody else has"
+    data = [(1, text, "en", "s", 0), (5, text, "en", "s", 0), (5, other, "en", "s", 0), (5, other, "en", "s", 0),
+            (1, "third text under the first id", "en", "s", 0), (7, None, "en", "s", 0), (8, "", "en", "s", 0)]
+    kept = sh.deduplicated(frame(spark, data)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"]) == [
+        (1, text), (1, "third text under the first id"), (5, other), (5, other)]
+    # empty and null texts are one text: the first stays
+    assert [r["doc_id"] for r in kept if not r["text"]] == [7]
