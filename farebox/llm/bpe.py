@@ -8,13 +8,12 @@ character other than an apostrophe.  There the splitting pattern of the tokenize
 (no look-behind; look-ahead only after white space; contractions only from an
 apostrophe on) finds the same pieces in the parts as in the whole.
 
-A cut is taken at the first certain one after every ``SPAN`` bytes, which saves calls and
-changes no id.  Steps are as long as the text allows, not bounded: a text without a certain
-cut, such as one without ASCII or a run of one letter, is a single step of any length.  A
-worker builds the tables of a file once and keeps them (``codec``).  The merges of plain
-fragments are done by tiktoken with the ranks of the same file, which gives the ids of
-the tokenizers library in a fifth of its time (tested against it); all others by the
-tokenizers library itself.
+Every certain cut is taken; fragments are mostly words.  A fragment met again is not encoded again but copied from a memo, which a
+worker keeps with the tables of the file (``codec``).  A fragment is as long as the text
+allows, not bounded: a text without a certain cut, such as one without ASCII or a run of one
+letter, is a single step of any length.  The merges of plain fragments are done by tiktoken
+with the ranks of the same file, which gives the ids of the tokenizers library in a fifth of
+its time (tested against it); all others by the tokenizers library itself.
 
 Defined cases: a null text is empty and has no ids; added tokens inside a text
 become their ids, as the library does; ids decode to UTF-8 with U+FFFD in place
@@ -27,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 
@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 
 from farebox.llm.common import slices
 
-#: Bytes after which the next certain boundary is taken.
-SPAN = 256
+#: Fragments a worker remembers before it starts afresh, and the longest of them in bytes.
+MEMO, MEMO_BYTES = 400_000, 64
 
 #: Signs whose class may differ between Unicode versions; texts with them go to
 #: the tokenizers library, as do those with an added token's first sign.
@@ -56,6 +56,22 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Memo(dict):
+    """Fragment -> its ids as 32-bit bytes, worked out when first met."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, fragment: bytes) -> bytes:
+        out = array("I", self.ids(fragment.decode())).tobytes()
+        if len(fragment) <= MEMO_BYTES:
+            if len(self) >= MEMO:
+                self.clear()
+            self[fragment] = out
+        return out
+
+
 class Codec:
     """Encoder and decoder for one byte-level BPE file of the tokenizers library."""
 
@@ -85,6 +101,7 @@ class Codec:
         #: pair (as 256 * left + right) -> certain cut
         self.cut = (~inside & left[:, None] & right[None, :]).ravel()
         self.merger = self._merger(spec["model"])
+        self.memo = Memo(self._ids)
 
     @cached_property
     def tokenizer(self):
@@ -107,29 +124,22 @@ class Codec:
                                  mergeable_ranks={b: i for i, b in enumerate(self.bytes_of) if i in known})
 
     def fragments(self, raw: bytes) -> list[bytes]:
-        """Bytes of a text, cut at certain boundaries: at the first one after
-        every ``SPAN`` bytes (joining shorter fragments saves calls and changes
-        no id)."""
+        """Bytes of a text, cut at every certain boundary."""
         b = np.frombuffer(raw, np.uint8)
         pair = (b[:-1].astype(np.uint16) << 8) | b[1:]
-        certain = np.flatnonzero(self.cut[pair]) + 1
-        at, out = 0, []
-        for nth in np.searchsorted(certain, np.arange(SPAN, len(raw), SPAN)).tolist():
-            if nth < len(certain) and (end := int(certain[nth])) > at:
-                out.append(raw[at:end])
-                at = end
-        return [*out, raw[at:]]
-
-    def _ids(self, text: str) -> np.ndarray:
+        cuts = [0, *(np.flatnonzero(self.cut[pair]) + 1).tolist(), len(raw)]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _ids(self, text: str) -> list[int]:
         if self.merger and "<" not in text and (text.isascii() or not BEYOND.search(text)):
-            return self.merger.encode_to_numpy(text)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return self.merger.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text as unsigned 32-bit integers: those of its fragments."""
         if not text:
             return np.empty(0, np.uint32)
-        return np.concatenate([self._ids(f.decode()) for f in self.fragments(text.encode())])
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.fragments(text.encode()))), np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
