@@ -62,6 +62,17 @@ SELECT page_id, url, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (x <> '')
 FROM decoded GROUP BY page_id, url
 """
 
+OP8 = r"""
+WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 13], ' ') AS t FROM (SELECT doc_id, w, unnest(range(len(w) - 12)) AS i FROM texts)),
+firsts AS (SELECT t, min(doc_id) AS lo FROM windows GROUP BY t HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (t) WHERE lo < doc_id),
+words AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS x FROM texts),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_min_cut_text": OP11, "op12_periodic_runs": OP12, "op13_pair_maxscore": OP13}
+    return {"op8_phrase_dedup": OP8, "op11_min_cut_text": OP11, "op12_periodic_runs": OP12, "op13_pair_maxscore": OP13}

@@ -58,12 +58,37 @@ class Words(dict):
         return h
 
 
-def segments(words: list[bytes], memo: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first word and end word of each run of windows with one anchor."""
+#: Odd, so that its powers have inverses modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+class Powers:
+    """Powers of a number modulo 2^64, made as far as they are needed."""
+
+    def __init__(self, base: int):
+        self.base, self.of = np.uint64(base), np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> np.ndarray:
+        while len(self.of) < n:
+            step = self.of[-1:] * self.base
+            self.of = np.concatenate([self.of, self.of * step])
+        return self.of[:n]
+
+
+POWERS, INVERSES = Powers(_BASE), Powers(_INVERSE)
+
+
+def segments(words: list[bytes], memo: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first word, end word and id of each run of windows with one anchor.
+
+    The id is a polynomial of the words' hashes, the same wherever the words stand; it
+    comes from one running sum, so no segment's text is put together for it.
+    """
     n = len(words) - WINDOW + 1
     if n < 1:
         none = np.empty(0, np.int64)
-        return none, none, none
+        return none, none, none, none
     if len(memo) > MEMO:
         memo.clear()
     h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
@@ -75,7 +100,11 @@ def segments(words: list[bytes], memo: Words) -> tuple[np.ndarray, np.ndarray, n
     at = np.lib.stride_tricks.sliding_window_view(g, width).argmin(1) + np.arange(n)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     end = np.r_[first[1:], n] + WINDOW - 1
-    return g[at[first]].view(np.int64), first, end
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * POWERS.upto(len(h)))])
+    sid = (total[end] - total[first]) * INVERSES.upto(len(h))[first] + (end - first).astype(np.uint64)
+    sid = (sid ^ (sid >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    sid ^= sid >> np.uint64(32)
+    return g[at[first]].view(np.int64), first, end, sid.view(np.int64)
 
 
 def _variant() -> Column:
@@ -86,53 +115,59 @@ def _variant() -> Column:
 def anchors(docs: DataFrame) -> DataFrame:
     """(anchor, sid, doc_id): the distinct segments of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Words()
+        memo, none = Words(), np.empty(0, np.int64)
         for b in slices(batches, 500):
-            anchor, sid, n = [], [], []
+            anchor, sid, n = [none], [none], []
             for t in b.column(1).to_pylist():
-                words = (t or "").encode().split()
-                a, first, end = segments(words, memo)
-                each = {*zip(a.tolist(), _ids(words, first, end))}
-                n.append(len(each))
-                anchor += [x for x, _ in each]
-                sid += [y for _, y in each]
+                a, _, _, s = segments((t or "").encode().split(), memo)
+                order = np.lexsort((s, a))
+                a, s = a[order], s[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
+                anchor.append(a[new])
+                sid.append(s[new])
+                n.append(len(sid[-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor, pa.int64()), pa.array(sid, pa.int64()), pa.array(np.repeat(b.column(0).to_numpy(), n))],
+                [pa.array(np.concatenate(anchor)), pa.array(np.concatenate(sid)), pa.array(np.repeat(b.column(0).to_numpy(), n))],
                 names=["anchor", "sid", "doc_id"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "anchor long, sid long, doc_id long")
 
 
-def _ids(words: list[bytes], first: np.ndarray, end: np.ndarray) -> list[int]:
-    """Signed 64-bit id of each segment's text."""
-    from xxhash import xxh3_64_intdigest
-
-    h = [xxh3_64_intdigest(b" ".join(words[i:j])) for i, j in zip(first.tolist(), end.tolist())]
-    return np.array(h, np.uint64).view(np.int64).tolist()
-
-
 def recurring_segments(docs: DataFrame) -> DataFrame:
     """(anchor, sid, doc_id, place, text, last) from (doc_id, text, variant, shared,
     firsts): the segments of shared anchors; text and the last document only where
     the document is the first that holds the segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Words()
+        memo, none = Words(), np.empty(0, np.int64)
         for b in slices(batches, 200):
-            out: list[tuple] = []
-            for doc, text, variant, shared, firsts in zip(*(c.to_pylist() for c in b.columns)):
+            shared, firsts = b.column(3), b.column(4)
+            recur, of_doc = shared.values.to_numpy(), shared.offsets.to_numpy()
+            first_sid, first_last = (firsts.values.field(k).to_numpy() for k in ("sid", "last"))
+            of_first = firsts.offsets.to_numpy()
+            anchors_, sids, places, texts, lasts, n = [none], [none], [none], [], [], []
+            for k, (text, variant) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
                 words = (text or "").encode().split()
-                a, first, end = segments(words, memo)
-                hit = np.isin(a, np.array(shared, np.int64))
-                a, first, end = a[hit], first[hit], end[hit]
-                told = {x["sid"]: x["last"] for x in firsts}
-                for anchor, sid, i, j in zip(a.tolist(), _ids(words, first, end), first.tolist(), end.tolist()):
-                    last = told.pop(sid, None)
-                    out.append((anchor, sid, doc, variant << 40 | i,
-                                None if last is None else b" ".join(words[i:j]).decode(), last))
-            cols = list(zip(*out)) or [[]] * 6
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["anchor", "sid", "doc_id", "place", "text", "last"])
+                a, first, end, s = segments(words, memo)
+                hit = np.isin(a, recur[of_doc[k]:of_doc[k + 1]])
+                a, first, end, s = a[hit], first[hit], end[hit], s[hit]
+                lo, hi = of_first[k], of_first[k + 1]
+                told = dict(zip(first_sid[lo:hi].tolist(), first_last[lo:hi].tolist()))
+                text_of, last_of = [None] * len(s), [None] * len(s)
+                for i in np.flatnonzero(np.isin(s, first_sid[lo:hi])).tolist():
+                    last = told.pop(int(s[i]), None)
+                    if last is not None:
+                        text_of[i], last_of[i] = b" ".join(words[first[i]:end[i]]).decode(), last
+                anchors_.append(a)
+                sids.append(s)
+                places.append(variant << 40 | first)
+                texts += text_of
+                lasts += last_of
+                n.append(len(s))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.concatenate(x).astype(np.int64)) for x in (anchors_, sids)), pa.array(np.repeat(b.column(0).to_numpy(), n)),
+                 pa.array(np.concatenate(places).astype(np.int64)), pa.array(texts, pa.string()), pa.array(lasts, pa.int64())],
+                names=["anchor", "sid", "doc_id", "place", "text", "last"])
 
     return docs.select("doc_id", "text", "variant", "shared", "firsts").mapInArrow(
         run, "anchor long, sid long, doc_id long, place long, text string, last long")
