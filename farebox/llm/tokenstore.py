@@ -99,11 +99,12 @@ class Table:
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray):
         self.id, self.length = np.zeros(1 << LIMIT, np.uint32), np.ones(1 << LIMIT, np.int64)
-        codes = canonical(ids, lengths)
-        for i, n, c in zip(ids.tolist(), lengths.tolist(), codes.tolist()):
-            lo = c << (LIMIT - n)
-            self.id[lo:lo + (1 << (LIMIT - n))] = i
-            self.length[lo:lo + (1 << (LIMIT - n))] = n
+        # in the order of their codes the ids' stretches of the table follow each other
+        lengths = np.asarray(lengths, np.int64)
+        order = np.argsort(canonical(ids, lengths).astype(np.int64) << (LIMIT - lengths), kind="stable")
+        ids, lengths = np.asarray(ids)[order], lengths[order]
+        each = np.left_shift(1, LIMIT - lengths)
+        self.id[:each.sum()], self.length[:each.sum()] = np.repeat(ids, each), np.repeat(lengths, each)
 
     def unpack(self, payload: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """The first ``n`` ids of a segment, all its blocks at once."""
