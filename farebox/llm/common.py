@@ -45,6 +45,16 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield b.slice(at, rows)
 
 
+class Words(dict):
+    """word -> 64-bit hash, computed when first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        from xxhash import xxh64_intdigest
+
+        h = self[word] = xxh64_intdigest(word)
+        return h
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared folder and read it back: cuts lineage
     and survives lost executors."""
@@ -53,4 +63,4 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["ascii_lower", "fold", "shared_dir", "slices", "staged", "text_or_empty", "words"]
+__all__ = ["Words", "ascii_lower", "fold", "shared_dir", "slices", "staged", "text_or_empty", "words"]

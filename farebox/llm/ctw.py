@@ -35,8 +35,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import fold, slices, staged, text_or_empty
-from farebox.llm.phrases import Words
+from farebox.llm.common import Words, fold, slices, staged, text_or_empty
 
 DEPTH, END = 4, 0xFF
 

@@ -42,20 +42,18 @@ from farebox.llm.common import slices, staged, text_or_empty
 WINDOW, ANCHOR = 13, 5
 PHRASES, SHARD_SEGMENTS, AUTOMATON = 4_000, 16_000, 40_000
 
-#: Word hashes a task remembers before it starts afresh.
-MEMO = 400_000
-
-_SPAN = "struct<s:int,e:int,first:long>"
+#: Bytes of words hashed at once; fixes memory, not results.
+HASHED_BYTES = 1 << 20
 
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-class Words(dict):
-    """word -> 64-bit hash, computed when first met."""
+#: A 64-bit number for each byte.
+_OF_BYTE = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+_OF_BYTE ^= _OF_BYTE >> np.uint64(32)
+_OF_BYTE *= np.uint64(0xA0761D6478BD642F)
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        h = self[word] = xxh64_intdigest(word)
-        return h
+_SPAN = "struct<s:int,e:int,first:long>"
 
 
 #: Odd, so that its powers have inverses modulo 2^64.
@@ -79,19 +77,39 @@ class Powers:
 POWERS, INVERSES = Powers(_BASE), Powers(_INVERSE)
 
 
-def segments(words: list[bytes], memo: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first word, end word and id of each run of windows with one anchor.
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash, first byte and end byte of every word of a text: a polynomial of the
+    word's bytes, for many words at a time."""
+    b = np.frombuffer(raw, np.uint8)
+    inside = np.zeros(len(b) + 2, np.int8)
+    inside[1:-1] = ~_IS_SPACE[b]
+    edges = np.flatnonzero(np.diff(inside))
+    start, end = edges[::2], edges[1::2]
+    size = end - start
+    h, at = np.empty(len(start), np.uint64), 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(end, start[at] + HASHED_BYTES, side="right")))
+        n = size[at:to]
+        before = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(before, n)
+        byte = b[place + np.repeat(start[at:to], n)]
+        h[at:to] = np.add.reduceat(_OF_BYTE[byte] * POWERS.upto(int(n.max()))[place], before)
+        at = to
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) + size.astype(np.uint64)
+    return h ^ (h >> np.uint64(32)), start, end
+
+
+def segments(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first word, end word and id of each run of windows with one anchor,
+    from the words' hashes.
 
     The id is a polynomial of the words' hashes, the same wherever the words stand; it
     comes from one running sum, so no segment's text is put together for it.
     """
-    n = len(words) - WINDOW + 1
+    n = len(h) - WINDOW + 1
     if n < 1:
         none = np.empty(0, np.int64)
         return none, none, none, none
-    if len(memo) > MEMO:
-        memo.clear()
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
     g = np.zeros(len(h) - ANCHOR + 1, np.uint64)
     for k in range(ANCHOR):
         g = (g ^ h[k:len(g) + k]) * np.uint64(0x9E3779B97F4A7C15)
@@ -115,11 +133,11 @@ def _variant() -> Column:
 def anchors(docs: DataFrame) -> DataFrame:
     """(anchor, sid, doc_id): the distinct segments of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, none = Words(), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
         for b in slices(batches, 500):
             anchor, sid, n = [none], [none], []
             for t in b.column(1).to_pylist():
-                a, _, _, s = segments((t or "").encode().split(), memo)
+                a, _, _, s = segments(word_hashes((t or "").encode())[0])
                 order = np.lexsort((s, a))
                 a, s = a[order], s[order]
                 new = np.ones(len(a), bool)
@@ -139,7 +157,7 @@ def recurring_segments(docs: DataFrame) -> DataFrame:
     firsts): the segments of shared anchors; text and the last document only where
     the document is the first that holds the segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, none = Words(), np.empty(0, np.int64)
+        none = np.empty(0, np.int64)
         for b in slices(batches, 200):
             shared, firsts = b.column(3), b.column(4)
             recur, of_doc = shared.values.to_numpy(), shared.offsets.to_numpy()
@@ -147,8 +165,9 @@ def recurring_segments(docs: DataFrame) -> DataFrame:
             of_first = firsts.offsets.to_numpy()
             anchors_, sids, places, texts, lasts, n = [none], [none], [none], [], [], []
             for k, (text, variant) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                words = (text or "").encode().split()
-                a, first, end, s = segments(words, memo)
+                raw = (text or "").encode()
+                h, begin, stop = word_hashes(raw)
+                a, first, end, s = segments(h)
                 hit = np.isin(a, recur[of_doc[k]:of_doc[k + 1]])
                 a, first, end, s = a[hit], first[hit], end[hit], s[hit]
                 lo, hi = of_first[k], of_first[k + 1]
@@ -157,7 +176,7 @@ def recurring_segments(docs: DataFrame) -> DataFrame:
                 for i in np.flatnonzero(np.isin(s, first_sid[lo:hi])).tolist():
                     last = told.pop(int(s[i]), None)
                     if last is not None:
-                        text_of[i], last_of[i] = b" ".join(words[first[i]:end[i]]).decode(), last
+                        text_of[i], last_of[i] = b" ".join(raw[begin[first[i]]:stop[end[i] - 1]].split()).decode(), last
                 anchors_.append(a)
                 sids.append(s)
                 places.append(variant << 40 | first)
