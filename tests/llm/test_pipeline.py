@@ -49,7 +49,7 @@ def test_pipeline_against_its_parts(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert [q.split("_")[0] for q in queries()] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries()] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_empty_documents(spark, tmp_path):
