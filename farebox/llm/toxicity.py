@@ -1,14 +1,16 @@
 """Operator 6: toxicity by a character n-gram linear classifier with naive Bayes features.
 
-A text's features are its distinct character n-grams (4 and 5 code points of the
-lower-cased text), hashed to 2^20 indices.  From labelled rows, each index gets the
-log ratio of its share in toxic and in clean texts, smoothed in proportion to the
-classes so that an unseen n-gram is neutral.  Indices that occur in at least
-``MIN_DOCS`` texts with a ratio of ``MIN_RATIO`` or more towards
-label 1 are kept, a text's features take the ratio as their value, and a logistic
-regression is fitted on them.  The score is its probability of label 1.  N-grams that
-speak for label 0 are left out: clean text around a toxic passage, however long,
-then doesn't hide it.
+The features are distinct character n-grams (4 and 5 code points of the lower-cased
+text), hashed to 2^20 indices.  From labelled rows, each index in at least ``MIN_DOCS``
+texts gets the log ratio of its share in toxic and in clean texts, smoothed in
+proportion to the classes so that an unseen n-gram is neutral.  Ratios of either sign
+are the values of the features, divided by the square root of the number of distinct
+n-grams, known or not, and a logistic regression is fitted on them.
+
+A text is scored by passages of ``PASSAGE`` code points (those in which an n-gram
+starts, so none is cut), every one of the whole text; its score is the largest
+probability of label 1.  So clean text around a toxic passage, however long, doesn't
+hide it, and many clean words don't add up to a toxic text.
 
 Fitting uses a bounded sample of the labelled rows: ``PER_CLASS`` of each label,
 those with the smallest hash of their id.  Counting, fitting and scoring are Spark
@@ -37,8 +39,14 @@ ORDERS, DIM_BITS = (4, 5), 20
 #: Bound of the labelled sample, by class.
 PER_CLASS = {1: 3_000, 0: 6_000}
 
-MIN_DOCS, MIN_RATIO, SMOOTHING = 4, 1.0, 1.0
-ITERATIONS, REGULARISATION = 30, 1e-3
+MIN_DOCS, SMOOTHING = 4, 1.0
+ITERATIONS, REGULARISATION = 30, 1e-5
+
+#: Code points of a passage; fewer n-grams than FEW are divided as if they were as many.
+PASSAGE, FEW = 500, 100
+
+#: About the square root of a text's number of n-grams, so that their sizes stay near the ratios'.
+SCALE = 30.0
 THRESHOLD = 0.7
 
 
@@ -48,24 +56,39 @@ class Grams:
     def __init__(self) -> None:
         self.last = np.zeros(1 << DIM_BITS, np.int32)
 
-    def of(self, text: str | None) -> np.ndarray:
+    def all(self, text: str | None) -> list[np.ndarray]:
+        """Index of the n-gram at each code point, an array for each n."""
         chars = np.frombuffer((text or "").lower().encode("utf-32-le"), np.uint32)
         found = []
         for n in ORDERS:
-            if len(chars) >= n:
-                h = np.full(len(chars) - n + 1, n, np.uint32)
-                for k in range(n):
-                    h = (h ^ chars[k:len(h) + k]) * np.uint32(0x01000193)
-                h ^= h >> np.uint32(15)
-                h *= np.uint32(0x85EBCA6B)
-                found.append((h >> np.uint32(32 - DIM_BITS)).astype(np.int32))
-        if not found:
-            return np.empty(0, np.int32)
+            h = np.full(max(len(chars) - n + 1, 0), n, np.uint32)
+            for k in range(n):
+                h = (h ^ chars[k:len(h) + k]) * np.uint32(0x01000193)
+            h ^= h >> np.uint32(15)
+            h *= np.uint32(0x85EBCA6B)
+            found.append((h >> np.uint32(32 - DIM_BITS)).astype(np.int32))
+        return found
+
+    def distinct(self, found: list[np.ndarray]) -> np.ndarray:
         idx = np.concatenate(found)
         at = np.arange(len(idx), dtype=np.int32)
         self.last[idx] = at
         return idx[self.last[idx] == at]
 
+    def of(self, text: str | None) -> np.ndarray:
+        return self.distinct(self.all(text))
+
+    def passages(self, text: str | None) -> Iterator[np.ndarray]:
+        """Distinct indices of each passage; one empty array for a text without n-grams."""
+        found = self.all(text)
+        for at in range(0, max(len(found[0]), 1), PASSAGE):
+            yield self.distinct([f[at:at + PASSAGE] for f in found])
+
+
+def size(n: np.ndarray | int) -> np.ndarray | float:
+    """Factor of the features of a passage or text of n distinct n-grams."""
+    return SCALE / np.sqrt(np.maximum(n, FEW))
+
 
 def features(docs: DataFrame) -> DataFrame:
     """(label, idx): labelled texts with their distinct n-gram indices."""
@@ -94,6 +117,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id").select("label", "text")
 
 
+def ratios(x: DataFrame, n1: int, n0: int) -> DataFrame:
+    """(idx, ratio): naive Bayes log-count ratios of the indices in ``MIN_DOCS`` texts or
+    more, from (label, idx) with ``n1`` toxic and ``n0`` clean texts."""
+    counts = (x.select("label", F.explode("idx").alias("idx")).groupBy("idx")
+              .agg(F.sum("label").alias("c1"), F.count(F.lit(1)).alias("c")))
+    a1, a0 = SMOOTHING * n1 / (n1 + n0), SMOOTHING * n0 / (n1 + n0)
+    ratio = F.log((F.col("c1") + a1) / (n1 + a1)) - F.log((F.col("c") - F.col("c1") + a0) / (n0 + a0))
+    return counts.filter(F.col("c") >= MIN_DOCS).select("idx", ratio.alias("ratio"))
+
+
 def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     """Weight of each index and the intercept, from (label, text)."""
     from pyspark.ml.classification import LogisticRegression
@@ -106,15 +139,8 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     if not n1 or not n0:
         share = n1 / max(n0 + n1, 1)
         return weights, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    counts = (x.select("label", F.explode("idx").alias("idx")).groupBy("idx")
-              .agg(F.sum("label").alias("c1"), F.count(F.lit(1)).alias("c")))
-    a1, a0 = SMOOTHING * n1 / (n1 + n0), SMOOTHING * n0 / (n1 + n0)
-    ratio = F.log((F.col("c1") + a1) / (n1 + a1)) - F.log((F.col("c") - F.col("c1") + a0) / (n0 + a0))
-    kept = (counts.filter(F.col("c") >= MIN_DOCS).select("idx", ratio.alias("ratio"))
-            .filter(F.col("ratio") >= MIN_RATIO).toArrow())
+    kept = ratios(x, n1, n0).orderBy("idx").toArrow()  # at most 2^20 rows
     idx, r = kept.column("idx").to_numpy(), kept.column("ratio").to_numpy()
-    order = np.argsort(idx)
-    idx, r = idx[order], r[order]
     if not len(idx):
         return weights, float(np.log(n1 / n0))
     both = x.sparkSession.sparkContext.broadcast((idx, r))
@@ -123,9 +149,10 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     def scaled(found):
         idx, r = both.value
         found = np.sort(np.array(found or [], np.int64))
+        n = len(found)
         at = np.minimum(np.searchsorted(idx, found), len(idx) - 1)
         at = at[idx[at] == found]
-        return Vectors.sparse(len(idx), at.tolist(), r[at].tolist())
+        return Vectors.sparse(len(idx), at.tolist(), (r[at] * size(n)).tolist())
 
     rows = x.select(F.col("label").cast("double").alias("label"), scaled("idx").alias("features"))
     model = LogisticRegression(maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False).fit(rows)
@@ -135,14 +162,22 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def score(docs: DataFrame, weights: np.ndarray, intercept: float, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (doc_id by default) and the ``score`` of every whole text."""
+    """The columns ``keep`` (doc_id by default) and the ``score`` of every whole text: the
+    largest of its passages."""
     keep = keep or ["doc_id"]
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, w = Grams(), model.value
+
+        def largest(text: str) -> float:
+            best = -np.inf
+            for idx in grams.passages(text):
+                best = max(best, w[idx].sum(dtype=np.float64) * size(len(idx)))
+            return best
+
         for b in slices(batches):
-            z = np.array([w[grams.of(t)].sum(dtype=np.float64) for t in b.column(len(keep)).to_pylist()]) + intercept
+            z = np.array([largest(t) for t in b.column(len(keep)).to_pylist()]) + intercept
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(p, pa.float64())], names=[*keep, "score"])
 

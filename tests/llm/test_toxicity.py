@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -71,3 +72,52 @@ def test_distinct_grams():
     a = grams.of("abcdabcd")
     assert len(a) == len(set(a.tolist())) and len(grams.of("abc")) == 0 and len(grams.of(None)) == 0
     assert set(grams.of("ABCDABCD").tolist()) == set(a.tolist())
+
+
+def test_features_and_ratios_by_brute_force(spark):
+    data, labels = table(spark, 60)
+    texts = [t for _, t, *_ in data]
+    bad = [b for _, _, b in labels]
+    x = tx.features(spark.createDataFrame(list(zip(bad, texts)), "label int, text string"))
+    grams = tx.Grams()
+    of = {}
+    for text, label in zip(texts, bad):
+        seen = set()
+        for n in tx.ORDERS:
+            for i in range(len(text) - n + 1):
+                (code,) = {int(a[0]) for a in grams.all(text[i:i + n])[tx.ORDERS.index(n):][:1]}
+                seen.add(code)
+        for code in seen:
+            of.setdefault(code, []).append(label)
+    n1, n0 = sum(bad), len(bad) - sum(bad)
+    a1, a0 = n1 / len(bad), n0 / len(bad)
+    want = {c: math.log((sum(v) + a1) / (n1 + a1)) - math.log((len(v) - sum(v) + a0) / (n0 + a0))
+            for c, v in of.items() if len(v) >= tx.MIN_DOCS}
+    got = {r["idx"]: r["ratio"] for r in tx.ratios(x, n1, n0).collect()}
+    assert got == pytest.approx(want) and min(got.values()) < 0 < max(got.values())
+
+
+def test_score_is_that_of_the_passage_with_the_largest(spark):
+    data, labels = table(spark)
+    weights, intercept = tx.train(tx.labelled(frame(spark, data), spark.createDataFrame(labels, LABELS)))
+    text = " ".join(t for _, t, *_ in data[:6])
+    grams, best = tx.Grams(), -math.inf
+    for at in range(0, len(text) - 3, tx.PASSAGE):
+        idx = set()
+        for n in tx.ORDERS:
+            for i in range(at, min(at + tx.PASSAGE, len(text) - n + 1)):
+                idx.add(int(grams.all(text[i:i + n])[tx.ORDERS.index(n)][0]))
+        best = max(best, sum(float(weights[i]) for i in idx) * tx.SCALE / math.sqrt(max(len(idx), tx.FEW)))
+    got = tx.score(frame(spark, [(1, text, "en", "s", 0)]), weights, intercept).first()["score"]
+    assert got == pytest.approx(1 / (1 + math.exp(-best - intercept)))
+
+
+def test_clean_words_do_not_add_up(spark):
+    """Long clean texts of a large vocabulary, none of it in the labelled texts."""
+    data, labels = table(spark)
+    weights, intercept = tx.train(tx.labelled(frame(spark, data), spark.createDataFrame(labels, LABELS)))
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 11)))
+    long = [(i, " ".join(word() if rng.random() < 0.5 else sentence(rng, 1) for _ in range(12_000)), "en", "s", 0)
+            for i in range(6)]
+    assert max(r["score"] for r in tx.score(frame(spark, long), weights, intercept).collect()) < tx.THRESHOLD
