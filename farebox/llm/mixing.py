@@ -154,13 +154,11 @@ def plan(docs: DataFrame, target_entropy: float = TARGET_ENTROPY, repetition_lim
 
 def copies(docs: DataFrame, mix: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` (with ``source`` and ``tie``) with a row for each copy and its ``epoch``."""
-    small = mix.select("source", "full", "cut_key", "cut_tie")
-    key = _key(F.col("full"), seed)
-    more = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.col("tie") <= F.col("cut_tie")))
-    n = F.col("full") + F.when(more, 1).otherwise(0)
-    out = docs.join(small, "source").withColumn("_n", n).filter("_n > 0")
-    return out.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop(
-        "_n", "full", "cut_key", "cut_tie")
+    small = mix.select("source", F.struct("full", "cut_key", "cut_tie").alias("_mix"))
+    key = _key(F.col("_mix.full"), seed)
+    more = (key < F.col("_mix.cut_key")) | ((key == F.col("_mix.cut_key")) & (F.col("tie") <= F.col("_mix.cut_tie")))
+    out = docs.join(small, "source").withColumn("_n", F.col("_mix.full") + F.when(more, 1).otherwise(0)).filter("_n > 0")
+    return out.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n", "_mix")
 
 
 def blocks(copied: DataFrame, total_tokens: float, block_tokens: int | None = None, seed: int = SEED) -> DataFrame:
@@ -184,6 +182,5 @@ def repeated(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with whole rows repeated or left out as the mix says."""
     small = staged(sized(docs), "mix-sized")
     mix = staged(plan(small, **how), "mix-plan")
-    marked = docs.withColumn("_given", F.col("source")).withColumn("source", _source()).withColumn("tie", _tie())
-    out = copies(marked, mix).drop("source").withColumnRenamed("_given", "source")
-    return out.select(*docs.columns)
+    marked = docs.select("doc_id", _source(), _tie(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return copies(marked, mix).select("_row.*")

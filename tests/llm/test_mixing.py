@@ -80,3 +80,15 @@ def test_repeated_keeps_columns_and_null_sources(spark):
     out = mx.repeated(frame(spark))
     assert out.columns == frame(spark).columns
     assert {r["source"] for r in out.collect()} == {r[3] for r in rows()}
+
+
+def test_repeated_stands_columns_named_as_the_plans_own(spark):
+    names = ["full", "tie", "epoch", "cut_key", "cut_tie", "n_tokens", "_n", "_mix", "_row", "a.b"]
+    docs = frame(spark)
+    for i, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(i))
+    out = mx.repeated(docs)
+    assert out.columns == docs.columns
+    plain = sorted(map(str, mx.repeated(frame(spark)).select("doc_id", "source", "text").collect()))
+    assert sorted(map(str, out.select("doc_id", "source", "text").collect())) == plain
+    assert {tuple(r) for r in out.select(*[f"`{c}`" for c in names]).collect()} == {tuple(range(len(names)))}
