@@ -3,14 +3,14 @@
 The features are distinct character n-grams (4 and 5 code points of the lower-cased
 text), hashed to 2^20 indices.  From labelled rows, each index in at least ``MIN_DOCS``
 texts gets the log ratio of its share in toxic and in clean texts, smoothed in
-proportion to the classes so that an unseen n-gram is neutral.  Ratios of either sign
-are the values of the features, divided by the square root of the number of distinct
-n-grams, known or not, and a logistic regression is fitted on them.
+proportion to the classes so that an unseen n-gram is neutral.  Indices with a ratio of
+``MIN_RATIO`` or more towards label 1 are kept, a text's features take the ratio as
+their value, and a logistic regression is fitted on them.  N-grams that speak for label
+0 are left out: clean text beside a toxic passage then doesn't hide it.
 
 A text is scored by passages of ``PASSAGE`` code points (those in which an n-gram
 starts, so none is cut), every one of the whole text; its score is the largest
-probability of label 1.  So clean text around a toxic passage, however long, doesn't
-hide it, and many clean words don't add up to a toxic text.
+probability of label 1.  So the words of a long clean text don't add up to a toxic one.
 
 Fitting uses a bounded sample of the labelled rows: ``PER_CLASS`` of each label,
 those with the smallest hash of their id.  Counting, fitting and scoring are Spark
@@ -39,14 +39,11 @@ ORDERS, DIM_BITS = (4, 5), 20
 #: Bound of the labelled sample, by class.
 PER_CLASS = {1: 3_000, 0: 6_000}
 
-MIN_DOCS, SMOOTHING = 4, 1.0
-ITERATIONS, REGULARISATION = 30, 1e-5
+MIN_DOCS, MIN_RATIO, SMOOTHING = 4, 1.0, 1.0
+ITERATIONS, REGULARISATION = 30, 1e-3
 
-#: Code points of a passage; fewer n-grams than FEW are divided as if they were as many.
-PASSAGE, FEW = 500, 100
-
-#: About the square root of a text's number of n-grams, so that their sizes stay near the ratios'.
-SCALE = 30.0
+#: Code points of a passage.
+PASSAGE = 2_000
 THRESHOLD = 0.7
 
 
@@ -85,11 +82,6 @@ class Grams:
             yield self.distinct([f[at:at + PASSAGE] for f in found])
 
 
-def size(n: np.ndarray | int) -> np.ndarray | float:
-    """Factor of the features of a passage or text of n distinct n-grams."""
-    return SCALE / np.sqrt(np.maximum(n, FEW))
-
-
 def features(docs: DataFrame) -> DataFrame:
     """(label, idx): labelled texts with their distinct n-gram indices."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +131,7 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     if not n1 or not n0:
         share = n1 / max(n0 + n1, 1)
         return weights, float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    kept = ratios(x, n1, n0).orderBy("idx").toArrow()  # at most 2^20 rows
+    kept = ratios(x, n1, n0).filter(F.col("ratio") >= MIN_RATIO).orderBy("idx").toArrow()  # at most 2^20 rows
     idx, r = kept.column("idx").to_numpy(), kept.column("ratio").to_numpy()
     if not len(idx):
         return weights, float(np.log(n1 / n0))
@@ -149,10 +141,9 @@ def train(sample: DataFrame) -> tuple[np.ndarray, float]:
     def scaled(found):
         idx, r = both.value
         found = np.sort(np.array(found or [], np.int64))
-        n = len(found)
         at = np.minimum(np.searchsorted(idx, found), len(idx) - 1)
         at = at[idx[at] == found]
-        return Vectors.sparse(len(idx), at.tolist(), (r[at] * size(n)).tolist())
+        return Vectors.sparse(len(idx), at.tolist(), r[at].tolist())
 
     rows = x.select(F.col("label").cast("double").alias("label"), scaled("idx").alias("features"))
     model = LogisticRegression(maxIter=ITERATIONS, regParam=REGULARISATION, standardization=False).fit(rows)
@@ -171,10 +162,7 @@ def score(docs: DataFrame, weights: np.ndarray, intercept: float, keep: list[str
         grams, w = Grams(), model.value
 
         def largest(text: str) -> float:
-            best = -np.inf
-            for idx in grams.passages(text):
-                best = max(best, w[idx].sum(dtype=np.float64) * size(len(idx)))
-            return best
+            return max(w[idx].sum(dtype=np.float64) for idx in grams.passages(text))
 
         for b in slices(batches):
             z = np.array([largest(t) for t in b.column(len(keep)).to_pylist()]) + intercept
