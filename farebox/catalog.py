@@ -432,19 +432,17 @@ def q_monthly_load_idempotent(spark, d):
     from farebox.plans import loads as L
     from farebox.session import scratch_path
     root = scratch_path(spark, "monthly-load")
-    t = fx.trips(spark, d)
+    t = fx.trips(spark, d, by_month=True)
     out = None
     for service in ("green", "yellow"):
         raw = fx.raw_service(t, service.capitalize(), keep_filename=True)
-        glob = L.write_monthly_files(raw, f"{root}/landing-{service}", service)
+        glob = L.write_monthly_files(raw, f"{root}/landing-{service}", service, arranged=True)
         target = f"{root}/{service}_tripdata"
         L.load_months(spark, service, glob, target)
         again = L.load_months(spark, service, glob, target)
         if again != 0:
             raise AssertionError(f"reload of {service} inserted {again} rows")
-        counts = spark.read.parquet(target).groupBy("filename").agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count_distinct("unique_row_id").alias("distinct_keys"))
+        counts = L.file_counts(spark.read.parquet(target))
         out = counts if out is None else out.unionByName(counts)
     return out
 

@@ -86,14 +86,18 @@ def trip_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_memo
-def trips(spark: SparkSession, sf_dir: str, dropoff: str = "quantity") -> DataFrame:
+def trips(spark: SparkSession, sf_dir: str, dropoff: str = "quantity", by_month: bool = False) -> DataFrame:
     """Generic trip rows (service, pickup/dropoff, zones as text ids, money).
 
+    ``by_month`` deals the rows by pickup month, before the wide columns are derived.
+
     ``dropoff='shipdate'`` gives the variant whose dropoff is ``l_shipdate``
     (about half the trips end before they start; such rows are kept).
     """
     t = trip_rows(spark, sf_dir)
     pickup = F.timestamp_add("SECOND", F.col("l_orderkey") % 86400, F.col("o_orderdate"))
+    if by_month:
+        t = t.withColumn("__month", F.year(pickup) * 12 + F.month(pickup)).hint("rebalance", "__month")
     if dropoff == "shipdate":
         drop = F.col("l_shipdate")
     else:

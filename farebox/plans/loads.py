@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farebox import schemas
 from farebox.functions.columns import row_key, row_key_fields
+from farebox.session import scratch_path
 from farebox.sources.files import read_csv
 
 # Fixed value: file name template of a monthly trip file.
@@ -78,16 +80,72 @@ def merge_insert(target: DataFrame, source: DataFrame, key: str = "unique_row_id
     return source.join(touched, [part_col, key], "left_anti")
 
 
+def _narrow(df: DataFrame, name: str) -> DataFrame:
+    """A few columns of a large table written once and read back: its size is then known, so
+    that a join with it is a broadcast while it is small and a shuffled one otherwise."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def earliest_file_rows(stamped: DataFrame, key: str = "unique_row_id",
                        file_col: str = "filename") -> DataFrame:
     """Rows that a sequence of monthly merges in file order would keep: per
     key, every row of the earliest file holding that key.
 
-    The first file per key is an aggregate (partial per map task, so a hot
-    key is cheap), then a semi join on (key, file) keeps the rows.
+    Only keys that several files hold lose rows.  Hashes of keys met in two files are found
+    from (hash, file) alone (partial per map task, so a hot key is cheap) and written; the
+    rows with one of them are settled by the whole key, all others stay without a shuffle.
     """
-    first = stamped.groupBy(key).agg(F.min(file_col).alias(file_col))
-    return stamped.join(first, [key, file_col], "left_semi")
+    rows = stamped.filter(F.col(key).isNotNull() & F.col(file_col).isNotNull()).withColumn("__hash", F.xxhash64(key))
+    files = rows.groupBy("__hash").agg(F.min(file_col).alias("lo"), F.max(file_col).alias("hi"))
+    again = _narrow(files.filter(F.col("lo") != F.col("hi")).select("__hash"), "keys-again")
+    several = rows.join(again, "__hash", "left_semi").select(*stamped.columns)
+    first = several.groupBy(key).agg(F.min(file_col).alias(file_col))
+    return (rows.join(again, "__hash", "left_anti").select(*stamped.columns)
+            .unionByName(several.join(first, [key, file_col], "left_semi").select(*stamped.columns)))
+
+
+def _packed(df: DataFrame, key: str) -> F.Column:
+    """The key in 16 bytes where it is the text of an md5; any other text is told apart by 17
+    zero bytes before it, so that equal packed keys are equal keys."""
+    c = F.col(key)
+    if isinstance(df.schema[key].dataType, T.BinaryType):
+        return c
+    md5 = (F.octet_length(c) == 32) & (F.lower(F.hex(F.unhex(c))) == c)
+    return F.when(md5, F.unhex(c)).otherwise(F.concat(F.lit(bytes(17)), F.encode(c, "UTF-8")))
+
+
+def file_counts(loaded: DataFrame, key: str = "unique_row_id", file_col: str = "filename") -> DataFrame:
+    """Rows and distinct keys of each source file.
+
+    A hash met once in a file is one key; the rows of the others, written by their hash, are
+    counted by the whole key."""
+    held = loaded.select(file_col, key, F.xxhash64(key).alias("__hash"))
+    keyed = held.filter(F.col(key).isNotNull() & F.col(file_col).isNotNull())
+    more = _narrow(keyed.groupBy(file_col, "__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select(file_col, "__hash"), "keys-repeated")
+    repeats = (keyed.join(more, [file_col, "__hash"], "left_semi").groupBy(file_col)
+               .agg((F.count(key) - F.count_distinct(key)).alias("__repeats")))
+    rows = held.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("distinct_keys"))
+    return rows.join(repeats, file_col, "left").select(
+        file_col, "rows", (F.col("distinct_keys") - F.coalesce("__repeats", F.lit(0))).alias("distinct_keys"))
+
+
+def new_rows(target: DataFrame, rows: DataFrame, key: str = "unique_row_id", parts: DataFrame | None = None,
+             part_col: str | None = None) -> DataFrame:
+    """``merge_insert`` by way of the keys: those the target lacks are found from the keys of
+    both alone and written, then the rows that have one are taken.  A load that brings little
+    or nothing new shuffles no whole rows."""
+    held = target
+    if part_col is not None:
+        months = F.broadcast((rows if parts is None else parts).select(part_col).distinct())
+        held = target.join(months, part_col, "left_semi")
+    keys = rows.select(_packed(rows, key).alias("__key"))
+    fresh = _narrow(keys.join(held.select(_packed(held, key).alias("__key")), "__key", "left_anti"), "keys-new")
+    # a key without a value is in no target: it has to meet itself here
+    return (rows.withColumn("__row_key", _packed(rows, key))
+            .join(fresh, F.col("__row_key").eqNullSafe(fresh["__key"]), "left_semi").select(*rows.columns))
 
 
 def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
@@ -99,39 +157,54 @@ def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
-               key: str = "unique_row_id", staged: DataFrame | None = None) -> int:
+               key: str = "unique_row_id", earliest: bool = False, arranged: bool = False) -> int:
     """Insert ``rows`` whose key is absent from the target; returns how many.
 
-    The anti join reads the target files listed when the job is planned; the
-    appended files only become visible when the job commits.  Rows carrying
-    the ``pickup_month`` column are written partitioned by it, and the anti
-    join then reads only the target months that ``staged`` (by default the rows
-    themselves) holds.  The inserted rows are counted as they are written.
+    The target's files are listed when the job is planned; the appended files only become
+    visible when the job commits.  Rows carrying the ``pickup_month`` column are written
+    partitioned by it, and only the target months that the rows hold are read.  With
+    ``earliest`` a key that several files of the load hold is inserted from the earliest.
+    The inserted rows are counted as they are written.
     """
     target = _read_target(spark, target_path)
     part = PART_COL if PART_COL in rows.columns else None
     if target is not None:
-        rows = merge_insert(target, rows, key, part_col=part, parts=staged)
+        rows = new_rows(target, rows, key, part_col=part)
+    if earliest:
+        rows = earliest_file_rows(rows, key)
     inserted = Observation()
     if part:
         # Group the rows by month before the partitioned write (AQE splits a
         # big month into advisory-size files, stragglers share one file each)
-        # instead of every task writing a small file for every month.
-        rows = rows.hint("rebalance", part).observe(inserted, F.count(F.lit(1)).alias("rows"))
-        rows.write.mode("append").partitionBy(part).parquet(target_path)
+        # instead of every task writing a small file for every month; ``arranged``
+        # rows, whose files hold few months each, are grouped already.
+        rows = rows if arranged else rows.hint("rebalance", part)
+        (rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").option("compression", "zstd")
+         .partitionBy(part).parquet(target_path))
     else:
         rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target_path)
     return int(inserted.get["rows"])
 
 
+#: Months a staged file may hold on average for its rows to count as grouped by month.
+MONTHS_A_FILE = 4
+
+
+def _by_month(staged: DataFrame) -> bool:
+    """Whether the files of a staging table hold few months each."""
+    held = staged.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct(PART_COL).alias("months"))
+    mean = held.agg(F.avg("months")).first()[0]
+    return mean is not None and mean <= MONTHS_A_FILE
+
+
 def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
     """K5: the staging table of a load: the stamped source written once as
     Parquet next to the target (overwritten by the next load) and read back,
     so the merge scans columnar data instead of parsing the text twice."""
     spark = stamped.sparkSession
     path = target_path.rstrip("/") + "_staging"
-    stamped.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    stamped.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(stamped.schema).parquet(path)
 
 
 def ensure_bucketed(spark: SparkSession, table: str, path: str, like: DataFrame, buckets: int,
@@ -154,16 +227,23 @@ def merge_insert_bucketed(target: DataFrame, source: DataFrame, key: str = "uniq
 
 
 def append_new_bucketed(spark: SparkSession, rows: DataFrame, table: str, path: str, buckets: int,
-                        key: str = "unique_row_id", staged: DataFrame | None = None) -> int:
+                        key: str = "unique_row_id", earliest: bool = False) -> int:
     """Insert ``rows`` whose key is absent from the bucketed ``table`` (made if missing);
-    returns how many.  Rows are dealt by bucket before the write, so that a task writes one
-    bucket of the months it holds."""
-    ensure_bucketed(spark, table, path, rows, buckets, key)
-    new = merge_insert_bucketed(spark.table(table), rows, key, staged)
+    returns how many.  Rows are dealt by month and bucket before the write, so that a bucket
+    of a month is one file and the write has as many tasks as the session's shuffles."""
+    if spark.catalog.tableExists(table):
+        rows = new_rows(spark.table(table), rows, key, part_col=PART_COL)
+    else:
+        ensure_bucketed(spark, table, path, rows, buckets, key)
+    if earliest:
+        rows = earliest_file_rows(rows, key)
     inserted = Observation()
-    (new.select(*spark.table(table).columns).repartition(buckets, key).observe(inserted, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").format("parquet").option("path", path).partitionBy(PART_COL).bucketBy(buckets, key)
-     .saveAsTable(table))
+    # the number of a row's bucket, as bucketBy takes it
+    bucket = F.pmod(F.hash(key), F.lit(buckets))
+    (rows.select(*spark.table(table).columns).repartition(_slots(spark), PART_COL, bucket)
+     .observe(inserted, F.count(F.lit(1)).alias("rows"))
+     .write.mode("append").format("parquet").option("path", path).option("compression", "zstd")
+     .partitionBy(PART_COL).bucketBy(buckets, key).saveAsTable(table))
     return int(inserted.get["rows"])
 
 
@@ -199,9 +279,9 @@ _PATH = "__source_path"
 
 def _stamped(spark: SparkSession, service: str, paths: str | Sequence[str], width: int, binary: bool,
              filename: str | None = None, seen: Observation | None = None) -> DataFrame:
-    """Monthly CSVs spread over the cluster (a .gz is one split, however large),
-    then parsed, stamped with key and file name and given their month."""
-    raw = read_csv(spark, paths, _schema_for(service), repartition=_slots(spark), file_col=_PATH)
+    """Monthly CSVs, spread over the cluster if they are fewer than its slots (a .gz is one
+    split, however large), then parsed, stamped with key and file name and given their month."""
+    raw = read_csv(spark, paths, _schema_for(service), repartition=_parallelism(spark), file_col=_PATH)
     if seen is not None:
         raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     name = F.lit(filename) if filename else F.coalesce(
@@ -210,6 +290,13 @@ def _stamped(spark: SparkSession, service: str, paths: str | Sequence[str], widt
     return with_pickup_month(stamped, _pickup_col(service))
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001  remote session: only the SQL conf is visible
+        return _slots(spark)
+
+
 def _slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -220,11 +307,10 @@ def _load(spark: SparkSession, service: str, paths: str | Sequence[str], target_
     source, staged_rows = Observation(), Observation()
     stamped = _stamped(spark, service, paths, width, binary, filename, source)
     staged = stage_rows(stamped.observe(staged_rows, F.count(F.lit(1)).alias("rows")), target_path)
-    rows = earliest_file_rows(staged) if earliest else staged
     if table is None:
-        inserted = append_new(spark, rows, target_path, staged=staged)
+        inserted = append_new(spark, staged, target_path, earliest=earliest, arranged=_by_month(staged))
     else:
-        inserted = append_new_bucketed(spark, rows, table, target_path, buckets, staged=staged)
+        inserted = append_new_bucketed(spark, staged, table, target_path, buckets, earliest=earliest)
     return LoadReport(int(source.get["rows"]), int(staged_rows.get["rows"]), inserted)
 
 
@@ -245,9 +331,8 @@ def load_months_report(spark: SparkSession, service: str, paths: str | Sequence[
                        target_path: str, width: int = 7, binary: bool = False) -> LoadReport:
     """K9: backfill many monthly files in one job.
 
-    Equivalent to merging the files one by one in file-name (= month) order:
-    per key the rows of the earliest file are kept (in-file duplicates too),
-    then one anti join against the target and one append.
+    Equivalent to merging the files one by one in file-name (= month) order: of the keys
+    that the target lacks the rows of the earliest file are appended (in-file duplicates too).
     """
     return _load(spark, service, paths, target_path, width, binary, None, True)
 
@@ -265,13 +350,15 @@ def load_months(spark: SparkSession, service: str, paths: str | Sequence[str],
     return load_months_report(spark, service, paths, target_path, width, binary).inserted
 
 
-def write_monthly_files(trips: DataFrame, root: str, service: str) -> str:
+def write_monthly_files(trips: DataFrame, root: str, service: str, arranged: bool = False) -> str:
     """Split raw trips into gzip CSVs per monthly file name, as the months land
     from the data provider (test helper for K8/K9).  Returns a glob.
 
     The ``rebalance`` hint lets AQE write about one file per month while
-    splitting a month that is much larger than the rest over several tasks.
+    splitting a month that is much larger than the rest over several tasks;
+    ``arranged`` rows are dealt by month already.
     """
-    (trips.hint("rebalance", "filename").write.mode("overwrite").option("header", True)
+    dealt = trips if arranged else trips.hint("rebalance", "filename")
+    (dealt.write.mode("overwrite").option("header", True)
      .option("compression", "gzip").partitionBy("filename").csv(root))
     return f"{root.rstrip('/')}/filename={service.lower()}_tripdata_*/*.csv*"

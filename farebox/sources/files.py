@@ -49,8 +49,9 @@ def parsed(df: DataFrame, schema: T.StructType, timestamp_format: str | None = N
         else:
             value = F.trim(text).try_cast(f.dataType)
         message = F.concat(F.lit(f"column {f.name}: not a {f.dataType.simpleString()}: "), text)
-        out.append(F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(f.dataType))
-                   .otherwise(value).alias(f.name, metadata=f.metadata))
+        # coalesce: a value that parses is parsed once
+        out.append(F.coalesce(value, F.when(text.isNotNull(), F.raise_error(message).cast(f.dataType)))
+                   .alias(f.name, metadata=f.metadata))
     extra = [c for c in df.columns if c not in schema.names]
     return df.select(*out, *[F.col(f"`{c}`") for c in extra])
 
@@ -67,8 +68,8 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
       null-filled (``FAILFAST`` otherwise); in either case a value that does not
       parse as its declared type fails the read (``parsed``);
     * ``.gz`` input is decoded natively but not splittable, so pass
-      ``repartition`` to spread the rows after the read: types are parsed, and
-      whatever follows runs, after that;
+      ``repartition`` to spread the rows after the read where it has fewer splits
+      than that: types are parsed, and whatever follows runs, after that;
     * ``columns`` keeps an explicit column list (the COPY column list);
     * ``file_col`` adds the path of each row's file.
     """
@@ -85,7 +86,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     if columns is not None:
         df = df.select(*columns, *([file_col] if file_col else []))
     if repartition:
-        df = df.repartition(repartition)
+        df = spread(df, repartition)
     if schema is not None:
         kept = T.StructType([f for f in schema.fields if columns is None or f.name in columns])
         df = parsed(df, kept, timestamp_format)

@@ -99,6 +99,65 @@ def test_bucketed_target_is_not_shuffled(spark, tmp):
         spark.sql("DROP TABLE IF EXISTS bucketed_target_test")
 
 
+def test_rows_without_a_shared_key_are_not_shuffled(spark, tmp):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5k")
+    try:
+        stamped(spark, 20000).write.parquet(f"{tmp}/rows")
+        rows = spark.read.parquet(f"{tmp}/rows")
+        # both uses of the rows meet the few repeated hashes by broadcast before any shuffle
+        plan = plan_text(L.earliest_file_rows(rows), "simple")
+        assert plan.count("BroadcastHashJoin [__hash") >= 2 and "SortMergeJoin [__hash" not in plan
+        reload = L.new_rows(rows, rows, part_col="pickup_month")
+        assert "SortMergeJoin" not in plan_text(reload, "simple") and reload.count() == 0
+        part = L.new_rows(rows.limit(15000), rows)
+        assert part.count() == 5000 and part.columns == rows.columns
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_new_rows_tells_odd_keys_apart(spark):
+    md5 = "0123456789abcdef0123456789abcdef"
+    odd = [md5, md5.upper(), "\0" * 17 + "x", "x", "", md5[:-1] + "g", md5 * 2]
+    target = spark.createDataFrame([(k, 0) for k in odd[::2]], "unique_row_id string, v int")
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([*odd, *odd, None])], "unique_row_id string, v int")
+    key = lambda r: (r[0] is None, r[0] or "", r[1])
+    want = L.merge_insert(target, rows)
+    assert sorted(map(tuple, L.new_rows(target, rows).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    raw = rows.withColumn("unique_row_id", F.encode("unique_row_id", "UTF-8"))
+    assert L.new_rows(raw.filter("v < 3"), raw).count() == 9
+
+
+def test_file_counts(spark):
+    rows = [("a", "k1"), ("a", "k1"), ("a", "k2"), ("b", "k1"), ("b", None), ("c", None), (None, "k3")]
+    got = L.file_counts(spark.createDataFrame(rows, "filename string, unique_row_id string"))
+    assert {tuple(r) for r in got.collect()} == {("a", 3, 2), ("b", 2, 1), ("c", 1, 0), (None, 1, 1)}
+
+
+def test_a_load_keeps_the_earliest_file(spark, tmp):
+    header = ",".join(f.name for f in L.schemas.GREEN_RAW)
+    line = "{v},2021-0{m}-01 00:00:00,2021-01-01 00:30:00,N,1,7,9,1,1.5,10.0,0,0,0,0,,0.3,10.3,1,1,0"
+    for month, trips in ((1, [(1, 1), (1, 1), (2, 1)]), (2, [(1, 1), (3, 2)])):
+        with open(f"{tmp}/green_tripdata_2021-0{month}.csv", "w") as f:
+            f.write("\n".join([header, *[line.format(v=v, m=m) for v, m in trips]]) + "\n")
+    assert L.load_months(spark, "green", f"{tmp}/*.csv", f"{tmp}/target") == 4
+    got = {tuple(r) for r in L.file_counts(spark.read.parquet(f"{tmp}/target")).collect()}
+    assert got == {("green_tripdata_2021-01.csv", 3, 2), ("green_tripdata_2021-02.csv", 1, 1)}
+    assert L.load_months(spark, "green", f"{tmp}/*.csv", f"{tmp}/target") == 0
+
+
+def test_bucketed_write_has_more_tasks_than_buckets(spark, tmp):
+    rows = stamped(spark, 600).withColumn("pickup_month", F.concat(F.lit("2024-0"), (F.abs(F.hash("unique_row_id")) % 9 + 1).cast("string")))
+    try:
+        assert L.append_new_bucketed(spark, rows, "bucketed_tasks_test", f"{tmp}/target", 2) == 600
+        files = glob.glob(f"{tmp}/target/**/*.parquet", recursive=True)
+        tasks = {f.split("part-")[1][:5] for f in files}
+        assert len(files) <= 9 * 2 and len(tasks) > 2
+        assert L.append_new_bucketed(spark, rows, "bucketed_tasks_test", f"{tmp}/target", 2) == 0
+    finally:
+        spark.sql("DROP TABLE IF EXISTS bucketed_tasks_test")
+
+
 def groups_holding(path, col, value):
     """Row groups whose min/max admit the value: what a pushed-down filter reads."""
     hit = total = 0
