@@ -135,12 +135,16 @@ class DistinctTable:
 
     @staticmethod
     def states(df: DataFrame, day: Column, cols: dict[str, Column]) -> DataFrame:
-        """(column, day, bucket, bitmap): one pass over the rows for all columns, combined on
-        the map side, so that a hot day or value sends one bitmap a task."""
+        """(column, day, bucket, bitmap): one pass over the rows for all columns.  Equal values
+        of a day are put together by hash first (on the map side too, so that a hot day or
+        value sends one row a task) and dealt by bitmap: each bitmap is made once, and what
+        its aggregate sorts is distinct values, never bitmaps of many tasks."""
         each = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), c.cast("bigint").alias("value")) for n, c in cols.items()]))
         rows = df.select(day.cast("date").alias("day"), each.alias("x")).filter(F.col("x.value").isNotNull())
-        value = F.col("x.value")
-        return (rows.groupBy(F.col("x.column").alias("column"), "day", F.bitmap_bucket_number(value).alias("bucket"))
+        once = rows.select(F.col("x.column").alias("column"), "day", F.col("x.value").alias("value")).distinct()
+        value = F.col("value")
+        dealt = once.withColumn("bucket", F.bitmap_bucket_number(value)).repartition("column", "day", "bucket")
+        return (dealt.groupBy("column", "day", "bucket")
                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap")))
 
     def append(self, df: DataFrame, day: Column, cols: dict[str, Column]) -> None:

@@ -74,6 +74,17 @@ def test_distinct_bitmaps(spark, tmp):
     assert "PartitionFilters: [isnotnull(column" in plan_text(t.count(spark, "v", "2024-01-03"))
 
 
+def test_distinct_bitmaps_are_made_of_distinct_values(spark):
+    df = spark.range(5000).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("day"), (F.col("id") % 7).alias("v"))
+    states = DistinctTable.states(df, F.col("day"), {"v": F.col("v")})
+    plan = plan_text(states, "simple")
+    # values meet by hash below the sort that the bitmaps' aggregate needs, and no bitmap is shuffled
+    above, below = plan[:plan.rindex("Sort [")], plan[plan.rindex("Sort ["):]
+    assert "HashAggregate(keys=[column" in below and "Exchange" not in above
+    # a day's 0 has a bucket of its own
+    assert sorted(r[0] for r in states.select(F.bitmap_count("bitmap")).collect()) == [1, 1, 1, 6, 6, 6]
+
+
 def stamped(spark, n, month="2024-01", at=0):
     return spark.range(at, at + n).select(F.md5(F.col("id").cast("string")).alias("unique_row_id"),
                                           F.lit("f.csv").alias("filename"), F.lit(month).alias("pickup_month"))
