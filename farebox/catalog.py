@@ -638,15 +638,14 @@ def q_bucketed_load(spark, d):
     from farebox.plans import loads as L
     from farebox.session import scratch_path
     root = scratch_path(spark, "bucketed-load")
-    glob = L.write_monthly_files(fx.raw_service(fx.trips(spark, d), "Green", keep_filename=True), f"{root}/landing", "green")
+    raw = fx.raw_service(fx.trips(spark, d, by_month=True), "Green", keep_filename=True)
+    glob = L.write_monthly_files(raw, f"{root}/landing", "green", arranged=True)
     table = f"green_tripdata_{uuid.uuid4().hex[:12]}"
     for run in (1, 2):
         r = L.load_months_bucketed(spark, "green", glob, table, f"{root}/target", LOAD_BUCKETS)
         if run == 2 and r.inserted:
             raise AssertionError(f"reload inserted {r.inserted} rows")
-    out = spark.table(table).groupBy("filename").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_distinct("unique_row_id").alias("distinct_keys"))
-    return out
+    return L.file_counts(spark.table(table))
 
 
 def q_clustered_scan(spark, d):
