@@ -709,14 +709,15 @@ def _green_messages(spark, d, full: bool = False) -> DataFrame:
 
 
 def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factory,
-                    time_col: str | None = None, slices: int = 3, late: bool = False, large_state: bool = False):
+                    time_col: str | None = None, slices: int = 3, late: bool = False, closing_state: bool = False):
     """Publish ``messages`` as JSON lines, run ``build(decoded stream)`` into
     the sink until everything available is processed, return the sink.
 
     With ``time_col`` they are published in ``slices`` of event time and the stream is
     drained, stopped and restarted from its checkpoint after each, so that the sink
     merges into what it already holds; ``late`` publishes the first slice once more at
-    the end, when all of it is behind the watermark.  ``large_state`` keeps state in RocksDB."""
+    the end, when all of it is behind the watermark.  ``closing_state`` keeps state in RocksDB,
+    compacted by every batch."""
     from farebox.session import scratch_path
     from farebox.streaming import jobs as S
     root = scratch_path(spark, name)
@@ -725,7 +726,9 @@ def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factor
     if time_col:
         at = F.col(time_col) if messages.schema[time_col].dataType == T.DoubleType() else \
             F.unix_seconds(F.to_timestamp(time_col, "yyyy-MM-dd HH:mm:ss")).cast("double")
-        timed = messages.withColumn("__at", at)
+        # made once: the bounds and every slice read the staged messages
+        messages.withColumn("__at", at).write.option("compression", "zstd").parquet(f"{root}/messages")
+        timed = spark.read.parquet(f"{root}/messages")
         lo, hi = timed.agg(F.min("__at"), F.max("__at")).first()
         bounds = [] if lo is None else [lo + (hi - lo) * k / slices for k in range(1, slices)]
         slot = F.lit(0)
@@ -734,7 +737,7 @@ def _stream_through(spark, name, messages: DataFrame, schema, build, sink_factor
         timed = timed.withColumn("__slot", slot)
         order = [*range(slices), *([0] if late else [])]
         parts = [timed.filter(F.col("__slot") == k).drop("__at", "__slot") for k in order]
-    own = S.stream_session(spark, _parallelism(spark), large_state)
+    own = S.stream_session(spark, _parallelism(spark), closing_state=closing_state)
     for part in parts:
         S.publish_json(part, {"path": f"{root}/topic"})
         stream = S.read_json_stream(own, {"path": f"{root}/topic"}, schema)
@@ -780,7 +783,7 @@ def q_tumbling_late_rows(spark, d):
         return S.tumbling_counts(S.decode_test_events(stream), "event_watermark",
                                  "event_type", "1 minute", "1 second")
     sink = _stream_through(spark, "tumbling-late", _event_messages(spark, d), EVENT_MSG, build,
-                           lambda p: S.AppendSink(p), time_col="event_timestamp", late=True, large_state=True)
+                           lambda p: S.AppendSink(p), time_col="event_timestamp", late=True, closing_state=True)
     dropped = S.late_rows(spark, sink.batches_path).agg(F.sum("late_rows")).first()[0]
     return sink.read(spark).withColumns({"num_hits": big("num_hits"), "late_groups": F.lit(dropped).cast("bigint")})
 
@@ -796,7 +799,7 @@ def _sessions(spark, d, name, sink_factory, time_col=None):
         return S.session_counts(S.decode_green_trips(stream), "lpep_dropoff_datetime",
                                 ["PULocationID", "DOLocationID"], GAP, DELAY)
     return _stream_through(spark, name, _green_messages(spark, d), schemas.GREEN_EVENT, build,
-                           sink_factory, time_col, large_state=time_col is not None)
+                           sink_factory, time_col, closing_state=time_col is not None)
 
 
 def q_session_counts(spark, d):

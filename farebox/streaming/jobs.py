@@ -378,13 +378,16 @@ def _in_one_transaction(spark: SparkSession, jdbc: dict, statements: Sequence[st
 _DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None, large_state: bool = False) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None, large_state: bool = False,
+                   closing_state: bool = False) -> SparkSession:
     """A session of the same application for building streams, with the given session's
     settings and its own on top; the given session's stay as they are.
 
     ``state_partitions`` sizes the state of windowed aggregates (fixed in the checkpoint at
     the first start and kept on restarts).  ``large_state`` keeps state in RocksDB, off the
-    JVM heap, and writes only its changes to each checkpoint.
+    JVM heap, and writes only its changes to each checkpoint.  ``closing_state`` is for large
+    state of which a batch closes most: every batch compacts it and writes what is left, so a
+    restart replays no windows that closed long ago and a key's lookup passes no marks of them.
     """
     own = spark.newSession()
     for k, v in spark.conf.getAll.items():
@@ -392,9 +395,12 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None, lar
             own.conf.set(k, v)
     if state_partitions:
         own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    if large_state:
+    if large_state or closing_state:
         own.conf.set("spark.sql.streaming.stateStore.providerClass", _DISK_STATE)
-        own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        changes = "false" if closing_state else "true"
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", changes)
+    if closing_state:
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.compactOnCommit", "true")
     return own
 
 
