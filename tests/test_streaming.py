@@ -284,7 +284,7 @@ def test_sliced_stream_makes_its_messages_once(spark):
     assert sink.read(spark).count() == 28  # the last two minutes are still open
 
 
-@pytest.mark.parametrize("query", ["longest_streak"])
+@pytest.mark.parametrize("query", ["longest_streak", "session_upsert_last"])
 def test_sliced_sessions_restart_without_replaying_closed_ones(spark, query):
     import glob
     from farebox import catalog
