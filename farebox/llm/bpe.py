@@ -3,8 +3,8 @@
 No merge ever makes a token that holds a byte pair which occurs inside no token
 of the vocabulary, so such a pair is a certain cut: what stands left and right
 of it is encoded independently and the ids are concatenated.  Cuts are taken
-where the left byte is ASCII and no white space and the right byte starts a
-character other than an apostrophe.  There the splitting pattern of the tokenizer
+where the left character is one of ASCII or U+00C0 to U+07FF and no white space and the right
+byte starts a character other than an apostrophe.  There the splitting pattern of the tokenizer
 (no look-behind; look-ahead only after white space; contractions only from an
 apostrophe on) finds the same pieces in the parts as in the whole.
 
@@ -100,6 +100,11 @@ class Codec:
         right[ord("'")] = False
         #: pair (as 256 * left + right) -> certain cut
         self.cut = (~inside & left[:, None] & right[None, :]).ravel()
+        last = np.zeros(256, bool)
+        last[0x80:0xC0] = True
+        #: the same for the last byte of a longer character, certain if that has two bytes and is no white space
+        self.cut_long = (~inside & last[:, None] & right[None, :]).ravel()
+        self.maybe = self.cut | self.cut_long
         self.merger = self._merger(spec["model"])
         self.memo = Memo(self._ids)
 
@@ -127,8 +132,14 @@ class Codec:
         """Bytes of a text, cut at every certain boundary."""
         b = np.frombuffer(raw, np.uint8)
         pair = (b[:-1].astype(np.uint16) << 8) | b[1:]
-        cuts = [0, *(np.flatnonzero(self.cut[pair]) + 1).tolist(), len(raw)]
-        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+        at = np.flatnonzero(self.maybe[pair])
+        lead = b[at - 1]  # of two-byte characters; those from 0xC3 to 0xDF hold no white space
+        at = at[self.cut[pair[at]] | (lead >= 0xC3) & (lead <= 0xDF)]
+        out = np.full(len(b) + len(at), 0xFF, np.uint8)  # a byte that no text holds, at every cut
+        own = np.ones(len(out), bool)
+        own[at + np.arange(1, len(at) + 1)] = False
+        out[own] = b
+        return out.tobytes().split(b"\xff")
 
     def _ids(self, text: str) -> list[int]:
         if self.merger and "<" not in text and (text.isascii() or not BEYOND.search(text)):

@@ -35,7 +35,7 @@ from farebox.llm.common import slices, staged, text_or_empty
 LIMIT, BLOCK, SEGMENT = 18, 512, 1 << 18
 END_ID = 0
 
-_IDS = "part int, segment long, before long, doc_ids array<long>, lengths array<int>, ids binary"
+_IDS = "part int, segment long, before long, doc_ids array<long>, lengths array<int>, ids binary, seen array<int>, times array<long>"
 _CODED = "part int, segment long, start long, doc_ids array<long>, lengths array<int>, payload binary, checkpoints array<long>"
 
 
@@ -129,7 +129,8 @@ def id_type(path: str) -> str:
 
 def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> DataFrame:
     """Segments of ids, in ascending doc_id order over (part, segment); ``before``
-    counts the ids of the part before the segment."""
+    counts the ids of the part before the segment.  The last segment of a part also tells the
+    ids ``seen`` in the part and how many ``times``; the vocabulary bounds them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -137,14 +138,19 @@ def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> Data
         names: list = []
         arrays: list[np.ndarray] = []
         size, before, end = 0, 0, np.array([end_id], np.uint32)
+        total = np.zeros(max(len(own.bytes_of), end_id + 1), np.int64)
 
-        def row() -> pa.RecordBatch:
-            lengths = [len(a) for a in arrays]
+        def row(last: bool = False) -> pa.RecordBatch:
+            nonlocal total
+            lengths, ids = [len(a) for a in arrays], np.concatenate(arrays)
+            total += np.bincount(ids, minlength=len(total))
+            seen = np.flatnonzero(total) if last else None
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([segment], pa.int64()), pa.array([before], pa.int64()),
                  pa.array([names], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())),
-                 pa.array([np.concatenate(arrays).astype(kind).tobytes()], pa.binary())],
-                names=["part", "segment", "before", "doc_ids", "lengths", "ids"])
+                 pa.array([ids.astype(kind).tobytes()], pa.binary()), pa.array([seen], pa.list_(pa.int32())),
+                 pa.array([total[seen] if last else None], pa.list_(pa.int64()))],
+                names=["part", "segment", "before", "doc_ids", "lengths", "ids", "seen", "times"])
 
         for b in slices(batches, 100):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -156,7 +162,7 @@ def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> Data
                 arrays.append(ids)
                 size += len(ids)
         if arrays:
-            yield row()
+            yield row(last=True)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).repartitionByRange(n, "doc_id")
@@ -164,19 +170,11 @@ def encoded(docs: DataFrame, path: str, kind: str, end_id: int = END_ID) -> Data
     return ordered.mapInArrow(run, _IDS)
 
 
-def id_counts(segments: DataFrame, kind: str) -> DataFrame:
-    """(id, n) over all segments; a task sums its own ids first."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for b in slices(batches, 1):
-            for ids in b.column(0).to_pylist():
-                got = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
-                got[:len(total)] += total
-                total = got
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
-
-    return segments.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def id_counts(segments: DataFrame) -> DataFrame:
+    """(id, n) over all segments, from the sums of their parts."""
+    both = F.explode(F.arrays_zip("seen", "times")).alias("x")
+    return (segments.filter("seen is not null").select(both)
+            .groupBy(F.col("x.seen").cast("long").alias("id")).agg(F.sum("x.times").alias("n")))
 
 
 def write(docs: DataFrame, path: str, out: str) -> None:
@@ -184,7 +182,7 @@ def write(docs: DataFrame, path: str, out: str) -> None:
     spark = docs.sparkSession
     kind = id_type(path)
     segments = staged(encoded(docs, path, kind), "store-ids")
-    counts = id_counts(segments, kind).toArrow()  # bounded by the vocabulary
+    counts = id_counts(segments).toArrow()  # bounded by the vocabulary
     ids, n = counts.column("id").to_numpy(), counts.column("n").to_numpy()
     order = np.argsort(ids)
     ids, lengths = ids[order], code_lengths(n[order])
@@ -215,7 +213,7 @@ def write(docs: DataFrame, path: str, out: str) -> None:
                  pa.array([marks.tolist()], pa.list_(pa.int64()))],
                 names=["part", "segment", "start", "doc_ids", "lengths", "payload", "checkpoints"])
 
-    segments.mapInArrow(run, _CODED).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{out}/segments")
+    segments.drop("seen", "times").mapInArrow(run, _CODED).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{out}/segments")
     shared.unpersist()
 
 

@@ -50,6 +50,17 @@ def test_cuts_hold_no_pair_of_any_token(library):
         assert not any(codec.cut[256 * a + b] for a, b in zip(token, token[1:]))
 
 
+def test_texts_are_cut_after_two_byte_characters_but_not_after_white_space(library):
+    codec, rng = bpe.Codec(vocabulary_path()), random.Random(7)
+    assert codec.fragments(" été ã ü".encode()) == [x.encode() for x in (" été", " ã", " ü")]
+    for space in ("\x85", "\xa0", "\u2003", "\u3000"):
+        assert codec.fragments(f"é{space} a".encode())[-1].decode().endswith(f"{space} a")
+    alphabet = "éàüñçß×÷ſʼ\u0301\u0308ΩλЖяא\u07ff\x85\xa0\u2003 \t\n's,.1aEt"
+    for _ in range(4000):
+        s = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))
+        assert codec.encode(s).tolist() == ids_of(library, s), s
+
+
 def test_decode_of_broken_bytes(library):
     codec = bpe.Codec(vocabulary_path())
     for ids in ([220, 156, 98], [121, 122], [], [50256]):
