@@ -18,8 +18,8 @@ starts in a document with a smaller id.
 4. The occurrences go back to the documents by anchor and segment id (128 bits together),
    as spans of words.
 
-Words are compared as they are; the automata compare text, hashes only bring together
-what may be equal.
+Words are compared as they are; the automata run over words, numbered one by one as they
+are met in a shard, hashes only bring together what may be equal.
 
 Defined cases: null and empty texts have no words; documents under 13 words keep all;
 rows that repeat an id don't remove each other's words; rows with a null id neither
@@ -202,20 +202,22 @@ def _located(group: list[str], phrases: dict[str, int], most: int) -> list[list[
     import ahocorasick
 
     out: list[list[tuple[int, int, int]]] = [[] for _ in group]
+    number: dict[str, int] = {}  # equal words, and only they, have one number
+
+    def numbers(text: str) -> tuple[int, ...]:
+        return tuple([number.setdefault(w, len(number)) for w in text.split(" ")])
+
+    texts = [numbers(t) for t in group]
     todo = list(phrases.items())
     for k in range(0, len(todo), most):
-        automaton = ahocorasick.Automaton()
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for p, first in todo[k:k + most]:
-            automaton.add_word(f" {p} ", (p.count(" ") + 1, first))
+            key = numbers(p)
+            automaton.add_word(key, (len(key), first))
         automaton.make_automaton()
-        for text, spans in zip(group, out):
-            ends = {}
-            at = 0
-            for n, word in enumerate(text.split(" "), 1):
-                at += len(word) + 1
-                ends[at] = n  # place of the space after word n, in the padded text
-            for end, (size, first) in automaton.iter(f" {text} "):
-                e = ends[end]
+        for words, spans in zip(texts, out):
+            for last, (size, first) in automaton.iter(words):
+                e = last + 1
                 if spans and spans[-1][2] == first and spans[-1][0] <= e - size <= spans[-1][1] <= e:
                     spans[-1] = (spans[-1][0], e, first)
                 else:

@@ -91,3 +91,17 @@ def test_op8_line_amid_differing_words(spark, tmp_path, monkeypatch):
 
 def test_empty_table(spark, tmp_path):
     assert op8_phrase_dedup(spark, save(spark, tmp_path, documents=frame(spark, []))).count() == 0
+
+
+def test_automata_have_a_step_a_word_not_a_character(monkeypatch):
+    import ahocorasick
+    made, plain = [], ahocorasick.Automaton
+
+    def automaton(*kind):
+        made.append(plain(*kind))
+        return made[-1]
+    monkeypatch.setattr(ahocorasick, "Automaton", automaton)
+    phrase = " ".join(f"wörd{k}" * 5 for k in range(13))
+    found = phrases._located([f"x {phrase} y", "x" + phrase, phrase], {phrase: 4}, 10)
+    assert found == [[(1, 14, 4)], [], [(0, 13, 4)]]
+    assert made[0].get_stats()["longest_word"] == 13
