@@ -29,7 +29,8 @@ remove nor lose words; an empty table gives an empty result; other columns are n
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,8 @@ from farebox.llm.common import slices, staged, text_or_empty
 WINDOW, ANCHOR = 13, 5
 PHRASES, SHARD_SEGMENTS, AUTOMATON = 4_000, 16_000, 40_000
 
-#: Bytes of words hashed at once; fixes memory, not results.
+#: Bytes of words hashed at once, and of texts joined for it (a longer text stands
+#: alone); fixes memory, not results.
 HASHED_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
@@ -79,7 +81,7 @@ POWERS, INVERSES = Powers(_BASE), Powers(_INVERSE)
 
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, first byte and end byte of every word of a text: a polynomial of the
-    word's bytes, for many words at a time."""
+    word's bytes, the same wherever it stands, from one running sum for many words."""
     b = np.frombuffer(raw, np.uint8)
     inside = np.zeros(len(b) + 2, np.int8)
     inside[1:-1] = ~_IS_SPACE[b]
@@ -89,40 +91,64 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, at = np.empty(len(start), np.uint64), 0
     while at < len(start):
         to = max(at + 1, int(np.searchsorted(end, start[at] + HASHED_BYTES, side="right")))
-        n = size[at:to]
-        before = np.cumsum(n) - n
-        place = np.arange(int(n.sum())) - np.repeat(before, n)
-        byte = b[place + np.repeat(start[at:to], n)]
-        h[at:to] = np.add.reduceat(_OF_BYTE[byte] * POWERS.upto(int(n.max()))[place], before)
+        lo, hi = start[at], end[to - 1]
+        total = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_OF_BYTE[b[lo:hi]] * POWERS.upto(hi - lo), out=total[1:])
+        h[at:to] = (total[end[at:to] - lo] - total[start[at:to] - lo]) * INVERSES.upto(hi - lo)[start[at:to] - lo]
         at = to
     h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) + size.astype(np.uint64)
     return h ^ (h >> np.uint64(32)), start, end
 
 
-def segments(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first word, end word and id of each run of windows with one anchor,
-    from the words' hashes.
+def joined(texts: pa.Array) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+    """Texts one after another, a space behind each, some ``HASHED_BYTES`` at a time: the first
+    text's number, the end text's, the bytes, and the byte each text starts at with the end."""
+    raws = [(t or "").encode() for t in texts.to_pylist()]
+    ends = np.cumsum([len(r) + 1 for r in raws], dtype=np.int64)
+    at, before = 0, 0
+    while at < len(raws):
+        to = max(at + 1, int(np.searchsorted(ends, before + HASHED_BYTES, side="right")))
+        yield at, to, b" ".join([*raws[at:to], b""]), np.r_[before, ends[at:to]] - before
+        at, before = to, int(ends[to - 1])
+
+
+def segments(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first word, end word, id and text of each run of windows with one anchor,
+    from the hashes of the words of texts, one text after another with ``n`` words each.
 
     The id is a polynomial of the words' hashes, the same wherever the words stand; it
     comes from one running sum, so no segment's text is put together for it.
     """
-    n = len(h) - WINDOW + 1
-    if n < 1:
+    windows = np.maximum(n - WINDOW + 1, 0)
+    if not windows.any():
         none = np.empty(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     g = np.zeros(len(h) - ANCHOR + 1, np.uint64)
     for k in range(ANCHOR):
         g = (g ^ h[k:len(g) + k]) * np.uint64(0x9E3779B97F4A7C15)
         g ^= g >> np.uint64(31)
-    width = WINDOW - ANCHOR + 1
-    at = np.lib.stride_tricks.sliding_window_view(g, width).argmin(1) + np.arange(n)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    end = np.r_[first[1:], n] + WINDOW - 1
+    # the least of each window of g, the leftmost of equal ones
+    wide = len(h) - WINDOW + 1
+    least, at = g[:wide].copy(), np.arange(wide)
+    for k in range(1, WINDOW - ANCHOR + 1):
+        less = np.flatnonzero(g[k:wide + k] < least)
+        least[less], at[less] = g[less + k], less + k
+    # windows inside a text; texts share no word, so their anchors stand at different words
+    text = np.repeat(np.arange(len(n)), windows)
+    window = np.arange(len(text)) + np.repeat((np.cumsum(n) - n) - (np.cumsum(windows) - windows), windows)
+    at = at[window]
+    run = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    first, end = window[run], window[np.r_[run[1:], len(at)] - 1] + WINDOW
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * POWERS.upto(len(h)))])
     sid = (total[end] - total[first]) * INVERSES.upto(len(h))[first] + (end - first).astype(np.uint64)
     sid = (sid ^ (sid >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     sid ^= sid >> np.uint64(32)
-    return g[at[first]].view(np.int64), first, end, sid.view(np.int64)
+    return g[at[run]].view(np.int64), first, end, sid.view(np.int64), text[run]
+
+
+def _mixed(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """One number for a row and a value of it; what is equal in both stays equal."""
+    return value.view(np.uint64) ^ ((row.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _variant() -> Column:
@@ -133,21 +159,17 @@ def _variant() -> Column:
 def anchors(docs: DataFrame) -> DataFrame:
     """(anchor, sid, doc_id): the distinct segments of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int64)
         for b in slices(batches, 500):
-            anchor, sid, n = [none], [none], []
-            for t in b.column(1).to_pylist():
-                a, _, _, s = segments(word_hashes((t or "").encode())[0])
-                order = np.lexsort((s, a))
-                a, s = a[order], s[order]
+            ids = b.column(0).to_numpy()
+            for at, _, raw, bounds in joined(b.column(1)):
+                h, start, _ = word_hashes(raw)
+                a, _, _, s, k = segments(h, np.diff(np.searchsorted(start, bounds)))
+                order = np.lexsort((s, a, k))
+                a, s, k = a[order], s[order], k[order]
                 new = np.ones(len(a), bool)
-                new[1:] = (a[1:] != a[:-1]) | (s[1:] != s[:-1])
-                anchor.append(a[new])
-                sid.append(s[new])
-                n.append(len(sid[-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(anchor)), pa.array(np.concatenate(sid)), pa.array(np.repeat(b.column(0).to_numpy(), n))],
-                names=["anchor", "sid", "doc_id"])
+                new[1:] = (k[1:] != k[:-1]) | (a[1:] != a[:-1]) | (s[1:] != s[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(s[new]), pa.array(ids[at + k[new]])],
+                                                 names=["anchor", "sid", "doc_id"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "anchor long, sid long, doc_id long")
 
@@ -157,65 +179,72 @@ def recurring_segments(docs: DataFrame) -> DataFrame:
     firsts): the segments of shared anchors; text and the last document only where
     the document is the first that holds the segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.int64)
         for b in slices(batches, 200):
+            ids, variant = b.column(0).to_numpy(), b.column(2).to_numpy()
             shared, firsts = b.column(3), b.column(4)
             recur, of_doc = shared.values.to_numpy(), shared.offsets.to_numpy()
             first_sid, first_last = (firsts.values.field(k).to_numpy() for k in ("sid", "last"))
             of_first = firsts.offsets.to_numpy()
-            anchors_, sids, places, texts, lasts, n = [none], [none], [none], [], [], []
-            for k, (text, variant) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                raw = (text or "").encode()
+            for at, to, raw, bounds in joined(b.column(1)):
                 h, begin, stop = word_hashes(raw)
-                a, first, end, s = segments(h)
-                hit = np.isin(a, recur[of_doc[k]:of_doc[k + 1]])
-                a, first, end, s = a[hit], first[hit], end[hit], s[hit]
-                lo, hi = of_first[k], of_first[k + 1]
-                told = dict(zip(first_sid[lo:hi].tolist(), first_last[lo:hi].tolist()))
-                text_of, last_of = [None] * len(s), [None] * len(s)
-                for i in np.flatnonzero(np.isin(s, first_sid[lo:hi])).tolist():
-                    last = told.pop(int(s[i]), None)
+                words_before = np.searchsorted(begin, bounds)
+                a, first, end, s, k = segments(h, np.diff(words_before))
+                some = np.repeat(np.arange(to - at), np.diff(of_doc[at:to + 1]))
+                # a pair taken for another is a row too many, which no phrase joins
+                hit = np.isin(_mixed(k, a), _mixed(some, recur[of_doc[at]:of_doc[to]]))
+                a, first, end, s, k = a[hit], first[hit], end[hit], s[hit], k[hit]
+                lo, hi = of_first[at], of_first[to]
+                some = np.repeat(np.arange(to - at), np.diff(of_first[at:to + 1]))
+                told = dict(zip(zip(some.tolist(), first_sid[lo:hi].tolist()), first_last[lo:hi].tolist()))
+                texts, lasts = [None] * len(s), [None] * len(s)
+                for i in np.flatnonzero(np.isin(_mixed(k, s), _mixed(some, first_sid[lo:hi]))).tolist():
+                    last = told.pop((int(k[i]), int(s[i])), None)
                     if last is not None:
-                        text_of[i], last_of[i] = b" ".join(raw[begin[first[i]]:stop[end[i] - 1]].split()).decode(), last
-                anchors_.append(a)
-                sids.append(s)
-                places.append(variant << 40 | first)
-                texts += text_of
-                lasts += last_of
-                n.append(len(s))
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.concatenate(x).astype(np.int64)) for x in (anchors_, sids)), pa.array(np.repeat(b.column(0).to_numpy(), n)),
-                 pa.array(np.concatenate(places).astype(np.int64)), pa.array(texts, pa.string()), pa.array(lasts, pa.int64())],
-                names=["anchor", "sid", "doc_id", "place", "text", "last"])
+                        texts[i], lasts[i] = b" ".join(raw[begin[first[i]]:stop[end[i] - 1]].split()).decode(), last
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(s), pa.array(ids[at + k]), pa.array(variant[at + k] << 40 | first - words_before[k]),
+                     pa.array(texts, pa.string()), pa.array(lasts, pa.int64())],
+                    names=["anchor", "sid", "doc_id", "place", "text", "last"])
 
     return docs.select("doc_id", "text", "variant", "shared", "firsts").mapInArrow(
         run, "anchor long, sid long, doc_id long, place long, text string, last long")
 
 
-def _windows(words: list[str]) -> list[str]:
-    return [" ".join(words[i:i + WINDOW]) for i in range(len(words) - WINDOW + 1)]
+def _windows(words: Sequence) -> list[Sequence]:
+    return [words[i:i + WINDOW] for i in range(len(words) - WINDOW + 1)]
+
+
+class _Numbers(dict):
+    """Word -> number; equal words, and only they, have one number."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+    def of(self, text: str) -> tuple[int, ...]:
+        return tuple(map(self.__getitem__, text.split(" ")))
 
 
 def _located(group: list[str], phrases: dict[str, int], most: int) -> list[list[tuple[int, int, int]]]:
+    """The same as ``_located_numbers`` of texts."""
+    number = _Numbers()
+    return _located_numbers([number.of(t) for t in group], {number.of(p): first for p, first in phrases.items()}, most)
+
+
+def _located_numbers(group: list[tuple[int, ...]], phrases: dict[tuple[int, ...], int],
+                     most: int) -> list[list[tuple[int, int, int]]]:
     """For each segment the spans of words (start, end, first document) that automata
     of at most ``most`` of the ``phrases`` (phrase -> first document) locate in it."""
     import ahocorasick
 
     out: list[list[tuple[int, int, int]]] = [[] for _ in group]
-    number: dict[str, int] = {}  # equal words, and only they, have one number
-
-    def numbers(text: str) -> tuple[int, ...]:
-        return tuple([number.setdefault(w, len(number)) for w in text.split(" ")])
-
-    texts = [numbers(t) for t in group]
     todo = list(phrases.items())
     for k in range(0, len(todo), most):
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for p, first in todo[k:k + most]:
-            key = numbers(p)
+        for key, first in todo[k:k + most]:
             automaton.add_word(key, (len(key), first))
         automaton.make_automaton()
-        for words, spans in zip(texts, out):
+        for words, spans in zip(group, out):
             for last, (size, first) in automaton.iter(words):
                 e = last + 1
                 if spans and spans[-1][2] == first and spans[-1][0] <= e - size <= spans[-1][1] <= e:
@@ -230,10 +259,13 @@ _FOUND = f"anchor long, sid long, spans array<{_SPAN}>"
 
 def _found(keys: list[tuple[int, int]], found: list[list[tuple[int, int, int]]]) -> pa.Table:
     rows = [(k, s) for k, s in zip(keys, found) if s]
+    spans = [x for _, s in rows for x in s]
+    start, end, first = (pa.array([x[i] for x in spans], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64())))
+    offsets = np.cumsum([0, *(len(s) for _, s in rows)])
     return pa.table({
         "anchor": pa.array([k[0] for k, _ in rows], pa.int64()), "sid": pa.array([k[1] for k, _ in rows], pa.int64()),
-        "spans": pa.array([[{"s": a, "e": e, "first": f} for a, e, f in s] for _, s in rows],
-                          pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("first", pa.int64())])))})
+        "spans": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                          pa.StructArray.from_arrays([start, end, first], ["s", "e", "first"]))})
 
 
 def located(distinct: DataFrame, shards: int) -> DataFrame:
@@ -242,27 +274,28 @@ def located(distinct: DataFrame, shards: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         by_anchor = defaultdict(list)
-        for anchor, *segment in zip(*(t.column(c).to_pylist() for c in ("anchor", "sid", "text", "first", "last"))):
-            by_anchor[anchor].append(segment)
+        number = _Numbers()  # each text is numbered once, for phrases and for what they are sought in
+        for anchor, sid, text, first, last in zip(*(t.column(c).to_pylist() for c in ("anchor", "sid", "text", "first", "last"))):
+            by_anchor[anchor].append((sid, number.of(text), first, last))
         keys, found = [], []
-        group: list[str] = []
-        phrases: dict[str, int] = {}
+        group: list[tuple[int, ...]] = []
+        phrases: dict[tuple[int, ...], int] = {}
 
         def done() -> None:
-            found.extend(_located(group, phrases, most))
+            found.extend(_located_numbers(group, phrases, most))
             group.clear()
             phrases.clear()
 
         for anchor, same in by_anchor.items():
             if len(same) == 1:
-                _, text, first, last = same[0]
+                _, words, first, last = same[0]
                 if first < last:
-                    phrases[text] = first
+                    phrases[words] = first
             else:
                 phrases.update((w, lo) for w, (lo, hi) in _ranges(x[1:] for x in same).items() if lo < hi)
-            for sid, text, _, _ in same:
+            for sid, words, _, _ in same:
                 keys.append((anchor, sid))
-                group.append(text)
+                group.append(words)
             if len(group) >= phrases_at_once:
                 done()
         done()
@@ -278,11 +311,11 @@ def located(distinct: DataFrame, shards: int) -> DataFrame:
     return out if cold is distinct else out.unionByName(located_of_hot(distinct, hot))
 
 
-def _ranges(segments: Iterable[tuple[str, int, int]]) -> dict[str, tuple[int, int]]:
-    """The first and last document of each window of (text, first, last)."""
-    range_of: dict[str, tuple[int, int]] = {}
-    for text, first, last in segments:
-        for w in _windows(text.split(" ")):
+def _ranges(segments: Iterable[tuple[tuple, int, int]]) -> dict[tuple, tuple[int, int]]:
+    """The first and last document of each window of (words, first, last)."""
+    range_of: dict[tuple, tuple[int, int]] = {}
+    for words, first, last in segments:
+        for w in _windows(words):
             lo, hi = range_of.get(w, (first, last))
             range_of[w] = (min(lo, first), max(hi, last))
     return range_of
@@ -299,9 +332,9 @@ def located_of_hot(distinct: DataFrame, hot: DataFrame) -> DataFrame:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 2_000):
             dealt = defaultdict(list)
-            for anchor, salt, *segment in zip(*(c.to_pylist() for c in b.columns)):
-                dealt[anchor, salt].append(segment)
-            out = [(*key, w, lo, hi) for key, same in dealt.items() for w, (lo, hi) in _ranges(same).items()]
+            for anchor, salt, text, *segment in zip(*(c.to_pylist() for c in b.columns)):
+                dealt[anchor, salt].append((tuple(text.split(" ")), *segment))
+            out = [(*key, " ".join(w), lo, hi) for key, same in dealt.items() for w, (lo, hi) in _ranges(same).items()]
             kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)],
                                              names=["anchor", "salt", "phrase", "lo", "hi"])
@@ -359,14 +392,15 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
             n_words, n_removed, kept = [], [], []
-            for text, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            spans_of, found = b.column(2).offsets.to_numpy(), b.column(2).is_valid().to_pylist()
+            s, e = (b.column(2).values.field(k).to_numpy() for k in ("s", "e"))
+            for k, text in enumerate(b.column(1).to_pylist()):
                 words = (text or "").encode().split()
                 n_words.append(len(words))
-                if found:
-                    stays = np.ones(len(words), bool)
-                    for x in found:
-                        stays[x["s"]:x["e"]] = False
-                    words = [words[i] for i in np.flatnonzero(stays).tolist()]
+                if found[k]:
+                    x = slice(spans_of[k], spans_of[k + 1])
+                    covered = np.bincount(s[x], minlength=len(words) + 1) - np.bincount(e[x], minlength=len(words) + 1)
+                    words = list(compress(words, (np.cumsum(covered) == 0).tolist()))
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode())
             yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import GroupedData
 from pyspark.sql.pandas.group_ops import PandasCogroupedOps
@@ -105,3 +107,26 @@ def test_automata_have_a_step_a_word_not_a_character(monkeypatch):
     found = phrases._located([f"x {phrase} y", "x" + phrase, phrase], {phrase: 4}, 10)
     assert found == [[(1, 14, 4)], [], [(0, 13, 4)]]
     assert made[0].get_stats()["longest_word"] == 13
+
+
+@pytest.mark.parametrize("size", [60, 1 << 20])
+def test_many_texts_are_hashed_at_once_as_each_alone(monkeypatch, size):
+    monkeypatch.setattr(phrases, "HASHED_BYTES", size)
+    rng = random.Random(3)
+    texts = [None, "", " \t", "wörd", sentence(rng, 12), sentence(rng, 13), "the same " * 40,
+             *(f"\n{sentence(rng, rng.randint(0, 90))}\u3000ü" for _ in range(60)), ""]
+    pieces, got = 0, []
+    for at, to, raw, bounds in phrases.joined(pa.array(texts, pa.string())):
+        pieces += 1
+        h, start, end = phrases.word_hashes(raw)
+        before = np.searchsorted(start, bounds)
+        a, first, stop, sid, k = phrases.segments(h, np.diff(before))
+        got += [(int(at + t), *x) for t, *x in zip(k, a.tolist(), (first - before[k]).tolist(), (stop - before[k]).tolist(), sid.tolist())]
+        words = [w for t in texts[at:to] for w in (t or "").encode().split()]
+        assert [raw[s:e] for s, e in zip(start, end)] == words
+    alone = []
+    for k, t in enumerate(texts):
+        h = phrases.word_hashes((t or "").encode())[0]
+        alone += [(k, *x[:4]) for x in zip(*(c.tolist() for c in phrases.segments(h, np.array([len(h)]))))]
+    assert got == alone and {k for k, *_ in got} >= {5, 6}
+    assert size == 60 or pieces == 1
