@@ -388,6 +388,8 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None, lar
     JVM heap, and writes only its changes to each checkpoint.  ``closing_state`` is for large
     state of which a batch closes most: every batch compacts it and writes what is left, so a
     restart replays no windows that closed long ago and a key's lookup passes no marks of them.
+    Its rows are not counted in the query's progress, which would look up each window once more
+    when it is written and when it closes.
     """
     own = spark.newSession()
     for k, v in spark.conf.getAll.items():
@@ -401,6 +403,7 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None, lar
         own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", changes)
     if closing_state:
         own.conf.set("spark.sql.streaming.stateStore.rocksdb.compactOnCommit", "true")
+        own.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     return own
 
 

@@ -299,3 +299,22 @@ def test_sliced_sessions_restart_without_replaying_closed_ones(spark, query):
     batches = glob.glob(f"{run}/checkpoint/commits/[0-9]*")
     parts = {os.path.dirname(f) for f in state}
     assert all(len(glob.glob(f"{p}/[0-9]*.zip")) == len(batches) for p in parts if os.path.basename(p).isdigit())
+
+
+def test_closing_state_writes_and_closes_sessions_without_looking_each_up(spark, tmp, monkeypatch):
+    queries, begin = [], S.start
+    monkeypatch.setattr(S, "start", lambda *a, **k: queries.append(begin(*a, **k)) or queries[-1])
+    schema = T.StructType([T.StructField("test_data", T.LongType()), T.StructField("event_timestamp", T.DoubleType())])
+    own = S.stream_session(spark, state_partitions=2, closing_state=True)
+    sink = S.AppendSink(f"{tmp}/sink")
+    minute = 60_000.0
+    # the last session of key 1 goes on after the restart
+    for n, rows in enumerate(([(1, 0.0), (2, minute), (1, 20 * minute)], [(1, 24 * minute), (3, 60 * minute)], [(3, 90 * minute)])):
+        write_json_lines([{"test_data": a, "event_timestamp": t} for a, t in rows], f"{tmp}/topic", f"p{n}.json")
+        stream = S.decode_test_events(S.read_json_stream(own, {"path": f"{tmp}/topic"}, schema))
+        S.run_available(S.session_counts(stream, "event_watermark", ["test_data"]), sink, f"{tmp}/ckpt")
+    got = sorted((r.test_data, r.session_start.minute, r.longest_streak) for r in sink.read(spark).collect())
+    assert got == [(1, 0, 1), (1, 20, 2), (2, 1, 1), (3, 0, 1)]
+    states = [p.stateOperators[0] for q in queries for p in q.recentProgress if p.stateOperators]
+    assert sum(s.customMetrics["rocksdbPutCount"] for s in states) > 0
+    assert sum(s.customMetrics["rocksdbGetCount"] for s in states) == 0
