@@ -430,11 +430,11 @@ def q_monthly_load_idempotent(spark, d):
     into an empty target, run the same backfill again (must insert nothing);
     per file the rows kept and their distinct keys."""
     from farebox.plans import loads as L
-    from farebox.session import scratch_path
+    from farebox.session import at_once, scratch_path
     root = scratch_path(spark, "monthly-load")
     t = fx.trips(spark, d, by_month=True)
-    out = None
-    for service in ("green", "yellow"):
+
+    def loaded(service):
         raw = fx.raw_service(t, service.capitalize(), keep_filename=True)
         glob = L.write_monthly_files(raw, f"{root}/landing-{service}", service, arranged=True)
         target = f"{root}/{service}_tripdata"
@@ -442,9 +442,11 @@ def q_monthly_load_idempotent(spark, d):
         again = L.load_months(spark, service, glob, target)
         if again != 0:
             raise AssertionError(f"reload of {service} inserted {again} rows")
-        counts = L.file_counts(spark.read.parquet(target))
-        out = counts if out is None else out.unionByName(counts)
-    return out
+        return L.file_counts(spark.read.parquet(target))
+
+    # one service's jobs take the slots that the last tasks of the other's leave
+    green, yellow = at_once(spark, [lambda: loaded("green"), lambda: loaded("yellow")])
+    return green.unionByName(yellow)
 
 
 MERGE_TARGET_BEFORE = "1997-01-01"

@@ -22,6 +22,8 @@ from farebox.functions.columns import row_key, row_key_fields
 from farebox.session import scratch_path
 from farebox.sources.files import read_csv
 
+# Tables a load writes: zstd at its fastest level (2 to 4 % larger than at the default one).
+PACKED = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 # Fixed value: file name template of a monthly trip file.
 FILE_TEMPLATE = "{service}_tripdata_{year:04d}-{month:02d}.csv"
 # Picks the monthly file name out of a path (a file or a directory of parts).
@@ -54,9 +56,13 @@ NO_MONTH = "unknown"
 
 def with_pickup_month(df: DataFrame, pickup: str) -> DataFrame:
     """Partition value of a trip.  The row key covers the pickup time, so
-    rows with equal keys always share this value."""
-    return df.withColumn(PART_COL, F.coalesce(F.date_format(F.col(pickup), "yyyy-MM"),
-                                              F.lit(NO_MONTH)))
+    rows with equal keys always share this value.
+
+    The month is cut from the text that the row key is made of, where the year has four digits."""
+    text = F.col(pickup).cast("string")
+    month = F.when(F.substring(text, 5, 1) == "-", F.substring(text, 1, 7)).otherwise(
+        F.date_format(F.col(pickup), "yyyy-MM"))
+    return df.withColumn(PART_COL, F.coalesce(month, F.lit(NO_MONTH)))
 
 
 def merge_insert(target: DataFrame, source: DataFrame, key: str = "unique_row_id",
@@ -84,21 +90,51 @@ def _narrow(df: DataFrame, name: str) -> DataFrame:
     """A few columns of a large table written once and read back: its size is then known, so
     that a join with it is a broadcast while it is small and a shuffled one otherwise."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**PACKED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def key_month() -> F.Column:
+    """The month that the text of a row key tells, so that equal keys have equal months; NULL where
+    the text may be read in two ways.  It begins with the vendor and the pickup time: the first
+    '-' of both ends the year, if there is a pickup time of four digits' year and none in the vendor."""
+    told = (F.substring(PART_COL, 5, 1) == "-") & ~F.contains(F.coalesce("VendorID", F.lit("")), F.lit("-"))
+    return F.when(told, F.col(PART_COL))
+
+
+def layout(staged: DataFrame, file_col: str = "filename") -> DataFrame:
+    """Rows of a staging table by its own file, month and source file: a few for each file."""
+    held = staged.groupBy(F.col("_metadata.file_name").alias("__part"), PART_COL, file_col)
+    return _narrow(held.agg(F.count(F.lit(1)).alias("n")), "layout")
+
+
+def main_files(held: DataFrame, file_col: str = "filename") -> DataFrame:
+    """The source file with most rows of each month of a ``layout``."""
+    files = held.groupBy(F.col(PART_COL).alias("__month"), file_col).agg(F.sum("n").alias("n"))
+    return files.groupBy("__month").agg(F.max_by(file_col, "n").alias("__main"))
+
+
 def earliest_file_rows(stamped: DataFrame, key: str = "unique_row_id",
-                       file_col: str = "filename") -> DataFrame:
+                       file_col: str = "filename", main: DataFrame | None = None) -> DataFrame:
     """Rows that a sequence of monthly merges in file order would keep: per
     key, every row of the earliest file holding that key.
 
     Only keys that several files hold lose rows.  Hashes of keys met in two files are found
     from (hash, file) alone (partial per map task, so a hot key is cheap) and written; the
     rows with one of them are settled by the whole key, all others stay without a shuffle.
+
+    With ``main`` (``main_files``) the keys of whole months are not compared at all: a key that
+    two files hold has a row outside its month's main file, so only the keys of such rows and
+    of those without a ``key_month`` are looked for in the others.
     """
     rows = stamped.filter(F.col(key).isNotNull() & F.col(file_col).isNotNull()).withColumn("__hash", F.xxhash64(key))
-    files = rows.groupBy("__hash").agg(F.min(file_col).alias("lo"), F.max(file_col).alias("hi"))
+    held = rows.select("__hash", file_col)
+    if main is not None:
+        at_home = F.coalesce(F.col(file_col) == F.col("__main"), F.lit(False))
+        strays = (rows.join(F.broadcast(main), key_month() == F.col("__month"), "left").filter(~at_home)
+                  .select("__hash"))
+        held = held.join(_narrow(strays, "keys-astray").distinct(), "__hash", "left_semi")
+    files = held.groupBy("__hash").agg(F.min(file_col).alias("lo"), F.max(file_col).alias("hi"))
     again = _narrow(files.filter(F.col("lo") != F.col("hi")).select("__hash"), "keys-again")
     several = rows.join(again, "__hash", "left_semi").select(*stamped.columns)
     first = several.groupBy(key).agg(F.min(file_col).alias(file_col))
@@ -112,20 +148,21 @@ def _packed(df: DataFrame, key: str) -> F.Column:
     c = F.col(key)
     if isinstance(df.schema[key].dataType, T.BinaryType):
         return c
-    md5 = (F.octet_length(c) == 32) & (F.lower(F.hex(F.unhex(c))) == c)
-    return F.when(md5, F.unhex(c)).otherwise(F.concat(F.lit(bytes(17)), F.encode(c, "UTF-8")))
+    # unhex gives NULL for what is no hex number; upper case is no md5's
+    md5 = F.when((F.octet_length(c) == 32) & (F.lower(c) == c), F.unhex(c))
+    return F.coalesce(md5, F.concat(F.lit(bytes(17)), F.encode(c, "UTF-8")))
 
 
 def file_counts(loaded: DataFrame, key: str = "unique_row_id", file_col: str = "filename") -> DataFrame:
     """Rows and distinct keys of each source file.
 
-    A hash met once in a file is one key; the rows of the others, written by their hash, are
-    counted by the whole key."""
-    held = loaded.select(file_col, key, F.xxhash64(key).alias("__hash"))
+    A hash (of key and file) met once is one key; the rows of the others, written by their hash,
+    are counted by the whole key."""
+    held = loaded.select(file_col, key, F.xxhash64(key, file_col).alias("__hash"))
     keyed = held.filter(F.col(key).isNotNull() & F.col(file_col).isNotNull())
-    more = _narrow(keyed.groupBy(file_col, "__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                   .select(file_col, "__hash"), "keys-repeated")
-    repeats = (keyed.join(more, [file_col, "__hash"], "left_semi").groupBy(file_col)
+    more = _narrow(keyed.groupBy("__hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select("__hash"), "keys-repeated")
+    repeats = (keyed.join(more, "__hash", "left_semi").groupBy(file_col)
                .agg((F.count(key) - F.count_distinct(key)).alias("__repeats")))
     rows = held.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows"), F.count(key).alias("distinct_keys"))
     return rows.join(repeats, file_col, "left").select(
@@ -157,13 +194,15 @@ def _read_target(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
-               key: str = "unique_row_id", earliest: bool = False, arranged: bool = False) -> int:
+               key: str = "unique_row_id", earliest: bool = False, arranged: bool = False,
+               main: DataFrame | None = None) -> int:
     """Insert ``rows`` whose key is absent from the target; returns how many.
 
     The target's files are listed when the job is planned; the appended files only become
     visible when the job commits.  Rows carrying the ``pickup_month`` column are written
     partitioned by it, and only the target months that the rows hold are read.  With
-    ``earliest`` a key that several files of the load hold is inserted from the earliest.
+    ``earliest`` a key that several files of the load hold is inserted from the earliest
+    (``main`` as in ``earliest_file_rows``).
     The inserted rows are counted as they are written.
     """
     target = _read_target(spark, target_path)
@@ -171,7 +210,7 @@ def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
     if target is not None:
         rows = new_rows(target, rows, key, part_col=part)
     if earliest:
-        rows = earliest_file_rows(rows, key)
+        rows = earliest_file_rows(rows, key, main=main)
     inserted = Observation()
     if part:
         # Group the rows by month before the partitioned write (AQE splits a
@@ -179,7 +218,7 @@ def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
         # instead of every task writing a small file for every month; ``arranged``
         # rows, whose files hold few months each, are grouped already.
         rows = rows if arranged else rows.hint("rebalance", part)
-        (rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").option("compression", "zstd")
+        (rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").options(**PACKED)
          .partitionBy(part).parquet(target_path))
     else:
         rows.observe(inserted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target_path)
@@ -190,11 +229,12 @@ def append_new(spark: SparkSession, rows: DataFrame, target_path: str,
 MONTHS_A_FILE = 4
 
 
-def _by_month(staged: DataFrame) -> bool:
-    """Whether the files of a staging table hold few months each."""
-    held = staged.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct(PART_COL).alias("months"))
-    mean = held.agg(F.avg("months")).first()[0]
-    return mean is not None and mean <= MONTHS_A_FILE
+def _rows_by_month(held: DataFrame) -> tuple[int, bool]:
+    """Rows of a staging table by its ``layout``, and whether its files hold few months each."""
+    files = held.groupBy("__part", PART_COL).agg(F.sum("n").alias("n")).groupBy("__part").agg(
+        F.sum("n").alias("n"), F.count(PART_COL).alias("months"))
+    rows, mean = files.agg(F.sum("n"), F.avg("months")).first()
+    return int(rows or 0), mean is not None and mean <= MONTHS_A_FILE
 
 
 def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
@@ -203,7 +243,7 @@ def stage_rows(stamped: DataFrame, target_path: str) -> DataFrame:
     so the merge scans columnar data instead of parsing the text twice."""
     spark = stamped.sparkSession
     path = target_path.rstrip("/") + "_staging"
-    stamped.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    stamped.write.mode("overwrite").options(**PACKED).parquet(path)
     return spark.read.schema(stamped.schema).parquet(path)
 
 
@@ -227,7 +267,7 @@ def merge_insert_bucketed(target: DataFrame, source: DataFrame, key: str = "uniq
 
 
 def append_new_bucketed(spark: SparkSession, rows: DataFrame, table: str, path: str, buckets: int,
-                        key: str = "unique_row_id", earliest: bool = False) -> int:
+                        key: str = "unique_row_id", earliest: bool = False, main: DataFrame | None = None) -> int:
     """Insert ``rows`` whose key is absent from the bucketed ``table`` (made if missing);
     returns how many.  Rows are dealt by month and bucket before the write, so that a bucket
     of a month is one file and the write has as many tasks as the session's shuffles."""
@@ -236,7 +276,7 @@ def append_new_bucketed(spark: SparkSession, rows: DataFrame, table: str, path:
     else:
         ensure_bucketed(spark, table, path, rows, buckets, key)
     if earliest:
-        rows = earliest_file_rows(rows, key)
+        rows = earliest_file_rows(rows, key, main=main)
     inserted = Observation()
     # the number of a row's bucket, as bucketBy takes it
     bucket = F.pmod(F.hash(key), F.lit(buckets))
@@ -274,19 +314,38 @@ def _schema_for(service: str):
     return {"green": schemas.GREEN_RAW, "yellow": schemas.YELLOW_RAW}[service.lower()]
 
 
-_PATH = "__source_path"
+_PATH, _LISTED, _NAME = "__source_path", "__listed_path", "__source_name"
+
+
+def _name_in(path: F.Column) -> F.Column:
+    """Monthly file name in a path, or its last part."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, _FILE_PATTERN, 1), F.lit("")), F.element_at(F.split(path, "/"), -1))
+
+
+def _listed_names(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Path and monthly file name of each file, so that names are searched for once a file
+    and not once a row; the files themselves are not read."""
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
+    # the path as read_csv gives it
+    return (listed.select(F.input_file_name().alias(_LISTED)).distinct()
+            .withColumn(_NAME, _name_in(F.col(_LISTED))))
 
 
 def _stamped(spark: SparkSession, service: str, paths: str | Sequence[str], width: int, binary: bool,
              filename: str | None = None, seen: Observation | None = None) -> DataFrame:
     """Monthly CSVs, spread over the cluster if they are fewer than its slots (a .gz is one
     split, however large), then parsed, stamped with key and file name and given their month."""
-    raw = read_csv(spark, paths, _schema_for(service), repartition=_parallelism(spark), file_col=_PATH)
+    raw = read_csv(spark, paths, _schema_for(service), repartition=_parallelism(spark),
+                   file_col=None if filename else _PATH)
     if seen is not None:
         raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-    name = F.lit(filename) if filename else F.coalesce(
-        F.nullif(F.regexp_extract(_PATH, _FILE_PATTERN, 1), F.lit("")), F.element_at(F.split(_PATH, "/"), -1))
-    stamped = stamp(raw, row_key_fields(service, width), name, binary=binary).drop(_PATH)
+    if filename:
+        name = F.lit(filename)
+    else:
+        names = _listed_names(spark, paths)
+        raw = raw.join(F.broadcast(names), raw[_PATH] == names[_LISTED], "left").drop(_LISTED)
+        name = F.coalesce(F.col(_NAME), _name_in(F.col(_PATH)))
+    stamped = stamp(raw, row_key_fields(service, width), name, binary=binary).drop(_PATH, _NAME)
     return with_pickup_month(stamped, _pickup_col(service))
 
 
@@ -303,15 +362,18 @@ def _slots(spark: SparkSession) -> int:
 
 def _load(spark: SparkSession, service: str, paths: str | Sequence[str], target_path: str, width: int, binary: bool,
           filename: str | None, earliest: bool, table: str | None = None, buckets: int = 0) -> LoadReport:
-    """Read, stage, merge; the counts are observed in the jobs that do so."""
-    source, staged_rows = Observation(), Observation()
-    stamped = _stamped(spark, service, paths, width, binary, filename, source)
-    staged = stage_rows(stamped.observe(staged_rows, F.count(F.lit(1)).alias("rows")), target_path)
+    """Read, stage, merge; read and inserted rows are observed in the jobs that do so, staged
+    rows counted where they were written."""
+    source = Observation()
+    staged = stage_rows(_stamped(spark, service, paths, width, binary, filename, source), target_path)
+    held = layout(staged)
+    rows, arranged = _rows_by_month(held)
+    main = main_files(held) if earliest else None
     if table is None:
-        inserted = append_new(spark, staged, target_path, earliest=earliest, arranged=_by_month(staged))
+        inserted = append_new(spark, staged, target_path, earliest=earliest, arranged=arranged, main=main)
     else:
-        inserted = append_new_bucketed(spark, staged, table, target_path, buckets, earliest=earliest)
-    return LoadReport(int(source.get["rows"]), int(staged_rows.get["rows"]), inserted)
+        inserted = append_new_bucketed(spark, staged, table, target_path, buckets, earliest=earliest, main=main)
+    return LoadReport(int(source.get["rows"]), rows, inserted)
 
 
 def load_month_report(spark: SparkSession, service: str, year: int, month: int, src: str,
@@ -360,5 +422,5 @@ def write_monthly_files(trips: DataFrame, root: str, service: str, arranged: boo
     """
     dealt = trips if arranged else trips.hint("rebalance", "filename")
     (dealt.write.mode("overwrite").option("header", True)
-     .option("compression", "gzip").partitionBy("filename").csv(root))
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").partitionBy("filename").csv(root))
     return f"{root.rstrip('/')}/filename={service.lower()}_tripdata_*/*.csv*"

@@ -11,7 +11,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Session defaults the package relies on: UTC wall clock, ANSI SQL, AQE with
@@ -121,5 +124,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def at_once(spark: SparkSession, steps: Sequence[Callable]) -> list:
+    """Results of steps that do not depend on each other, each run in a thread of its own with
+    the caller's local properties; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        # wrapped for each step: the properties are copied when the target is made
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 def local_file_uri(path: str) -> str:
     return path if "://" in path else "file://" + os.path.abspath(path)

@@ -82,7 +82,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     paths = [path] if isinstance(path, str) else list(path)
     df = r.csv(paths)
     if file_col:
-        df = df.select("*", F.col("_metadata.file_path").alias(file_col))
+        df = df.select("*", F.input_file_name().alias(file_col))
     if columns is not None:
         df = df.select(*columns, *([file_col] if file_col else []))
     if repartition:

@@ -2,6 +2,7 @@
 
 import glob
 import random
+import threading
 
 import pyarrow.parquet as pq
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from farebox.operators import quality as Q
 from farebox.plans import loads as L
+from farebox.session import at_once
 from farebox.sinks.files import write_clustered, write_partitioned
 from farebox.sinks.rollups import DistinctTable, Rollup, source_files
 from tests.conftest import plan_text
@@ -157,6 +159,83 @@ def test_a_load_keeps_the_earliest_file(spark, tmp):
     assert L.load_months(spark, "green", f"{tmp}/*.csv", f"{tmp}/target") == 0
 
 
+def land_green(tmp, files):
+    """Monthly files of (vendor, pickup, dropoff) rows."""
+    header = ",".join(f.name for f in L.schemas.GREEN_RAW)
+    for month, trips in files.items():
+        with open(f"{tmp}/green_tripdata_2021-0{month}.csv", "w") as f:
+            f.write("\n".join([header, *[f"{v},{p},{d},N,1,7,9,1,1.5,10.0,0,0,0,0,,0.3,10.3,1,1,0" for v, p, d in trips]]) + "\n")
+
+
+def test_names_are_searched_for_once_a_file(spark, tmp):
+    at = "2021-01-01 00:00:00"
+    land_green(tmp, {1: [("1", at, at)] * 3, 2: [("2", at, at)]})
+    with open(f"{tmp}/other.csv", "w") as f:
+        f.write(open(f"{tmp}/green_tripdata_2021-02.csv").read())
+    # a file listed twice is read twice, not four times
+    paths = [f"{tmp}/green*.csv", f"{tmp}/other.csv", f"{tmp}/other.csv"]
+    stamped = L._stamped(spark, "green", paths, 7, False)
+    assert "BroadcastHashJoin [__source_path" in plan_text(stamped, "simple")
+    got = sorted(tuple(r) for r in stamped.select("filename", "VendorID", "pickup_month").collect())
+    assert got == [*[("green_tripdata_2021-01.csv", "1", "2021-01")] * 3, ("green_tripdata_2021-02.csv", "2", "2021-01"),
+                   *[("other.csv", "2", "2021-01")] * 2]
+
+
+def test_pickup_month_of_any_time(spark):
+    times = ["2021-03-04 05:06:07.5", "0987-01-02 00:00:00", "+12021-03-04 00:00:00", "-0044-03-15 00:00:00", None]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz"))
+    want = df.select(F.coalesce(F.date_format("t", "yyyy-MM"), F.lit("unknown")))
+    assert L.with_pickup_month(df, "t").select("pickup_month").collect() == want.collect()
+
+
+def test_months_of_one_file_compare_no_keys(spark, tmp):
+    jan, feb, mar = ("2021-01-01 00:00:00", "2021-02-01 00:00:00", "2021-03-01 00:00:00")
+    own = {1: [("1", jan, feb)] * 3 + [("2", jan, feb)] * 2, 2: [("1", feb, mar)] * 2}
+    land_green(tmp, own)
+
+    def held_and_kept():
+        staged = L.stage_rows(L._stamped(spark, "green", f"{tmp}/*.csv", 7, False), f"{tmp}/t")
+        main = L.main_files(L.layout(staged))
+        narrow, real = [], L._narrow
+
+        def noted(df, name):
+            out = real(df, name)
+            narrow.append((name, out.count()))
+            return out
+
+        L._narrow = noted
+        try:
+            kept = L.earliest_file_rows(staged, main=main)
+        finally:
+            L._narrow = real
+        rows = lambda df: sorted(map(str, df.select(*staged.columns).collect()))
+        assert rows(kept) == rows(L.earliest_file_rows(staged))
+        return dict(narrow), kept.count()
+
+    # each month in its own file: no key has to be looked for elsewhere
+    assert held_and_kept() == ({"keys-astray": 0, "keys-again": 0}, 7)
+    # a January trip in February's file again, one of January only there, and a key whose text
+    # is the same without a pickup as without a dropoff time
+    land_green(tmp, {1: own[1] + [("3", jan, "")], 2: own[2] + [("2", jan, feb), ("4", jan, feb), ("3", "", jan)]})
+    assert held_and_kept() == ({"keys-astray": 3, "keys-again": 2}, 9)
+
+
+def test_services_are_loaded_at_once(spark):
+    meet = threading.Barrier(2, timeout=60)
+    spark.sparkContext.setLocalProperty("asked.by", "test")
+
+    def step(n):
+        meet.wait()
+        return n + spark.range(n).count(), spark.sparkContext.getLocalProperty("asked.by")
+
+    try:
+        assert at_once(spark, [lambda: step(1), lambda: step(2)]) == [(2, "test"), (4, "test")]
+        with pytest.raises(ZeroDivisionError):
+            at_once(spark, [lambda: 1, lambda: 1 // 0])
+    finally:
+        spark.sparkContext.setLocalProperty("asked.by", None)
+
+
 def test_bucketed_write_has_more_tasks_than_buckets(spark, tmp):
     rows = stamped(spark, 600).withColumn("pickup_month", F.concat(F.lit("2024-0"), (F.abs(F.hash("unique_row_id")) % 9 + 1).cast("string")))
     try:
